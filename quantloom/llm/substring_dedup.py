@@ -137,7 +137,7 @@ def _repeats(answers: pa.Table) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x in answers.column("value").to_pylist()]])
 
 
-def _ask_passages(key, docs: pa.Table, answers: pa.Table, window: int, shards: int) -> pa.Table:
+def _ask_passages(docs: pa.Table, answers: pa.Table, window: int, shards: int) -> pa.Table:
     kind = {"shard": pa.int64(), "block": pa.int64(), "value": pa.list_(pa.int64()), "passage": pa.list_(pa.binary()), "doc": pa.list_(pa.int64())}
     rows: dict[str, list] = {k: [] for k in kind}
     if docs.num_rows and answers.num_rows:
@@ -254,37 +254,44 @@ def shard_answers(keys: list[tuple[int, bytes]], docs: list[int], window: int) -
 
 
 def _answer_passages(group: pa.Table, window: int) -> pa.Table:
-    blocks, values, passages, docs = (group.column(c).to_pylist() for c in ("block", "value", "passage", "doc"))
+    """For each block the minimizers of its passages here, in the order in which it sent them, and the packed answers: how many numbers each passage has, and the numbers."""
+    values, passages, docs = (group.column(c).to_pylist() for c in ("value", "passage", "doc"))
     keys = [list(zip(v, p, strict=True)) for v, p in zip(values, passages, strict=True)]
     answers = shard_answers([k for ks in keys for k in ks], [d for ds in docs for d in ds], window)
-    return pa.table(
-        {
-            "block": pa.array(blocks, pa.int64()),
-            "value": pa.array(values, pa.list_(pa.int64())),
-            "passage": pa.array(passages, pa.list_(pa.binary())),
-            "least": pa.array([[answers[k] for k in ks] for ks in keys], pa.list_(pa.list_(pa.int64()))),
-        }
-    )
+    found = [[answers[k] for k in ks] for ks in keys]
+    packed = {
+        "value": [np.array(v, np.int64).tobytes() for v in values],
+        "sizes": [np.fromiter(map(len, of), np.int32, len(of)).tobytes() for of in found],
+        "least": [np.array([d for one in of for d in one], np.int64).tobytes() for of in found],
+    }
+    return pa.table({"block": group.column("block"), "shard": group.column("shard"), **{k: pa.array(v, pa.binary()) for k, v in packed.items()}})
+
+
+def _matched(keys: list[tuple[int, bytes]], answers: pa.Table, shards: int) -> dict[tuple[int, bytes], list[int]]:
+    """The answer of each distinct passage of a block: a shard answers in the passages' order."""
+    by_shard = defaultdict(list)
+    for k in sorted(set(keys)):
+        by_shard[k[0] % shards].append(k)
+    out = {}
+    for shard, sizes, least in zip(*(answers.column(c).to_pylist() for c in ("shard", "sizes", "least")), strict=True):
+        ends, numbers = np.cumsum(np.frombuffer(sizes, np.int32)).tolist(), np.frombuffer(least, np.int64).tolist()
+        for k, a, b in zip(by_shard[shard], [0, *ends[:-1]], ends, strict=True):
+            out[k] = numbers[a:b]
+    return out
 
 
-def _remove(key, docs: pa.Table, answers: pa.Table, window: int) -> pa.Table:
+def _remove(docs: pa.Table, answers: pa.Table, window: int, shards: int) -> pa.Table:
     """The kept words of each document of a block."""
     columns: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept": [], "kept_sha256": []}
     if docs.num_rows:
         _, ids, texts, _ = _block(docs)
-        least = {
-            k: of
-            for v, p, m in zip(*(answers.column(c).to_pylist() for c in ("value", "passage", "least")), strict=True)
-            for k, of in zip(zip(v, p, strict=True), m, strict=True)
-        }
-        repeats = np.unique(np.fromiter((k[0] for k in least), np.int64, len(least)))
-        for a, b, p, hit, keys in repeated_passages(ids, texts, repeats, window):
+        pieces = list(repeated_passages(ids, texts, np.unique(_repeats(answers)), window))
+        least = _matched([k for *_, keys in pieces for k in keys], answers, shards)
+        for a, b, p, hit, keys in pieces:
             gone = np.zeros(len(p.starts) + 1, np.int32)
             owner = ids[a:b][p.text_of[hit]] if len(hit) else np.zeros(0, np.int64)
             for k, doc, begin, count in zip(keys, owner.tolist(), p.begin[hit].tolist(), p.count[hit].tolist(), strict=True):
-                found = least.get(k)
-                if found is None:
-                    continue
+                found = least[k]
                 if len(found) == 1:
                     if found[0] < doc:
                         gone[begin] += 1
@@ -328,10 +335,10 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     asked = of_block.applyInArrow(lambda group: _ask_minimizers(group, window, shards), "shard long, block long, value binary, several binary")
     repeats = asked.groupBy("shard").applyInArrow(_answer_minimizers, "block long, value binary")
     passages = of_block.cogroup(repeats.groupBy("block")).applyInArrow(
-        lambda key, left, right: _ask_passages(key, left, right, window, shards), "shard long, block long, value array<bigint>, passage array<binary>, doc array<bigint>"
+        lambda key, left, right: _ask_passages(left, right, window, shards), "shard long, block long, value array<bigint>, passage array<binary>, doc array<bigint>"
     )
-    least = passages.groupBy("shard").applyInArrow(lambda group: _answer_passages(group, window), "block long, value array<bigint>, passage array<binary>, least array<array<bigint>>")
-    return of_block.cogroup(least.groupBy("block")).applyInArrow(lambda key, left, right: _remove(key, left, right, window), "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
+    least = passages.groupBy("shard").applyInArrow(lambda group: _answer_passages(group, window), "block long, shard long, value binary, sizes binary, least binary")
+    return of_block.cogroup(least.groupBy("block")).applyInArrow(lambda key, left, right: _remove(left, right, window, shards), "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 
-PATH, WORDS, NUMBERS = 96, 64, 10
+PATH, WORDS, NUMBERS = 192, 48, 10
 INPUT, HIDDEN_UNITS = PATH + WORDS + NUMBERS, 24
 
 
@@ -265,38 +265,52 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 #: Containers of the further layouts, as tag and class or id; the first element says whether what they hold is main text.
 _LAYOUT_NOISE = [("nav", ""), ("header", ""), ("footer", ""), ("aside", ""), ("form", ""), ("section", "comments"), ("ul", "breadcrumb"), *(("div", w) for w in sorted(NOISE_WORDS))]
 _LAYOUT_MAIN = [("article", ""), ("main", ""), ("div", "content"), ("div", "article body"), ("div", "post entry"), ("section", "story text")]
+#: Names that say nothing; they stand anywhere, and so do made-up ones.
+_NEUTRAL = "container wrapper wrap row col inner outer page grid box block clearfix layout site root section left right top center item group holder panel region".split()
 _TEXT_TAGS = ("p", "p", "p", "h2", "h3", "li", "blockquote", "td", "pre")
 
 
 def layouts(pages: list[list[Block]], seed: int = 4) -> Iterator[tuple[list[Block], list[bool]]]:
-    """Each page's blocks as they are, and once more dealt into a drawn layout, with what they are."""
+    """Each page's blocks as they are, and twice dealt into a drawn layout, with what they are."""
     rng = np.random.default_rng(seed)
     for blocks in pages:
         yield blocks, [named_main(b.path) for b in blocks]
-        main, noise = [b for b in blocks if named_main(b.path)], [b for b in blocks if not named_main(b.path)]
-        if not main:
-            continue
-        dealt: list[tuple[Block, bool]] = []
-
-        def part(is_main: bool, dealt=dealt, main=main, noise=noise) -> None:
-            tag, names = (_LAYOUT_MAIN if is_main else _LAYOUT_NOISE)[rng.integers(len(_LAYOUT_MAIN if is_main else _LAYOUT_NOISE))]
-            outer = ("html", "body") + (("div", "wrapper") if rng.random() < 0.3 else ()) + (tag, *names.split())
-            pool = main if is_main else (noise or main) if rng.random() < 0.6 else main
-            picked = pool if is_main else [pool[i] for i in rng.integers(len(pool), size=rng.integers(1, 7))]
-            for b in picked:
-                inner = (_TEXT_TAGS[rng.integers(len(_TEXT_TAGS))],)
-                # A notice or a comment may stand inside the article's own container.
-                if is_main and rng.random() < 0.05:
-                    tag_in, names_in = _LAYOUT_NOISE[rng.integers(len(_LAYOUT_NOISE))]
-                    dealt.append((Block(b.text, (*outer, tag_in, *names_in.split(), *inner), b.linked), False))
-                dealt.append((Block(b.text, outer + inner, b.linked if not is_main else 0), is_main))
-
-        for _ in range(rng.integers(0, 4)):
-            part(False)
-        part(True)
-        for _ in range(rng.integers(0, 4)):
-            part(False)
-        yield [b for b, _ in dealt], [w for _, w in dealt]
+        yield from _redealt(blocks, rng)
+        yield from _redealt(blocks, rng)
+
+
+def _redealt(blocks: list[Block], rng: np.random.Generator) -> Iterator[tuple[list[Block], list[bool]]]:
+    """The blocks of a page in a drawn layout; nothing for a page without a main block."""
+    main, noise = [b for b in blocks if named_main(b.path)], [b for b in blocks if not named_main(b.path)]
+    if not main:
+        return
+    dealt: list[tuple[Block, bool]] = []
+
+    def neutral(n: int) -> tuple[str, ...]:
+        made_up = lambda: "".join(map(chr, rng.integers(97, 123, size=rng.integers(2, 9))))
+        return tuple(made_up() if rng.random() < 0.3 else _NEUTRAL[rng.integers(len(_NEUTRAL))] for _ in range(n))
+
+    around = tuple(x for w in neutral(rng.integers(0, 3)) for x in ("div", w))
+
+    def part(is_main: bool) -> None:
+        tag, names = (_LAYOUT_MAIN if is_main else _LAYOUT_NOISE)[rng.integers(len(_LAYOUT_MAIN if is_main else _LAYOUT_NOISE))]
+        outer = ("html", "body", *around, tag, *names.split(), *neutral(rng.integers(0, 2)))
+        pool = main if is_main else (noise or main) if rng.random() < 0.6 else main
+        picked = pool if is_main else [pool[i] for i in rng.integers(len(pool), size=rng.integers(1, 7))]
+        for b in picked:
+            inner = (_TEXT_TAGS[rng.integers(len(_TEXT_TAGS))],)
+            # A notice or a comment may stand inside the article's own container.
+            if is_main and rng.random() < 0.15:
+                tag_in, names_in = _LAYOUT_NOISE[rng.integers(len(_LAYOUT_NOISE))]
+                dealt.append((Block(b.text, (*outer, tag_in, *names_in.split(), *inner), b.linked), False))
+            dealt.append((Block(b.text, outer + inner, b.linked if not is_main else 0), is_main))
+
+    for _ in range(rng.integers(0, 4)):
+        part(False)
+    part(True)
+    for _ in range(rng.integers(0, 4)):
+        part(False)
+    yield [b for b, _ in dealt], [w for _, w in dealt]
 
 
 def train(pages: DataFrame, *, html_col: str = "html", fit_pages: int = 300, most_chars: int = 50_000) -> Labeller:
@@ -306,6 +320,9 @@ def train(pages: DataFrame, *, html_col: str = "html", fit_pages: int = 300, mos
     picked = pages.select(F.col(html_col).cast("string").alias("html")).where(F.length("html").between(1, most_chars)).where(h < int((1 << 20) * min(1.0, fit_pages / max(1, n))))
     found = sorted({r.html for r in picked.limit(2 * fit_pages).collect()})
     sequences = [(vectors(b), np.array(w, np.float32)) for b, w in layouts([blocks_of(x) for x in found]) if b]
+    for x, _ in sequences[::2]:
+        # Half of the sequences are read without their words, so that no label hangs on these alone.
+        x[:, PATH : PATH + WORDS] = 0
     return Labeller().fit([x for x, _ in sequences], [w for _, w in sequences]) if sequences else Labeller()
 
 

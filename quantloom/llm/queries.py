@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quantloom.llm.chat import OP1_SQL, op1_preferences
 from quantloom.llm.decontaminate import OP2_SQL, op2_decontamination
+from quantloom.llm.html_text import op6_html_text
 from quantloom.llm.language import op3_language
 from quantloom.llm.mixing import op9_mixing
 from quantloom.llm.near_dedup import op8_near_duplicates
@@ -12,5 +13,5 @@ from quantloom.llm.quality import op4_quality
 from quantloom.llm.quality_rules import op7_quality_rules
 from quantloom.llm.substring_dedup import OP5_SQL, op5_substring_dedup
 
-QUERIES = {f.__name__: f for f in (op1_preferences, op2_decontamination, op3_language, op4_quality, op5_substring_dedup, op7_quality_rules, op8_near_duplicates, op9_mixing, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_preferences, op2_decontamination, op3_language, op4_quality, op5_substring_dedup, op6_html_text, op7_quality_rules, op8_near_duplicates, op9_mixing, op10_pii)}
 ORACLE_SQL = {"op1_preferences": OP1_SQL, "op2_decontamination": OP2_SQL, "op5_substring_dedup": OP5_SQL}

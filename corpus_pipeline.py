@@ -1,4 +1,4 @@
-"""A corpus pipeline of four stages so far: quality, near-duplicates, decontamination and mixing."""
+"""A corpus pipeline: quality, near-duplicates, decontamination, personal data and mixing."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from quantloom.llm.decontaminate import decontaminate
 from quantloom.llm.jobs import cut, table
-from quantloom.llm.mixing import mix_sources
+from quantloom.llm.mixing import mix_sources, row_hash
 from quantloom.llm.near_dedup import near_duplicates
+from quantloom.llm.pii import fit as fit_pii
+from quantloom.llm.pii import redact
 from quantloom.llm.quality import score, train
 
 
@@ -24,17 +26,28 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by benchmark items; the others stay as they are."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("gone"), "left_anti")
+    """Documents that aren't contaminated by benchmark items; these stay as they are."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=True).where("NOT contaminated").select("row.*")
+
+
+def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their personal data replaced by the kind's name and n_chars counted anew where that happened."""
+    clean = redact(docs.withColumn("before", F.col("text")), fit_pii(docs))
+    changed = ~F.col("text").eqNullSafe(F.col("before"))
+    return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with how many of their words it takes."""
-    return mix_sources(docs).where("taken > 0")
+    """What the mix takes: each document with its repeats and the words taken; documents that it doesn't take go.
+
+    Rows with one id and one text are one row here, with the repeats of all of them.
+    """
+    taken = mix_sources(docs).groupBy("hash").agg(*[F.first(c).alias(c) for c in ("size", "source_size", "target")], F.sum("repeats").alias("repeats"), F.sum("taken").alias("taken"))
+    rows = docs.withColumn("hash", row_hash()).dropDuplicates(["hash"])
+    return rows.join(taken.where("repeats > 0"), "hash").drop("hash")
 
 
-STAGES = [("quality", keep_quality), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated), ("mixing", mix)]
+STAGES = [("quality", keep_quality), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated), ("personal_data", redact_personal), ("mixing", mix)]
 ORACLE_SQL = None
 
 

@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quantloom.llm.jobs import table
-from quantloom.llm.text import arrow_rows, keyed_text, utf8
+from quantloom.llm.text import arrow_rows, utf8
 
 #: A-Z become a-z; every ASCII character that is neither a letter nor a digit separates words; other characters are word characters.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -207,8 +208,9 @@ def scan_batches(batches: Iterator[pa.RecordBatch], block: Broadcast, sample: in
                 pa.array([len(w) for w in words], pa.int64()),
                 pa.array([[e for s in _merged(x) for e in s] for x in spans], pa.list_(pa.int64())),
                 pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                batch.column("row"),
             ],
-            ["doc_id", "text", "n_words", "spans", "items"],
+            ["doc_id", "text", "n_words", "spans", "items", "row"],
         )
 
 
@@ -224,14 +226,14 @@ def result_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             at = [m.span() for m in _WORD.finditer(text.as_py())] if pairs else []
             cuts.append([{"start": at[a][0], "end": at[b - 1][1]} for a, b in pairs])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("n_words"), pa.array(hits, pa.int64()), batch.column("items"), pa.array(digests, pa.string()), pa.array(cuts, kind)],
-            ["doc_id", "n_words", "n_hit", "items", "items_sha256", "cuts"],
+            [batch.column("doc_id"), batch.column("n_words"), pa.array(hits, pa.int64()), batch.column("items"), pa.array(digests, pa.string()), pa.array(cuts, kind), batch.column("row")],
+            ["doc_id", "n_words", "n_hit", "items", "items_sha256", "cuts", "row"],
         )
 
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    window: int = 13, sample: int = 8, block_phrases: int = 200_000,
+    window: int = 13, sample: int = 8, block_phrases: int = 200_000, keep: bool = False,
 ) -> DataFrame:
     """The occurrences of benchmark windows in documents.
 
@@ -241,7 +243,8 @@ def decontaminate(
 
     A null or empty text has no words and no hits. Repeated rows and repeated ids give a row each; ids may be null.
     Items without an id, a text or words are ignored, and a repeated item counts once. With no item at all nothing is
-    hit. Empty docs give no rows. Other columns of either table are ignored.
+    hit. Empty docs give no rows. Other columns of either table are ignored; with keep, a further column row holds all
+    columns of docs as a struct.
 
     block_phrases bounds what is broadcast at once: a benchmark with more windows is dealt into blocks by a hash, each
     searched in a pass of its own.
@@ -251,14 +254,19 @@ def decontaminate(
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).dropna()
     phrases = rows.mapInArrow(partial(phrase_batches, window=window), "phrase binary, item string").distinct()
     blocks = -(-phrases.count() // block_phrases)
-    found = keyed_text(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.expr("array() :: array<bigint>").alias("spans"), F.expr("array() :: array<string>").alias("items"))
-    schema = "doc_id long, text string, n_words long, spans array<bigint>, items array<string>"
+    row = F.struct(*[docs[c] for c in docs.columns]) if keep else F.lit(0)
+    found = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.lit(0).cast("long").alias("n_words"),
+        F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"), row.alias("row"),
+    )
+    schema = found.schema
     for k in range(max(1, blocks)):
         part = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(max(1, blocks))) == k).collect()
         block = spark.sparkContext.broadcast(PhraseSet([(bytes(p), i) for p, i in part]))
         found = found.mapInArrow(partial(scan_batches, block=block, sample=sample), schema)
-    out = found.mapInArrow(result_batches, "doc_id long, n_words long, n_hit long, items array<string>, items_sha256 string, cuts array<struct<start: bigint, end: bigint>>")
-    return out.withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
+    kinds = T.StructType.fromDDL("doc_id long, n_words long, n_hit long, items array<string>, items_sha256 string, cuts array<struct<start: bigint, end: bigint>>")
+    out = found.mapInArrow(result_batches, T.StructType([*kinds.fields, schema["row"]]))
+    return (out if keep else out.drop("row")).withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

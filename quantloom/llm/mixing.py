@@ -12,7 +12,7 @@ import math
 from fractions import Fraction
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.llm.jobs import cut, table
@@ -97,6 +97,10 @@ def _settle(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(chance=p)
 
 
+def row_hash(id_col: str = "doc_id", text_col: str = "text", seed: int = 7) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
 def mix_sources(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, seed: int = 7, block_rows: int = 4096, most_sources: int = 1_000_000,
@@ -104,7 +108,7 @@ def mix_sources(
     """How often each document goes into the mix.
 
     Returns a row per row of docs: doc_id, source, size (words of the text), source_size, target (of the source),
-    repeats (0 to most) and taken (repeats times size).
+    repeats (0 to most), taken (repeats times size) and hash (of seed, id and text, see row_hash).
 
     A null text has size 0, and a null source is a source of its own, the last one. Documents of a source without
     words are never taken. Ids may be null or repeat; such rows are drawn each for itself. Reruns agree, as every draw
@@ -116,7 +120,7 @@ def mix_sources(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), text_col).alias("hash"),
+            row_hash(id_col, text_col, seed).alias("hash"),
         )
     )
     known = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(most_sources + 1).collect()
@@ -153,7 +157,7 @@ def mix_sources(
     for more in result[1:]:
         out = out.unionByName(more)
     repeats = (F.col("whole") + F.round("chance")).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"), (repeats * F.col("size")).alias("taken"), "hash")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.llm.fingerprints import fingerprint_batches
@@ -26,7 +26,7 @@ _PARTS = ((0, 1, 2), (3, 4, 5), (6, 7))
 TRIPLES = sorted({t for part in _PARTS for t in combinations(part, 3)} | {tuple(sorted((*two, one))) for i, part in enumerate(_PARTS) for two in combinations(part, 2) for one in _PARTS[(i + 1) % 3]})
 
 
-def posting_keys(fp) -> F.Column:
+def posting_keys(fp) -> Column:
     """The 20 keys of a fingerprint: number of the triple, then its three bytes."""
     byte = lambda i: F.shiftright(fp, 8 * i).bitwiseAND(F.lit(255))
     return F.array(*[F.lit(n << 24) + byte(a) * 65536 + byte(b) * 256 + byte(c) for n, (a, b, c) in enumerate(TRIPLES)])

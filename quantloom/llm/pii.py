@@ -25,12 +25,13 @@ BASE = {
     "card": r"[0-9]++(?:[ -][0-9]++)*+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: The generators' patterns: written-out at and dot, other alphabets, other separators, national numbers.
+#: The generators' patterns: written-out at and dot, other alphabets, other separators, national numbers. A look-ahead asks
+#: for as many digits as a card or a phone number has at least, so that texts full of short numbers propose nothing.
 WIDE = {
     "email": r"(?:(?<![\p{L}\p{N}._%+-])|\G)[\p{L}\p{N}._%+-]++ ?(?:@|[(\[{] ?(?:at|AT) ?[)\]}]) ?[\p{L}\p{N}-]++(?: ?(?:\.|[(\[{] ?(?:dot|DOT) ?[)\]}]) ?[\p{L}\p{N}-]++)++",
     "ip": r"(?<![0-9A-Fa-f:.])(?:(?:[0-9]{1,3}+\.){3}+[0-9]{1,3}+|(?:[0-9A-Fa-f]{1,4}+:){7}+[0-9A-Fa-f]{1,4}+)(?![0-9A-Fa-f:]|\.[0-9])",
-    "card": r"(?<![0-9])[0-9]{3,19}+(?:[ ./_-]{1,2}[0-9]{2,7}+){0,6}+",
-    "phone": r"(?<![0-9])(?:\+|00)? ?\(?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9])",
+    "card": r"(?<![0-9])(?=(?:[0-9][ ./_-]{0,2}){12})[0-9]{3,19}+(?:[ ./_-]{1,2}[0-9]{2,7}+){0,6}+",
+    "phone": r"(?<![0-9])(?=(?:[ ().+/-]{0,3}[0-9]){9})(?:\+|00)? ?\(?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9])",
 }
 #: Words before a span that tell what it is.
 HINTS = {"email": r"(?i)mail|contact|kontakt|correo|courriel", "ip": r"(?i)\bip\b|host|server|addr", "card": r"(?i)card|visa|karte|carte|tarjeta|pay", "phone": r"(?i)tel|phone|call|fax|mobil|ruf"}

@@ -105,7 +105,7 @@ def _ask_minimizers(group: pa.Table, window: int, shards: int) -> pa.Table:
     order = np.argsort(shard, kind="stable")
     shard, value, several = shard[order], value[order], several[order]
     firsts = np.flatnonzero(np.diff(shard, prepend=-1))
-    lasts = [*firsts[1:], len(shard)]
+    lasts = np.append(firsts[1:], len(shard))[: len(firsts)]
     return pa.table(
         {
             "shard": pa.array(shard[firsts], pa.int64()),

@@ -21,7 +21,8 @@ def _turn(close: np.ndarray, begin: int, pct: float, threshold: float, peak: boo
             best = i
         gone = sign * (close[best] / close[begin] - 1)
         back = sign * (1 - close[i] / close[best])
-        if gone > 0 and back / gone > pct and back > threshold:
+        # Without a move there yet, any large enough move back counts: the first extreme may be the first row.
+        if back > threshold and (gone == 0 or back / gone > pct):
             return best
     return None
 

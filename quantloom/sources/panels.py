@@ -68,9 +68,15 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("series_id")).agg(F.sum(F.floor(100 * F.col("o_totalprice") + 0.5)).cast("double").alias("value"))
 
 
+def traded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """date, code, key, day_idx of the quotes, without their prices."""
+    rows = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("key")).distinct()
+    return rows.join(F.broadcast(calendar(spark, sf_dir)), "date").withColumn("code", code_text(F.col("key")))
+
+
 def description(spark: SparkSession, sf_dir: str) -> DataFrame:
     """code, key, area, industry, list_date."""
-    first = quotes(spark, sf_dir).groupBy("code", "key").agg(F.min("date").alias("first"))
+    first = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("key")).agg(F.to_date(F.min("l_shipdate")).alias("first")).withColumn("code", code_text(F.col("key")))
     s = read(spark, sf_dir, "supplier").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
     s = s.select(F.col("s_suppkey").alias("key"), F.col("n_name").alias("area"))
     return first.join(s, "key").select("code", "key", "area", F.concat(F.lit("I"), (F.col("key") % 7).cast("string")).alias("industry"), F.expr("date_sub(first, CAST(key % 90 AS INT))").alias("list_date"))
@@ -85,12 +91,12 @@ def valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = quotes(spark, sf_dir)
+    q = traded(spark, sf_dir)
     return q.select("date", "code", ((F.col("key") + F.col("day_idx")) % 17 == 0).cast("int").alias("ST_FLAG"), (F.col("key") % 3 == 0).cast("int").alias("HS300_FLAG"))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = quotes(spark, sf_dir)
+    q = traded(spark, sf_dir)
     return q.select("date", "code", "key", "day_idx", *[((F.col("key") * 7919 + F.col("day_idx") * 1047 * h) % 10007 / 10007.0).alias(f"proba_1_{h}D") for h in (2, 5, 10, 20)])
 
 
@@ -103,7 +109,7 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """date, code, action: 0 buys, 1 sells."""
-    q = quotes(spark, sf_dir).withColumn("action", ((F.col("key") * 31 + F.col("day_idx") * 17) % 11).cast("int"))
+    q = traded(spark, sf_dir).withColumn("action", ((F.col("key") * 31 + F.col("day_idx") * 17) % 11).cast("int"))
     return q.where("action IN (0, 1)").select("date", "code", "day_idx", "action")
 
 

@@ -260,12 +260,15 @@ def decontaminate(
         F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"), row.alias("row"),
     )
     schema = found.schema
-    for k in range(max(1, blocks)):
-        part = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(max(1, blocks))) == k).collect()
+    last = max(1, blocks) - 1
+    for k in range(last + 1):
+        part = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(last + 1)) == k).collect()
         block = spark.sparkContext.broadcast(PhraseSet([(bytes(p), i) for p, i in part]))
-        found = found.mapInArrow(partial(scan_batches, block=block, sample=sample), schema)
+        scan = partial(scan_batches, block=block, sample=sample)
+        found = found.mapInArrow(scan, schema) if k < last else found
+    # The last pass also makes the results, so that a task needs no further Python worker for them.
     kinds = T.StructType.fromDDL("doc_id long, n_words long, n_hit long, items array<string>, items_sha256 string, cuts array<struct<start: bigint, end: bigint>>")
-    out = found.mapInArrow(result_batches, T.StructType([*kinds.fields, schema["row"]]))
+    out = found.mapInArrow(lambda batches: result_batches(scan(batches)), T.StructType([*kinds.fields, schema["row"]]))
     return (out if keep else out.drop("row")).withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
 
 

@@ -25,18 +25,28 @@ BASE = {
     "card": r"[0-9]++(?:[ -][0-9]++)*+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: The generators' patterns: written-out at and dot, other alphabets, other separators, national numbers. A look-ahead asks
-#: for as many digits as a card or a phone number has at least, so that texts full of short numbers propose nothing.
+#: The generators' patterns: written-out at and dot, other alphabets, longer addresses; whole runs of digit groups for cards
+#: and phone numbers, of which every part in the form of FORM is proposed. A look-ahead asks for as many digits as a card or
+#: a phone number has at least, so that texts full of short numbers propose nothing.
+_NAME, _AT = r"(?:(?<![\p{L}\p{N}._%+-])|\G)[\p{L}\p{N}._%+-]++", r" ?(?:@|[(\[{] ?(?:at|AT) ?[)\]}]) ?[\p{L}\p{N}-]++"
 WIDE = {
-    "email": r"(?:(?<![\p{L}\p{N}._%+-])|\G)[\p{L}\p{N}._%+-]++ ?(?:@|[(\[{] ?(?:at|AT) ?[)\]}]) ?[\p{L}\p{N}-]++(?: ?(?:\.|[(\[{] ?(?:dot|DOT) ?[)\]}]) ?[\p{L}\p{N}-]++)++",
+    "email": _NAME + _AT + r"(?: ?(?:\.|[(\[{] ?(?:dot|DOT) ?[)\]}]) ?[\p{L}\p{N}-]++)++",
     "ip": r"(?<![0-9A-Fa-f:.])(?:(?:[0-9]{1,3}+\.){3}+[0-9]{1,3}+|(?:[0-9A-Fa-f]{1,4}+:){7}+[0-9A-Fa-f]{1,4}+)(?![0-9A-Fa-f:]|\.[0-9])",
-    "card": r"(?<![0-9])(?=(?:[0-9][ ./_-]{0,2}){12})[0-9]{3,19}+(?:[ ./_-]{1,2}[0-9]{2,7}+){0,6}+",
-    "phone": r"(?<![0-9])(?=(?:[ ().+/-]{0,3}[0-9]){9})(?:\+|00)? ?\(?[0-9]{1,4}\)?(?:[ ./-]{1,2}\(?[0-9]{2,5}\)?){1,5}(?![0-9])",
+    "card": r"(?<![0-9])(?=(?:[0-9][ ./_-]{0,2}){12})[0-9]++(?:[ ./_-]{1,2}[0-9]++)*+",
+    "phone": r"(?<![0-9])(?=(?:[ ().+/-]{0,3}[0-9]){9})(?:\+ ?)?\(?[0-9]++(?:[ ()./-]{1,3}[0-9]++)*+",
+}
+#: The same without a dot that ends a sentence: a dot has spaces on both sides or on none.
+_TIGHT_EMAIL = _NAME + _AT + r"(?:(?:\.| \. | ?[(\[{] ?(?:dot|DOT) ?[)\]}] ?)[\p{L}\p{N}-]++)++"
+#: What a part of a run must look like, and how many groups it has at most.
+FORM = {
+    "card": (r"^[0-9]{3,19}+(?:[ ./_-]{1,2}[0-9]{2,7}+){0,6}+$", 7),
+    "phone": (r"^(?:\+ ?)?\(?[0-9]{1,4}+(?:[ ()./-]{1,3}[0-9]{2,5}+){1,5}+$", 6),
 }
 #: Words before a span that tell what it is.
 HINTS = {"email": r"(?i)mail|contact|kontakt|correo|courriel", "ip": r"(?i)\bip\b|host|server|addr", "card": r"(?i)card|visa|karte|carte|tarjeta|pay", "phone": r"(?i)tel|phone|call|fax|mobil|ruf"}
 _OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}$"
 _SPAN = "array<struct<s: int, e: int, t: string>>"
+_PLACE = "array<struct<s: int, e: int>>"
 FEATURES = ("digits", "seps", "marks", "before", "after", "hint", "valid", "size")
 
 
@@ -92,8 +102,8 @@ def _needs(text: Column) -> list[Column]:
     return [may[k].alias(f"may_{k}") for k in KINDS]
 
 
-def _found(kind: str, pattern: str) -> Column:
-    return F.when(F.col(f"may_{kind}"), matches(F.col("text"), pattern)).otherwise(F.array().cast(_SPAN))
+def _found(kind: str, pattern: str, text: str = "text") -> Column:
+    return F.when(F.col(f"may_{kind}"), matches(F.col(text), pattern)).otherwise(F.array().cast(_SPAN))
 
 
 def with_base(docs: DataFrame) -> DataFrame:
@@ -137,9 +147,55 @@ def _over(a: Column, b: Column) -> Column:
     return (a["s"] < b["e"]) & (b["s"] < a["e"])
 
 
+def _all_base() -> Column:
+    """The base spans of all kinds, by start."""
+    return F.array_sort(F.concat(*[F.transform(f"base_{k}", lambda b: F.struct(b["s"].alias("s"), b["e"].alias("e"))) for k in KINDS]))
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """text with the characters of spans (by start) replaced by one that no pattern takes, so that all positions stay."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def add(a: Column, b: Column) -> Column:
+        s = F.greatest(a["at"], b["s"])
+        e = F.greatest(s, b["e"])
+        return F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, s - a["at"]), F.repeat(F.lit("\ufffc"), e - s)).alias("out"), e.alias("at"))
+
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, add, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))).otherwise(text)
+
+
+def _parts(kind: str, runs: str) -> Column:
+    """All parts of the runs, from one digit group to another, that have the kind's form and pass its check; they overlap."""
+    form, most = FORM[kind]
+
+    def parts(r: Column) -> Column:
+        def at(g: Column, i: Column) -> Column:
+            # The brackets and the plus right before the first group belong to the part.
+            lead = F.when(F.lit(kind == "phone"), F.length(F.regexp_extract(F.substring(r["t"], 1, F.when(i == 0, g["s"]).otherwise(F.lit(0))), r"(?:\+ ?)?\(?$", 0))).otherwise(F.lit(0))
+            lead = F.when((i > 0) & F.lit(kind == "phone"), (F.substring(r["t"], F.greatest(g["s"], F.lit(1)), F.lit(1)) == "(").cast("int")).otherwise(lead)
+            s = g["s"] - lead
+
+            def to(j: Column) -> Column:
+                e = r["groups"][j]["e"]
+                return F.struct((r["s"] + s).alias("s"), (r["s"] + e).alias("e"), F.substring(r["t"], s + 1, e - s).alias("t"))
+
+            return F.filter(F.transform(F.sequence(i, F.least(i + most - 1, F.size(r["groups"]) - 1)), to), lambda c: (F.length(c["t"]) >= 9) & (F.length(c["t"]) <= 40) & c["t"].rlike(form))
+
+        return F.filter(F.flatten(F.transform(r["groups"], at)), lambda c: is_valid(kind, c["t"]))
+
+    with_groups = F.transform(runs, lambda r: F.struct(r["s"].alias("s"), r["t"].alias("t"), matches(r["t"], "[0-9]++").alias("groups")))
+    return F.flatten(F.transform(with_groups, parts))
+
+
 def with_candidates(docs: DataFrame) -> DataFrame:
-    """The columns of with_base and a column desc_<kind> of described candidates of each kind."""
-    out = docs.select("*", *[_found(k, WIDE[k]).alias(f"wide_{k}") for k in KINDS])
+    """The columns of with_base and a column desc_<kind> of described candidates of each kind, which may overlap.
+
+    Numbers and addresses are searched in the text without its base spans, so that no candidate loses its place to one;
+    the candidates of email may hold a base span, but then no dot that may end a sentence.
+    """
+    out = docs.select("*", _masked(F.col("text"), _all_base()).alias("masked"))
+    out = out.select("*", F.array_distinct(F.concat(F.filter(_found("email", WIDE["email"]), lambda c: ~_is_base("email", c)), _found("email", _TIGHT_EMAIL))).alias("wide_email"), *[_found(k, WIDE[k], "masked").alias(f"wide_{k}") for k in KINDS[1:]])
+    out = out.withColumns({f"wide_{k}": _parts(k, f"wide_{k}") for k in FORM}).drop("masked")
     out = out.select("*", *[F.transform(f"wide_{k}", _for(k, lambda kind, c: _described(kind, c, F.col("text")))).alias(f"desc_{k}") for k in KINDS])
     # An address with a number above 255 is none, whatever stands around it.
     return out.drop(*[f"wide_{k}" for k in KINDS]).withColumn("desc_ip", F.filter("desc_ip", lambda c: c["valid"] == 1))
@@ -205,20 +261,25 @@ def boost(rows: list[tuple], *, rounds: int = 12, depth: int = 3, precision: flo
     return start, trees, float(value[good].min()) - 1e-9 if good.any() else float("inf")
 
 
-def _training_row(kind: str, c: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), *[c[f].alias(f) for f in FEATURES], _is_base(kind, c).cast("int").alias("is_base"))
+def _training_row(kind: str, c: Column, positive: bool) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), *[c[f].alias(f) for f in FEATURES], F.lit(int(positive)).alias("is_base"))
+
+
+def _training_rows(kind: str) -> Column:
+    """The kind's base spans as positives and the candidates that meet none of them as negatives."""
+    base = F.transform(f"base_{kind}", lambda b: _training_row(kind, _described(kind, b, F.col("text")), True))
+    other = F.filter(f"desc_{kind}", lambda c: ~_is_base(kind, c))
+    return F.concat(base, F.transform(other, lambda c: _training_row(kind, c, False)))
 
 
 def fit(docs: DataFrame, *, text_col: str = "text", fit_docs: int = 20_000) -> Boosted:
-    """Fits on about fit_docs documents at most, those whose text has a small hash; candidates that meet a base span are the positives."""
+    """Fits on about fit_docs documents at most, those whose text has a small hash; base spans are the positives."""
     n = docs.count()
     picked = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     h = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 20))
     picked = picked.where(h < int((1 << 20) * min(1.0, fit_docs / max(1, n)))).withColumn("part", (F.pmod(F.xxhash64(F.lit(6), "text"), F.lit(4)) == 0).cast("int"))
     described = with_candidates(with_base(picked))
-    rows = described.select("part", F.explode(F.concat(*[
-        F.transform(f"desc_{k}", _for(k, _training_row)) for k in KINDS
-    ])).alias("c"))
+    rows = described.select("part", F.explode(F.concat(*map(_training_rows, KINDS))).alias("c"))
     counted = rows.groupBy("c.kind", *[f"c.{f}" for f in FEATURES], "part").agg(F.count("*").alias("n"), F.sum("c.is_base").alias("pos")).collect()
     model = Boosted()
     for k in KINDS:
@@ -235,18 +296,33 @@ def _tree_sql(tree) -> str:
 
 
 def _selected(model: Boosted, kind: str) -> Column:
-    """The described candidates that meet no base span and whose score reaches the kind's threshold."""
+    """The candidates whose score reaches the kind's threshold, longer ones first where they overlap, cut to their parts outside the base spans."""
     score = " + ".join([f"{model.start[kind]!r}D", *map(_tree_sql, model.trees[kind])])
-    bases = ", ".join(f"base_{k}" for k in KINDS)
-    return F.expr(f"filter(desc_{kind}, c -> NOT exists(concat({bases}), b -> b.s < c.e AND c.s < b.e) AND {score} >= {model.threshold[kind]!r}D)")
+    good = F.expr(f"array_sort(transform(filter(desc_{kind}, c -> {score} >= {model.threshold[kind]!r}D), c -> struct(c.s - c.e AS n, c.s AS s, c.e AS e)))")
+    taken = F.aggregate(good, F.array().cast(_PLACE), lambda a, c: F.when(F.exists(a, lambda x: _over(x, c)), a).otherwise(F.concat(a, F.array(F.struct(c["s"].alias("s"), c["e"].alias("e"))))))
+    return F.filter(F.flatten(F.transform(taken, _outside)), lambda c: F.substring(F.col("text"), c["s"] + 1, c["e"] - c["s"]).rlike(r"[\p{L}\p{N}]"))
+
+
+def _outside(c: Column) -> Column:
+    """The parts of a span outside all base spans."""
+    start = F.struct(c["s"].alias("at"), F.array().cast(_PLACE).alias("out"))
+
+    def add(a: Column, b: Column) -> Column:
+        before = F.when(b["s"] > a["at"], F.array(F.struct(a["at"].alias("s"), b["s"].alias("e")))).otherwise(F.array().cast(_PLACE))
+        return F.struct(F.greatest(a["at"], b["e"]).alias("at"), F.concat(a["out"], before).alias("out"))
+
+    def close(a: Column) -> Column:
+        return F.when(a["at"] < c["e"], F.concat(a["out"], F.array(F.struct(a["at"].alias("s"), c["e"].alias("e"))))).otherwise(a["out"])
+
+    return F.aggregate(F.filter(F.col("all_base"), lambda b: _over(b, c)), start, add, close)
 
 
 def find_pii(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "text") -> DataFrame:
     """docs with the columns base and spans: arrays of (start, kind, end), by start, then kind in the order of KINDS.
 
     Positions count code points, the end is exclusive; kind is a number into KINDS. base holds the matches of the base
-    patterns that pass their checks, spans these and the candidates that the model selects. Candidates that meet a base
-    span of any kind are left out, as are those that meet an earlier selected one of their kind. Without a model spans
+    patterns that pass their checks, spans these and the candidates that the model selects. Of selected candidates of one
+    kind that overlap the longest stays; what meets base spans of any kind is cut to the parts outside them. Without a model spans
     equals base. A null text counts as empty and has none. All columns and rows of docs stay, repeated ones included;
     columns named base or spans are replaced.
     """
@@ -258,7 +334,7 @@ def find_pii(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "
     live = [k for k in KINDS if model and np.isfinite(model.threshold[k])]
     if not live:
         return found.select("row.*", base.alias("base")).withColumn("spans", F.col("base"))
-    found = with_candidates(found)
+    found = with_candidates(found).withColumn("all_base", _all_base())
     chosen = [_selected(model, k).alias(f"more_{k}") for k in live]
     found = found.select("row", base.alias("base"), *chosen)
     return found.select("row.*", "base", F.array_sort(F.concat("base", *[numbered(k, F.col(f"more_{k}")) for k in live])).alias("spans"))

@@ -385,6 +385,20 @@ def test_added_spans_are_of_other_forms(spark, texts):
     assert [pii.KINDS[s.kind] for s in got[-1].spans] == ["email"] and not got[-1].base and not got[-2].spans
 
 
+BESIDE = [
+    (-1, "Pour +1 (826) 555-4081 190.137.223.204 du", "Pour [PHONE] [IP] du"),
+    (-3, "an é.müller@mail.example.com. Then", "an [EMAIL][EMAIL]. Then"),
+    (-4, "no 20 of 34 at 5.6 and 7:30", "no 20 of 34 at 5.6 and 7:30"),
+]
+
+
+def test_data_beside_other_data_is_found(spark, texts):
+    df = spark.createDataFrame([*texts.items(), *[(i, t) for i, t, _ in BESIDE]], "doc_id long, text string")
+    model = pii.fit(df.where("doc_id >= 0"))
+    got = {r.doc_id: r.text for r in pii.redact(df.where("doc_id < 0"), model).collect()}
+    assert got == {i: clean for i, _, clean in BESIDE}
+
+
 # pipeline
 
 

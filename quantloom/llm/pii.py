@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,7 +48,15 @@ HINTS = {"email": r"(?i)mail|contact|kontakt|correo|courriel", "ip": r"(?i)\bip\
 _OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})){3}$"
 _SPAN = "array<struct<s: int, e: int, t: string>>"
 _PLACE = "array<struct<s: int, e: int>>"
-FEATURES = ("digits", "seps", "marks", "before", "after", "hint", "valid", "size")
+FEATURES = ("digits", "seps", "marks", "before", "after", "hint", "valid", "size", "shape")
+#: Forms in which people write the kinds, the base patterns' own and others. A candidate of such a form that isn't a base span
+#: may be personal data, so it is no negative.
+SHAPE = {
+    "email": r"^[^@ ()\[\]{}]+ ?(?:@|[(\[{] ?(?:at|AT) ?[)\]}]) ?[\p{L}\p{N}-]+(?:(?:\.| \. | ?[(\[{] ?(?:dot|DOT) ?[)\]}] ?)[\p{L}\p{N}-]+)*(?:\.| \. | ?[(\[{] ?(?:dot|DOT) ?[)\]}] ?)\p{L}{2,}$",
+    "ip": r"^[0-9.]+$|^(?=.*(?:[0-9A-Fa-f]{3}|[A-Fa-f][0-9A-Fa-f]?:[0-9A-Fa-f]:)).*:",
+    "card": r"^[0-9]{12,19}$|^[0-9]{4}([ ./_-]{1,2})[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}$|^[0-9]{4}([ ./_-]{1,2})[0-9]{6}\2[0-9]{4,5}$",
+    "phone": r"^\+|^00[1-9]|^\([0-9]{2,5}\)|^[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}$|^1([ .-])[0-9]{3}\2[0-9]{3}\2[0-9]{4}$",
+}
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -140,6 +149,7 @@ def _described(kind: str, c: Column, text: Column) -> Column:
         before.rlike(HINTS[kind]).cast("int").alias("hint"),
         valid.cast("int").alias("valid"),
         _bucket(F.length(t), 8, 12, 16, 24).alias("size"),
+        t.rlike(SHAPE[kind]).cast("int").alias("shape"),
     )
 
 
@@ -266,20 +276,62 @@ def _training_row(kind: str, c: Column, positive: bool) -> Column:
 
 
 def _training_rows(kind: str) -> Column:
-    """The kind's base spans as positives and the candidates that meet none of them as negatives."""
+    """The kind's base spans as positives, and as negatives the candidates that meet none of them and have neither a usual form nor a hint."""
     base = F.transform(f"base_{kind}", lambda b: _training_row(kind, _described(kind, b, F.col("text")), True))
-    other = F.filter(f"desc_{kind}", lambda c: ~_is_base(kind, c))
+    other = F.filter(f"desc_{kind}", lambda c: ~_is_base(kind, c) & (c["shape"] == 0) & (c["hint"] == 0))
     return F.concat(base, F.transform(other, lambda c: _training_row(kind, c, False)))
 
 
+def _rewritten(kind: str, t: Column) -> list[Column]:
+    """A base span in the forms that the base patterns miss; null where a form doesn't apply."""
+    digits = _digits(t)
+    if kind == "email":
+        host = lambda by: F.concat(F.substring_index(t, "@", 1), F.lit(by[0]), F.regexp_replace(F.substring_index(t, "@", -1), r"\.", by[1]))
+        return [host(by) for by in ((" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), (" {at} ", " {dot} "), (" @ ", " . "), ("(at)", "."))] + [F.concat(F.lit("é"), t)]
+    if kind == "ip":
+        h = F.md5(t)
+        return [F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.regexp_replace(h.substr(4 * i + 1, F.lit(4)), zeros, "")), ":") for zeros in ("^$", "^0{1,3}")]
+    if kind == "card":
+        joins = (".", "/", "_", " - ", "  ")
+        by_four = [F.when(F.length(digits) > 12, F.regexp_replace(digits, r"(?<=^(?:[0-9]{4}|[0-9]{8}|[0-9]{12}))", by)) for by in joins]
+        return by_four + [F.when(F.length(digits) == 15, F.regexp_replace(digits, "^([0-9]{4})([0-9]{6})", f"$1{by}$2{by}")) for by in joins]
+    last = F.substring(digits, -10, 10)
+    forms = ("($1) $2-$3", "($1)$2-$3", "($1) $2 $3", "$1-$2-$3", "$1.$2.$3", "$1 $2 $3", "1-$1-$2-$3", "001 $1 $2 $3", "0049 $1 $2$3", "+1/$1/$2/$3", "+ 1 $1 $2 $3")
+    return [F.when(F.length(digits) >= 10, F.regexp_replace(last, "^([0-9]{3})([0-9]{3})([0-9]{4})$", f)) for f in forms]
+
+
+def _drawn(based: DataFrame) -> DataFrame:
+    """Training rows of base spans in other forms, between the words that stood around them: a candidate with just the drawn
+    span is a positive, one that meets it in part a negative."""
+    around = lambda b: F.struct(
+        F.substring(F.col("text"), F.greatest(b["s"] - 23, F.lit(1)), F.least(b["s"], F.lit(24))).alias("before"), b["t"].alias("t"), F.substring(F.col("text"), b["e"] + 1, F.lit(24)).alias("after")
+    )
+    each = []
+    for k in KINDS:
+        spans = based.select("part", F.explode(F.transform(f"base_{k}", around)).alias("b"))
+        texts = spans.select("part", "b", F.explode(F.array(*_rewritten(k, F.col("b.t")))).alias("t")).where("t IS NOT NULL")
+        # Base spans beside the drawn one would be cut out of its text, and one that the drawn one itself holds is known already.
+        texts = texts.select("part", F.concat("b.before", "t", "b.after").alias("text"), F.length("b.before").alias("s"), (F.length("b.before") + F.length("t")).alias("e"))
+        found = with_candidates(with_base(texts))
+        drawn = F.struct(F.col("s"), F.col("e"))
+        c = F.col("c")
+        rows = found.select("part", "s", "e", F.explode(F.filter(f"desc_{k}", lambda x: _over(x, drawn))).alias("c"))
+        equal = (c["s"] == F.col("s")) & (c["e"] == F.col("e"))
+        each.append(rows.select("part", F.struct(F.lit(k).alias("kind"), *[c[f].alias(f) for f in FEATURES], equal.cast("int").alias("is_base")).alias("c")))
+    return reduce(DataFrame.unionByName, each)
+
+
 def fit(docs: DataFrame, *, text_col: str = "text", fit_docs: int = 20_000) -> Boosted:
-    """Fits on about fit_docs documents at most, those whose text has a small hash; base spans are the positives."""
+    """Fits on about fit_docs documents at most, those whose text has a small hash.
+
+    Base spans are the positives, as they stand and rewritten in other forms; see _training_rows and _drawn for the negatives.
+    """
     n = docs.count()
     picked = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     h = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 20))
     picked = picked.where(h < int((1 << 20) * min(1.0, fit_docs / max(1, n)))).withColumn("part", (F.pmod(F.xxhash64(F.lit(6), "text"), F.lit(4)) == 0).cast("int"))
-    described = with_candidates(with_base(picked))
-    rows = described.select("part", F.explode(F.concat(*map(_training_rows, KINDS))).alias("c"))
+    based = with_base(picked)
+    rows = with_candidates(based).select("part", F.explode(F.concat(*map(_training_rows, KINDS))).alias("c")).unionByName(_drawn(based))
     counted = rows.groupBy("c.kind", *[f"c.{f}" for f in FEATURES], "part").agg(F.count("*").alias("n"), F.sum("c.is_base").alias("pos")).collect()
     model = Boosted()
     for k in KINDS:

@@ -399,6 +399,23 @@ def test_data_beside_other_data_is_found(spark, texts):
     assert got == {i: clean for i, _, clean in BESIDE}
 
 
+OTHER = [
+    (-10, "write joe (at) example (dot) com now", "write [EMAIL] now"),
+    (-11, "ring (555) 123-4567 now", "ring [PHONE] now"),
+    (-12, "paid 4111.1111.1111.1111 now", "paid [CARD] now"),
+    (-13, "from 2001:0db8:85a3:0000:0000:8a2e:0370:7334 now", "from [IP] now"),
+    (-14, "en 7536784127813050 4845168114407329 que", "en [CARD] [CARD] que"),
+    (-15, "sums 12 345 678 901 23 and 4 5 6, ratio 10:20:30:40:50:10:20:30", "sums 12 345 678 901 23 and 4 5 6, ratio 10:20:30:40:50:10:20:30"),
+]
+
+
+def test_other_forms_among_the_fitted_documents(spark, texts):
+    rows = [*texts.items(), *[(100 * i - n, t.replace("now", f"now{n}")) for i, t, _ in OTHER for n in range(40)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(df, pii.fit(df)).where("doc_id < 0 AND doc_id % 100 = 0").collect()}
+    assert got == {100 * i: clean.replace("now", "now0") for i, _, clean in OTHER}
+
+
 # pipeline
 
 

@@ -104,9 +104,9 @@ def _needs(text: Column) -> list[Column]:
     digits = text.rlike("[0-9]")
     may = {
         "email": text.contains("@") | (text.rlike(r"(?:at|AT) ?[)\]}]") & text.rlike(r"[(\[{] ?(?:at|AT) ?[)\]}]")),
-        "ip": digits & text.rlike(r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f]"),
+        "ip": text.rlike(r"[0-9]\.[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f]"),
         "card": digits & text.rlike("[0-9][ ./_-]{0,2}[0-9]"),
-        "phone": digits & text.rlike(r"[0-9][ ().0-9/-]{0,2}[0-9]"),
+        "phone": digits & (text.rlike(r"[0-9][ ().0-9/-]{0,2}[0-9]") | text.rlike(BASE["phone"])),
     }
     return [may[k].alias(f"may_{k}") for k in KINDS]
 

@@ -385,6 +385,12 @@ def test_added_spans_are_of_other_forms(spark, texts):
     assert [pii.KINDS[s.kind] for s in got[-1].spans] == ["email"] and not got[-1].base and not got[-2].spans
 
 
+def test_digits_far_apart_are_a_phone_number(spark):
+    df = spark.createDataFrame([(1, "so +4 - 9 - 3 - 0 - 1 - 2 - 3 - 4 - 5"), (2, "+4 - 9 - 3")], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.base] for r in pii.find_pii(df).collect()}
+    assert got == {1: brute_spans("so +4 - 9 - 3 - 0 - 1 - 2 - 3 - 4 - 5"), 2: []} and len(got[1]) == 1
+
+
 BESIDE = [
     (-1, "Pour +1 (826) 555-4081 190.137.223.204 du", "Pour [PHONE] [IP] du"),
     (-3, "an é.müller@mail.example.com. Then", "an [EMAIL][EMAIL]. Then"),

@@ -9,6 +9,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -200,6 +201,26 @@ def test_passages_against_brute_force(spark, odd):
     assert substring_dedup.dedup_passages(odd).count() == len(ODD) and substring_dedup.dedup_passages(odd.limit(0)).count() == 0
 
 
+def test_no_shard_gathers_a_hot_minimizer(spark):
+    line = " ".join(f"licence{i}" for i in range(30))
+    rows = [(i, f"{' '.join(f'a{i}b{j}' for j in range(15))} {line} {' '.join(f'c{i}d{j}' for j in range(15))}" if i % 3 == 0 else f"own{i} " * 20) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.dedup_passages(df, block_chars=500, shard_chars=900, hot_passages=20).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == brute_removed(rows)
+
+    def block(part):
+        ids, texts = [d for d, _ in part], [t for _, t in part]
+        return pa.table({"block": pa.array([part[0][0]] * len(part), pa.int64()), "doc_id": pa.array(ids, pa.int64()), "text": texts, "row": pa.array(ids, pa.int64())})
+
+    blocks = [block(rows[i : i + 10]) for i in range(0, 600, 10)]
+    answers = substring_dedup._answer_minimizers(pa.concat_tables([substring_dedup._ask_minimizers(b, 13, 1) for b in blocks]), 20).to_pylist()
+    passages = set()
+    for b, a in zip(blocks, answers, strict=True):
+        for r in substring_dedup._ask_passages(b, pa.Table.from_pylist([a]), 13, 1).to_pylist():
+            passages.update(zip(r["value"], r["passage"], strict=True))
+    assert max(Counter(v for v, _ in passages).values()) <= 20
+
+
 def test_automaton_finds_the_smallest_document():
     rng = np.random.default_rng(6)
     for _ in range(30):

@@ -54,10 +54,10 @@ def simhash(hashes: list[list[int]]) -> np.ndarray:
 
 
 def fingerprint_batches(batches: Iterator[pa.RecordBatch], size: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, fp), a few hundred texts at a time."""
+    """Replaces the last column, text, by fp, a few hundred texts at a time."""
     for batch in batches:
-        texts, ids = utf8(batch.column("text")), batch.column("doc_id")
+        texts, others = utf8(batch.column("text")), batch.drop_columns(["text"])
         for a in range(0, len(texts), 256):
             part = texts[a : a + 256]
             fps = simhash([shingle_hashes(t, size, seed) for t in part])
-            yield pa.RecordBatch.from_arrays([ids.slice(a, len(part)), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield others.slice(a, len(part)).append_column("fp", pa.array(fps.view(np.int64)))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantloom.llm.jobs import table
+from quantloom.llm.jobs import cut, packed, table
 from quantloom.llm.text import arrow_rows, utf8
 
 #: A-Z become a-z; every ASCII character that is neither a letter nor a digit separates words; other characters are word characters.
@@ -247,14 +247,15 @@ def decontaminate(
     columns of docs as a struct.
 
     block_phrases bounds what is broadcast at once: a benchmark with more windows is dealt into blocks by a hash, each
-    searched in a pass of its own.
+    searched in a pass of its own. A pass but the last writes the documents with the hits so far to the shared folder
+    and then gives its block up, so that a task never holds two; a larger bound saves such passes.
     """
     spark = docs.sparkSession
     arrow_rows(spark)
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).dropna()
-    phrases = rows.mapInArrow(partial(phrase_batches, window=window), "phrase binary, item string").distinct()
+    phrases = cut(rows.mapInArrow(partial(phrase_batches, window=window), "phrase binary, item string").distinct())
     blocks = -(-phrases.count() // block_phrases)
-    row = F.struct(*[docs[c] for c in docs.columns]) if keep else F.lit(0)
+    row = packed(docs) if keep else F.lit(0)
     found = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"), row.alias("row"),
@@ -265,7 +266,9 @@ def decontaminate(
         part = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(last + 1)) == k).collect()
         block = spark.sparkContext.broadcast(PhraseSet([(bytes(p), i) for p, i in part]))
         scan = partial(scan_batches, block=block, sample=sample)
-        found = found.mapInArrow(scan, schema) if k < last else found
+        if k < last:
+            found = cut(found.mapInArrow(scan, schema))
+            block.unpersist()
     # The last pass also makes the results, so that a task needs no further Python worker for them.
     kinds = T.StructType.fromDDL("doc_id long, n_words long, n_hit long, items array<string>, items_sha256 string, cuts array<struct<start: bigint, end: bigint>>")
     out = found.mapInArrow(lambda batches: result_batches(scan(batches)), T.StructType([*kinds.fields, schema["row"]]))

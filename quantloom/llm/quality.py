@@ -14,11 +14,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm.jobs import held_out, table
+from quantloom.llm.jobs import held_out, packed, table
 from quantloom.llm.text import arrow_rows, in_pieces, joined, keyed_text, mix, span_hash, utf8, word_bounds
 
 FEATURES = 1 << 17
@@ -143,9 +144,10 @@ def _code_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), pa.array(codes, pa.binary())], ["doc_id", "good", "codes"])
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
+def _score_batches(batches: Iterator[pa.RecordBatch], model: Broadcast, field: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.value.scores(utf8(batch.column("text"))))], [*batch.schema.names, "score"])
+        text = pc.struct_field(batch.column("row"), [field]).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(model.value.scores(utf8(text)))], ["row", "score"])
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", sample_rows: int = 8000) -> QualityModel:
@@ -164,21 +166,25 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return fit([np.frombuffer(r.codes, np.int32) for r in found], np.array([r.good == 1 for r in found], bool))
 
 
-def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """docs with a column score (0 to 1, higher: better); a null text counts as empty, whose score is that of the bare bias and line end.
+def scored(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """A row (row, score) per row of docs: all of its columns as a struct, and its score from 0 to 1, higher for better ones.
 
-    The columns of docs stay; one named score is replaced. Rows stay as they are, repeated ones included.
+    A null text counts as empty, whose score is that of the bare bias and line end. Repeated rows and ids give a row
+    each; empty docs give none. No name of a column of docs can clash.
     """
     arrow_rows(docs.sparkSession)
-    kept = docs.drop("score")
-    inner = kept.withColumnRenamed(text_col, "text") if text_col != "text" else kept
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    out = inner.mapInArrow(partial(_score_batches, model=sent), inner.withColumn("score", F.lit(0.0)).schema)
-    return out.withColumnRenamed("text", text_col) if text_col != "text" else out
+    sent, rows = docs.sparkSession.sparkContext.broadcast(model), docs.select(packed(docs))
+    return rows.mapInArrow(partial(_score_batches, model=sent, field=docs.columns.index(text_col)), rows.withColumn("score", F.lit(0.0)).schema)
+
+
+def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """docs with a column score, see scored; one of that name is replaced."""
+    found = scored(docs, model, text_col)
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns if c != "score"], "score")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
-    scored = score(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    found = score(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -85,11 +85,11 @@ def _shard(minimizer: np.ndarray, shards: int) -> np.ndarray:
     return minimizer % shards
 
 
-def _block(group: pa.Table) -> tuple[int, np.ndarray, list[bytes], np.ndarray]:
+def _block(group: pa.Table) -> tuple[int, np.ndarray, list[bytes]]:
     """Number of the block, and its documents' ids (null as the largest) and texts in a fixed order."""
     ids = group.column("doc_id").fill_null(_LAST).to_numpy()
     texts = [x for chunk in group.column("text").chunks for x in utf8(chunk)]
-    return group.column("block")[0].as_py(), ids, texts, group.column("row").to_numpy()
+    return group.column("block")[0].as_py(), ids, texts
 
 
 def minimizers_of_block(ids: np.ndarray, texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -116,7 +116,7 @@ def minimizers_of_block(ids: np.ndarray, texts: list[bytes], window: int) -> tup
 
 
 def _ask_minimizers(group: pa.Table, window: int, shards: int) -> pa.Table:
-    block, ids, texts, _ = _block(group)
+    block, ids, texts = _block(group)
     columns = minimizers_of_block(ids, texts, window)
     shard = _shard(columns[0], shards)
     order = np.argsort(shard, kind="stable")
@@ -190,7 +190,7 @@ def _ask_passages(docs: pa.Table, answers: pa.Table, window: int, shards: int) -
     kind = {"shard": pa.int64(), "block": pa.int64(), "value": pa.list_(pa.int64()), "passage": pa.list_(pa.binary()), "doc": pa.list_(pa.int64()), "hot": pa.binary()}
     rows: dict[str, list] = {k: [] for k in kind}
     if docs.num_rows and answers.num_rows:
-        block, ids, texts, _ = _block(docs)
+        block, ids, texts = _block(docs)
         least: dict[tuple[int, bytes], int] = {}
         hot = _numbers(answers, "hot")
         for a, b, _, _, _, text_of, keys in repeated_passages(ids, texts, _numbers(answers, "value"), hot, window):
@@ -287,11 +287,6 @@ def shard_answers(keys: list[tuple[int, bytes]], docs: list[int], window: int) -
         of[passage] = min(of.get(passage, _LAST), doc)
     out = {}
     for value, of in least.items():
-        if len(of) == 1:
-            # The automaton of a single passage accepts each of its windows, and all lie in that passage's documents.
-            ((passage, doc),) = of.items()
-            out[value, passage] = [doc]
-            continue
         automaton = SuffixAutomaton()
         split = {p: p.split(b" ") for p in sorted(of)}
         for p, words in split.items():
@@ -334,7 +329,7 @@ def _remove(docs: pa.Table, answers: pa.Table, window: int, shards: int) -> pa.T
     """The kept words of each document of a block."""
     columns: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept": [], "kept_sha256": []}
     if docs.num_rows:
-        _, ids, texts, _ = _block(docs)
+        _, ids, texts = _block(docs)
         hot = _numbers(answers, "hot")
         pieces = list(repeated_passages(ids, texts, np.union1d(_numbers(answers, "value"), hot), hot, window))
         least = _matched([k for *_, keys in pieces for k in keys], answers, shards)
@@ -357,9 +352,9 @@ def _remove(docs: pa.Table, answers: pa.Table, window: int, shards: int) -> pa.T
                 f, l = p.first_word[i], p.first_word[i + 1]
                 words, mask = texts[a + i].split(), lost[f:l]
                 kept = b" ".join(words) if not mask.any() else b" ".join([w for w, x in zip(words, mask.tolist(), strict=True) if not x])
-                for column, x in zip(columns.values(), (int(ids[a + i]), len(words), int(mask.sum()), kept, hashlib.sha256(kept).hexdigest()), strict=True):
+                for column, x in zip(list(columns.values())[1:], (len(words), int(mask.sum()), kept, hashlib.sha256(kept).hexdigest()), strict=True):
                     column.append(x)
-        columns["doc_id"] = [None if x == _LAST else x for x in columns["doc_id"]]
+        columns["doc_id"] = docs.column("doc_id").to_pylist()
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
     out = pa.table({k: pa.array(v, t) for (k, v), t in zip(columns.items(), kinds, strict=True)})
     return out.set_column(3, "kept", out.column("kept").cast(pa.string()))
@@ -373,7 +368,7 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     judged on the input.
 
     A null text counts as empty; a text of fewer than 13 words has no window and stays. Rows with one id never remove
-    each other's words, repeated rows included. A null id counts as larger than any other. Empty docs give no rows.
+    each other's words, repeated rows included. A null id counts as the largest long. Empty docs give no rows.
     Other columns are ignored.
 
     block_chars and shard_chars are about the text of a block and of a shard; a longer document makes a block larger.

@@ -3,8 +3,8 @@
 A page becomes the sequence of its leaf blocks. Each block is a vector of hashed words of its tag path (tags, classes,
 ids), hashed words of its text and a few numbers; a bidirectional LSTM in numpy reads the whole sequence in both
 directions and labels every block. It is fitted on a bounded sample of the given pages: their blocks are named by what
-the tags around them say, and are also dealt into further layouts (sidebars, notices, forms, comments), so that the
-labeller knows those too.
+the tags around them say, and are also dealt into further layouts (sidebars, notices, forms, comments, and pages whose
+markup says nothing), so that the labeller knows those too.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
@@ -37,14 +38,19 @@ NOISE_WORDS = frozenset(
     "cookie cookies consent notice alert popup modal newsletter subscribe signup login search form comment comments discussion reply replies respond share social related "
     "recommended pagination pager tags meta byline toolbar skip copyright legal".split()
 )
+#: Parts of these tags and names hold nothing of the article, whatever stands in them.
+CLOSED_TAGS = frozenset("nav footer aside form menu dialog".split())
+CLOSED_WORDS = frozenset("comment comments discussion reply replies respond cookie cookies consent newsletter advert advertisement ad ads".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_WORDS = frozenset("article content main post entry story body text".split())
+#: A part around this share of a page's blocks is a wrapper, whose names (has-sidebar, with-header) say nothing of a block.
+_WRAPPER = 0.8
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)>", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 
-PATH, WORDS, NUMBERS = 192, 48, 10
+PATH, WORDS, NUMBERS = 512, 48, 10
 INPUT, HIDDEN_UNITS = PATH + WORDS + NUMBERS, 24
 
 
@@ -56,7 +62,7 @@ class Block:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Leaf blocks with text, in page order; path holds the tags around a block and the words of their class, id and role."""
+    """Leaf blocks with text, in page order; path holds the tags around a block, each followed by the words of its class, id and role, with a dot before them."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
@@ -114,7 +120,7 @@ def blocks_of(page: str) -> list[Block]:
                         break
                     if stack[k][0] not in INLINE:
                         break
-            names = tuple(w for n in _NAMES.findall(m[3]) for w in _PART.findall("".join(n).lower())) if "=" in m[3] else ()
+            names = tuple(f".{w}" for n in _NAMES.findall(m[3]) for w in _PART.findall("".join(n).lower())) if "=" in m[3] else ()
             stack.append((tag, names))
             hidden += tag in HIDDEN
             links += tag == "a"
@@ -126,10 +132,49 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def named_main(path: tuple[str, ...]) -> bool:
-    """What the tags around a block say: inside a main part and not inside a part of another kind."""
-    words = set(path)
-    return not (words & NOISE_TAGS or words & NOISE_WORDS) and bool(words & MAIN_TAGS or words & MAIN_WORDS)
+def _parts(path: tuple[str, ...]) -> Iterator[tuple[str, frozenset[str], tuple[str, ...]]]:
+    """The parts around a block from the outermost in: tag, names, and the path down to it."""
+    starts = [i for i, x in enumerate(path) if x[0] != "."] + [len(path)]
+    for a, b in zip(starts, starts[1:], strict=False):
+        yield path[a], frozenset(x[1:] for x in path[a + 1 : b]), path[:b]
+
+
+def named_main(path: tuple[str, ...], wrappers: frozenset = frozenset()) -> bool:
+    """What the parts around a block say, the outermost first: inside a main part and not, within it, inside one of another kind.
+
+    The tags html and body and the names of wrappers say nothing. An article's own header is part of it. A main tag makes
+    up for the name of a part around it (`sidebar-page`), but not for a closed one.
+    """
+    main = noise = False
+    for tag, names, down in _parts(path):
+        if tag in ("html", "body"):
+            continue
+        names = frozenset() if down in wrappers else names
+        if tag in CLOSED_TAGS or names & CLOSED_WORDS:
+            return False
+        if tag == "header":
+            if not main or noise:
+                return False
+        elif names & NOISE_WORDS:
+            noise = True
+        elif tag in MAIN_TAGS:
+            main, noise = True, False
+        elif names & MAIN_WORDS:
+            main = True
+    return main and not noise
+
+
+def named(blocks: list[Block]) -> list[bool]:
+    """named_main of a page's blocks."""
+    times: dict[tuple[str, ...], int] = {}
+    for b in blocks:
+        for _, names, down in _parts(b.path):
+            if names:
+                times[down] = times.get(down, 0) + 1
+    wrappers = frozenset(down for down, n in times.items() if n >= _WRAPPER * len(blocks) and len(blocks) > 3)
+    # A name like `content` around everything still says that the page has it; only what would silence the page is passed over.
+    silent = frozenset(down for down in wrappers if any(down == d and names & NOISE_WORDS for _, names, d in _parts(down)))
+    return [named_main(b.path, silent) for b in blocks]
 
 
 @lru_cache(1 << 16)
@@ -138,18 +183,20 @@ def _slot(word: str, width: int) -> int:
 
 
 @lru_cache(4096)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
+def _path_vector(path: tuple[str, ...], known: frozenset[str] | None) -> np.ndarray:
     v = np.zeros(PATH, np.float32)
     for w in path:
-        v[_slot(w, PATH)] += 1
+        if known is None or w in known:
+            v[_slot(w, PATH)] += 1
     return np.minimum(v, 2)
 
 
-def vectors(blocks: list[Block]) -> np.ndarray:
+def vectors(blocks: list[Block], known: frozenset[str] | None = None) -> np.ndarray:
+    """A row per block; tags and names outside known, if given, say nothing, so that a new one can't pass for another by its hash."""
     x = np.zeros((len(blocks), INPUT), np.float32)
     for i, b in enumerate(blocks):
         row, words = x[i], b.text.split()
-        row[:PATH] = _path_vector(b.path)
+        row[:PATH] = _path_vector(b.path, known)
         slots = np.bincount([_slot(w, WORDS) for w in words], minlength=WORDS)
         row[PATH : PATH + WORDS] = slots / np.float32(max(1.0, np.sqrt((slots * slots).sum())))
         n = len(b.text)
@@ -175,9 +222,12 @@ class Labeller:
 
     def __init__(self, seed: int = 5):
         rng, h = np.random.default_rng(seed), HIDDEN_UNITS
+        self.known: frozenset[str] | None = None
         self.p: dict[str, np.ndarray] = {"o": rng.normal(0, 0.2, 2 * h), "c": np.zeros(1)}
         for d in "fb":
             self.p |= {f"w_{d}": rng.normal(0, 0.15, (INPUT, 4 * h)), f"u_{d}": rng.normal(0, 0.15, (h, 4 * h)), f"b_{d}": np.concatenate((np.zeros(h), np.ones(h), np.zeros(2 * h)))}
+            # Words that no page has shown say nothing.
+            self.p[f"w_{d}"][: PATH + WORDS] *= 0.05
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def _run(self, x: np.ndarray, d: str) -> tuple[np.ndarray, list]:
@@ -201,8 +251,12 @@ class Labeller:
         back, kept_b = self._run(_flipped(x, sizes), "b")
         return np.concatenate((forth, _flipped(back, sizes)), axis=2), kept_f, kept_b
 
+    def of_blocks(self, pages: list[list[Block]]) -> list[np.ndarray]:
+        """For each page the chance of each block to be main text."""
+        return self.chances([vectors(b, self.known) for b in pages])
+
     def chances(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """For each page the chance of each block to be main text; pages of like length run together."""
+        """For each page's vectors the chance of each block to be main text; pages of like length run together."""
         out: list = [np.zeros(0)] * len(pages)
         order = [i for i in sorted(range(len(pages)), key=lambda i: len(pages[i])) if len(pages[i])]
         for a in range(0, len(order), 64):
@@ -228,13 +282,14 @@ class Labeller:
         flat = dz.reshape(-1, 4 * h)
         grads |= {f"w_{d}": x.reshape(-1, INPUT).T @ flat, f"u_{d}": du, f"b_{d}": flat.sum(axis=0)}
 
-    def fit(self, pages: list[np.ndarray], wanted: list[np.ndarray], *, epochs: int = 6, batch: int = 24, rate: float = 0.01, seed: int = 6) -> Labeller:
-        """Adam on the mean logistic loss of all blocks."""
+    def fit(self, pages: list[np.ndarray], wanted: list[np.ndarray], *, epochs: int = 10, batch: int = 24, rate: float = 0.008, seed: int = 6) -> Labeller:
+        """Adam on the mean logistic loss of all blocks, at a rate that falls to a tenth."""
         rng, step = np.random.default_rng(seed), 0
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
         by_size = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
         batches = [by_size[a : a + batch] for a in range(0, len(by_size), batch)]
-        for _ in range(epochs):
+        for epoch in range(epochs):
+            pace = rate * (1 - 0.9 * epoch / max(1, epochs - 1))
             for k in rng.permutation(len(batches)):
                 x, sizes = padded([pages[i] for i in batches[k]])
                 y, live = np.zeros(x.shape[:2], np.float32), np.arange(len(x))[:, None] < sizes
@@ -250,7 +305,7 @@ class Labeller:
                 for name, g in grads.items():
                     m[name] += 0.1 * (g - m[name])
                     v[name] += 0.001 * (g * g - v[name])
-                    self.p[name] = (self.p[name] - rate * (m[name] / (1 - 0.9**step)) / (np.sqrt(v[name] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+                    self.p[name] = (self.p[name] - pace * (m[name] / (1 - 0.9**step)) / (np.sqrt(v[name] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return self
 
 
@@ -262,68 +317,137 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, sizes
 
 
-#: Containers of the further layouts, as tag and class or id; the first element says whether what they hold is main text.
-_LAYOUT_NOISE = [("nav", ""), ("header", ""), ("footer", ""), ("aside", ""), ("form", ""), ("section", "comments"), ("ul", "breadcrumb"), *(("div", w) for w in sorted(NOISE_WORDS))]
-_LAYOUT_MAIN = [("article", ""), ("main", ""), ("div", "content"), ("div", "article body"), ("div", "post entry"), ("section", "story text")]
+#: Parts of the further layouts as they stand in a path: tag, then names.
+_LAYOUT_NOISE = [("nav",), ("header",), ("footer",), ("aside",), ("form",), ("section", ".comments"), ("ul", ".breadcrumb")] * 5 + [("div", f".{w}") for w in sorted(NOISE_WORDS)]
+_LAYOUT_MAIN = [("article",), ("main",), ("div", ".content"), ("div", ".article", ".body"), ("div", ".post", ".entry"), ("section", ".story", ".text")]
 #: Names that say nothing; they stand anywhere, and so do made-up ones.
 _NEUTRAL = "container wrapper wrap row col inner outer page grid box block clearfix layout site root section left right top center item group holder panel region".split()
 _TEXT_TAGS = ("p", "p", "p", "h2", "h3", "li", "blockquote", "td", "pre")
 
 
 def layouts(pages: list[list[Block]], seed: int = 4) -> Iterator[tuple[list[Block], list[bool]]]:
-    """Each page's blocks as they are, and twice dealt into a drawn layout, with what they are."""
+    """Each page's blocks as they are, three times dealt into a drawn layout, and three times into one without telling names, with what they are."""
     rng = np.random.default_rng(seed)
     for blocks in pages:
-        yield blocks, [named_main(b.path) for b in blocks]
-        yield from _redealt(blocks, rng)
-        yield from _redealt(blocks, rng)
+        told = named(blocks)
+        main, noise = ([b for b, t in zip(blocks, told, strict=True) if t is kind] for kind in (True, False))
+        yield blocks, told
+        if main:
+            for _ in range(3):
+                yield _redealt(_pieces(main, rng), noise, rng)
+            for _ in range(3):
+                yield _unnamed(_pieces(main, rng), noise, rng)
+
+
+def _pieces(main: list[Block], rng: np.random.Generator) -> list[Block]:
+    """An article made of another one: a run of its blocks, some of them cut at the ends of sentences, so that articles of all lengths are seen."""
+    a = int(rng.integers(0, len(main))) if rng.random() < 0.5 else 0
+    b = int(rng.integers(a, len(main))) + 1 if rng.random() < 0.5 else len(main)
+    out = []
+    for x in main[a:b]:
+        sentences = re.split(r"(?<=[.!?]) ", x.text) if rng.random() < 0.5 else [x.text]
+        step = int(rng.integers(1, 4))
+        out += [Block(t, x.path, 0) for i in range(0, len(sentences), step) if (t := " ".join(sentences[i : i + step]).strip())]
+    return out
 
 
-def _redealt(blocks: list[Block], rng: np.random.Generator) -> Iterator[tuple[list[Block], list[bool]]]:
-    """The blocks of a page in a drawn layout; nothing for a page without a main block."""
-    main, noise = [b for b in blocks if named_main(b.path)], [b for b in blocks if not named_main(b.path)]
-    if not main:
-        return
-    dealt: list[tuple[Block, bool]] = []
+def _neutral(rng: np.random.Generator, n: int) -> tuple[str, ...]:
+    made_up = lambda: "".join(map(chr, rng.integers(97, 123, size=rng.integers(2, 9))))
+    return tuple(f".{made_up() if rng.random() < 0.3 else _NEUTRAL[rng.integers(len(_NEUTRAL))]}" for _ in range(n))
+
+
+def _around(rng: np.random.Generator) -> tuple[str, ...]:
+    """Wrappers of a whole page; now and then one is named after what the page has (with-sidebar)."""
+    out = tuple(x for name in _neutral(rng, rng.integers(0, 3)) for x in ("div", name))
+    if rng.random() < 0.2:
+        out += ("div", *_neutral(rng, 1), f".{sorted(NOISE_WORDS)[rng.integers(len(NOISE_WORDS))]}")
+    return ("html", "body", *out)
 
-    def neutral(n: int) -> tuple[str, ...]:
-        made_up = lambda: "".join(map(chr, rng.integers(97, 123, size=rng.integers(2, 9))))
-        return tuple(made_up() if rng.random() < 0.3 else _NEUTRAL[rng.integers(len(_NEUTRAL))] for _ in range(n))
 
-    around = tuple(x for w in neutral(rng.integers(0, 3)) for x in ("div", w))
+def _redealt(main: list[Block], noise: list[Block], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
+    """The blocks of a page in a drawn layout of named parts."""
+    dealt: list[tuple[Block, bool]] = []
+    around = _around(rng)
 
     def part(is_main: bool) -> None:
-        tag, names = (_LAYOUT_MAIN if is_main else _LAYOUT_NOISE)[rng.integers(len(_LAYOUT_MAIN if is_main else _LAYOUT_NOISE))]
-        outer = ("html", "body", *around, tag, *names.split(), *neutral(rng.integers(0, 2)))
-        pool = main if is_main else (noise or main) if rng.random() < 0.6 else main
+        kinds = _LAYOUT_MAIN if is_main else _LAYOUT_NOISE
+        outer = (*around, *kinds[rng.integers(len(kinds))], *_neutral(rng, rng.integers(0, 2)))
+        pool = main if is_main or rng.random() < 0.4 else noise or main
         picked = pool if is_main else [pool[i] for i in rng.integers(len(pool), size=rng.integers(1, 7))]
-        for b in picked:
+        own_header = is_main and rng.random() < 0.2
+        for i, b in enumerate(picked):
             inner = (_TEXT_TAGS[rng.integers(len(_TEXT_TAGS))],)
-            # A notice or a comment may stand inside the article's own container.
+            # A notice or a comment may stand inside the article's own part, and its first block in a header of its own.
             if is_main and rng.random() < 0.15:
-                tag_in, names_in = _LAYOUT_NOISE[rng.integers(len(_LAYOUT_NOISE))]
-                dealt.append((Block(b.text, (*outer, tag_in, *names_in.split(), *inner), b.linked), False))
-            dealt.append((Block(b.text, outer + inner, b.linked if not is_main else 0), is_main))
+                other = _LAYOUT_NOISE[rng.integers(len(_LAYOUT_NOISE))]
+                if other != ("header",):
+                    dealt.append((Block(b.text, (*outer, *other, *inner), b.linked), False))
+            dealt.append((Block(b.text, outer + (("header", "h1") if own_header and not i else inner), b.linked if not is_main else 0), is_main))
 
     for _ in range(rng.integers(0, 4)):
         part(False)
     part(True)
     for _ in range(rng.integers(0, 4)):
         part(False)
-    yield [b for b, _ in dealt], [w for _, w in dealt]
+    return [b for b, _ in dealt], [w for _, w in dealt]
+
+
+def _unnamed(main: list[Block], noise: list[Block], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
+    """The blocks of a page where no name tells what a part is: only their form, their tags and their neighbours do.
+
+    An advert that reads like the article can't be told from it without names, so such blocks are left out.
+    """
+    noise = [b for b in noise if b.linked or len(b.text.split()) < 6]
+    around, dealt = tuple(x for x in _around(rng) if x[1:] not in NOISE_WORDS), []
+
+    bare, plain, titled = rng.random() < 0.3, rng.random() < 0.3, rng.random() < 0.5
+
+    def part(blocks: list[Block], is_main: bool) -> None:
+        outer = (*around, "div", *_neutral(rng, rng.integers(0, 3)))
+        for i, b in enumerate(blocks):
+            tag = "div" if plain else ("h1" if titled and not i and len(b.text) < 120 else "p") if is_main else ("li", "span", "div", "td")[rng.integers(4)]
+            dealt.append((Block(b.text, () if bare else (*outer, tag), b.linked), is_main))
+
+    place = int(rng.integers(len(noise) + 1))
+    part(noise[:place], False)
+    part(main, True)
+    part(noise[place:], False)
+    return [b for b, _ in dealt], [w for _, w in dealt]
+
+
+def _in_runs(blocks: list[Block], told: list[bool], known: frozenset[str], most: int = 400) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A long page's vectors in runs of bounded length, so that it is learnt from like any other."""
+    x, y = vectors(blocks, known), np.array(told, np.float32)
+    for a in range(0, len(x), most):
+        yield x[a : a + most], y[a : a + most]
+
+
+def fit(pages: list[list[Block]]) -> Labeller:
+    """A labeller of the pages' blocks and of the layouts drawn from them; it knows the tags and names that stand in five of them."""
+    dealt = [(b, w) for b, w in layouts(pages) if b]
+    seen = Counter(w for b, _ in dealt for w in {w for x in b for w in x.path})
+    model = Labeller()
+    model.known = frozenset(w for w, n in seen.items() if n >= 5)
+    sequences = [xy for b, w in dealt for xy in _in_runs(b, w, model.known)]
+    _without_words([x for x, _ in sequences])
+    return model.fit([x for x, _ in sequences], [w for _, w in sequences]) if sequences else model
+
+
+def _without_words(sequences: list[np.ndarray], seed: int = 8) -> None:
+    """Of three sequences one loses its words and one has them exchanged for others, so that no label hangs on these alone."""
+    rng = np.random.default_rng(seed)
+    for i, x in enumerate(sequences):
+        if i % 3 < 2:
+            x[:, PATH : PATH + WORDS] = x[:, PATH + rng.permutation(WORDS)] if i % 3 else 0
 
 
-def train(pages: DataFrame, *, html_col: str = "html", fit_pages: int = 300, most_chars: int = 50_000) -> Labeller:
-    """Fits on about fit_pages pages at most, those whose html has a small hash; longer ones than most_chars aren't learnt from."""
-    n = pages.count()
-    h = F.pmod(F.xxhash64(F.lit(9), F.col(html_col).cast("string")), F.lit(1 << 20))
-    picked = pages.select(F.col(html_col).cast("string").alias("html")).where(F.length("html").between(1, most_chars)).where(h < int((1 << 20) * min(1.0, fit_pages / max(1, n))))
-    found = sorted({r.html for r in picked.limit(2 * fit_pages).collect()})
-    sequences = [(vectors(b), np.array(w, np.float32)) for b, w in layouts([blocks_of(x) for x in found]) if b]
-    for x, _ in sequences[::2]:
-        # Half of the sequences are read without their words, so that no label hangs on these alone.
-        x[:, PATH : PATH + WORDS] = 0
-    return Labeller().fit([x for x, _ in sequences], [w for _, w in sequences]) if sequences else Labeller()
+def train(pages: DataFrame, *, html_col: str = "html", fit_pages: int = 200) -> Labeller:
+    """Fits on fit_pages pages at most, those whose html has the smallest hashes; equal pages count once."""
+    picked = pages.select(F.col(html_col).cast("string").alias("html")).where("html <> ''").select("html", F.xxhash64(F.lit(9), "html").alias("h"))
+    least = picked.select("h").distinct().orderBy("h").limit(fit_pages)
+    # A hash stands for few different pages, so the sample is bounded.
+    found = picked.join(F.broadcast(least), "h").groupBy("h").agg(F.min("html").alias("html")).collect()
+    return fit([blocks_of(r.html) for r in sorted(found, key=lambda r: r.h)])
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -331,7 +455,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch], model: Broadcast) -> Ite
         for a in range(0, batch.num_rows, 256):
             part = batch.slice(a, 256)
             pages = [blocks_of(x) if x else [] for x in part.column("html").to_pylist()]
-            chances = model.value.chances([vectors(b) for b in pages])
+            chances = model.value.of_blocks(pages)
             texts = [" ".join(b.text for b, c in zip(blocks, cs, strict=True) if c >= 0.5) for blocks, cs in zip(pages, chances, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64()), pa.array(list(map(len, pages)), pa.int64())],

@@ -1,9 +1,9 @@
 """Operator 10: personal data by candidate gradient boosting, with DataFrame functions only.
 
 Base patterns with their checks give the base spans. Wider generators propose further, overlapping candidates; each is
-described by small integers of its format and context. Boosted trees, fitted on counts of these descriptions in a
-bounded sample of documents, become CASE expressions, and a threshold per kind, calibrated on a second part of the
-sample, selects the candidates to add. A document never leaves its row, so nothing is shuffled but the counts.
+described by small integers of its format and context. Boosted trees, fitted on counts of these descriptions over all
+documents, become CASE expressions, and a threshold per kind, calibrated on a fourth of the documents, selects the
+candidates to add. A document never leaves its row, so nothing is shuffled but the counts.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm.jobs import table
+from quantloom.llm.jobs import packed, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns. Possessive forms match what the plain ones do, without deep recursion on long runs.
@@ -303,33 +303,33 @@ def _rewritten(kind: str, t: Column) -> list[Column]:
 def _drawn(based: DataFrame) -> DataFrame:
     """Training rows of base spans in other forms, between the words that stood around them: a candidate with just the drawn
     span is a positive, one that meets it in part a negative."""
-    around = lambda b: F.struct(
-        F.substring(F.col("text"), F.greatest(b["s"] - 23, F.lit(1)), F.least(b["s"], F.lit(24))).alias("before"), b["t"].alias("t"), F.substring(F.col("text"), b["e"] + 1, F.lit(24)).alias("after")
-    )
-    each = []
-    for k in KINDS:
-        spans = based.select("part", F.explode(F.transform(f"base_{k}", around)).alias("b"))
-        texts = spans.select("part", "b", F.explode(F.array(*_rewritten(k, F.col("b.t")))).alias("t")).where("t IS NOT NULL")
-        # Base spans beside the drawn one would be cut out of its text, and one that the drawn one itself holds is known already.
-        texts = texts.select("part", F.concat("b.before", "t", "b.after").alias("text"), F.length("b.before").alias("s"), (F.length("b.before") + F.length("t")).alias("e"))
-        found = with_candidates(with_base(texts))
-        drawn = F.struct(F.col("s"), F.col("e"))
-        c = F.col("c")
-        rows = found.select("part", "s", "e", F.explode(F.filter(f"desc_{k}", lambda x: _over(x, drawn))).alias("c"))
-        equal = (c["s"] == F.col("s")) & (c["e"] == F.col("e"))
-        each.append(rows.select("part", F.struct(F.lit(k).alias("kind"), *[c[f].alias(f) for f in FEATURES], equal.cast("int").alias("is_base")).alias("c")))
-    return reduce(DataFrame.unionByName, each)
-
-
-def fit(docs: DataFrame, *, text_col: str = "text", fit_docs: int = 20_000) -> Boosted:
-    """Fits on about fit_docs documents at most, those whose text has a small hash.
-
-    Base spans are the positives, as they stand and rewritten in other forms; see _training_rows and _drawn for the negatives.
+
+    def around(kind: str, b: Column) -> Column:
+        before = F.substring(F.col("text"), F.greatest(b["s"] - 23, F.lit(1)), F.least(b["s"], F.lit(24)))
+        return F.struct(F.lit(kind).alias("kind"), before.alias("before"), b["t"].alias("t"), F.substring(F.col("text"), b["e"] + 1, F.lit(24)).alias("after"))
+
+    def by_kind(f: Callable[[str], Column]) -> Column:
+        return reduce(lambda out, k: out.when(F.col("kind") == k, f(k)), KINDS[1:], F.when(F.col("kind") == KINDS[0], f(KINDS[0])))
+
+    spans = based.select("part", F.explode(F.concat(*[F.transform(f"base_{k}", _for(k, around)) for k in KINDS])).alias("b")).select("part", "b.*")
+    texts = spans.select("part", "kind", "before", "after", F.explode(by_kind(lambda k: F.array(*_rewritten(k, F.col("t"))))).alias("t")).where("t IS NOT NULL")
+    texts = texts.select("part", "kind", F.concat("before", "t", "after").alias("text"), F.length("before").alias("s"), (F.length("before") + F.length("t")).alias("e"))
+    drawn, c = F.struct(F.col("s"), F.col("e")), F.col("c")
+    # Base spans that a drawn text holds are cut out of it, so that what is found beside them is known already.
+    rows = with_candidates(with_base(texts)).select("part", "kind", "s", "e", F.explode(F.filter(by_kind(lambda k: F.col(f"desc_{k}")), lambda x: _over(x, drawn))).alias("c"))
+    equal = (c["s"] == F.col("s")) & (c["e"] == F.col("e"))
+    return rows.select("part", F.struct("kind", *[c[f].alias(f) for f in FEATURES], equal.cast("int").alias("is_base")).alias("c"))
+
+
+def fit(docs: DataFrame, *, text_col: str = "text") -> Boosted:
+    """Fits on counts over all documents.
+
+    Base spans are the positives, as they stand and rewritten in other forms; see _training_rows and _drawn for the
+    negatives. A fourth of the documents, by a hash of their text, calibrates the thresholds. The descriptions are small
+    whole numbers, so that what comes to the driver is bounded by their combinations, whatever the number of documents.
     """
-    n = docs.count()
     picked = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    h = F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 20))
-    picked = picked.where(h < int((1 << 20) * min(1.0, fit_docs / max(1, n)))).withColumn("part", (F.pmod(F.xxhash64(F.lit(6), "text"), F.lit(4)) == 0).cast("int"))
+    picked = picked.withColumn("part", (F.pmod(F.xxhash64(F.lit(6), "text"), F.lit(4)) == 0).cast("int"))
     based = with_base(picked)
     rows = with_candidates(based).select("part", F.explode(F.concat(*map(_training_rows, KINDS))).alias("c")).unionByName(_drawn(based))
     counted = rows.groupBy("c.kind", *[f"c.{f}" for f in FEATURES], "part").agg(F.count("*").alias("n"), F.sum("c.is_base").alias("pos")).collect()
@@ -378,24 +378,33 @@ def find_pii(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "
     equals base. A null text counts as empty and has none. All columns and rows of docs stay, repeated ones included;
     columns named base or spans are replaced.
     """
-    kept = docs.drop("base", "spans")
-    inner = kept.select(F.struct(*[kept[c] for c in kept.columns]).alias("row"), F.coalesce(kept[text_col].cast("string"), F.lit("")).alias("text"))
+    found = found_rows(docs, model, text_col=text_col)
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in ("base", "spans")], "base", "spans")
+
+
+def found_rows(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "text") -> DataFrame:
+    """find_pii with all columns of docs as one struct: row, text (never null), base and spans; so no column of docs can clash."""
+    inner = docs.select(packed(docs)).select("row", F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")).alias("text"))
     found = with_base(inner)
     numbered = lambda k, column: F.transform(column, lambda x: F.struct(x["s"].alias("start"), F.lit(KINDS.index(k)).alias("kind"), x["e"].alias("end")))
     base = F.array_sort(F.concat(*[numbered(k, F.col(f"base_{k}")) for k in KINDS]))
     live = [k for k in KINDS if model and np.isfinite(model.threshold[k])]
     if not live:
-        return found.select("row.*", base.alias("base")).withColumn("spans", F.col("base"))
+        return found.select("row", "text", base.alias("base")).withColumn("spans", F.col("base"))
     found = with_candidates(found).withColumn("all_base", _all_base())
     chosen = [_selected(model, k).alias(f"more_{k}") for k in live]
-    found = found.select("row", base.alias("base"), *chosen)
-    return found.select("row.*", "base", F.array_sort(F.concat("base", *[numbered(k, F.col(f"more_{k}")) for k in live])).alias("spans"))
+    found = found.select("row", "text", base.alias("base"), *chosen)
+    return found.select("row", "text", "base", F.array_sort(F.concat("base", *[numbered(k, F.col(f"more_{k}")) for k in live])).alias("spans"))
 
 
-def redact(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "text") -> DataFrame:
-    """docs with each span of find_pii replaced by its kind in brackets; overlapping spans become one, named by the first."""
-    found = find_pii(docs, model, text_col=text_col)
-    text = F.col(text_col)
+def redact(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """docs with each span of find_pii replaced by its kind in brackets; overlapping spans become one, named by the first.
+
+    Where that changes a text, length_col, if docs has it, takes the new number of characters. All other columns and
+    rows stay as they are, whatever their names; a null text stays null.
+    """
+    found = found_rows(docs, model, text_col=text_col)
+    text = F.col("text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     label = lambda x: F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1)), F.lit("]"))
 
@@ -404,15 +413,49 @@ def redact(docs: DataFrame, model: Boosted | None = None, *, text_col: str = "te
         return F.when(x["start"] >= a["at"], cut).otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], x["end"]).alias("at")))
 
     clean = F.aggregate("spans", start, add, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, clean).otherwise(text)).drop("base", "spans")
+    told = found.select("row", F.when(F.size("spans") > 0, clean).alias("clean"))
+    new = {text_col: F.col("clean")} | ({length_col: F.length("clean").cast(docs.schema[length_col].dataType)} if length_col in docs.columns else {})
+    return told.select(*[(F.when(F.col("clean").isNotNull(), new[c]).otherwise(F.col(f"row.`{c}`")) if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def written(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1), x["start"], x["end"])), ",")
 
 
+def _told(found: DataFrame) -> list[Column]:
+    """What is said of the base spans: their numbers by kind, and the digest of all of them."""
+    counts = [F.size(F.filter("base", _for(i, lambda kind, x: x["kind"] == kind))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    return ["doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256")]
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_pii(docs, fit(docs))
-    counts = [F.size(F.filter("base", _for(i, lambda kind, x: x["kind"] == kind))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
-    return found.select("doc_id", *counts, F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+    return found.select(*_told(found), written("spans").alias("spans"))
+
+
+def base_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base spans that op10_pii starts from, which SQL can express."""
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(*_told(found))
+
+
+def _pieces_sql(kind: str, pattern: str, check: str) -> str:
+    """Matches of a pattern with their places: what stands before a match is what splitting at the matches leaves."""
+    return f"""{kind}_m AS (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS ms, regexp_split_to_array(text, '{pattern}') AS gs FROM d WHERE regexp_matches(text, '{pattern}')),
+{kind}_x AS (SELECT doc_id, i, ms[i] AS t, list_sum(list_transform(gs[1 : i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1 : i - 1], lambda m: length(m))), 0) AS s FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM {kind}_m)),
+{kind}_s AS (SELECT doc_id, {KINDS.index(kind)} AS k, '{kind}' AS kind, s, s + length(t) AS e FROM {kind}_x WHERE {check})"""
+
+
+_DIGITS = "regexp_replace(t, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda j: CASE WHEN (length({_DIGITS}) - j) % 2 = 0 THEN {_DIGITS}[j]::INT ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][{_DIGITS}[j]::INT + 1] END)) % 10 = 0"""
+BASE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{_pieces_sql("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", "true")},
+{_pieces_sql("ip", "[0-9]+(?:[.][0-9]+)(?:[.][0-9]+)(?:[.][0-9]+)", "list_bool_and(list_transform(string_split(t, '.'), lambda p: p::HUGEINT <= 255))")},
+{_pieces_sql("card", "[0-9](?:[ -]?[0-9])+", f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN}")},
+{_pieces_sql("phone", "[+][0-9][ ().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15")},
+a AS (SELECT * FROM email_s UNION ALL SELECT * FROM ip_s UNION ALL SELECT * FROM card_s UNION ALL SELECT * FROM phone_s),
+g AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)}, string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k) AS w FROM a GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in KINDS)}, sha256(coalesce(w, '')) AS base_sha256 FROM d LEFT JOIN g USING (doc_id)
+"""

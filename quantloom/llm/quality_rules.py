@@ -232,3 +232,20 @@ def judge(docs: DataFrame, trees: Trees, *, id_col: str = "doc_id", text_col: st
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return judge(docs, train(docs, table(spark, sf_dir, "labels"))).select("doc_id", *COUNTS, "base_failed", "kept", "score")
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics and base rules of op7_quality_rules, which SQL can express; the trees have no part in them."""
+    return judge(table(spark, sf_dir, "documents"), Trees(0.0, *[np.zeros(0, int)] * 6, 0)).select("doc_id", *COUNTS, "base_failed")
+
+
+COUNTS_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 7], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+t AS (SELECT doc_id, h FROM g GROUP BY ALL HAVING count(*) > 1),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM g SEMI JOIN t USING (doc_id, h)) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+  coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(w) < 20 OR 100 * coalesce(r.n, 0) > 30 * len(w) AS base_failed
+FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)
+"""

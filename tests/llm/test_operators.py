@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, TINY
 from quantloom.llm import chat, decontaminate, fingerprints, html_text, language, mixing, near_dedup, pii, quality, quality_rules, queries, substring_dedup
-from quantloom.llm.jobs import components, table
+from quantloom.llm.jobs import components, join_hot, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"w{i % 977}" for i in range(6_000))
@@ -27,7 +27,7 @@ ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "É"), (5, "É"), (None,
 def odd(spark):
     """Null ids and texts, empty and very long texts, repeated rows, and columns whose names clash with the results'."""
     df = spark.createDataFrame(ODD, "doc_id long, text string")
-    extra = {c: F.lit("x") for c in ("n_words", "score", "spans", "base", "fp", "size", "hash", "row", "block", "words", "good", "taken", "kept", "items")}
+    extra = {c: F.lit("x") for c in ("n_words", "score", "spans", "base", "fp", "size", "hash", "row", "block", "words", "good", "taken", "kept", "items", "before", "gone", "key", "copy", "n", "tie", "at", "raw_email", "may_card", "part")}
     return df.withColumns({"lang": F.lit("en"), "source": F.when(F.col("doc_id") == 1, None).otherwise("s"), **extra})
 
 
@@ -76,6 +76,11 @@ def test_decontamination_in_blocks(spark, block):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_many_blocks_are_live_one_at_a_time(spark):
+    got = decontaminate.decontaminate(table(spark, TINY, "documents"), table(spark, TINY, "benchmark"), block_phrases=20)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_decontamination_spans_and_odd_rows(spark, odd):
     item = " ".join(f"w{i}" for i in range(100, 120))
     marks = spark.createDataFrame([(1, item), (1, item), (2, "É"), (3, None), (None, "a"), (4, "!!")], "item_id long, text string")
@@ -125,6 +130,8 @@ def test_quality_accuracy_and_odd_rows(spark, odd, labels):
     assert sum((r.score >= 0.3) == (r.quality == 1) for r in held) >= 0.95 * len(held)
     got = quality.score(odd, quality.train(odd, labels)).collect()
     assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
+    other = quality.score(odd.withColumnRenamed("text", "body").withColumn("text", F.lit("x")), quality.train(odd, labels), "body").collect()
+    assert sorted((str(r.doc_id), str(r.body), r.text, r.score) for r in other) == sorted((str(r.doc_id), str(r.text), "x", r.score) for r in got)
     assert quality.score(odd, quality.train(odd, labels.limit(0))).select("score").distinct().count() == 1
     assert quality.score(odd.limit(0), quality.train(odd.limit(0), labels)).count() == 0
 
@@ -198,6 +205,8 @@ def test_passages_against_brute_force(spark, odd):
         df = spark.createDataFrame(data, "doc_id long, text string")
         got = substring_dedup.dedup_passages(df, block_chars=500, shard_chars=900).collect()
         assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == brute_removed(data)
+    last = spark.createDataFrame([(1, LONG), (2**63 - 1, LONG), (None, "x")], "doc_id long, text string")
+    assert {(r.doc_id, r.n_removed > 0) for r in substring_dedup.dedup_passages(last).collect()} == {(1, False), (2**63 - 1, True), (None, False)}
     assert substring_dedup.dedup_passages(odd).count() == len(ODD) and substring_dedup.dedup_passages(odd.limit(0)).count() == 0
 
 
@@ -246,21 +255,64 @@ def test_blocks_of_a_page():
         html_text.blocks_of(broken)
 
 
+#: Pages written by hand with their main text: markup that names its parts, and markup that says nothing of them.
+STORY = "The town has built a new bridge over the harbour, which opened on Monday after three years of work."
+MORE = "It is four hundred metres long, and some twenty thousand cars are expected to cross it every day."
+END = "The old bridge will be taken down in spring, as its iron has become too weak to carry lorries."
+BY_HAND = [
+    (f"<html><body class='has-sidebar'><div class='page-with-header'><header><a href=/>Daily Post</a></header><nav><a href=/a>Home</a> <a href=/b>News</a></nav><main><article><header><h1>A new bridge</h1></header>"
+     f"<p>{STORY}</p><p>{MORE}</p><aside><p>Related: how bridges are built and who pays for them in the end.</p></aside><p>{END}</p></article></main>"
+     "<section id='comments'><h3>3 comments</h3><div class='comment'><p>I cross it every day and it was closed for weeks.</p></div></section><footer>&copy; Daily Post.</footer></div></body></html>", f"A new bridge {STORY} {MORE} {END}"),
+    (f"<html><body><div class='cookie-notice'><p>We use cookies to make this site work. By reading on you agree.</p></div><div id='page'><div class='content'><h2>A new bridge</h2><p>{STORY}</p><ul><li>It is long.</li></ul>"
+     f"<div class='ad'><p>Buy the best saws in our shop today, now with free delivery.</p></div><p>{END}</p></div><div class='sidebar'><h3>Popular</h3><p>Ten plants for shady gardens that everyone can grow.</p></div></div>"
+     "<form><p>Subscribe to our newsletter.</p></form></body></html>", f"A new bridge {STORY} It is long. {END}"),
+    (f"<html><body><div class=x1><ul class=q><li><a href=/a>Home</a></li><li><a href=/b>World</a></li><li><a href=/c>Sport</a></li></ul></div><div class='x2 col'><h1>A new bridge</h1><p>{STORY}</p><p>{MORE}</p><p>{END}</p></div>"
+     "<div class=x3><span><a href=/e>Imprint</a></span><span>&copy; 2021 Gazette</span></div></body></html>", f"A new bridge {STORY} {MORE} {END}"),
+    (f"<html><body><table><tr><td><a href=1>Index</a></td><td><a href=2>Archive</a></td></tr></table><div><div><p>{STORY}</p><p>{END}</p></div></div><div><a href=4>Next page</a></div></body></html>", f"{STORY} {END}"),
+]
+
+
+def test_names_around_a_block():
+    says = lambda *path: html_text.named_main(path)
+    assert not says("html", "body", "div", ".random") and says("html", "body", "div", ".content", "p") and says("article", "header", "h1")
+    assert not says("header", "h1") and not says("article", "footer", "p") and not says("div", ".sidebar", "div", ".content") and says("div", ".sidebar", "article", "p")
+    assert not says("section", ".comments", "article", "p") and not says("body", ".content", "p")
+
+
 def test_pages_give_their_articles(spark):
     pages = table(spark, SMALL, "pages")
     model = html_text.train(pages, fit_pages=120)
     source = {r.page_id: r.html for r in pages.collect()}
     good = 0
     for r in html_text.extract(pages, model).collect():
-        blocks = html_text.blocks_of(source[r.page_id])
-        good += r.text == " ".join(b.text for b in blocks if html_text.named_main(b.path)) and r.n_chars == len(r.text)
+        main = re.search(r"<article>(.*)</article>", source[r.page_id], re.S)[1]
+        good += r.text == " ".join(b.text for b in html_text.blocks_of(main)) and r.n_chars == len(r.text)
     assert good >= 0.98 * len(source)
     odd = spark.createDataFrame([(1, "u", None), (2, None, ""), (None, "u", PAGE), (3, "u", "<p>" + "word " * 40_000), (3, "u", "<p>x")], "page_id long, url string, html string")
+    odd = odd.withColumns({c: F.lit("x") for c in ("text", "n_chars", "n_blocks", "h")})
     got = html_text.extract(odd, model).collect()
     assert len(got) == 5 and [r.text for r in got if r.page_id in (1, 2)] == ["", ""]
     assert html_text.extract(odd.limit(0), html_text.train(odd.limit(0))).count() == 0
 
 
+def test_pages_written_by_hand(spark):
+    model = html_text.train(table(spark, SMALL, "pages"))
+    for page, want in BY_HAND:
+        blocks = html_text.blocks_of(page)
+        told = {id(b): c >= 0.5 for b, c in zip(blocks, model.of_blocks([blocks])[0], strict=True)}
+        right = sum(len(b.text) for b in blocks if told[id(b)] == (b.text in want))
+        assert right >= 0.9 * sum(len(b.text) for b in blocks), page
+    # Other pages' blocks, dealt into layouts that name nothing.
+    rng, right, total = np.random.default_rng(9), 0, 0
+    for r in table(spark, TINY, "pages").collect():
+        blocks = html_text.blocks_of(r.html)
+        main, noise = ([b for b, t in zip(blocks, html_text.named(blocks), strict=True) if t is kind] for kind in (True, False))
+        dealt, want = html_text._unnamed(main, noise, rng)
+        for b, c, w in zip(dealt, model.of_blocks([dealt])[0], want, strict=True):
+            right, total = right + len(b.text) * ((c >= 0.5) == w), total + len(b.text)
+    assert right >= 0.95 * total
+
+
 # 8 near-duplicates
 
 
@@ -301,14 +353,15 @@ def test_every_four_positions_hold_a_triple():
     assert all(any(set(t) <= set(q) for t in near_dedup.TRIPLES) for q in combinations(range(8), 4))
 
 
-@pytest.mark.parametrize("list_rows", [4096, 3])
+@pytest.mark.parametrize("list_rows", [4096, 256])
 def test_links_connect_what_all_pairs_connect(spark, list_rows):
     rng = np.random.default_rng(7)
-    centres = rng.integers(0, 1 << 63, size=6).tolist()
+    centres = rng.integers(0, 1 << 63, size=4).tolist()
     values = set(centres)
-    for c in centres:
-        for _ in range(12):
-            values.add(c ^ sum(1 << int(b) for b in rng.choice(64, size=rng.integers(1, 5), replace=False)))
+    for i, c in enumerate(centres):
+        for _ in range(600 if i < 2 else 20):
+            # The first two are long lists: their members differ in few places.
+            values.add(c ^ sum(1 << int(b) for b in rng.choice(18 if i < 2 else 64, size=rng.integers(1, 7), replace=False)))
     fps = spark.createDataFrame([(int(np.uint64(v).view(np.int64)),) for v in values], "fp long")
     roots = {r.node: r.root for r in components(near_dedup.fingerprint_links(fps, list_rows=list_rows)).collect()}
     mine = {}
@@ -321,6 +374,33 @@ def test_links_connect_what_all_pairs_connect(spark, list_rows):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, want.values()))
 
 
+def test_no_join_gathers_a_hot_key(spark):
+    rows = spark.createDataFrame([(7 if i % 3 else i, i) for i in range(3000)] + [(None, 1)], "k long, v long")
+    facts = rows.groupBy("k").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    want = sorted(map(tuple, rows.join(facts.drop("n"), "k").select("k", "v", "m").collect()))
+    got = join_hot(rows, facts, "k", 3000)
+    assert sorted(map(tuple, got.select("k", "v", "m").collect())) == want
+    assert components(spark.createDataFrame([(0, i) for i in range(1, 2500)] + [(5000, 5001), (None, 3), (4, 4)], "a long, b long")).groupBy("root").count().orderBy("root").collect() == [(0, 2500), (5000, 2)]
+
+
+def test_one_row_of_each_class_stays(spark, odd):
+    got = near_dedup.near_duplicates(odd, keep=True)
+    classes = {r.component_id for r in near_dedup.near_duplicates(odd).collect()}
+    assert got.columns == odd.columns and got.count() == len(classes)
+    assert {r.doc_id for r in got.collect()} == classes and not {r.text for r in got.collect()} - {t for _, t in ODD}
+
+
+def test_fingerprint_query_against_brute_force(spark):
+    rows = table(spark, TINY, "documents").select("doc_id", "text").collect()
+    fps = {r.doc_id: brute_fingerprint(r.text) for r in rows}
+    least = {}
+    for d, f in fps.items():
+        least[f] = min(least.get(f, d), d)
+    classes = brute_classes(least)
+    got = {(r.doc_id, r.fingerprint, r.component_id) for r in queries.QUERIES["op8_near_duplicates"](spark, TINY).collect()}
+    assert got == {(d, f"{f:016x}", classes[f]) for d, f in fps.items()}
+
+
 # 9 mixing
 
 
@@ -339,7 +419,9 @@ def test_mix_meets_its_targets_and_repeats_itself(spark, odd):
     by = {}
     for _, _, target, taken, _, source in runs[0]:
         by.setdefault(source, [target, 0])[1] += taken
-    assert all(abs(got - target) <= 0.02 * target for target, got in by.values())
+    # Fifty documents a source: one may be longer than the others can make up for without changing its chance.
+    apart = [abs(got - target) / target for target, got in by.values() if target]
+    assert np.median(apart) <= 0.005 and np.mean(apart) <= 0.02 and max(apart) <= 0.1
     rows = mixing.mix_sources(odd).collect()
     assert len(rows) == len(ODD) and {r.taken for r in rows if r.source is None} == {0}
     assert mixing.mix_sources(odd.limit(0)).count() == 0
@@ -347,10 +429,27 @@ def test_mix_meets_its_targets_and_repeats_itself(spark, odd):
 
 def test_flight_keeps_both_sums():
     rng = np.random.default_rng(8)
-    sizes, chance = rng.integers(1, 900, size=300).tolist(), [0.37] * 300
-    p = mixing.flight(sizes, chance, rng.random(300).tolist())
-    assert sum(0 < x < 1 for x in p) <= 2 and abs(sum(p) - 111) < 1e-6
-    assert abs(sum(s * x for s, x in zip(sizes, p, strict=True)) - 0.37 * sum(sizes)) < 1e-6
+    sizes, chance = np.sort(rng.integers(1, 900, size=300))[::-1].astype(float), np.full(300, 0.37)
+    p = mixing.flight(sizes, chance, rng)
+    assert sum((p > 0) & (p < 1)) <= 2 and abs(p.sum() - 111) < 1e-6 and abs(sizes @ p - 0.37 * sizes.sum()) < 1e-6
+    assert sizes[(p > 0) & (p < 1)].max(initial=0) <= 50
+    assert mixing.flight(np.zeros(5), np.full(5, 0.4), rng).sum() == pytest.approx(2.0)
+
+
+def test_landing_changes_no_chance_on_average():
+    sizes, chance = np.array([6000, 500, 400, 400, 300, 200, 100, 90, 80, 0.0]), np.array([0.3, 0.5, 0.2, 0.7, 0.4, 0.6, 0.5, 0.5, 0.3, 0.3])
+    drawn = np.array([mixing.landing(sizes, chance, np.random.default_rng(i)) for i in range(3000)])
+    assert set(np.unique(drawn)) == {0, 1} and np.abs(drawn.mean(axis=0) - chance).max() < 0.035
+    even = np.sort(np.random.default_rng(1).integers(50, 900, size=200))[::-1].astype(float)
+    landed = mixing.landing(even, np.full(200, 0.37), np.random.default_rng(2))
+    assert abs(even @ landed - 0.37 * even.sum()) <= 100 and abs(landed.sum() - 74) <= 5
+
+
+def test_equal_rows_are_dealt_to_many_blocks(spark):
+    df = spark.createDataFrame([(1, "a b c", "s")] * 3000 + [(2, "d", "s")], "doc_id long, text string, source string")
+    got = mixing.mix_sources(df, block_rows=64)
+    assert got.count() == 3001 and abs(got.agg(F.sum("taken")).first()[0] - 1.5 * 9001) <= 3
+    assert max(r.n for r in mixing._copies(spark.createDataFrame([(5, 10_000)], "key long, n long")).groupBy("copy").agg(F.count("*").alias("n")).collect()) == 1
 
 
 # 10 personal data
@@ -380,6 +479,7 @@ def brute_spans(x):
 HARD = [
     "a@b.c%d@e.f x@y.z q@@r.s .@-.-", "1.2.3.4.5.6.7.8 1.2.3.400 0001.02.3.4 1.2.3", "+1 555 555 5555 4111 1111 1111 1111 😀 4111-1111-1111-1111", "+1+12345678901+1 ", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1",
     "x@y a.b@c.d.e.f-", "😀é 10.0.0.1, (555) 123-4567 +49 (30) 1234-5678.", "a." * 3000 + "@", "4111111111111111 1 4111111111111111", "12-34--56 7 8  9",
+    *[f"call +1{gap}2{gap}3{gap}4{gap}5{gap}6{gap}7{gap}8{gap}9 now" for gap in ("", " ", " .", "   ", "(  )", " . . ")], "4" + " 1" * 15, "1.2.3.4" * 3, "+" * 50 + "1 2", "@" * 300, "1-" * 3000,
 ]
 
 
@@ -399,6 +499,34 @@ def test_base_spans_against_brute_force(spark, odd, texts):
     assert pii.find_pii(odd).count() == len(ODD) and pii.find_pii(odd.limit(0), pii.fit(odd.limit(0))).count() == 0
 
 
+def test_personal_data_query_against_brute_force(spark):
+    texts = {r.doc_id: r.text for r in table(spark, TINY, "documents").collect()}
+    for r in queries.QUERIES["op10_pii"](spark, TINY).collect():
+        base = brute_spans(texts[r.doc_id])
+        told = [f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in base) for i in range(4)]
+        assert r.base_sha256 == hashlib.sha256(",".join(told).encode()).hexdigest() and set(told) <= set(filter(None, r.spans.split(",")))
+
+
+def test_precision_and_recall_of_added_spans(spark, texts):
+    """Other forms planted between words of the given documents, and numbers that are no personal data; the fit sees both."""
+    rng, rows, want = np.random.default_rng(11), [], {}
+    good = {"email": ["joe{} (at) example (dot) com", "ann.b{}[at]mail[dot]example[dot]org"], "phone": ["(555) 123-4{:03d}", "+1/555/123/4{:03d}"], "ip": ["2001:0db8:85a3:0000:0000:8a2e:0370:7{:03d}"]}
+    bad = ["chapter {} of 12 and 34", "in 1999 and 20{}", "scores 3:1, 2:2 and {}:0", "look (at) page {}"]
+    words = [t for t in texts.values() if t and not brute_spans(t) and not re.search("[0-9@]", t)][:150]
+    for i, t in enumerate(words):
+        kind = list(good)[i % 3] if i % 2 else None
+        text = (good[kind][i % len(good[kind])] if kind else bad[i % len(bad)]).format(i)
+        left, right = " ".join(t.split()[:6]), " ".join(t.split()[6:12])
+        rows.append((-1 - i, f"{left} {text} {right}"))
+        want[-1 - i] = {(kind, len(left) + 1, len(left) + 1 + len(text))} if kind else set()
+    df = spark.createDataFrame([*texts.items(), *rows], "doc_id long, text string")
+    got = {r.doc_id: {(pii.KINDS[s.kind], s.start, s.end) for s in r.spans} for r in pii.find_pii(df.where("doc_id < 0"), pii.fit(df)).collect()}
+    hit, told, real = (sum(map(len, x)) for x in ([got[i] & want[i] for i in want], got.values(), want.values()))
+    print(f"added spans: precision {hit / told:.3f}, recall {hit / real:.3f} of {real}")
+    assert hit >= 0.9 * told and hit >= 0.9 * real
+
+
 def test_added_spans_are_of_other_forms(spark, texts):
     df = spark.createDataFrame([*texts.items(), (-1, "write to joe (at) example (dot) com"), (-2, "only 12 of 34 at 5.6 and 7:30")], "doc_id long, text string")
     # The first row's form is unknown to the base patterns, so it must not be learnt as a wrong one.
@@ -445,6 +573,109 @@ def test_other_forms_among_the_fitted_documents(spark, texts):
 
 # pipeline
 
+CLASH = ("before", "gone", "hash", "score", "row", "spans", "base", "fp", "items", "key", "repeats", "size")
+
+
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """The tiny documents, the odd ones, and rows that share an id or everything, with columns named like those inside."""
+    docs = table(spark, TINY, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    some = docs.orderBy("doc_id").limit(3)
+    odd = spark.createDataFrame([(d, t, "en", None if d == 1 else "s", len(t or "")) for d, t in ODD], docs.schema)
+    twice = spark.createDataFrame([(5, f"{i} " + " ".join(f"only{i}x{j}" for j in range(60)), "en", "s", 7) for i in range(2)], docs.schema)
+    return docs.unionByName(some).unionByName(odd).unionByName(twice).withColumns({c: F.lit(c) for c in CLASH}).cache()
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_pipeline_quality_stage(spark, crowd):
+    import corpus_pipeline as cp
+
+    model = quality.train(crowd, table(spark, TINY, "labels"))
+    rows = crowd.collect()
+    scores = model.scores([(r.text or "").encode() for r in rows])
+    assert rows_of(cp.keep_quality(spark, crowd, TINY)) == sorted((tuple(r) for r, s in zip(rows, scores, strict=True) if s >= 0.3), key=repr)
+
+
+def test_pipeline_near_duplicates_stage(spark, crowd):
+    import corpus_pipeline as cp
+
+    rows, best = crowd.collect(), {}
+    fps = [brute_fingerprint(r.text) for r in rows]
+    classes = brute_classes({f: f for f in fps})
+    for r, f in zip(rows, fps, strict=True):
+        best.setdefault(classes[f], []).append((r.doc_id is None, r.doc_id or 0, f, r))
+    got = cp.drop_near_duplicates(spark, crowd, TINY).collect()
+    assert len(got) == len(best) and got[0].asDict().keys() == rows[0].asDict().keys()
+    left = {brute_fingerprint(r.text): r for r in got}
+    for members in best.values():
+        first = min(m[:3] for m in members)
+        assert left[first[2]].doc_id == (None if first[0] else first[1]) and left[first[2]] in [m[3] for m in members if m[:3] == first]
+
+
+def test_pipeline_decontamination_stage(spark, crowd):
+    import corpus_pipeline as cp
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = lambda t: word.findall((t or "").translate(lower))
+    windows = {}
+    for r in table(spark, TINY, "benchmark").collect():
+        w = split(r.text)
+        n = min(13, len(w))
+        for i in range(len(w) - n + 1) if n else ():
+            windows.setdefault(n, set()).add(tuple(w[i : i + n]))
+    def clean(t):
+        w, hit = split(t), set()
+        for n, known in windows.items():
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in known:
+                    hit.update(range(i, i + n))
+        return not hit or 20 * len(hit) < len(w)
+    assert rows_of(cp.drop_contaminated(spark, crowd, TINY)) == sorted((tuple(r) for r in crowd.collect() if clean(r.text)), key=repr)
+
+
+def test_pipeline_personal_data_stage(spark, crowd):
+    import corpus_pipeline as cp
+
+    def cut_out(t, spans):
+        out, at = "", 0
+        for s, k, e in spans:
+            if s >= at:
+                out, at = out + t[at:s] + f"[{pii.KINDS[k].upper()}]", e
+            at = max(at, e)
+        return out + t[at:]
+
+    want = []
+    for r in pii.find_pii(crowd.drop("base", "spans"), pii.fit(crowd)).collect():
+        told, row = sorted((s.start, s.kind, s.end) for s in r.spans), r.asDict() | {"base": "base", "spans": "spans"}
+        assert {(s, k, e) for s, k, e in brute_spans(r.text)} <= set(told)
+        if told:
+            row |= {"text": cut_out(r.text, told)}
+            row |= {"n_chars": len(row["text"])}
+        want.append(tuple(row[c] for c in crowd.columns))
+    got = cp.redact_personal(spark, crowd, TINY)
+    assert got.columns == crowd.columns and rows_of(got) == sorted(want, key=repr)
+
+
+def test_pipeline_mixing_stage(spark, crowd):
+    import corpus_pipeline as cp
+
+    rows = crowd.collect()
+    got = cp.mix(spark, crowd, TINY).collect()
+    size = lambda t: len(WORD.findall(t or ""))
+    targets = mixing.source_targets({k: sum(size(r.text) for r in rows if r.source == k) for k in {r.source for r in rows}})
+    copies = Counter(tuple(r[c] for c in crowd.columns if c not in ("size", "repeats")) for r in rows)
+    assert len({(r.doc_id, r.text, r.source) for r in got}) == len(got)
+    for r in got:
+        assert 0 < r.repeats <= 2 * copies[tuple(r[c] for c in crowd.columns if c not in ("size", "repeats"))]
+        assert r["size"] == size(r.text) and r.taken == r.repeats * r["size"] and r.target == pytest.approx(targets[r.source])
+        assert r.hash == "hash" and r.gone == "gone" and r.key == "key"
+    for k, t in targets.items():
+        assert abs(sum(r.taken for r in got if r.source == k) - t) <= max([size(r.text) for r in rows if r.source == k])
+
 
 def test_pipeline_stage_by_stage(spark):
     import corpus_pipeline as cp
@@ -461,10 +692,10 @@ def test_pipeline_stage_by_stage(spark):
     assert [len(cp.STAGES), cp.ORACLE_SQL] == [5, None]
 
 
-def test_pipeline_of_no_documents(spark):
+def test_pipeline_of_no_documents(spark, crowd):
     import corpus_pipeline as cp
 
-    docs = table(spark, TINY, "documents").limit(0)
-    for _, stage in cp.STAGES:
-        docs = stage(spark, docs, TINY)
-        assert docs.count() == 0
+    for docs in (table(spark, TINY, "documents").limit(0), crowd.limit(0)):
+        for _, stage in cp.STAGES:
+            docs = stage(spark, docs, TINY)
+            assert docs.count() == 0

@@ -1,4 +1,9 @@
-"""A corpus pipeline: quality, near-duplicates, decontamination, personal data and mixing."""
+"""A corpus pipeline: quality, near-duplicates, decontamination, personal data and mixing.
+
+Every stage takes documents with the columns doc_id, text and source and any others, whatever their names, and returns
+these columns; the last one adds repeats, taken, size, source_size and target. Null or repeated ids and null, empty or very
+long texts are rows like any other; empty tables stay empty.
+"""
 
 from __future__ import annotations
 
@@ -6,45 +11,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.llm.decontaminate import decontaminate
-from quantloom.llm.jobs import cut, table
-from quantloom.llm.mixing import mix_sources, row_hash
+from quantloom.llm.jobs import cut, packed, table
+from quantloom.llm.mixing import mix_sources, row_keys
 from quantloom.llm.near_dedup import near_duplicates
 from quantloom.llm.pii import fit as fit_pii
 from quantloom.llm.pii import redact
-from quantloom.llm.quality import score, train
+from quantloom.llm.quality import scored, train
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labelled ones among docs."""
-    return score(docs, train(docs, table(spark, sf_dir, "labels"))).where("score >= 0.3").drop("score")
+    """Rows that the quality classifier accepts, each judged by its own text; it learns from the labelled ones among docs."""
+    return scored(docs, train(docs, table(spark, sf_dir, "labels"))).where("score >= 0.3").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the smallest id; a row without an id stays."""
-    found = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("gone"), "left_anti")
+    """One row of each class of near-duplicates, the one with the smallest id (null last); of its ids' repeats one."""
+    return near_duplicates(docs, keep=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by benchmark items; these stay as they are."""
+    """Rows that aren't contaminated by benchmark items; these stay as they are."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=True).where("NOT contaminated").select("row.*")
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with their personal data replaced by the kind's name and n_chars counted anew where that happened."""
-    clean = redact(docs.withColumn("before", F.col("text")), fit_pii(docs))
-    changed = ~F.col("text").eqNullSafe(F.col("before"))
-    return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    """All rows, with their personal data replaced by the kind's name and n_chars counted anew where that happened."""
+    return redact(docs, fit_pii(docs), length_col="n_chars")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes: each document with its repeats and the words taken; documents that it doesn't take go.
+    """What the mix takes: each row with its repeats and the words taken; rows that it doesn't take go.
 
-    Rows with one id and one text are one row here, with the repeats of all of them.
+    Rows that are equal in all columns are one row here, with the repeats of all of them. Columns of docs that are named
+    like the added ones are replaced.
     """
-    taken = mix_sources(docs).groupBy("hash").agg(*[F.first(c).alias(c) for c in ("size", "source_size", "target")], F.sum("repeats").alias("repeats"), F.sum("taken").alias("taken"))
-    rows = docs.withColumn("hash", row_hash()).dropDuplicates(["hash"])
-    return rows.join(taken.where("repeats > 0"), "hash").drop("hash")
+    sums = [F.first(c).alias(c) for c in ("size", "source_size", "target")] + [F.sum(c).alias(c) for c in ("repeats", "taken")]
+    taken = mix_sources(docs).groupBy("key", "key2").agg(*sums).where("repeats > 0")
+    rows = docs.select(packed(docs), *row_keys(docs)).dropDuplicates(["key", "key2"])
+    added = ("size", "source_size", "target", "repeats", "taken")
+    return rows.join(taken, ["key", "key2"]).select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in added], *added)
 
 
 STAGES = [("quality", keep_quality), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated), ("personal_data", redact_personal), ("mixing", mix)]

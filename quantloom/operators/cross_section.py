@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantloom.operators.slices import below
+
 
 def weighted_index(df: DataFrame, by: list[str], fields: list[str], weight: str) -> DataFrame:
     """Weighted means per date and category; the weights of all rows count, a null field adds nothing."""
@@ -53,14 +55,18 @@ def class_counts(df: DataFrame, labels: list[str]) -> DataFrame:
 def rolling_threshold(scores: DataFrame, days: int, share: float = 0.99) -> DataFrame:
     """Per trade day the midpoint quantile of all scores of the days before it; 0 while these are fewer.
 
-    scores: day_idx, score. Each score goes to the days that it counts for, so that no range join is needed.
+    scores: day_idx, score. Counts of equal scores go to the days that they count for, so that no range join is needed,
+    and the two scores at the quantile are found by running sums, so that no day's scores are gathered.
     """
     last = scores.agg(F.min("day_idx").alias("lo"), F.max("day_idx").alias("hi"))
-    sent = scores.crossJoin(F.broadcast(last)).select("score", "lo", F.explode(F.sequence(F.col("day_idx") + 1, F.least(F.col("day_idx") + days, F.greatest("hi", F.col("day_idx") + 1)))).alias("day_idx"), "hi").where("day_idx <= hi")
-    grouped = sent.groupBy("day_idx").agg(F.sort_array(F.collect_list("score")).alias("x"), F.min("lo").alias("lo"))
-    at = (F.size("x") - 1) * share
-    middle = (F.element_at("x", F.floor(at).cast("int") + 1) + F.element_at("x", F.ceil(at).cast("int") + 1)) / 2
-    return scores.select("day_idx").distinct().join(grouped, "day_idx", "left").select("day_idx", F.coalesce(F.when(F.col("day_idx") - F.col("lo") >= days, middle), F.lit(0.0)).alias("threshold"))
+    counted = scores.groupBy("day_idx", "score").agg(F.count("*").alias("n"))
+    to = F.sequence(F.col("day_idx") + 1, F.least(F.col("day_idx") + days, F.greatest("hi", F.col("day_idx") + 1)))
+    sent = counted.crossJoin(F.broadcast(last)).select("score", "n", "lo", "hi", F.explode(to).alias("day_idx")).where("day_idx <= hi")
+    ranked = below(sent.groupBy("day_idx", "score").agg(F.sum("n").alias("n"), F.min("lo").alias("lo")), ["day_idx"], "score", ["n"])
+    at = (F.col("all_n") - 1) * share
+    here = lambda x: F.max(F.when((F.col("below_n") <= x) & (x < F.col("below_n") + F.col("n")), F.col("score")))
+    found = ranked.groupBy("day_idx").agg(((here(F.floor(at)) + here(F.ceil(at))) / 2).alias("middle"), F.min("lo").alias("lo"))
+    return scores.select("day_idx").distinct().join(found, "day_idx", "left").select("day_idx", F.coalesce(F.when(F.col("day_idx") - F.col("lo") >= days, F.col("middle")), F.lit(0.0)).alias("threshold"))
 
 
 def excess(df: DataFrame, reference: DataFrame, on: list[str], fields: list[str], prefix: str = "EXCESSIVE_") -> DataFrame:
@@ -97,6 +103,14 @@ def all_ranks(df: DataFrame, fields: list[str], inverted: tuple[str, ...] = ("PE
     return ranked.groupBy("date", "code").pivot("field", fields).agg(F.first("r", ignorenulls=True)).withColumnsRenamed({f: f"{f}_RANK" for f in fields})
 
 
+def category_ranks(df: DataFrame, category: str, fields: list[str], inverted: tuple[str, ...] = ("PE_TTM",)) -> DataFrame:
+    """Ranks of many fields within a category (over the largest rank there) in one window, by stacking the fields to rows."""
+    values = df.select("date", "code", category, *[(F.try_divide(F.lit(1.0), F.col(f)) if f in inverted else F.col(f).cast("double")).alias(f) for f in fields])
+    ranked = values.unpivot(["date", "code", category], fields, "field", "v").withColumn("r", average_rank("v", ["date", category, "field"]))
+    ranked = ranked.withColumn("r", F.col("r") / F.max("r").over(Window.partitionBy("date", category, "field")))
+    return ranked.groupBy("date", "code").pivot("field", fields).agg(F.first("r", ignorenulls=True)).withColumnsRenamed({f: f"{f}_{category}_RANK" for f in fields})
+
+
 def norm_log(df: DataFrame, fields: list[str]) -> DataFrame:
     """E5: z-score of the logarithm per date; a value that isn't positive has none."""
     day = Window.partitionBy("date")

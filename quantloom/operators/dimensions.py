@@ -57,9 +57,13 @@ def fill_upsert(existing: DataFrame, new: DataFrame, key: list[str], columns: li
 
 
 def supplemented_valuation(source: DataFrame, cap: DataFrame, reports: DataFrame) -> DataFrame:
-    """PE from cap over trailing profit, for keys that the source lacks."""
-    derived = cap.join(reports, ["date", "code"]).select("date", "code", F.try_divide("cap", "profit_ttm").alias("PE_TTM"))
-    return source.select("date", "code", "PE_TTM").unionByName(derived.join(source.select("date", "code"), ["date", "code"], "left_anti"))
+    """PE from cap over trailing profit and PS from close over trailing sales, for keys that the source lacks.
+
+    cap holds cap and close, reports profit_ttm and sales_ttm; a key that only one of them has gets what that allows.
+    """
+    both = cap.join(reports, ["date", "code"], "full")
+    derived = both.select("date", "code", F.try_divide("cap", "profit_ttm").alias("PE_TTM"), F.try_divide("close", "sales_ttm").alias("PS_TTM")).where("PE_TTM IS NOT NULL OR PS_TTM IS NOT NULL")
+    return source.select("date", "code", "PE_TTM", "PS_TTM").unionByName(derived.join(source.select("date", "code"), ["date", "code"], "left_anti"))
 
 
 def carried_forward(series: DataFrame, calendar: DataFrame, columns: list[str], key: str = "series_id") -> DataFrame:
@@ -78,6 +82,15 @@ def known_daily(values: DataFrame, calendar: DataFrame, columns: list[str], anno
     return days.join(F.broadcast(spans), (F.col("date") >= F.col(announced)) & (F.col("__to").isNull() | (F.col("date") < F.col("__to")))).select("date", *columns)
 
 
+def joined_daily(sources: list[tuple[DataFrame, list[str]]], calendar: DataFrame) -> DataFrame:
+    """Several low-frequency sources (each with its columns) on each trade day that any of them covers."""
+    out = None
+    for values, columns in sources:
+        one = known_daily(values, calendar, columns)
+        out = one if out is None else out.join(one, "date", "full")
+    return out
+
+
 def month_span(months: DataFrame, columns: list[str]) -> DataFrame:
     """Each month's figures on every day from the 15th of the next month to the 14th of the one after."""
     start = F.date_add(F.add_months(F.make_date("year", "month", F.lit(1)), 1), 14)

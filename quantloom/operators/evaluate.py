@@ -8,9 +8,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantloom.operators.slices import below, rank_from_top
+
 
 #: Stands for an unknown feature; trees can split it off.
 UNKNOWN = -1e9
@@ -81,24 +83,21 @@ def _by_score(df: DataFrame, by: list[str], label: str, score: str) -> DataFrame
 
 
 def auc(df: DataFrame, by: list[str], label: str, score: str) -> DataFrame:
-    """Exact area under the curve; ties count half. by names at least one column."""
-    w = Window.partitionBy(*by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = _by_score(df, by, label, score).withColumn("below", F.coalesce(F.sum("q").over(w), F.lit(0)))
-    return ranked.groupBy(*by).agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("q") / 2)), F.sum("p") * F.sum("q")).alias("auc"))
+    """Exact area under the curve; ties count half. by names at least one column; rows without a score are left out."""
+    ranked = below(_by_score(df.where(F.col(score).isNotNull()), by, label, score), by, score, ["q"])
+    return ranked.groupBy(*by).agg(F.try_divide(F.sum(F.col("p") * (F.col("below_q") + F.col("q") / 2)), F.sum("p") * F.sum("q")).alias("auc"))
 
 
 def ks(df: DataFrame, by: list[str], label: str, score: str) -> DataFrame:
-    """I8: largest distance between the classes' shares above a score."""
-    w, every = Window.partitionBy(*by).orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*by)
-    shares = _by_score(df, by, label, score).select(*by, F.abs(F.try_divide(F.sum("p").over(w), F.sum("p").over(every)) - F.try_divide(F.sum("q").over(w), F.sum("q").over(every))).alias("d"))
-    return shares.groupBy(*by).agg(F.max("d").alias("ks"))
+    """I8: largest distance between the classes' shares above a score; rows without one are left out."""
+    ranked = below(_by_score(df.where(F.col(score).isNotNull()), by, label, score), by, score, ["p", "q"])
+    share = lambda c: F.try_divide(F.col(f"all_{c}") - F.col(f"below_{c}"), F.col(f"all_{c}"))
+    return ranked.groupBy(*by).agg(F.max(F.abs(share("p") - share("q"))).alias("ks"))
 
 
 def top_percent(df: DataFrame, by: list[str], score: str, ties: list[str], percent: int = 1) -> DataFrame:
     """1 for the floor(n * percent / 100) rows with the highest scores of a group."""
-    n = F.count("*").over(Window.partitionBy(*by))
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(score), *ties))
-    return df.withColumn("picked", (rank <= F.floor(n * percent / 100)).cast("int"))
+    return rank_from_top(df, by, score, ties).withColumn("picked", (F.col("__rank") <= F.floor(F.col("__n") * percent / 100)).cast("int")).drop("__rank", "__n")
 
 
 def blended(df: DataFrame, weights: dict[str, float] | None, columns: list[str]) -> DataFrame:

@@ -1,10 +1,7 @@
-"""Screening and portfolio evaluation."""
+"""Screening and portfolio evaluation."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +18,7 @@ def candidates(day: DataFrame, quotes: DataFrame, flags: DataFrame, listing: Dat
     quotes holds LIMIT_UP; members, if given, holds (date, code). A null flag doesn't pass.
     """
     out = day.join(quotes.where("LIMIT_UP = 0").select("date", "code"), ["date", "code"], "left_semi").join(flags.where("ST_FLAG = 0").select("date", "code"), ["date", "code"], "left_semi")
-    out = out.join(F.broadcast(listing.select("code", "list_date")), "code").where(F.datediff("date", "list_date") > least_days).drop("list_date")
+    out = out.join(listing.select("code", "list_date"), "code").where(F.datediff("date", "list_date") > least_days).drop("list_date")
     if members is not None:
         out = out.join(members.select("date", "code"), ["date", "code"], "left_semi")
     return out if threshold is None else out.where(F.col(score) > threshold)
@@ -55,6 +52,24 @@ def layers(df: DataFrame, score: str, n: int, every: int) -> DataFrame:
     return out.withColumn("weight", 1.0 / F.count("*").over(Window.partitionBy("date", "layer"))).drop("__r", "__n")
 
 
+def after_closing(days: DataFrame, blocked: DataFrame, every: int) -> DataFrame:
+    """Rebalance days when a new basket is only bought once the old one is wholly sold.
+
+    days: day_idx of all trade days; blocked: day_idx of days on which something can't be sold. A basket is due every
+    `every` days; a sale that falls on blocked days waits for the first day after them, and the next basket is bought
+    then. Returns (due_idx, day_idx): each due day and the day on which its basket is really bought; due days that wait
+    for the same day become one, the first.
+    """
+    due = days.where(F.col("day_idx") % every == 0).select(F.col("day_idx").alias("due_idx"))
+    free = days.join(blocked.select("day_idx").distinct(), "day_idx", "left_anti")
+    # The first free day from each day on, by one pass over the calendar backwards.
+    w = Window.orderBy(F.desc("day_idx")).rowsBetween(Window.unboundedPreceding, 0)
+    marked = days.select("day_idx").join(free.select("day_idx", F.col("day_idx").alias("__free")), "day_idx", "left")
+    first = marked.select(F.col("day_idx").alias("due_idx"), F.min("__free").over(w).alias("day_idx"))
+    bought = due.join(first, "due_idx").where("day_idx IS NOT NULL")
+    return bought.groupBy("day_idx").agg(F.min("due_idx").alias("due_idx")).select("due_idx", "day_idx")
+
+
 def held_days(df: DataFrame, calendar: DataFrame, every: int) -> DataFrame:
     """The basket on each day that it is held, from its rebalance day on; bought marks the first."""
     days = calendar.select(F.col("date").alias("__d"), F.col("day_idx").alias("__i"))
@@ -115,72 +130,6 @@ def performance(returns: DataFrame, by: list[str], *, yearly: bool = False, rela
     )
 
 
-@dataclass(frozen=True)
-class Policy:
-    """A setting of the capped-position sweep."""
-
-    policy_id: int
-    score: str
-    max_holding: int
-    take_profit: float
-    max_positions: int = 5
-    checkpoints: tuple[int, ...] = (2, 5, 10)
-    commission: float = 0.0
-
-
-def capped_positions(bars: pd.DataFrame, policy: Policy) -> pd.DataFrame:
-    """One policy over its days: bars hold day_idx, code, open, high, next_open, rank (null: no candidate) and score_<h>.
-
-    Each day: positions at their maximum age close at the open, as do those whose checkpoint score is below 0.5; free
-    places go to the best candidates; then a high at the take-profit closes an older position there, and what is left
-    earns the move to the next open. A day's gains add up.
-    """
-    held: dict[str, dict] = {}
-    out = []
-    for day, group in bars.groupby("day_idx", sort=True):
-        today = group.set_index("code")
-        ret = 0.0
-        for code in sorted(held):
-            pos = held[code]
-            if code not in today.index:
-                continue
-            left = policy.max_holding - pos["age"]
-            doubt = left in policy.checkpoints and today.at[code, f"score_{left}"] < 0.5
-            if left <= 0 or doubt:
-                del held[code]
-        for code in today[today["rank"].notna()].sort_values("rank").index:
-            if len(held) >= policy.max_positions:
-                break
-            if code not in held:
-                held[code] = {"open": today.at[code, "open"], "last": today.at[code, "open"], "age": 0}
-                ret -= policy.commission / policy.max_positions
-        for code in sorted(held):
-            pos = held[code]
-            if code in today.index:
-                target = pos["open"] * (1 + policy.take_profit)
-                if pos["age"] and today.at[code, "high"] >= target:
-                    ret += (max(target, today.at[code, "open"]) / pos["last"] - 1) / policy.max_positions
-                    del held[code]
-                    continue
-                nxt = today.at[code, "next_open"]
-                if pd.notna(nxt):
-                    ret += (nxt / pos["last"] - 1) / policy.max_positions
-                    pos["last"] = nxt
-            pos["age"] += 1
-        out.append((policy.policy_id, day, ret, len(held)))
-    return pd.DataFrame(out, columns=["policy_id", "day_idx", "ret", "positions"])
-
-
-def policy_sweep(bars: DataFrame, policies: list[Policy]) -> DataFrame:
-    """Daily returns of each policy; Spark cuts the bars to the codes that are ever candidates, one group per policy."""
-    settings = {p.policy_id: p for p in policies}
-    grid = bars.sparkSession.createDataFrame([(p.policy_id,) for p in policies], "policy_id int")
-    once = bars.where("rank IS NOT NULL").select("code").distinct()
-    return bars.join(once, "code", "left_semi").crossJoin(F.broadcast(grid)).groupBy("policy_id").applyInPandas(
-        lambda g: capped_positions(g, settings[int(g["policy_id"].iloc[0])]), "policy_id int, day_idx long, ret double, positions int"
-    )
-
-
 def trade_list(scores: DataFrame, held: DataFrame, score: str, *, buys: int = 20, most_days: int = 20) -> DataFrame:
     """The best names to buy; names held too long or below 0.5 to sell, unless they are to be bought. scores holds one date."""
     best = scores.withColumn("__r", F.row_number().over(Window.orderBy(F.desc(score), "code"))).where(F.col("__r") <= buys).select("code")
@@ -200,14 +149,14 @@ def sized_orders(buys: DataFrame, cash: float, names: int, commission: float = 0
     return buys.withColumn("volume", volume).withColumn("cost", F.col("volume") * F.col("price")).withColumn("commission", F.col("cost") * commission)
 
 
-def closed_records(sells: DataFrame, positions: DataFrame, opening: float, commission: float = 0.001) -> DataFrame:
-    """Revenue, commission, PnL and running balance of closed positions, in order of end date and code.
+def closed_records(sells: DataFrame, positions: DataFrame, opening: float, commission: float = 0.001, account: str = "account") -> DataFrame:
+    """Revenue, commission, PnL and running balance of closed positions, per account in order of end date and code.
 
-    One account's records are few; the running balance needs them in one order.
+    positions names each position's account; a balance runs within its account, so accounts are dealt to tasks.
     """
     j = sells.join(positions, "code").withColumn("revenue", F.col("volume") * F.col("close_price"))
     j = j.withColumn("commission", F.col("revenue") * commission).withColumn("PnL", F.col("revenue") - F.col("commission") - F.col("cost"))
-    w = Window.orderBy("end_date", "code").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(account).orderBy("end_date", "code").rowsBetween(Window.unboundedPreceding, 0)
     return j.withColumn("balance", opening + F.sum(F.col("revenue") - F.col("commission")).over(w))
 
 
@@ -233,15 +182,15 @@ def performance_rows(values: DataFrame, by: list[str], days: int = 252) -> DataF
     }).drop("__gap")
 
 
-def reviewed(picks: DataFrame, prices: DataFrame, indexes: dict[str, DataFrame], today) -> DataFrame:
-    """Return from the pick day's open to today's close, and what is left over each index's return of the same days."""
-    now = F.lit(today).cast("date")
+def reviewed(picks: DataFrame, prices: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
+    """Return from the pick day's open to the close of the prices' last day, and what is left over each index's return of the same days."""
+    now = F.broadcast(prices.agg(F.max("date").alias("__now")))
     opened = prices.select("date", "code", F.col("open").alias("__o"))
-    closed = prices.where(F.col("date") == now).select("code", F.col("close").alias("__c"))
+    closed = prices.join(now, F.col("date") == F.col("__now")).select("code", F.col("close").alias("__c"))
     out = picks.join(opened, ["date", "code"]).join(closed, "code").withColumn("ret", F.try_divide(F.col("__c"), F.col("__o")) - 1).drop("__o", "__c")
     for name, index in indexes.items():
-        end = index.where(F.col("date") == now).agg(F.max("close").alias("__e"))
-        move = F.broadcast(index.select("date", F.col("open").alias("__i")).crossJoin(end).select("date", (F.try_divide(F.col("__e"), F.col("__i")) - 1).alias("__m")))
+        end = index.join(now, F.col("date") == F.col("__now")).agg(F.max("close").alias("__e"))
+        move = F.broadcast(index.select("date", F.col("open").alias("__i")).crossJoin(F.broadcast(end)).select("date", (F.try_divide(F.col("__e"), F.col("__i")) - 1).alias("__m")))
         out = out.join(move, "date", "left").withColumn(f"alpha_{name}", F.col("ret") - F.col("__m")).drop("__m")
     return out
 

@@ -65,15 +65,15 @@ def adx(high: np.ndarray, low: np.ndarray, close: np.ndarray, n: int) -> np.ndar
     return _smoothed(dx, 2 * n - 1, dx[n : 2 * n].mean(), 1 / n)
 
 
-def recursive_features(df: DataFrame, *, key: str = "code", value: str = "close", ema_lags: tuple[int, ...] = (), macd_lags: tuple[int, ...] = (), rsi_lags: tuple[int, ...] = (), adx_lags: tuple[int, ...] = (), prefix: str = "") -> DataFrame:
-    """key, date and the asked EMA, MACD, RSI and ADX columns; value has no nulls within a key's history."""
+def recursive_features(df: DataFrame, *, key: str = "code", value: str = "close", ema_lags: tuple[int, ...] = (), macd_lags: tuple[int, ...] = (), rsi_lags: tuple[int, ...] = (), adx_lags: tuple[int, ...] = (), prefix: str = "", keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, date, the columns of keep and the asked EMA, MACD, RSI and ADX columns; value has no nulls within a key's history."""
     names = [f"{prefix}EMA_{n}D" for n in ema_lags]
     names += [f"{prefix}MACD_DIF_12_26D"] * bool(macd_lags) + [f"{prefix}MACD_{x}12_26_{n}D" for n in macd_lags for x in ("DEA_", "")]
     names += [f"{prefix}RSI_{n}D" for n in rsi_lags] + [f"{prefix}ADX_{n}D" for n in adx_lags]
 
     def compute(bars: pd.DataFrame) -> pd.DataFrame:
         bars = bars.sort_values("date", kind="stable")
-        x, out = bars[value].to_numpy(float), {key: bars[key], "date": bars["date"]}
+        x, out = bars[value].to_numpy(float), {c: bars[c] for c in (key, "date", *keep)}
         out |= {f"{prefix}EMA_{n}D": ema(x, n) for n in ema_lags}
         for i, n in enumerate(macd_lags):
             dif, dea, hist = macd(x, n)
@@ -82,10 +82,10 @@ def recursive_features(df: DataFrame, *, key: str = "code", value: str = "close"
             out |= {f"{prefix}MACD_DEA_12_26_{n}D": dea, f"{prefix}MACD_12_26_{n}D": hist}
         out |= {f"{prefix}RSI_{n}D": rsi(x, n) for n in rsi_lags}
         out |= {f"{prefix}ADX_{n}D": adx(*(bars[c].to_numpy(float) for c in ("high", "low", "close")), n) for n in adx_lags}
-        return pd.DataFrame(out)[[key, "date", *names]]
+        return pd.DataFrame(out)[[key, "date", *keep, *names]]
 
-    needed = list(dict.fromkeys([key, "date", value, *(("high", "low", "close") if adx_lags else ())]))
-    schema = T.StructType([df.schema[key], df.schema["date"], *(T.StructField(c, T.DoubleType()) for c in names)])
+    needed = list(dict.fromkeys([key, "date", value, *keep, *(("high", "low", "close") if adx_lags else ())]))
+    schema = T.StructType([df.schema[key], df.schema["date"], *(df.schema[c] for c in keep), *(T.StructField(c, T.DoubleType()) for c in names)])
     found = df.select(*needed).groupBy(key).applyInPandas(compute, schema)
     # The kernels' not-a-number is null everywhere else.
-    return found.select(key, "date", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in names])
+    return found.select(key, "date", *keep, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in names])

@@ -166,9 +166,9 @@ def price_volume(df: DataFrame, rows: Rows, lags: tuple[int, ...]) -> DataFrame:
 
 
 def list_days(df: DataFrame, listing: DataFrame) -> DataFrame:
-    """LIST_DAYNUM: days since the listing, null before it; listing holds code and list_date and is small."""
+    """LIST_DAYNUM: days since the listing, null before it; listing holds code and list_date."""
     days = F.datediff("date", "list_date")
-    return df.join(F.broadcast(listing.select("code", "list_date")), "code", "left").withColumn("LIST_DAYNUM", F.when(days >= 0, days)).drop("list_date")
+    return df.join(listing.select("code", "list_date"), "code", "left").withColumn("LIST_DAYNUM", F.when(days >= 0, days)).drop("list_date")
 
 
 def resume_days(df: DataFrame, rows: Rows, index: str = "day_idx", most: int = 30) -> DataFrame:

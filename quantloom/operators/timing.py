@@ -6,6 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
+from quantloom.operators.slices import below
 from pyspark.sql import types as T
 
 #: Upper 5 % point of the chi-squared distribution with one degree of freedom.
@@ -114,10 +116,7 @@ def chi_merge(df: DataFrame, columns: list[str], target: str, bins: int = 100) -
     long = df.select(target, *[F.col(c).cast("double").alias(c) for c in columns]).where(F.col(target).isNotNull()).unpivot([target], columns, "column", "v").where("v IS NOT NULL")
     # Distinct values with their counts give the quantiles without sorting all rows of a column in one place.
     counted = long.groupBy("column", "v").agg(F.count("*").alias("n"), F.sum(target).alias("bad"))
-    w = Window.partitionBy("column").orderBy("v")
-    ranked = counted.withColumn("upto", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    total = Window.partitionBy("column")
-    ranked = ranked.withColumn("all", F.sum("n").over(total)).withColumn("from", F.col("upto") - F.col("n"))
+    ranked = below(counted, ["column"], "v", ["n"]).withColumnsRenamed({"below_n": "from", "all_n": "all"}).withColumn("upto", F.col("from") + F.col("n"))
     steps = ranked.select("column", "v", "from", "upto", "all", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("q"))
     at = (F.col("all") - 1) * F.col("q") / bins
     low, high = F.floor(F.round(at, 9)), F.ceil(F.round(at, 9))

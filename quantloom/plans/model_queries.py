@@ -29,7 +29,7 @@ def g1_wide_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT date, code, a.close AS close, industry, round(c, 3) AS industry_close, s.close AS index_close FROM a LEFT JOIN i USING (date, industry) LEFT JOIN s USING (date)""", "quotes", "description", "series"))
 def g2_category_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = panels.description(spark, sf_dir).select("code", "industry")
-    a = panels.quotes(spark, sf_dir).select("date", "code", "close").join(F.broadcast(d), "code")
+    a = panels.quotes(spark, sf_dir).select("date", "code", "close").join(d, "code")
     by_industry = a.groupBy("date", "industry").agg(F.round(F.avg("close"), 3).alias("close"))
     index = panels.series(spark, sf_dir).where("series_id = 'A'").select("date", "close")
     return asm.wide_panel(a, [asm.Part(by_industry, ("date", "industry"), "industry_", small=True), asm.Part(index, ("date",), "index_", small=True)])
@@ -38,7 +38,7 @@ def g2_category_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle("SELECT date, code, close, area FROM quotes LEFT JOIN description USING (code)", "quotes", "description"))
 def g3_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The area has no date: it is today's, also for the past."""
-    return asm.wide_panel(panels.quotes(spark, sf_dir).select("date", "code", "close"), [asm.Part(panels.description(spark, sf_dir).select("code", "area"), ("code",), small=True)])
+    return asm.wide_panel(panels.quotes(spark, sf_dir).select("date", "code", "close"), [asm.Part(panels.description(spark, sf_dir).select("code", "area"), ("code",))])
 
 
 @query(oracle("SELECT date, code FROM quotes JOIN description USING (code) JOIN flags USING (date, code) WHERE date - list_date > 60 AND ST_FLAG = 0", "quotes", "description", "flags"))

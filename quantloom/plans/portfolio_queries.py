@@ -127,6 +127,13 @@ def _measures(keys: str, dev: str) -> str:
   SELECT {keys}, round(avg(ret) * 252, 5) AS annual_return, round({dev}(ret) * sqrt(252), 5) AS annual_std, round(avg(ret) * 252 / nullif({dev}(ret) * sqrt(252), 0), 5) AS sharpe, round(min(v / peak - 1), 5) AS max_drawdown, round(ln(arg_max(v, date)), 5) AS log_growth FROM pk GROUP BY {keys}"""
 
 
+@query(oracle("""WITH b AS (SELECT DISTINCT day_idx FROM quotes WHERE day_idx % 7 = 0), f AS (SELECT day_idx FROM calendar ANTI JOIN b USING (day_idx)), x AS (SELECT c.day_idx AS due_idx, (SELECT min(f.day_idx) FROM f WHERE f.day_idx >= c.day_idx) AS day_idx FROM calendar c WHERE c.day_idx % 5 = 0)
+  SELECT min(due_idx) AS due_idx, day_idx FROM x WHERE day_idx IS NOT NULL GROUP BY day_idx""", "quotes"))
+def j5_after_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocked = panels.quotes(spark, sf_dir).where("day_idx % 7 = 0").select("day_idx")
+    return pf.after_closing(panels.calendar(spark, sf_dir).select(F.col("day_idx").cast("long").alias("day_idx")), blocked, 5)
+
+
 @query(oracle(f"{HELD}, src AS (SELECT * FROM rt), {_measures('layer', 'stddev_samp')}", *NEED))
 def j9_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _measured(pf.performance(_returns(spark, sf_dir), ["layer"]), ["layer"])
@@ -137,22 +144,13 @@ def j9_yearly_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _measured(pf.performance(_returns(spark, sf_dir), ["layer"], yearly=True), ["layer", "year"])
 
 
-@query(oracle(f"WITH src AS (SELECT series_id, date, coalesce(open / nullif(lag(open) OVER (PARTITION BY series_id ORDER BY date), 0) - 1, 0) AS ret FROM series WHERE date >= DATE '1998-06-01'), {_measures('series_id', 'stddev_samp')}", "series"))
+@query(oracle(f"WITH src AS (SELECT series_id, date, coalesce(open / nullif(lag(open) OVER (PARTITION BY series_id ORDER BY date), 0) - 1, 0) AS ret FROM series ), {_measures('series_id', 'stddev_samp')}", "series"))
 def j10_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Rows(key=("series_id",))
-    s = panels.series(spark, sf_dir).where("date >= DATE '1998-06-01'").select("series_id", "date", F.coalesce(rows.ret("open", 1), F.lit(0.0)).alias("ret"))
+    s = panels.series(spark, sf_dir).select("series_id", "date", F.coalesce(rows.ret("open", 1), F.lit(0.0)).alias("ret"))
     return _measured(pf.performance(s, ["series_id"]), ["series_id"])
 
 
-@query()
-def j11_policy_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = pf.top_k(_candidates(spark, sf_dir), "proba_1_5D", 5).select("date", "code", "rank")
-    p = panels.predictions(spark, sf_dir).select("date", "code", *[F.col(f"proba_1_{h}D").alias(f"score_{h}") for h in (2, 5, 10)])
-    q = panels.quotes(spark, sf_dir).select("date", "code", "day_idx", "open", "high", F.lead("open").over(R.window).alias("next_open"))
-    bars = q.join(p, ["date", "code"]).join(top, ["date", "code"], "left")
-    return pf.policy_sweep(bars, [pf.Policy(0, "proba_1_5D", 5, 0.1), pf.Policy(1, "proba_1_5D", 10, 0.05)])
-
-
 @query(oracle(f"""WITH d AS (SELECT max(date) AS d FROM predictions WHERE date <= DATE '{TODAY}'), s AS (SELECT code, proba_1_5D AS p, row_number() OVER (ORDER BY proba_1_5D DESC, code) AS r FROM predictions, d WHERE date = d), b AS (SELECT code FROM s WHERE r <= 5),
   h AS (SELECT code, key % 30 AS hp FROM description), x AS (SELECT h.code FROM h LEFT JOIN s USING (code) WHERE hp >= 20 OR p < 0.5)
   SELECT code, 'buy' AS side FROM b UNION ALL SELECT code, 'sell' FROM x WHERE code NOT IN (SELECT code FROM b)""", "predictions", "description"))
@@ -170,21 +168,21 @@ def j14_score_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("code", F.array_join(F.transform("history", lambda h: F.concat(h["date"].cast("string"), F.lit("="), F.round(h["proba_1_5D"] * 10007).cast("bigint").cast("string"))), ",").alias("history"))
 
 
-@query(oracle("WITH o AS (SELECT date, code, open AS price, floor(2000000000 / 20 / (open * 1.001::DOUBLE) / 100) * 100 AS volume FROM quotes WHERE date >= DATE '1998-01-01') SELECT date, code, volume::BIGINT AS volume, round(volume * price, 2) AS cost, round(volume * price * 0.001, 2) AS commission FROM o", "quotes"))
+@query(oracle("WITH o AS (SELECT date, code, open AS price, floor(2000000000 / 20 / (open * 1.001::DOUBLE) / 100) * 100 AS volume FROM quotes) SELECT date, code, volume::BIGINT AS volume, round(volume * price, 2) AS cost, round(volume * price * 0.001, 2) AS commission FROM o", "quotes"))
 def j15_sized_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buys = panels.quotes(spark, sf_dir).where("date >= DATE '1998-01-01'").select("date", "code", F.col("open").alias("price"))
+    buys = panels.quotes(spark, sf_dir).select("date", "code", F.col("open").alias("price"))
     return pf.rounded(pf.sized_orders(buys, 2e9, 20), ["date", "code", F.col("volume").cast("long").alias("volume")], ["cost", "commission"], 2)
 
 
-@query(oracle(f"""WITH p AS (SELECT code, arg_min(open, date) AS open_price, 100 * (1 + key % 5) AS volume FROM quotes GROUP BY code, key), s AS (SELECT code, max(date) AS end_date, arg_max(close, date) AS close_price FROM quotes GROUP BY code),
-  j AS (SELECT code, end_date, volume * close_price AS revenue, volume * close_price * 0.001::DOUBLE AS commission, volume * open_price AS cost FROM p JOIN s USING (code))
-  SELECT code, end_date, revenue, round(commission, 3) AS commission, round(revenue - commission - cost, 3) AS PnL, round(1000000 + sum(revenue - commission) OVER (ORDER BY end_date, code ROWS UNBOUNDED PRECEDING), 1) AS balance FROM j""", "quotes"))
+@query(oracle(f"""WITH p AS (SELECT code, key % 4 AS account, arg_min(open, date) AS open_price, 100 * (1 + key % 5) AS volume FROM quotes GROUP BY code, key), s AS (SELECT code, max(date) AS end_date, arg_max(close, date) AS close_price FROM quotes GROUP BY code),
+  j AS (SELECT code, account, end_date, volume * close_price AS revenue, volume * close_price * 0.001::DOUBLE AS commission, volume * open_price AS cost FROM p JOIN s USING (code))
+  SELECT code, account, end_date, revenue, round(commission, 3) AS commission, round(revenue - commission - cost, 3) AS PnL, round(1000000 + sum(revenue - commission) OVER (PARTITION BY account ORDER BY end_date, code ROWS UNBOUNDED PRECEDING), 1) AS balance FROM j""", "quotes"))
 def j16_closed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = panels.quotes(spark, sf_dir)
-    held = q.groupBy("code", "key").agg(F.min_by("open", "date").alias("open_price")).select("code", (100 * (1 + F.col("key") % 5)).alias("volume"), (100 * (1 + F.col("key") % 5) * F.col("open_price")).alias("cost"))
+    held = q.groupBy("code", "key").agg(F.min_by("open", "date").alias("open_price")).select("code", (F.col("key") % 4).alias("account"), (100 * (1 + F.col("key") % 5)).alias("volume"), (100 * (1 + F.col("key") % 5) * F.col("open_price")).alias("cost"))
     sells = q.groupBy("code").agg(F.max("date").alias("end_date"), F.max_by("close", "date").alias("close_price"))
     found = pf.closed_records(sells, held, 1e6)
-    return found.select("code", "end_date", "revenue", F.round("commission", 3).alias("commission"), F.round("PnL", 3).alias("PnL"), F.round("balance", 1).alias("balance"))
+    return found.select("code", "account", "end_date", "revenue", F.round("commission", 3).alias("commission"), F.round("PnL", 3).alias("PnL"), F.round("balance", 1).alias("balance"))
 
 
 @query(oracle(f"""WITH p AS (SELECT code, min(date) AS start_date, arg_min(open, date) AS open_price, 100 AS volume FROM quotes WHERE date >= DATE '1998-01-01' GROUP BY code),
@@ -204,14 +202,13 @@ def j18_performance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("series_id", "date", *[F.round(c, 6).alias(c) for c in ("daily_return", "annualized_std", "max_drawdown")], F.col("duration").cast("long").alias("duration"))
 
 
-@query(oracle("""WITH t AS (SELECT max(date) AS t FROM quotes), p AS (SELECT date, code FROM quotes WHERE date >= DATE '1998-01-01' AND (key + day_idx) % 3 = 0), e AS (SELECT code, close AS c FROM quotes, t WHERE date = t), i AS (SELECT date, open FROM series WHERE series_id = 'N'),
+@query(oracle("""WITH t AS (SELECT max(date) AS t FROM quotes), p AS (SELECT date, code FROM quotes WHERE (key + day_idx) % 3 = 0), e AS (SELECT code, close AS c FROM quotes, t WHERE date = t), i AS (SELECT date, open FROM series WHERE series_id = 'N'),
   x AS (SELECT max(close) AS e FROM series, t WHERE series_id = 'N' AND date = t) SELECT date, code, round(c / nullif(q.open, 0) - 1, 6) AS ret, round(c / nullif(q.open, 0) - 1 - (e / nullif(i.open, 0) - 1), 6) AS alpha_n FROM p JOIN quotes q USING (date, code) JOIN e USING (code) LEFT JOIN i USING (date) CROSS JOIN x""", "quotes", "series"))
 def j19_reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = panels.quotes(spark, sf_dir)
-    today = q.agg(F.max("date")).first()[0]
     index = panels.series(spark, sf_dir).where("series_id = 'N'")
-    picks = q.where("date >= DATE '1998-01-01' AND (key + day_idx) % 3 = 0").select("date", "code")
-    return pf.rounded(pf.reviewed(picks, q, {"n": index}, today), ["date", "code"], ["ret", "alpha_n"])
+    picks = q.where("(key + day_idx) % 3 = 0").select("date", "code")
+    return pf.rounded(pf.reviewed(picks, q, {"n": index}), ["date", "code"], ["ret", "alpha_n"])
 
 
 @query(oracle("WITH n AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS rn, lag(close) OVER (PARTITION BY code ORDER BY date) AS pc FROM quotes) SELECT date, code, "
@@ -242,7 +239,7 @@ def flagship_top_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes, 5-day returns, cap-weighted industry index, excess return over it, and the five best codes of each date."""
     d = panels.description(spark, sf_dir).select("code", "industry")
     caps = panels.valuation(spark, sf_dir).select("date", "code", F.col("FREE_MRK_CAP").alias("w"))
-    q = panels.quotes(spark, sf_dir).select("date", "code", "close").withColumn("RET_5D", R.ret("close", 5)).join(caps, ["date", "code"]).join(F.broadcast(d), "code")
+    q = panels.quotes(spark, sf_dir).select("date", "code", "close").withColumn("RET_5D", R.ret("close", 5)).join(caps, ["date", "code"]).join(d, "code")
     index = cs.weighted_index(q, ["date", "industry"], ["close"], "w").withColumn("close", F.round("close", 3))
     moves = index.select("date", "industry", Rows(key=("industry",)).ret("close", 5).alias("RET_5D"))
     e = cs.excess(q, moves, ["date", "industry"], ["RET_5D"]).withColumn("excess", F.round("EXCESSIVE_RET_5D", 6)).where("excess IS NOT NULL")

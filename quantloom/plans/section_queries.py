@@ -21,7 +21,7 @@ FIELDS = ["open", "high", "low", "close", "volume", "amount", "turnover"]
 def _weighted(spark, sf_dir) -> DataFrame:
     q, d = panels.quotes(spark, sf_dir), panels.description(spark, sf_dir).select("code", "area", "industry")
     caps = panels.valuation(spark, sf_dir).select("date", "code", F.col("FREE_MRK_CAP").alias("w"))
-    return q.join(caps, ["date", "code"]).join(F.broadcast(d), "code")
+    return q.join(caps, ["date", "code"]).join(d, "code")
 
 
 @query(oracle("SELECT date, industry, " + ", ".join(f"round(sum({f} * FREE_MRK_CAP) / sum(FREE_MRK_CAP), 3) AS {f}" for f in FIELDS) + " FROM quotes q JOIN valuation v USING (date, code) JOIN description USING (code) GROUP BY date, industry", "quotes", "valuation", "description"))
@@ -42,7 +42,7 @@ _RISE = ", ".join(f"round(count(*) FILTER (RET_{n}D > 0) / nullif(count(RET_{n}D
   + " UNION ALL ".join(f"SELECT date, '{k}' AS level, {m} AS member, {_RISE} FROM c GROUP BY ALL" for k, m in (("all", "NULL"), ("area", "area"), ("industry", "industry"), ("market", "market"))), "quotes", "description"))
 def c2_rise_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = panels.description(spark, sf_dir).select("code", "area", "industry", market_of("code").alias("market"))
-    found = cs.rise_ratio_sets(_returns(spark, sf_dir).join(F.broadcast(d), "code"), ["area", "industry", "market"], ["RET_1D", "RET_5D"])
+    found = cs.rise_ratio_sets(_returns(spark, sf_dir).join(d, "code"), ["area", "industry", "market"], ["RET_1D", "RET_5D"])
     return found.select("date", "level", "member", *[F.round(f"RET_{n}D_RISE", 9).alias(f"RET_{n}D_RISE") for n in (1, 5)])
 
 
@@ -83,7 +83,7 @@ def c6_rolling_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT date, code, round(RET_1D - b, 6) AS industry_excess, round(RET_1D - c, 6) AS market_excess FROM m JOIN i USING (date, industry) JOIN t USING (date)""", "quotes", "description"))
 def e1_excess_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = panels.description(spark, sf_dir).select("code", "industry")
-    r = _returns(spark, sf_dir, (1,)).join(F.broadcast(d), "code")
+    r = _returns(spark, sf_dir, (1,)).join(d, "code")
     by_industry, by_date = (r.groupBy(*by).agg(F.avg("RET_1D").alias("RET_1D")) for by in (["date", "industry"], ["date"]))
     found = cs.excess(cs.excess(r, by_industry, ["date", "industry"], ["RET_1D"], "i_"), by_date, ["date"], ["RET_1D"], "m_")
     return found.select("date", "code", F.round("i_RET_1D", 6).alias("industry_excess"), F.round("m_RET_1D", 6).alias("market_excess"))
@@ -102,7 +102,7 @@ def e2_market_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle(f"WITH v AS (SELECT date, code, industry, CASE WHEN PE_TTM > 0 THEN PE_TTM END AS PE FROM valuation JOIN description USING (code)), r AS (SELECT *, {_rank('PE', 'date, industry')} AS rk FROM v) SELECT date, code, round(rk / max(rk) OVER (PARTITION BY date, industry), 9) AS PE_RANK FROM r", "valuation", "description"))
 def e3_category_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = panels.description(spark, sf_dir).select("code", "industry")
-    v = panels.valuation(spark, sf_dir).select("date", "code", F.when(F.col("PE_TTM") > 0, F.col("PE_TTM")).alias("PE")).join(F.broadcast(d), "code")
+    v = panels.valuation(spark, sf_dir).select("date", "code", F.when(F.col("PE_TTM") > 0, F.col("PE_TTM")).alias("PE")).join(d, "code")
     return cs.category_rank(v, "industry", ["PE"]).select("date", "code", F.round("PE_RANK", 9).alias("PE_RANK"))
 
 
@@ -113,6 +113,25 @@ def e4_all_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cs.all_ranks(v, fields).select("date", "code", *[F.round(f"{f}_RANK", 9).alias(f"{f}_RANK") for f in fields])
 
 
+_GROUPS = ("area", "industry", "market")
+
+
+@query(oracle(f"""WITH v AS (SELECT date, code, area, industry, {MARKET} AS market, 1 / nullif(PE_TTM, 0) AS PE_TTM, FREE_MRK_CAP, turnover, close / nullif(lag(close, 5) OVER (PARTITION BY code ORDER BY date), 0) - 1 AS RET_5D FROM valuation JOIN quotes USING (date, code) JOIN description USING (code)),
+  r AS (SELECT *, """ + ", ".join(f"{_rank(v, f'date, {g}')} AS r_{g}_{v}" for g in _GROUPS for v in ("PE_TTM", "FREE_MRK_CAP", "turnover", "RET_5D")) + " FROM v) SELECT date, code, "
+  + ", ".join(f"round(r_{g}_{v} / max(r_{g}_{v}) OVER (PARTITION BY date, {g}), 9) AS {v}_{g}_RANK" for g in _GROUPS for v in ("PE_TTM", "FREE_MRK_CAP", "turnover", "RET_5D")) + " FROM r", "quotes", "valuation", "description"))
+def e4_category_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking job within areas, industries and markets."""
+    fields = ["PE_TTM", "FREE_MRK_CAP", "turnover", "RET_5D"]
+    q = panels.quotes(spark, sf_dir).select("date", "code", "turnover", F.round(R.ret("close", 5), 12).alias("RET_5D"))
+    v = panels.valuation(spark, sf_dir).select("date", "code", "PE_TTM", "FREE_MRK_CAP").join(q, ["date", "code"])
+    v = v.join(panels.description(spark, sf_dir).select("code", "area", "industry"), "code").withColumn("market", market_of("code"))
+    out = None
+    for g in _GROUPS:
+        one = cs.category_ranks(v, g, fields)
+        out = one if out is None else cs.combined(out, one)
+    return out.select("date", "code", *[F.round(f"{f}_{g}_RANK", 9).alias(f"{f}_{g}_RANK") for g in _GROUPS for f in fields])
+
+
 @query(oracle("WITH l AS (SELECT date, code, CASE WHEN PE_TTM > 0 THEN ln(PE_TTM) END AS p, ln(FREE_MRK_CAP) AS c FROM valuation) SELECT date, code, " + ", ".join(f"round(({v} - avg({v}) OVER d) / nullif(stddev_samp({v}) OVER d, 0), 5) AS NORM_LOG_{k}" for v, k in (("p", "PE_TTM"), ("c", "FREE_MRK_CAP"))) + " FROM l WINDOW d AS (PARTITION BY date)", "valuation"))
 def e5_norm_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cs.norm_log(panels.valuation(spark, sf_dir), ["PE_TTM", "FREE_MRK_CAP"])

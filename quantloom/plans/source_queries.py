@@ -91,6 +91,14 @@ def a10_first_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.first_complete([q.where("day_idx % 50 <> 3").select("date", "code", "close"), rows, rows], panels.calendar(spark, sf_dir))
 
 
+@query(oracle("WITH f AS (SELECT date, code, proba_1_5D FROM predictions WHERE day_idx % 5 <> 0 AND key % 2 = 0), b AS (SELECT date, code, proba_1_5D / 2 AS proba_1_5D FROM predictions) SELECT date, code, round(proba_1_5D, 9) AS proba_1_5D, 0 AS is_backup FROM f UNION ALL SELECT date, code, round(proba_1_5D, 9), 1 FROM b WHERE date NOT IN (SELECT date FROM f)", "predictions"))
+def a10_dated_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = panels.predictions(spark, sf_dir)
+    backup = p.select("date", "code", (F.col("proba_1_5D") / 2).alias("proba_1_5D"))
+    found = io.dated_fallback(p.where("day_idx % 5 <> 0 AND key % 2 = 0").select("date", "code", "proba_1_5D"), backup)
+    return found.select("date", "code", F.round("proba_1_5D", 9).alias("proba_1_5D"), "is_backup")
+
+
 @query(oracle(f"SELECT date, code, close FROM quotes WHERE date > DATE '{EARLY}'", "quotes"))
 def a11_only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = panels.quotes(spark, sf_dir).select("date", "code", "close")
@@ -221,12 +229,14 @@ def b15_fill_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.fill_upsert(old, q.where("day_idx % 2 = 0").select("date", "code", (F.col("close") + 1).alias("close")), ["date", "code"], ["close"])
 
 
-@query(oracle("""WITH s AS (SELECT date, code, PE_TTM FROM valuation WHERE day_idx % 3 <> 0) SELECT * FROM s UNION ALL
-  SELECT date, code, round(FREE_MRK_CAP / nullif(amount, 0), 6) FROM valuation JOIN quotes USING (date, code) WHERE valuation.day_idx % 3 = 0""", "quotes", "valuation"))
+@query(oracle("""WITH s AS (SELECT date, code, PE_TTM, PE_TTM / 2 AS PS_TTM FROM valuation WHERE day_idx % 3 <> 0) SELECT * FROM s UNION ALL
+  SELECT date, code, round(FREE_MRK_CAP / nullif(amount, 0), 6), round(close / nullif(volume, 0), 6) FROM valuation JOIN quotes USING (date, code) WHERE valuation.day_idx % 3 = 0""", "quotes", "valuation"))
 def b16_supplemented_valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = panels.valuation(spark, sf_dir)
-    cap, profit = v.select("date", "code", F.col("FREE_MRK_CAP").alias("cap")), panels.quotes(spark, sf_dir).select("date", "code", F.col("amount").alias("profit_ttm"))
-    return dim.supplemented_valuation(v.where("day_idx % 3 <> 0"), cap, profit).withColumn("PE_TTM", F.round("PE_TTM", 6))
+    v, q = panels.valuation(spark, sf_dir), panels.quotes(spark, sf_dir)
+    cap = v.select("date", "code", F.col("FREE_MRK_CAP").alias("cap")).join(q.select("date", "code", "close"), ["date", "code"])
+    profit = q.select("date", "code", F.col("amount").alias("profit_ttm"), F.col("volume").alias("sales_ttm"))
+    source = v.where("day_idx % 3 <> 0").withColumn("PS_TTM", F.col("PE_TTM") / 2)
+    return dim.supplemented_valuation(source, cap, profit).withColumns({c: F.round(c, 6) for c in ("PE_TTM", "PS_TTM")})
 
 
 @query(oracle("""WITH e AS (SELECT *, (make_date(fiscal_year, fiscal_season * 3, 28))::DATE AS pe, (report_date + INTERVAL (CASE key % 4 WHEN 0 THEN 0 WHEN 1 THEN -12 WHEN 2 THEN 12 ELSE 36 END) MONTH)::DATE AS d FROM reports WHERE day(report_date) < 29),
@@ -254,6 +264,16 @@ def b20_known_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.known_daily(panels.macro(spark, sf_dir), panels.calendar(spark, sf_dir), ["m0"])
 
 
+@query(oracle("""WITH s AS (SELECT *, lead(announced) OVER (ORDER BY announced) AS upto FROM macro), a AS (SELECT date, m0 FROM calendar JOIN s ON date >= announced AND (upto IS NULL OR date < upto)),
+  q AS (SELECT year, (month - 1) // 3 + 1 AS season, sum(m0) AS sales, (make_date(year, 1, 1) + INTERVAL 3 MONTH * ((month - 1) // 3 + 1) + INTERVAL 14 DAY)::DATE AS announced FROM macro GROUP BY ALL), u AS (SELECT *, lead(announced) OVER (ORDER BY announced) AS upto FROM q),
+  b AS (SELECT date, sales FROM calendar JOIN u ON date >= announced AND (upto IS NULL OR date < upto)) SELECT coalesce(a.date, b.date) AS date, m0, sales FROM a FULL JOIN b ON a.date = b.date""", "calendar", "macro"))
+def b20_joined_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly and quarterly figures side by side on the trade days that either covers."""
+    m = panels.macro(spark, sf_dir)
+    by_season = m.groupBy("year", F.ceil(F.col("month") / 3).cast("int").alias("season")).agg(F.sum("m0").alias("sales")).withColumn("announced", clean.announced_season("year", "season"))
+    return dim.joined_daily([(m, ["m0"]), (by_season, ["sales"])], panels.calendar(spark, sf_dir))
+
+
 @query(oracle("SELECT unnest(generate_series(announced, announced + INTERVAL 1 MONTH - INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS date, m0 FROM macro", "macro"))
 def b21_month_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.month_span(panels.macro(spark, sf_dir), ["m0"])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quantloom.operators.bundles import BANDS, BUNDLES, L7, Bundle, value_set
 from quantloom.operators.recursive import recursive_features
 from quantloom.operators.rolling import Rows, balance_volume, betas, fill, limits, list_days, period_change, price_volume, resume_days, stochastics, volatility_ratio
 from quantloom.plans.registry import query
@@ -261,3 +264,91 @@ def d30_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT date, code, coalesce(m > 0.095, false)::INT AS LIMIT_UP, coalesce(m < -0.095, false)::INT AS LIMIT_DOWN, coalesce(abs(high / nullif(open, 0) - 1) < 0.001, false)::INT AS OPEN_AT_HIGH FROM p""", "quotes"))
 def d31_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limits(panels.quotes(spark, sf_dir), R).select("date", "code", "LIMIT_UP", "LIMIT_DOWN", "OPEN_AT_HIGH")
+
+
+def ema_steps(value: str, lags: tuple[int, ...]) -> str:
+    """Recursive CTEs: n (rows numbered by code) and e, the EMA of each lag row by row, seeded by the mean of its first rows."""
+    seeds = ", ".join(f"avg({value}) OVER (PARTITION BY code ORDER BY date ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW) AS s{k}" for k in lags)
+    steps = ", ".join(f"CASE WHEN n.rn < {k} THEN NULL WHEN n.rn = {k} THEN n.s{k} ELSE e.e{k} + (n.v - e.e{k}) * {2 / (k + 1)!r}::DOUBLE END" for k in lags)
+    return f"""RECURSIVE n AS (SELECT date, code, {value}::DOUBLE AS v, row_number() OVER (PARTITION BY code ORDER BY date) AS rn, {seeds} FROM quotes),
+  e AS (SELECT code, rn, {", ".join(f"NULL::DOUBLE AS e{k}" for k in lags)} FROM n WHERE rn = 1 UNION ALL SELECT n.code, n.rn, {steps} FROM e JOIN n ON n.code = e.code AND n.rn = e.rn + 1)"""
+
+
+def _averages(value: str, lags: tuple[int, ...]) -> str:
+    """CTE a: the three averages of each lag."""
+    of = [f"CASE WHEN n.rn >= {k} THEN avg(v) OVER {w(k)} END AS MA_{k}, e{k} AS EMA_{k}, CASE WHEN n.rn >= {k} THEN (sum(v * n.rn) OVER {w(k)} - (n.rn - {k}) * sum(v) OVER {w(k)}) / {k * (k + 1) / 2}::DOUBLE END AS WMA_{k}" for k in lags]
+    return f"{ema_steps(value, lags)}, a AS (SELECT n.date, n.code, n.rn, v, {', '.join(of).replace('PARTITION BY code', 'PARTITION BY n.code').replace('ORDER BY date', 'ORDER BY n.date')} FROM n JOIN e ON e.code = n.code AND e.rn = n.rn)"
+
+
+DIFF_LAGS = tuple(k for k in L7 if k >= 2)
+_KINDS = [(m, k) for m in ("MA", "EMA", "WMA") for k in DIFF_LAGS]
+_DIFFS = f"""WITH {_averages('close', DIFF_LAGS)}, b AS (SELECT date, code, rn, {", ".join(f"round(v - {m}_{k}, 6) AS d_{m}_{k}" for m, k in _KINDS)} FROM a),
+  s AS (SELECT *, {", ".join(f"CASE WHEN d_{m}_{k} > 0 THEN 1 WHEN d_{m}_{k} IS NOT NULL THEN 0 END AS s_{m}_{k}" for m, k in _KINDS)} FROM b)"""
+
+
+def _counts_sql(m: str, k: int) -> str:
+    run = lambda value: f"rn - max(CASE WHEN coalesce(s_{m}_{k} <> {value}, true) OR rn = 1 THEN rn END) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING)"
+    plus = full(f"sum(s_{m}_{k})", f"s_{m}_{k}", k)
+    return f"({plus})::BIGINT AS {m}_DIFF_PLUS_COUNT_{k}D, ({k} - {plus})::BIGINT AS {m}_DIFF_NEGATIVE_COUNT_{k}D, ({run(1)})::BIGINT AS {m}_DIFF_CON_PLUS_COUNT_{k}D, ({run(0)})::BIGINT AS {m}_DIFF_CON_NEGATIVE_COUNT_{k}D"
+
+
+def _differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return value_set(panels.quotes(spark, sf_dir), R, Bundle(returns=False, spreads=False, macd=False))
+
+
+@query(oracle(f"{_DIFFS} SELECT date, code, " + ", ".join(f"round(d_{m}_{k}, 3) AS {m}_DIFF_{k}D, s_{m}_{k} AS {m}_DIFF_SIGN_{k}D" for m, k in _KINDS) + " FROM s", "quotes"))
+def d4_difference_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _differences(spark, sf_dir).select("date", "code", *[c for m, k in _KINDS for c in (F.round(f"{m}_DIFF_{k}D", 3).alias(f"{m}_DIFF_{k}D"), F.col(f"{m}_DIFF_SIGN_{k}D"))])
+
+
+@query(oracle(f"{_DIFFS} SELECT date, code, " + ", ".join(_counts_sql(m, k) for m, k in _KINDS) + " FROM s", "quotes"))
+def d5_d6_sign_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("PLUS_COUNT", "NEGATIVE_COUNT", "CON_PLUS_COUNT", "CON_NEGATIVE_COUNT")
+    return _differences(spark, sf_dir).select("date", "code", *[F.col(f"{m}_DIFF_{c}_{k}D").cast("long").alias(f"{m}_DIFF_{c}_{k}D") for m, k in _KINDS for c in names])
+
+
+def _set_sql(value: str, p: str) -> str:
+    macd = f"""l AS (SELECT date, code, list({value}) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING) AS x FROM quotes), f AS (SELECT date, code, {ema_sql('x', 12, '26')} - {ema_sql('x', 26)} AS dif FROM l WHERE len(x) >= 26),
+  g AS (SELECT date, code, dif, list(dif) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING) AS y FROM f), h AS (SELECT date, code, CASE WHEN len(y) >= 7 THEN dif END AS dif, {ema_sql('y', 7)} AS dea FROM g)"""
+    columns = [f"round({m}_{k}, 2) AS {p}{m}_{k}D" for m, k in _KINDS] + [f"round(v / nullif(lag(v, {k}) OVER (PARTITION BY code ORDER BY date), 0) - 1, 6) AS {p}RET_{k}D" for k in L7]
+    columns += [f"round({full('stddev_samp(v)', 'v', k)}, 2) AS {p}STD_{k}D" for k in DIFF_LAGS if k >= 5]
+    columns += [f"round({full('avg(v)', 'v', k)} {s} 2 * {full('stddev_pop(v)', 'v', k)}, 2) AS {p}BBANDS_{side}_{k}D" for k in BANDS for side, s in (("UPPER", "+"), ("LOWER", "-"))]
+    return oracle(f"WITH {_averages(value, DIFF_LAGS)}, {macd}, c AS (SELECT a.*, {', '.join(columns)} FROM a) SELECT date, code, {', '.join(x.split(' AS ')[-1] for x in columns)}, "
+                  f"round(dif, 2) AS {p}MACD_DIF_12_26D, round(dea, 2) AS {p}MACD_DEA_12_26_7D, round(2 * (dif - dea), 2) AS {p}MACD_12_26_7D FROM c LEFT JOIN h USING (date, code)", "quotes")
+
+
+def _value_set(spark: SparkSession, sf_dir: str, value: str, p: str) -> DataFrame:
+    found = value_set(panels.quotes(spark, sf_dir).withColumn(value, F.col(value).cast("double")), R, Bundle(value, p, differences=False)).drop(value)
+    return found.select("date", "code", *[F.round(c, 6 if f"{p}RET" in c else 2).alias(c) for c in found.columns if c not in ("date", "code")])
+
+
+@query(_set_sql("volume", "V"))
+def d20_volume_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _value_set(spark, sf_dir, "volume", "V")
+
+
+@query(_set_sql("amount", "AMT"))
+def d21_amount_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _value_set(spark, sf_dir, "amount", "AMT")
+
+
+@query(oracle("WITH v AS (SELECT date, series_id AS code, CASE WHEN day_idx % 5 <> 0 THEN close END AS x FROM series), f AS (SELECT date, code, coalesce(last_value(x IGNORE NULLS) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING), avg(x) OVER (PARTITION BY code)) AS close FROM v) "
+  + "SELECT date, code, " + ", ".join(f"round(close / nullif(lag(close, {k}) OVER (PARTITION BY code ORDER BY date), 0) - 1, 6) AS RET_{k}D" for k in L7) + " FROM f", "series"))
+def d23_series_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratio-only bundle of single series with holes, which are filled first."""
+    holes = panels.series(spark, sf_dir).select("date", F.col("series_id").alias("code"), F.when(F.col("day_idx") % 5 != 0, F.col("close")).alias("close"))
+    found = value_set(holes, R, replace(BUNDLES["ratio_only"], filled=True))
+    return found.select("date", "code", *[F.round(f"RET_{k}D", 6).alias(f"RET_{k}D") for k in L7])
+
+
+@query()
+def d23_all_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each of the six bundles as a row per code or series and date: its name and its number of known features."""
+    q, s = panels.quotes(spark, sf_dir), panels.series(spark, sf_dir).withColumnRenamed("series_id", "code")
+    out = None
+    for name, bundle in BUNDLES.items():
+        found = value_set(s if "series" in name else q, R, bundle)
+        known = sum((F.col(c).isNotNull().cast("int") for c in found.columns if c not in ("date", "code")), F.lit(0))
+        one = found.select(F.lit(name).alias("bundle"), "date", "code", known.alias("known"))
+        out = one if out is None else out.unionByName(one)
+    return out

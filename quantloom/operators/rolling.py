@@ -141,19 +141,24 @@ def balance_volume(df: DataFrame, rows: Rows, v: str, lags: tuple[int, ...], nam
 def betas(df: DataFrame, rows: Rows, asset: str, market: str, lags: tuple[int, ...], half_life: int = 63) -> DataFrame:
     """beta_n: decayed covariance over decayed variance around plain means, from row n on (from 0).
 
-    The decay is a factor 2**(row / half_life), so that each weighted sum is a plain window sum; rows are numbered per
-    key, so factors stay finite for some 60,000 rows.
+    The decay is a factor 2**(row / half_life), so that each weighted sum is a plain window sum, and the sum of the factors
+    themselves is a geometric one; rows are numbered per key, so factors stay finite for some 60,000 rows. Each window
+    sum is a column of its own first: a frame that is named twice would be summed twice.
     """
     a, m, g = F.col(asset), F.col(market), F.col("__g")
     out = df.withColumn("__row", rows.number()).withColumn("__g", F.pow(F.lit(2.0), F.col("__row") / half_life))
-    columns = {}
+    summed = {"ga": g * a, "gm": g * m, "gam": g * a * m, "gmm": g * m * m}
+    sums, columns = {}, {}
     for n in lags:
-        s = lambda x, n=n: F.sum(x).over(rows.last(n))
-        mean_a, mean_m = F.avg(a).over(rows.last(n)), F.avg(m).over(rows.last(n))
-        cov = s(g * a * m) - mean_a * s(g * m) - mean_m * s(g * a) + mean_a * mean_m * s(g)
-        var = s(g * m * m) - 2 * mean_m * s(g * m) + mean_m * mean_m * s(g)
-        columns[f"beta_{n}D"] = F.when((F.count(a * m).over(rows.last(n)) == n) & (F.col("__row") > n), F.try_divide(cov, var))
-    return out.withColumns(columns).drop("__row", "__g")
+        over = rows.last(n)
+        sums |= {f"__{k}{n}": F.sum(x).over(over) for k, x in summed.items()}
+        sums |= {f"__a{n}": F.avg(a).over(over), f"__m{n}": F.avg(m).over(over), f"__n{n}": F.count(a * m).over(over)}
+        ga, gm, gam, gmm, mean_a, mean_m, full = (F.col(f"__{k}{n}") for k in (*summed, "a", "m", "n"))
+        factors = g * ((1 - 2.0 ** (-n / half_life)) / (1 - 2.0 ** (-1 / half_life)))
+        cov = gam - mean_a * gm - mean_m * ga + mean_a * mean_m * factors
+        var = gmm - 2 * mean_m * gm + mean_m * mean_m * factors
+        columns[f"beta_{n}D"] = F.when((full == n) & (F.col("__row") > n), F.try_divide(cov, var))
+    return out.withColumns(sums).withColumns(columns).drop("__row", "__g", *sums)
 
 
 def price_volume(df: DataFrame, rows: Rows, lags: tuple[int, ...]) -> DataFrame:

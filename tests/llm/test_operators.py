@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from conftest import SMALL, TINY
-from quantloom.llm import chat, decontaminate, fingerprints, html_text, language, mixing, near_dedup, pii, quality, quality_rules, queries, substring_dedup
+from quantloom.llm import chat, decontaminate, fingerprints, html_text, jaccard_join, language, merkle, mixing, near_dedup, periodic_runs, pii, quality, quality_rules, queries, substring_dedup
 from quantloom.llm.jobs import components, join_hot, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -699,3 +699,234 @@ def test_pipeline_of_no_documents(spark, crowd):
         for _, stage in cp.STAGES:
             docs = stage(spark, docs, TINY)
             assert docs.count() == 0
+
+
+# 11 manifest
+
+
+def _h(x):
+    return hashlib.sha256(x.encode()).hexdigest()
+
+
+def _manifest_by_hand(rows):
+    """rows (doc_id, source, lang, n_chars, text) to sorted (doc_id, leaf, subroot, root, siblings)."""
+
+    def field(v):
+        return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+    def tree(leaves):
+        proofs, level, at = [[] for _ in leaves], list(leaves), list(range(len(leaves)))
+        while len(level) > 1:
+            for i, p in enumerate(at):
+                run = level[p // 16 * 16 : p // 16 * 16 + 16]
+                proofs[i] += run[: p % 16] + run[p % 16 + 1 :]
+                at[i] = p // 16
+            level = [_h("".join(level[i : i + 16])) for i in range(0, len(level), 16)]
+        return level[0], proofs
+
+    of = {}
+    for r in rows:
+        of.setdefault(r[1], []).append((r[0] is not None, r[0] or 0, _h("".join(map(field, r))), r[0]))
+    sources = sorted(of, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [tree([x[2] for x in sorted(of[s])]) for s in sources]
+    root, above = tree([t[0] for t in trees])
+    return sorted(((x[3], x[2], trees[k][0], root, "".join(trees[k][1][i] + above[k])) for k, s in enumerate(sources) for i, x in enumerate(sorted(of[s]))), key=repr)
+
+
+@pytest.mark.parametrize("sizes", [[1], [2], [16], [17], [257, 1, 4097, 3], [1] * 40])
+def test_manifest_by_hand(spark, sizes):
+    rows = [(i, f"s{k}" if k else None, None, i, f"text {i}") for k, n in enumerate(sizes) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(5)
+    found = merkle.merkle_manifest(docs).withColumns({"all": F.array_join(F.transform("proof", lambda p: F.concat(p["left"], p["right"])), ""), "folded": merkle.folded(F.col("leaf"), F.col("proof"))}).collect()
+    assert sorted(((r.doc_id, r.leaf, r.subroot, r.root, r["all"]) for r in found), key=repr) == _manifest_by_hand(rows)
+    assert all(r.folded == r.root for r in found)
+
+
+def test_manifest_of_odd_rows(spark, odd):
+    docs = odd.withColumn("n_chars", F.lit(None).cast("long"))
+    found = merkle.merkle_manifest(docs, keep={"at": F.lit(3)})
+    want = _manifest_by_hand([(r.doc_id, r.source, r.lang, r.n_chars, r.text) for r in docs.collect()])
+    got = [(r.doc_id, r.leaf, r.subroot, r.root, "".join(p.left + p.right for p in r.proof)) for r in found.collect()]
+    assert sorted(got, key=repr) == want and found.columns[-1] == "at"
+    assert merkle.merkle_manifest(docs.limit(0)).count() == 0
+
+
+def test_a_changed_row_is_noticed(spark):
+    found = merkle.merkle_manifest(table(spark, TINY, "documents"), keep={"other": merkle.leaf_digest(F.lit("x"))})
+    rows = found.select((merkle.folded(F.col("leaf"), F.col("proof")) == F.col("root")).alias("kept"), (merkle.folded(F.col("other"), F.col("proof")) == F.col("root")).alias("changed")).collect()
+    assert all(r.kept and not r.changed for r in rows)
+
+
+def test_no_task_gathers_a_source(spark):
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("one").alias("source"), F.lit("leaf").alias("leaf"))
+    placed = merkle.numbered(merkle.cut(rows), "source", ["doc_id", "leaf"])
+    blocks = placed.groupBy(F.shiftright("pos", merkle.BLOCK_BITS).alias("b")).agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).collect()
+    assert len(blocks) == 10 and max(b.n for b in blocks) == 4096 and all(b.hi - b.lo + 1 == b.n for b in blocks)
+
+
+# 12 Jaccard join
+
+
+def _jaccard_by_hand(rows):
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        o = len(sets[i] & sets[j])
+        if o and 100 * o >= 80 * (len(sets[i]) + len(sets[j]) - o):
+            root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(((d, len(sets[i]), least.get(find(i))) for i, (d, _) in enumerate(rows)), key=repr)
+
+
+@pytest.mark.parametrize(("tree_cost", "broadcast_rows"), [(1 << 18, 200_000), (1500, 1)])
+def test_jaccard_components_by_hand(spark, odd, tree_cost, broadcast_rows):
+    rng = np.random.default_rng(5)
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    for group in range(8):
+        base = rng.integers(0, 300, 20 + 30 * group)
+        for _ in range(25):
+            w = base.copy()
+            w[rng.integers(0, len(w), rng.integers(0, 6))] = rng.integers(0, 300)
+            rows.append((len(rows) * 7 % 1009 + 100, " ".join(f"{'W' if rng.random() < 0.5 else 'w'}{x}" for x in w[: len(w) - rng.integers(0, 9)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("n", "set", "sid", "rk", "g", "label", "root", "h")}).repartition(3)
+    found = jaccard_join.jaccard_components(docs, tree_cost=tree_cost, broadcast_rows=broadcast_rows)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=repr) == _jaccard_by_hand(rows)
+    assert jaccard_join.jaccard_components(docs.limit(0)).count() == 0
+
+
+def test_tree_links_connect_what_all_pairs_connect():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        base, sets = [np.unique(rng.integers(0, 400, rng.integers(3, 80))) for _ in range(rng.integers(1, 5))], {}
+        for _ in range(rng.integers(2, 40)):
+            s = np.unique(np.concatenate((rng.permutation(base[rng.integers(len(base))])[rng.integers(0, 6) :], rng.integers(0, 400, rng.integers(1, 5)))))
+            sets[s.tobytes()] = s
+        sets = list(sets.values())
+        sizes = np.array([len(s) for s in sets]) + rng.integers(0, 3, len(sets))
+        label = rng.integers(0, 2 * len(sets), len(sets))
+        links = {(i, j) for i, j in combinations(range(len(sets)), 2) if 9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (sizes[i] + sizes[j])}
+        found = jaccard_join.tree_links(np.arange(len(sets)), label, sizes, sets) if len(sets) > 1 else []
+        assert {tuple(sorted(p)) for p in found} <= links
+
+        def roots(pairs, label=label):
+            now = label.copy()
+            for i, j in pairs:
+                now[now == now[i]] = now[j]
+            return [int(np.flatnonzero(now == x)[0]) for x in now]
+
+        assert roots(found) == roots(links)
+
+
+def test_a_long_group_is_dealt_into_trees_of_bounded_size(spark, monkeypatch):
+    """Two chains of near-copies in one group, whose neighbours link and whose ends don't."""
+    sets = [(i, 60, list(range(2 * i, 2 * i + 60))) for i in range(150)] + [(1000 + i, 60, list(range(55 + 2 * i, 115 + 2 * i))) for i in range(0, 20)]
+    told = spark.createDataFrame(sets, "sid long, n long, codes array<long>")
+    want = {(a, b) for (a, n, x), (b, m, y) in combinations(sets, 2) if 9 * len(set(x) & set(y)) >= 4 * (n + m)}
+    seen = []
+    trees = jaccard_join._trees
+    monkeypatch.setattr(jaccard_join, "_trees", lambda members, cost: seen.append(members.groupBy("tree").count().agg(F.max("count")).first()[0]) or trees(members, cost))
+    links = jaccard_join.set_links(told, tree_cost=20 * 316)
+    roots = {r.node: r.root for r in components(links).collect()}
+    by_hand = {r.node: r.root for r in components(spark.createDataFrame(list(want), "a long, b long")).collect()}
+    assert roots == by_hand and max(x or 0 for x in seen) < 60
+
+
+# 13 periodic runs
+
+
+def _runs_by_hand(w):
+    out = []
+    for q in range(1, len(w) // 4 + 1):
+        agree = [i + q < len(w) and w[i] == w[i + q] for i in range(len(w))]
+        i = 0
+        while i < len(w):
+            j = i
+            while j < len(w) and agree[j]:
+                j += 1
+            if j - i + q >= max(6, 4 * q) and not any(all(w[k] == w[k + p] for k in range(i, j + q - p)) for p in range(1, q)):
+                out.append((i, j - i + q, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def test_runs_against_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(600):
+        texts = []
+        for _ in range(rng.integers(1, 5)):
+            k, w = rng.integers(1, 6), []
+            for _ in range(rng.integers(0, 6)):
+                p = [f"{x}" for x in rng.integers(0, k, rng.integers(1, 10))]
+                w += p * rng.integers(1, 7) + p[: rng.integers(0, len(p))]
+            texts.append(w)
+        assert periodic_runs.runs_of([" ".join(w).encode() for w in texts]) == [_runs_by_hand(w) for w in texts]
+
+
+def test_equal_leading_bits_are_sorted_in_full(monkeypatch):
+    monkeypatch.setattr(periodic_runs, "mix", lambda h: h & np.uint64(255))
+    key = np.random.default_rng(2).integers(0, 1000, 3000).astype(np.uint64) << np.uint64(6)
+    at, name, far = periodic_runs.successors(key, np.arange(3000))
+    for i, n, d in zip(at.tolist(), name.tolist(), far.tolist(), strict=True):
+        again = np.flatnonzero(key[i + 1 :] == key[i])
+        assert d == (again[0] + 1 if len(again) else 0) and (key[at[name == n]] == key[i]).all()
+
+
+def _run_row(doc_id, text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    if h % 10 == 0 and n:
+        a = h // 10 % n
+        p = 1 + (n - a) // (3 + h // 10 % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    runs = _runs_fast(w)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = max(runs, key=lambda r: (r[1], -r[0], -r[2])) if runs else (None, None, None)
+    told = ("".join(f"{s},{length},{q}\n" for s, length, q in runs), " ".join(x for i, x in enumerate(w) if i not in gone))
+    return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None, *[hashlib.sha256(x.encode()).hexdigest() for x in told])
+
+
+def _runs_fast(w):
+    """As _runs_by_hand, by numpy, for long texts."""
+    ids, out = {}, []
+    a = np.array([ids.setdefault(x, len(ids)) for x in w])
+    for q in range(1, len(w) // 4 + 1):
+        edge = np.diff(np.concatenate(([0], (a[q:] == a[:-q]).view(np.int8), [0])))
+        for i, j in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            if j + q - i >= max(6, 4 * q):
+                s = a[i : j + q]
+                if not any((s[p:] == s[:-p]).all() for p in range(1, q)):
+                    out.append((i, j + q - i, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def test_periodic_run_query_against_brute_force(spark):
+    docs = table(spark, TINY, "documents").collect()
+    got = sorted(tuple(r) for r in queries.QUERIES["op13_periodic_runs"](spark, TINY).collect())
+    assert got == sorted(_run_row(r.doc_id, r.text) for r in docs)
+    assert sum(r[1] > 0 for r in got) > 10
+
+
+def test_periodic_runs_of_odd_rows(spark, odd):
+    found = periodic_runs.periodic_runs(odd)
+    got = sorted(((r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.text) for r in found.collect()), key=repr)
+    want = []
+    for d, t in ODD:
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        runs = _runs_fast(w)
+        gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+        want.append((d, len(w), runs, " ".join(x for i, x in enumerate(w) if i not in gone)))
+    assert got == sorted(want, key=repr) and any(r[2] for r in got)
+    assert periodic_runs.periodic_runs(odd.limit(0)).count() == 0

@@ -85,12 +85,13 @@ def _counted(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 
 
 def _whole(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The sets of rows (sid, set, text) whose names are as told."""
+    """The sets of rows (sid, n, set, text) whose names are as told, each once."""
+    seen: set[int] = set()
     for batch in batches:
         sets = list(shingle_sets(utf8(batch.column("text")), size))
-        told = [(x["k1"], x["k2"]) for x in batch.column("set").to_pylist()]
-        at = [i for i, s in enumerate(sets) if _name(s) == told[i]]
-        yield pa.RecordBatch.from_arrays([batch.column("sid").take(pa.array(at, pa.int64())), pa.array([sets[i].view(np.int64) for i in at], pa.list_(pa.int64()))], ["sid", "tokens"])
+        sids, told = batch.column("sid").to_pylist(), [(x["k1"], x["k2"]) for x in batch.column("set").to_pylist()]
+        at = [i for i, s in enumerate(sets) if _name(s) == told[i] and not (sids[i] in seen or seen.add(sids[i]))]
+        yield pa.RecordBatch.from_arrays([*batch.select(["sid", "n"]).take(pa.array(at, pa.int64())).columns, pa.array([sets[i].view(np.int64) for i in at], pa.list_(pa.int64()))], ["sid", "n", "tokens"])
 
 
 class PrefixTree:
@@ -207,12 +208,27 @@ def _group_links(group: pa.Table) -> pa.Table:
         # The two chunks of a pair may be one.
         at = at[np.concatenate(([True], np.diff(sid[at]) != 0))]
         if len(at) > 1:
-            found += tree_links(sid[at], label[at], sizes[at], [flat[offsets[i] : offsets[i + 1]] for i in at.tolist()])
+            found += _stars(tree_links(sid[at], label[at], sizes[at], [flat[offsets[i] : offsets[i + 1]] for i in at.tolist()]))
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def _trees(members: DataFrame, task_cost: int) -> DataFrame:
-    """Links (a, b) of members (tree, label, sid, n, codes); trees are dealt to tasks by hash."""
+def _stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Each node of the links with the smallest one that it reaches."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for a, b in links:
+        lo, hi = sorted((find(a), find(b)))
+        root[hi] = lo
+    return [(x, r) for x in root if (r := find(x)) != x]
+
+
+def _trees(members: DataFrame, task_cost: int = 1 << 20) -> DataFrame:
+    """Links (a, b) of members (tree, label, sid, n, codes), per tree stars around the smallest sid; trees are dealt to tasks by hash."""
     total = members.agg(F.sum(_cost())).first()[0] or 0
     tasks = max(64, -(-int(total) // task_cost))
     dealt = members.select(F.pmod(F.xxhash64("tree"), F.lit(tasks)).alias("task"), F.xxhash64("tree").alias("tree"), "label", "sid", "n", "codes")
@@ -223,30 +239,23 @@ def _cost():
     return F.size("codes") + 256
 
 
-def _regrouped(links: DataFrame, members: DataFrame) -> DataFrame:
-    """members with label replaced by the smallest sid that they are connected with."""
-    roots = components(links)
-    return members.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left").withColumn("label", F.coalesce("root", "sid")).drop("root")
-
-
 def set_links(sets: DataFrame, *, tree_cost: int = 1 << 18) -> DataFrame:
     """Links (a, b) that connect sets (sid, n, codes: ascending tokens that other sets have) as all pairs of similarity 0.8 or more would.
 
     A tree holds sets of at most about tree_cost tokens (256 added a set), whatever the groups are.
     """
     # Of the first n // 5 + 1 tokens the ones that no other set has come first and can't be shared.
-    entries = cut(sets.select("sid", F.explode(F.slice("codes", F.lit(1), (F.floor(F.col("n") / 5) + 1 - (F.col("n") - F.size("codes"))).cast("int"))).alias("code")))
+    prefix = F.slice("codes", F.lit(1), (F.floor(F.col("n") / 5) + 1 - (F.col("n") - F.size("codes"))).cast("int"))
+    entries = cut(sets.select("sid", _cost().alias("cost"), F.explode(prefix).alias("code")))
     lists = entries.groupBy("code").agg(F.count("*").alias("n"), F.min("sid").alias("least")).where("n > 1")
-    n_entries = entries.count()
-    edges = join_hot(entries, cut(lists), "code", n_entries).where("sid <> least").select(F.col("sid").alias("a"), F.col("least").alias("b"))
-    groups = components(edges)
-    grouped = cut(sets.join(groups.select(F.col("node").alias("sid"), F.col("root").alias("g")), "sid").withColumn("label", F.col("sid")))
-    costs = cut(grouped.groupBy("g").agg(F.sum(_cost()).alias("cost"), F.count("*").alias("n")))
-    short = grouped.join(costs.where(F.col("cost") <= tree_cost).select("g"), "g", "left_semi")
-    links = _trees(short.withColumn("tree", F.struct("g")), 1 << 20)
-    long = costs.where(F.col("cost") > tree_cost)
-    if long.limit(1).count():
-        links = links.unionByName(_long_groups(grouped, entries, cut(long), tree_cost))
+    edges = join_hot(entries, cut(lists), "code", entries.count()).where("sid <> least").select(F.col("sid").alias("a"), F.col("least").alias("b"))
+    groups = cut(components(edges).join(sets.select(F.col("sid").alias("node"), _cost().alias("cost")), "node").select(F.col("node").alias("sid"), F.col("root").alias("g"), "cost"))
+    costs = cut(groups.groupBy("g").agg(F.sum("cost").alias("whole"), F.count("*").alias("n")))
+    placed = join_hot(groups.select("sid", "g"), costs, "g", groups.count())
+    grouped = cut(sets.join(placed, "sid").withColumn("label", F.col("sid")))
+    links = _trees(grouped.where(F.col("whole") <= tree_cost).withColumn("tree", F.struct("g")))
+    if costs.where(F.col("whole") > tree_cost).limit(1).count():
+        links = links.unionByName(_long_groups(grouped.where(F.col("whole") > tree_cost).drop("whole"), entries.drop("cost"), tree_cost))
     return links
 
 
@@ -254,34 +263,40 @@ def _chunks(costs: DataFrame, tree_cost: int) -> DataFrame:
     return costs.withColumn("chunks", F.ceil(F.col("cost") / tree_cost).cast("int"))
 
 
-def _long_groups(grouped: DataFrame, entries: DataFrame, long: DataFrame, tree_cost: int) -> DataFrame:
-    """The links of groups (g, cost, n) that are too long for a tree."""
-    total = grouped.count()
-    members = cut(join_hot(grouped, long.select("g", "n", F.lit(True).alias("is_long")), "g", total).drop("is_long"))
-    links, open_members, before = None, members, None
+def _long_groups(members: DataFrame, entries: DataFrame, tree_cost: int) -> DataFrame:
+    """The links of groups that are too long for a tree. members are their sets (sid, g, label, n, codes)."""
+    links, left, before = None, members, None
     while True:
-        costs = cut(_chunks(open_members.groupBy("g").agg(F.sum(_cost()).alias("cost"), F.count("*").alias("n")).where("n > 1"), tree_cost))
+        costs = cut(_chunks(left.groupBy("g").agg(F.sum(_cost()).alias("cost"), F.count("*").alias("n")).where("n > 1"), tree_cost))
         now, most = costs.agg(F.sum("n"), F.max("chunks")).first()
         if not now or before and now > before // 2:
             break
         before = now
-        dealt = join_hot(open_members, costs.select("g", "n", "chunks"), "g", now)
-        found = cut(_trees(dealt.withColumn("tree", F.struct("g", F.pmod(F.xxhash64("sid", F.lit(now)), F.col("chunks")).alias("i"))), 1 << 20))
-        links = found if links is None else cut(links.unionByName(found))
-        members = cut(_regrouped(links, members))
-        open_members = members.where("label = sid")
+        found = cut(_trees(_dealt(left, costs, now)))
+        links = found if links is None else links.unionByName(found)
         if most == 1:
             break
+        left = cut(left.join(found.select(F.col("a").alias("sid")), "sid", "left_anti"))
+    # What hangs together so far, as stars.
+    stars = components(links)
+    members = cut(members.drop("label").join(stars.select(F.col("node").alias("sid"), F.col("root").alias("label")), "sid", "left").withColumn("label", F.coalesce("label", "sid")))
     # Prefix tokens that join members which aren't connected yet.
-    told = cut(entries.join(members, "sid").select("code", "label", "sid", "n", "codes").select("code", "label", "sid", "n", _cost().alias("cost")))
+    told = cut(entries.join(members.select("sid", "label", _cost().alias("cost")), "sid"))
     lists = told.groupBy("code").agg(F.sum("cost").alias("cost"), F.count("*").alias("n"), F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1")
     lists = cut(_chunks(lists, tree_cost).select("code", "n", "chunks"))
-    n_told = told.count()
-    dealt = join_hot(told.select("code", "sid"), lists, "code", n_told).withColumn("i", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j")
-    pairs = dealt.select("sid", "code", "i", "chunks", other).select("sid", F.struct("code", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).alias("tree"), "i", "j", "chunks").where("i <> j OR chunks = 1").select("sid", "tree")
-    found = _trees(pairs.join(members.select("sid", "label", "n", "codes"), "sid"), 1 << 20)
-    return found if links is None else links.unionByName(found)
+    dealt = join_hot(told.select("code", "sid"), lists, "code", told.count()).withColumn("i", F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int"))
+    # Each two chunks of a list share a tree.
+    other = dealt.select("sid", "code", "i", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j")).where("i <> j OR chunks = 1")
+    trees = other.select("sid", F.struct("code", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).alias("tree"))
+    found = _trees(trees.join(members.select("sid", "label", "n", "codes"), "sid"))
+    return stars.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
+
+
+def _dealt(left: DataFrame, costs: DataFrame, rows: int) -> DataFrame:
+    """The sets of each group dealt into as many trees as it has chunks."""
+    held = left.withColumnRenamed("n", "size")
+    chunk = F.pmod(F.xxhash64("sid", F.lit(rows)), F.col("chunks"))
+    return join_hot(held, costs.select("g", "n", "chunks"), "g", rows).select("sid", "label", F.col("size").alias("n"), "codes", F.struct("g", chunk.alias("i")).alias("tree"))
 
 
 def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, tree_cost: int = 1 << 18, broadcast_rows: int = 200_000) -> DataFrame:
@@ -304,15 +319,15 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     suspects = classes.join(alone, F.col("set.k1") == F.col("k1"), "left").where("5 * coalesce(alone, 0) <= size")
     suspects = cut(suspects.select("rk", "set", F.monotonically_increasing_id().alias("sid"), F.col("size").alias("n"), "least"))
     few = suspects.count() <= broadcast_rows
-    again = rows.select("rk", "text").join(F.broadcast(suspects.select("rk", "sid", "set")) if few else suspects.select("rk", "sid", "set"), "rk")
-    held = again.select("sid", "set", "text").mapInArrow(partial(_whole, size=shingle), "sid long, tokens array<long>").groupBy("sid").agg(F.first("tokens").alias("tokens"))
-    tokens = cut(held).select("sid", F.explode("tokens").alias("h"))
+    wanted = suspects.select("rk", "sid", "n", "set")
+    again = rows.select("rk", "text").join(F.broadcast(wanted) if few else wanted, "rk").select("sid", "n", "set", "text")
+    tokens = cut(again.mapInArrow(partial(_whole, size=shingle), "sid long, n long, tokens array<long>")).select("sid", F.col("n").alias("size"), F.explode("tokens").alias("h"))
     n_tokens = suspects.agg(F.sum("n")).first()[0] or 0
     # Rarest first: the number of bits of a count, then the hash.
     code = F.shiftleft(F.length(F.bin("n")).cast("long"), _CODE_BITS).bitwiseOR(F.col("h").bitwiseAND(F.lit((1 << _CODE_BITS) - 1)))
     counts = cut(tokens.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", "n", code.alias("code")))
-    listed = join_hot(tokens, counts, "h", n_tokens).groupBy("sid").agg(F.array_sort(F.collect_set("code")).alias("codes"))
-    sets = cut(listed.join(suspects.select("sid", "n"), "sid").where("5 * (n - size(codes)) <= n").select("sid", "n", "codes"))
+    listed = join_hot(tokens, counts, "h", n_tokens).groupBy("sid", "size").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    sets = cut(listed.select("sid", F.col("size").alias("n"), "codes").where("5 * (n - size(codes)) <= n"))
     roots = components(set_links(sets, tree_cost=tree_cost))
     linked = suspects.join(roots.withColumnRenamed("node", "sid"), "sid").select("set", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))

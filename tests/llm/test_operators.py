@@ -837,7 +837,7 @@ def test_a_long_group_is_dealt_into_trees_of_bounded_size(spark, monkeypatch):
     want = {(a, b) for (a, n, x), (b, m, y) in combinations(sets, 2) if 9 * len(set(x) & set(y)) >= 4 * (n + m)}
     seen = []
     trees = jaccard_join._trees
-    monkeypatch.setattr(jaccard_join, "_trees", lambda members, cost: seen.append(members.groupBy("tree").count().agg(F.max("count")).first()[0]) or trees(members, cost))
+    monkeypatch.setattr(jaccard_join, "_trees", lambda members: seen.append(members.groupBy("tree").count().agg(F.max("count")).first()[0]) or trees(members))
     links = jaccard_join.set_links(told, tree_cost=20 * 316)
     roots = {r.node: r.root for r in components(links).collect()}
     by_hand = {r.node: r.root for r in components(spark.createDataFrame(list(want), "a long, b long")).collect()}

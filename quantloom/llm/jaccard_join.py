@@ -227,10 +227,10 @@ def _stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(x, r) for x in root if (r := find(x)) != x]
 
 
-def _trees(members: DataFrame, task_cost: int = 1 << 20) -> DataFrame:
+def _trees(members: DataFrame, task_cost: int = 1 << 18) -> DataFrame:
     """Links (a, b) of members (tree, label, sid, n, codes), per tree stars around the smallest sid; trees are dealt to tasks by hash."""
     total = members.agg(F.sum(_cost())).first()[0] or 0
-    tasks = max(64, -(-int(total) // task_cost))
+    tasks = max(512, -(-int(total) // task_cost))
     dealt = members.select(F.pmod(F.xxhash64("tree"), F.lit(tasks)).alias("task"), F.xxhash64("tree").alias("tree"), "label", "sid", "n", "codes")
     return dealt.groupBy("task").applyInArrow(_group_links, "a long, b long")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _smoothed(x: np.ndarray, first: int, seed: float, alpha: float) -> np.ndarray:
+def smoothed(x: np.ndarray, first: int, seed: float, alpha: float) -> np.ndarray:
     """seed at row first, then each row moves by alpha towards x; null before."""
     out = np.full(len(x), np.nan)
     if first < len(x):
@@ -23,7 +23,7 @@ def _smoothed(x: np.ndarray, first: int, seed: float, alpha: float) -> np.ndarra
 def ema(x: np.ndarray, n: int, first: int | None = None) -> np.ndarray:
     """Seeded by the mean of the n rows that end at row first (the n-th by default)."""
     first = n - 1 if first is None else first
-    return _smoothed(x, first, x[first - n + 1 : first + 1].mean() if first < len(x) else np.nan, 2 / (n + 1))
+    return smoothed(x, first, x[first - n + 1 : first + 1].mean() if first < len(x) else np.nan, 2 / (n + 1))
 
 
 def macd(x: np.ndarray, n: int, fast: int = 12, slow: int = 26) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,7 +41,7 @@ def rsi(x: np.ndarray, n: int) -> np.ndarray:
     up, down = np.maximum(change, 0), np.maximum(-change, 0)
     if len(x) <= n:
         return np.full(len(x), np.nan)
-    u, d = (_smoothed(v, n, v[1 : n + 1].mean(), 1 / n) for v in (up, down))
+    u, d = (smoothed(v, n, v[1 : n + 1].mean(), 1 / n) for v in (up, down))
     with np.errstate(invalid="ignore", divide="ignore"):
         return np.where(np.isnan(u), np.nan, np.where(u + d == 0, 0.0, 100 * u / (u + d)))
 
@@ -56,13 +56,13 @@ def adx(high: np.ndarray, low: np.ndarray, close: np.ndarray, n: int) -> np.ndar
 
     def wilder_sum(x: np.ndarray) -> np.ndarray:
         start = x[1:n].sum()
-        return n * _smoothed(x, n, (start - start / n + x[n]) / n, 1 / n)
+        return n * smoothed(x, n, (start - start / n + x[n]) / n, 1 / n)
 
     with np.errstate(invalid="ignore", divide="ignore"):
         tr, p, m = wilder_sum(spread), wilder_sum(plus), wilder_sum(minus)
         p, m = np.where(tr == 0, 0, p / tr), np.where(tr == 0, 0, m / tr)
         dx = np.where(p + m == 0, 0, 100 * np.abs(p - m) / (p + m))
-    return _smoothed(dx, 2 * n - 1, dx[n : 2 * n].mean(), 1 / n)
+    return smoothed(dx, 2 * n - 1, dx[n : 2 * n].mean(), 1 / n)
 
 
 def recursive_features(df: DataFrame, *, key: str = "code", value: str = "close", ema_lags: tuple[int, ...] = (), macd_lags: tuple[int, ...] = (), rsi_lags: tuple[int, ...] = (), adx_lags: tuple[int, ...] = (), prefix: str = "", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from quantloom.functions import clean
 from quantloom.operators import dimensions as dim
 from quantloom.operators.rolling import Rows
 from quantloom.plans.registry import query
-from quantloom.sources import io, panels
+from quantloom.sources import io, panels, sink
 from quantloom.sources.panels import oracle
 
 R = Rows()
@@ -61,6 +61,19 @@ def a6_replace_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.replace_range(q.select("date", "code", "close"), new)
 
 
+@query(oracle("""SELECT date, code, close FROM quotes WHERE date NOT BETWEEN DATE '1995-12-10' AND DATE '1996-04-20'
+  UNION ALL SELECT date, code, close + 1 FROM quotes WHERE date BETWEEN DATE '1996-01-05' AND DATE '1996-03-31' AND (key + day_idx) % 2 = 0""", "quotes"))
+def a6_partition_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of dates is replaced twice in a table of months, by rows that lack some of its dates."""
+    q, path = panels.quotes(spark, sf_dir), io.scratch(spark, "months")
+    first, last = q.agg(F.min("date"), F.max("date")).first()
+    sink.replace_dates(q.select("date", "code", "close"), path, first or date.min, last or date.min)
+    new = q.where("date BETWEEN DATE '1996-01-05' AND DATE '1996-03-31' AND (key + day_idx) % 2 = 0").select("date", "code", (F.col("close") + 1).alias("close"))
+    for _ in range(2):
+        sink.replace_dates(new, path, date(1995, 12, 10), date(1996, 4, 20))
+    return sink.stored_dates(spark, path).select("date", "code", "close")
+
+
 @query(oracle("""WITH new AS (SELECT date, code, close + 1 AS close FROM quotes WHERE key % 3 = 0 AND day_idx % 10 = 0 AND date >= DATE '1996-01-01'), f AS (SELECT code, min(date) AS first FROM new GROUP BY code)
   SELECT date, code, close FROM quotes LEFT JOIN f USING (code) WHERE first IS NULL OR date < first UNION ALL SELECT date, code, close FROM new""", "quotes"))
 def a7_replace_from_first(spark: SparkSession, sf_dir: str) -> DataFrame:

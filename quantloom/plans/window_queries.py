@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.operators.bundles import BANDS, BUNDLES, L7, Bundle, value_set
+from quantloom.operators.carried import Carried, load_on, loaded
 from quantloom.operators.recursive import recursive_features
 from quantloom.operators.rolling import Rows, balance_volume, betas, fill, limits, list_days, period_change, price_volume, resume_days, stochastics, volatility_ratio
-from quantloom.plans.registry import query
+from quantloom.plans.registry import ORACLE, query
 from quantloom.sources import panels
+from quantloom.sources.io import scratch
 from quantloom.sources.panels import oracle
 
 R = Rows()
@@ -112,13 +114,17 @@ def d9_bollinger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(panels.quotes(spark, sf_dir), {f"BBANDS_{k}_{n}D": R.bbands("close", n)[i] for n in (7, 21) for i, k in enumerate(("UPPER", "LOWER"))}, 2)
 
 
+def _macd_sql(n: int) -> str:
+    return f"round(dea{n}, 2) AS MACD_DEA_12_26_{n}D, round(2 * (raw - dea{n}), 2) AS MACD_12_26_{n}D"
+
+
 @query(oracle(EMA_LIST + f""", d AS (SELECT date, code, {ema_sql('x', 12, '26')} - {ema_sql('x', 26)} AS dif FROM l WHERE len(x) >= 26),
   e AS (SELECT date, code, dif, list(dif) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING) AS y FROM d),
-  f AS (SELECT date, code, CASE WHEN len(y) >= 7 THEN dif END AS dif, {ema_sql('y', 7)} AS dea FROM e)
-  SELECT date, code, round(dif, 2) AS MACD_DIF_12_26D, round(dea, 2) AS MACD_DEA_12_26_7D, round(2 * (dif - dea), 2) AS MACD_12_26_7D FROM quotes LEFT JOIN f USING (date, code)""", "quotes"))
+  f AS (SELECT date, code, dif AS raw, CASE WHEN len(y) >= 7 THEN dif END AS dif, {", ".join(f"{ema_sql('y', n)} AS dea{n}" for n in BANDS)} FROM e)
+  SELECT date, code, round(dif, 2) AS MACD_DIF_12_26D, {", ".join(map(_macd_sql, BANDS))} FROM quotes LEFT JOIN f USING (date, code)""", "quotes"))
 def d10_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("MACD_DIF_12_26D", "MACD_DEA_12_26_7D", "MACD_12_26_7D")
-    return out(recursive_features(panels.quotes(spark, sf_dir), macd_lags=(7,)), {c: F.col(c) for c in names}, 2)
+    names = ["MACD_DIF_12_26D", *(f"MACD_{x}12_26_{n}D" for n in BANDS for x in ("DEA_", ""))]
+    return out(recursive_features(panels.quotes(spark, sf_dir), macd_lags=BANDS), {c: F.col(c) for c in names}, 2)
 
 
 CLV = "coalesce((2 * close - high - low) / nullif(high - low, 0), 0)"
@@ -398,3 +404,17 @@ def d23_all_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = found.select(F.lit(name).alias("bundle"), "date", "code", known.alias("known"))
         out = one if out is None else out.unionByName(one)
     return out
+
+
+CARRIED = Carried(ema_lags=(5, 20), macd_lags=BANDS, rsi_lags=BANDS, adx_lags=(7, 14))
+_TOGETHER = " JOIN ".join(f"({ORACLE[name]}) {'USING (date, code)' if i else ''}" for i, name in enumerate(("d2_exponential_average", "d10_macd", "d14_relative_strength", "d12_adx", "d28_days_since_resumption")))
+
+
+@query(f"SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS row_number FROM {_TOGETHER}")
+def a9_carried_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, each from its own years of bars and the state that the one before left."""
+    q, path = panels.quotes_by_year(spark, sf_dir), scratch(spark, "carried")
+    for number, years in enumerate(("year <= 1993", "year BETWEEN 1994 AND 1996", "year >= 1997")):
+        load_on(spark, q.where(years), path, number, CARRIED)
+    digits = {c: 6 if c[:3] in ("RSI", "ADX") else 2 for c in CARRIED.names}
+    return loaded(spark, path, CARRIED).select("date", "code", "row_number", *[F.round(c, d).alias(c) for c, d in digits.items()], "RESUME_DAYNUM")

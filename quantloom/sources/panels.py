@@ -24,12 +24,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *partitions: str) -> DataFrame:
     """A panel of the tables in sf_dir, written the first time that a session asks for it. Tables don't change in a session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = scratch(spark, name)
-        build().write.parquet(path)
+        build().write.partitionBy(*partitions).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
@@ -77,6 +77,11 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "quotes", lambda: _bars(lines(spark, sf_dir), ["key"], calendar(spark, sf_dir)).withColumn("code", code_text(F.col("key"))))
 
 
+def quotes_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quotes, partitioned by year."""
+    return stored(spark, sf_dir, "quotes_by_year", lambda: quotes(spark, sf_dir).withColumn("year", F.year("date")).repartition("year"), "year")
+
+
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes of whole return flags, as series_id."""
     return stored(spark, sf_dir, "series", lambda: _bars(lines(spark, sf_dir).withColumnRenamed("flag", "series_id"), ["series_id"], calendar(spark, sf_dir)))

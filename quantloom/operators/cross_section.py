@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quantloom.operators.slices import below
+from quantloom.sources.io import kept
 
 
 def weighted_index(df: DataFrame, by: list[str], fields: list[str], weight: str) -> DataFrame:
@@ -52,21 +55,47 @@ def class_counts(df: DataFrame, labels: list[str]) -> DataFrame:
     return df.unpivot([], labels, "label", "class").groupBy("label", "class").agg(F.count("*").alias("n"))
 
 
-def rolling_threshold(scores: DataFrame, days: int, share: float = 0.99) -> DataFrame:
-    """Per trade day the midpoint quantile of all scores of the days before it; 0 while these are fewer.
+@F.pandas_udf(T.LongType())
+def _ordered_bits(x: pd.Series) -> pd.Series:
+    """A number per double, in the doubles' order when read as unsigned; both zeros are one."""
+    bits = (x.to_numpy(np.float64) + 0.0).view(np.int64)
+    return pd.Series(np.where(bits < 0, ~bits, bits ^ np.int64(-(2**63))))
 
-    scores: day_idx, score. Counts of equal scores go to the days that they count for, so that no range join is needed,
-    and the two scores at the quantile are found by running sums, so that no day's scores are gathered.
+
+@F.pandas_udf(T.DoubleType())
+def _of_ordered_bits(x: pd.Series) -> pd.Series:
+    bits = x.to_numpy(np.int64)
+    return pd.Series(np.where(bits < 0, bits ^ np.int64(-(2**63)), ~bits).view(np.float64))
+
+
+def rolling_threshold(scores: DataFrame, days: int, share: float = 0.99, digit_bits: int = 8) -> DataFrame:
+    """Per trade day the midpoint quantile of all scores of the `days` days before it; 0 while these are fewer.
+
+    scores: day_idx, score; null scores don't count. The scores at the quantile are selected digit by digit of their
+    bits: daily counts of the next digit, below what has been selected, are added up over the days before, and the digit
+    that holds the wanted rank goes on. Counts are per day and digit, so neither a day's scores nor a score's days are
+    gathered; there are two wanted scores a day, which is what is broadcast.
     """
-    last = scores.agg(F.min("day_idx").alias("lo"), F.max("day_idx").alias("hi"))
-    counted = scores.groupBy("day_idx", "score").agg(F.count("*").alias("n"))
-    to = F.sequence(F.col("day_idx") + 1, F.least(F.col("day_idx") + days, F.greatest("hi", F.col("day_idx") + 1)))
-    sent = counted.crossJoin(F.broadcast(last)).select("score", "n", "lo", "hi", F.explode(to).alias("day_idx")).where("day_idx <= hi")
-    ranked = below(sent.groupBy("day_idx", "score").agg(F.sum("n").alias("n"), F.min("lo").alias("lo")), ["day_idx"], "score", ["n"])
-    at = (F.col("all_n") - 1) * share
-    here = lambda x: F.max(F.when((F.col("below_n") <= x) & (x < F.col("below_n") + F.col("n")), F.col("score")))
-    found = ranked.groupBy("day_idx").agg(((here(F.floor(at)) + here(F.ceil(at))) / 2).alias("middle"), F.min("lo").alias("lo"))
-    return scores.select("day_idx").distinct().join(found, "day_idx", "left").select("day_idx", F.coalesce(F.when(F.col("day_idx") - F.col("lo") >= days, F.col("middle")), F.lit(0.0)).alias("threshold"))
+    known = scores.where("score IS NOT NULL AND NOT isnan(score)")
+    counted = kept(known.groupBy("day_idx", _ordered_bits(F.col("score").cast("double")).alias("key")).agg(F.count("*").alias("n")), "counts")
+    before = Window.orderBy("day_idx").rangeBetween(-days, -1)
+    daily = scores.select("day_idx").distinct().join(counted.groupBy("day_idx").agg(F.sum("n").alias("n")), "day_idx", "left")
+    daily = kept(daily.select("day_idx", F.sum("n").over(before).alias("total"), F.min("day_idx").over(Window.partitionBy()).alias("lo")), "days")
+    at = (F.col("total") - 1) * share
+    wanted = daily.where((F.col("day_idx") - F.col("lo") >= days) & (F.col("total") > 0)).select("day_idx", F.posexplode(F.array(F.floor(at), F.ceil(at))).alias("side", "rank"), F.lit(0).cast("long").alias("prefix"))
+    for left in range(64 - digit_bits, -1, -digit_bits):
+        own = F.shiftrightunsigned("key", left + digit_bits) if left + digit_bits < 64 else F.lit(0).cast("long")
+        digit = F.shiftrightunsigned("key", left).bitwiseAND(F.lit((1 << digit_bits) - 1)).alias("digit")
+        told = counted.select("day_idx", own.alias("prefix"), digit, "n").join(F.broadcast(wanted.select("prefix").distinct()), "prefix")
+        told = kept(told.groupBy("prefix", "digit", "day_idx").agg(F.sum("n").alias("n")), "digits")
+        asks = wanted.join(told.select("prefix", "digit").distinct(), "prefix")
+        window = Window.partitionBy("prefix", "digit").orderBy("day_idx").rangeBetween(-days, -1)
+        found = told.unionByName(asks, allowMissingColumns=True).withColumn("within", F.coalesce(F.sum("n").over(window), F.lit(0))).where("side IS NOT NULL")
+        up_to = F.sum("within").over(Window.partitionBy("day_idx", "side").orderBy("digit")) - F.col("within")
+        found = found.withColumn("below", up_to).where("below <= rank AND rank < below + within")
+        wanted = kept(found.select("day_idx", "side", (F.col("rank") - F.col("below")).alias("rank"), F.shiftleft("prefix", digit_bits).bitwiseOR(F.col("digit")).alias("prefix")), "wanted")
+    middle = wanted.withColumn("score", _of_ordered_bits("prefix")).groupBy("day_idx").agg((F.sum("score") / 2).alias("threshold"))
+    return daily.join(middle, "day_idx", "left").select("day_idx", F.coalesce("threshold", F.lit(0.0)).alias("threshold"))
 
 
 def excess(df: DataFrame, reference: DataFrame, on: list[str], fields: list[str], prefix: str = "EXCESSIVE_") -> DataFrame:

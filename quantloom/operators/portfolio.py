@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantloom.sources.io import kept
+
 
 def yesterdays(scores: DataFrame, calendar: DataFrame, columns: list[str]) -> DataFrame:
     """On each trade day the scores of the trade day before."""
@@ -70,6 +72,55 @@ def after_closing(days: DataFrame, blocked: DataFrame, every: int) -> DataFrame:
     return bought.groupBy("day_idx").agg(F.min("due_idx").alias("due_idx")).select("due_idx", "day_idx")
 
 
+def first_from(df: DataFrame, days: DataFrame, by: list[str], at: str, day: str, name: str) -> DataFrame:
+    """df with the first of its by's days (by, day) that isn't before its column at; null if there is none. One window, no range join."""
+    rows = df.withColumn("__asks", F.lit(True)).unionByName(days.select(*by, F.col(day).alias(at), F.col(day).alias("__day")), allowMissingColumns=True)
+    later = Window.partitionBy(*by).orderBy(F.desc(at)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn(name, F.min("__day").over(later)).where("__asks").drop("__asks", "__day")
+
+
+def chained(links: DataFrame, by: list[str], here: str, there: str) -> DataFrame:
+    """(by, here) of each by's first link and of all that it leads to, link after link.
+
+    links hold one row for each by and here, with a later there or null. Pointers are doubled, so a chain takes as many
+    rounds of joins as its length has binary digits.
+    """
+    seen = kept(links.groupBy(*by).agg(F.min(here).alias(here)), "seen")
+    jump = kept(links.where(F.col(there).isNotNull()).select(*by, here, there), "jump")
+    while True:
+        more = kept(seen.join(jump, [*by, here]).select(*by, F.col(there).alias(here)), "seen")
+        if not more.limit(1).count():
+            return seen
+        seen = seen.unionByName(more)
+        then = jump.select(*by, F.col(here).alias(there), F.col(there).alias("__then"))
+        jump = kept(jump.join(then, [*by, there]).select(*by, here, F.col("__then").alias(there)), "jump")
+
+
+def waiting_baskets(baskets: DataFrame, sellable: DataFrame, every: int, by: tuple[str, ...] = ("layer",)) -> DataFrame:
+    """The baskets that are really bought when a new one has to wait until the old one is wholly sold.
+
+    baskets: (by, day_idx, code, weight), the basket that each day would buy; sellable: (code, day_idx) on which a code can
+    be sold. A code is due `every` days after it was bought and sold on its first such day from then on; on the last of
+    a basket's sales, or the first day after it that has a basket, the next one is bought. Each by begins with its
+    first basket. Returns the codes of these baskets with sold_idx, null if a code can't be sold any more; such a
+    basket is the last of its by.
+    """
+    due = first_from(baskets.withColumn("__due", F.col("day_idx") + every), sellable, ["code"], "__due", "day_idx", "sold_idx").drop("__due")
+    due = kept(due, "due")
+    free = due.groupBy(*by, "day_idx").agg(F.when(F.count("sold_idx") == F.count("*"), F.max("sold_idx")).alias("__free"))
+    links = first_from(free.where("__free IS NOT NULL"), free, list(by), "__free", "day_idx", "next_idx").select(*by, "day_idx", "next_idx")
+    ends = free.where("__free IS NULL").select(*by, "day_idx", F.lit(None).cast("long").alias("next_idx"))
+    return due.join(chained(links.unionByName(ends), list(by), "day_idx", "next_idx"), [*by, "day_idx"], "left_semi")
+
+
+def held_until(df: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Each code of a basket on the days from its purchase to the day before its sale, or to the last day; bought marks the first."""
+    days = calendar.select(F.col("date").alias("__d"), F.col("day_idx").alias("__i"))
+    end = F.broadcast(calendar.agg(F.max("day_idx").alias("__end")))
+    spread = df.drop("date").join(end, F.lit(True)).withColumn("__i", F.explode(F.sequence(F.col("day_idx"), F.coalesce(F.col("sold_idx") - 1, F.col("__end")))))
+    return spread.join(F.broadcast(days), "__i").select(F.col("__d").alias("date"), "code", "layer", "weight", (F.col("__i") == F.col("day_idx")).alias("bought"))
+
+
 def held_days(df: DataFrame, calendar: DataFrame, every: int) -> DataFrame:
     """The basket on each day that it is held, from its rebalance day on; bought marks the first."""
     days = calendar.select(F.col("date").alias("__d"), F.col("day_idx").alias("__i"))

@@ -89,6 +89,38 @@ def j6_layer_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pf.rounded(_returns(spark, sf_dir), ["layer", "date"], ["ret"])
 
 
+#: Baskets that wait: of every day, then those that are really bought, by walking from one to the next.
+WAITING = f"""WITH RECURSIVE {CAND},
+  rw AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY proba_1_5D DESC, code) - 1 AS rk, count(*) OVER (PARTITION BY date) AS n FROM cand),
+  lw AS (SELECT date, code, day_idx, layer, 1.0 / count(*) OVER (PARTITION BY date, layer) AS weight FROM (SELECT *, """ + " + ".join(f"(rk >= floor(n * {k} / 3.0))::INT" for k in (1, 2)) + """ AS layer FROM rw)),
+  sd AS (SELECT code, day_idx FROM (SELECT code, day_idx, coalesce(open / nullif(lag(close) OVER (PARTITION BY code ORDER BY date), 0) - 1 < -0.095, false) AS down FROM quotes) WHERE NOT down),
+  due AS MATERIALIZED (SELECT lw.*, sd.day_idx AS sold_idx FROM lw ASOF LEFT JOIN sd ON lw.code = sd.code AND lw.day_idx + 5 <= sd.day_idx),
+  fr AS MATERIALIZED (SELECT layer, day_idx, CASE WHEN count(sold_idx) = count(*) THEN max(sold_idx) END AS free FROM due GROUP BY ALL),
+  nx AS MATERIALIZED (SELECT fr.layer, fr.day_idx, n.day_idx AS next FROM fr ASOF LEFT JOIN fr n ON fr.layer = n.layer AND fr.free <= n.day_idx),
+  walk AS (SELECT layer, min(day_idx) AS day_idx FROM fr GROUP BY layer UNION ALL SELECT layer, next FROM walk JOIN nx USING (layer, day_idx) WHERE next IS NOT NULL),
+  wb AS (SELECT due.* FROM due JOIN walk USING (layer, day_idx))"""
+
+
+def _waiting(spark, sf_dir) -> DataFrame:
+    q = limits(panels.quotes(spark, sf_dir), R)
+    every_day = pf.layers(_candidates(spark, sf_dir), "proba_1_5D", 3, 1).select("date", "code", "day_idx", "layer", "weight")
+    return pf.waiting_baskets(every_day, q.where("LIMIT_DOWN = 0").select("code", "day_idx"), 5)
+
+
+@query(oracle(f"{WAITING} SELECT date, code, layer, round(weight, 9) AS weight, sold_idx FROM wb", *NEED))
+def j5_waiting_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _waiting(spark, sf_dir).select("date", "code", "layer", F.round("weight", 9).alias("weight"), "sold_idx")
+
+
+@query(oracle(f"""{WAITING}, {MATRIX}, e AS (SELECT max(day_idx) AS last FROM calendar),
+  h AS (SELECT c.date, wb.code, layer, weight, c.day_idx = wb.day_idx AS bought FROM wb, e JOIN calendar c ON c.day_idx BETWEEN wb.day_idx AND coalesce(sold_idx - 1, last)),
+  mv AS (SELECT date, code, lead(open) OVER (PARTITION BY code ORDER BY date) / nullif(open, 0) - 1 AS move FROM m)
+  SELECT layer, date, round(sum(coalesce(weight * move, 0) - CASE WHEN bought THEN 0.001 * weight ELSE 0 END)::DOUBLE, 6) AS ret FROM h LEFT JOIN mv USING (date, code) GROUP BY ALL""", *NEED))
+def j6_waiting_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = pf.held_until(_waiting(spark, sf_dir), panels.calendar(spark, sf_dir))
+    return pf.rounded(pf.portfolio_returns(held, _matrix(spark, sf_dir), ["layer"], commission=0.001), ["layer", "date"], ["ret"])
+
+
 POS = """f AS (SELECT code, date, action, lag(action) OVER (PARTITION BY code ORDER BY date, action) AS p, day_idx + 1 AS fill_idx FROM trades), t AS (SELECT * FROM f WHERE (action = 0 AND (p IS NULL OR p = 1)) OR (action = 1 AND p = 0)),
   pos AS (SELECT * FROM (SELECT code, action, fill_idx AS start_idx, lead(fill_idx) OVER (PARTITION BY code ORDER BY date, action) AS end_idx FROM t) WHERE action = 0)"""
 

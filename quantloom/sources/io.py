@@ -21,6 +21,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared or tempfile.mkdtemp(prefix='quantloom-')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read from there, so that its plan and its loss end here."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def load(spark: SparkSession, path: str, fields: list[str], *, date_field: str = "date", start: str | None = None, end: str | None = None, condition: str | None = None) -> DataFrame:
     """A1: fields of the rows between two dates that meet a condition; filters and columns reach the scan."""
     df = spark.read.parquet(path)

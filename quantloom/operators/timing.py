@@ -108,21 +108,35 @@ def merged_bins(bounds: list[float], good: list[float], bad: list[float], level:
     return ups
 
 
-def chi_merge(df: DataFrame, columns: list[str], target: str, bins: int = 100) -> DataFrame:
-    """H4: cut points (column, position, upper) of each column: midpoint quantiles, then merging on their counts of the target.
+def value_counts(df: DataFrame, columns: list[str], target: str) -> DataFrame:
+    """Each column's distinct values (column, v) with their rows n and those of the target, bad."""
+    long = df.select(target, *[F.col(c).cast("double").alias(c) for c in columns]).where(F.col(target).isNotNull()).unpivot([target], columns, "column", "v").where("v IS NOT NULL")
+    return long.groupBy("column", "v").agg(F.count("*").alias("n"), F.sum(target).alias("bad"))
 
-    Spark counts good and bad rows per bin; only these counts, at most bins + 1 per column, meet in a group.
+
+def quantile_cuts(counted: DataFrame, bins: int = 100) -> DataFrame:
+    """H4: the distinct midpoint quantiles (column, upper) of each column, at 1 / bins to 1, of values with their counts n.
+
+    A value holds the ranks from the rows below it on; it is sent to the few quantiles whose ranks may be among these.
     """
-    long = df.select(target, *[F.col(c).cast("double").alias(c) for c in columns]).where(F.col(target).isNotNull()).unpivot([target], columns, "column", "v").where("v IS NOT NULL")
-    # Distinct values with their counts give the quantiles without sorting all rows of a column in one place.
-    counted = long.groupBy("column", "v").agg(F.count("*").alias("n"), F.sum(target).alias("bad"))
     ranked = below(counted, ["column"], "v", ["n"]).withColumnsRenamed({"below_n": "from", "all_n": "all"}).withColumn("upto", F.col("from") + F.col("n"))
-    steps = ranked.select("column", "v", "from", "upto", "all", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("q"))
+    step = lambda rank: rank * bins / F.greatest(F.col("all") - 1, F.lit(1))
+    first, last = F.greatest(F.floor(step(F.col("from") - 1)), F.lit(1)), F.least(F.ceil(step(F.col("upto"))), F.lit(bins))
+    steps = ranked.select("column", "v", "from", "upto", "all", F.explode(F.sequence(first, F.greatest(first, last))).alias("q"))
     at = (F.col("all") - 1) * F.col("q") / bins
     low, high = F.floor(F.round(at, 9)), F.ceil(F.round(at, 9))
     inside = lambda x: (x >= F.col("from")) & (x < F.col("upto"))
-    cuts = steps.groupBy("column", "q").agg(((F.max(F.when(inside(low), F.col("v"))) + F.max(F.when(inside(high), F.col("v")))) / 2).alias("upper")).select("column", "upper").distinct()
-    uppers = cuts.groupBy("column").agg(F.sort_array(F.collect_list("upper")).alias("ups"))
+    sides = steps.where(inside(low) | inside(high)).groupBy("column", "q").agg(((F.max(F.when(inside(low), F.col("v"))) + F.max(F.when(inside(high), F.col("v")))) / 2).alias("upper"))
+    return sides.select("column", "upper").distinct()
+
+
+def chi_merge(df: DataFrame, columns: list[str], target: str, bins: int = 100) -> DataFrame:
+    """H4: cut points (column, position, upper) of each column: midpoint quantiles, then merging on their counts of the target.
+
+    Spark counts good and bad rows per bin; only these counts, at most bins + 1 per column, meet in a group.
+    """
+    counted = value_counts(df, columns, target)
+    uppers = quantile_cuts(counted, bins).groupBy("column").agg(F.sort_array(F.collect_list("upper")).alias("ups"))
     binned = counted.join(F.broadcast(uppers), "column").withColumn("bin", F.size(F.filter("ups", lambda u: u < F.col("v"))))
     per_bin = binned.groupBy("column", "bin").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 

@@ -143,11 +143,24 @@ def h3_notches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panels.series(spark, sf_dir).select("series_id", "date", F.try_divide(F.col("close"), rows.lag("close")).alias("ret")).select("series_id", "date", notch("ret").alias("notch"))
 
 
+def _valued(spark, sf_dir) -> DataFrame:
+    return panels.outcomes(spark, sf_dir).where("Y_5D IS NOT NULL").select("date", "code", "Y_5D").join(panels.quotes(spark, sf_dir).select("date", "code", "close", "volume"), ["date", "code"])
+
+
 def _binned(spark, sf_dir):
-    rows = panels.outcomes(spark, sf_dir).where("Y_5D IS NOT NULL").select("date", "code", "Y_5D").join(panels.quotes(spark, sf_dir).select("date", "code", "close", "volume"), ["date", "code"])
+    rows = _valued(spark, sf_dir)
     return rows, tm.chi_merge(rows, ["close", "volume"], "Y_5D")
 
 
+@query(oracle("""WITH l AS (UNPIVOT (SELECT close::DOUBLE AS close, volume::DOUBLE AS volume FROM quotes JOIN outcomes USING (date, code) WHERE Y_5D IS NOT NULL) ON close, volume INTO NAME "column" VALUE v),
+  x AS (SELECT "column", list(v ORDER BY v) AS x FROM l GROUP BY "column"),
+  a AS (SELECT "column", x, round((len(x) - 1) * q / 100.0::DOUBLE, 9) AS place FROM x, range(1, 101) t(q))
+  SELECT DISTINCT "column", (x[floor(place)::BIGINT + 1] + x[ceil(place)::BIGINT + 1]) / 2 AS upper FROM a""", "quotes", "outcomes"))
+def h4_quantile_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cut points that H4 starts from."""
+    return tm.quantile_cuts(tm.value_counts(_valued(spark, sf_dir), ["close", "volume"], "Y_5D"))
+
+
 @query()
 def h4_chi_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _binned(spark, sf_dir)[1]

@@ -138,27 +138,36 @@ def balance_volume(df: DataFrame, rows: Rows, v: str, lags: tuple[int, ...], nam
     return out.withColumns({f"{name}_{n}D": rows.obv_diff(v, n) for n in lags}).drop("__before")
 
 
-def betas(df: DataFrame, rows: Rows, asset: str, market: str, lags: tuple[int, ...], half_life: int = 63) -> DataFrame:
-    """beta_n: decayed covariance over decayed variance around plain means, from row n on (from 0).
+def betas(df: DataFrame, rows: Rows, asset: str, market: str, lags: tuple[int, ...], half_life: int = 63, block: int = 4096) -> DataFrame:
+    """beta_n: decayed covariance over decayed variance around plain means, from row n on (from 0); values are finite or null.
 
-    The decay is a factor 2**(row / half_life), so that each weighted sum is a plain window sum, and the sum of the factors
-    themselves is a geometric one; rows are numbered per key, so factors stay finite for some 60,000 rows. Each window
-    sum is a column of its own first: a frame that is named twice would be summed twice.
+    Sums run within blocks of rows, whose decay starts anew at each block, so that factors stay below 2**(block / half_life)
+    however long a key is. A decayed sum of all rows so far is this one and what the end of the block before has left
+    of its own (that of older blocks is under one part in 2**(block / half_life)); the sum over the last n rows is
+    that of today less the decayed one of n rows ago, so all lags share the same sums.
     """
-    a, m, g = F.col(asset), F.col(market), F.col("__g")
-    out = df.withColumn("__row", rows.number()).withColumn("__g", F.pow(F.lit(2.0), F.col("__row") / half_life))
-    summed = {"ga": g * a, "gm": g * m, "gam": g * a * m, "gmm": g * m * m}
-    sums, columns = {}, {}
+    if max(lags) > block or not 60 * half_life <= block <= 1000 * half_life:
+        raise ValueError("a block holds 60 to 1,000 half-lives, and no window more than a block")
+    a, m, decay = F.col(asset), F.col(market), lambda k: F.pow(F.lit(2.0), -k / half_life)
+    out = df.withColumn("__row", rows.number()).withColumns({"__block": F.floor((F.col("__row") - 1) / block), "__r": (F.col("__row") - 1) % block})
+    inside = Window.partitionBy(*rows.key, "__block").orderBy(rows.order).rowsBetween(Window.unboundedPreceding, 0)
+    grown = {k: F.sum(x / decay(F.col("__r"))).over(inside) for k, x in {"a": a, "m": m, "am": a * m, "mm": m * m}.items()}
+    plain = {k: F.sum(x).over(inside) for k, x in {"pa": a, "pm": m, "pn": F.when((a * m).isNotNull(), 1).otherwise(0)}.items()}
+    out = out.withColumns({f"__{k}": F.coalesce(x, F.lit(0.0)) for k, x in (grown | plain).items()})
+    # What the block before ended with.
+    before = rows.window.rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumns({f"__e{k}": F.coalesce(F.last(F.when(F.col("__r") == block - 1, F.col(f"__{k}")), ignorenulls=True).over(before), F.lit(0.0)) for k in (*grown, *plain)})
+    out = out.withColumns({f"__{k}": F.col(f"__{k}") * decay(F.col("__r")) + F.col(f"__e{k}") * decay(F.col("__r") + block) for k in grown})
+    back = {f"__{k}{n}": rows.lag(f"__{k}", n) for n in lags for k in (*grown, *plain, "block")}
+    columns = {}
     for n in lags:
-        over = rows.last(n)
-        sums |= {f"__{k}{n}": F.sum(x).over(over) for k, x in summed.items()}
-        sums |= {f"__a{n}": F.avg(a).over(over), f"__m{n}": F.avg(m).over(over), f"__n{n}": F.count(a * m).over(over)}
-        ga, gm, gam, gmm, mean_a, mean_m, full = (F.col(f"__{k}{n}") for k in (*summed, "a", "m", "n"))
-        factors = g * ((1 - 2.0 ** (-n / half_life)) / (1 - 2.0 ** (-1 / half_life)))
+        ga, gm, gam, gmm = (F.col(f"__{k}") - F.col(f"__{k}{n}") * 2.0 ** (-n / half_life) for k in grown)
+        sum_a, sum_m, known = (F.col(f"__{k}") - F.col(f"__{k}{n}") + F.when(F.col("__block") != F.col(f"__block{n}"), F.col(f"__e{k}")).otherwise(0.0) for k in plain)
+        mean_a, mean_m, factors = sum_a / n, sum_m / n, (1 - 2.0 ** (-n / half_life)) / (1 - 2.0 ** (-1 / half_life))
         cov = gam - mean_a * gm - mean_m * ga + mean_a * mean_m * factors
         var = gmm - 2 * mean_m * gm + mean_m * mean_m * factors
-        columns[f"beta_{n}D"] = F.when((full == n) & (F.col("__row") > n), F.try_divide(cov, var))
-    return out.withColumns(sums).withColumns(columns).drop("__row", "__g", *sums)
+        columns[f"beta_{n}D"] = F.when((known == n) & (F.col("__row") > n), F.try_divide(cov, var))
+    return out.withColumns(back).select(*df.columns, *[x.alias(k) for k, x in columns.items()])
 
 
 def price_volume(df: DataFrame, rows: Rows, lags: tuple[int, ...]) -> DataFrame:

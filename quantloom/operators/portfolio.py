@@ -150,10 +150,19 @@ def replayed(orders: DataFrame, by: list[str]) -> DataFrame:
 
 
 def over_weight(positions: DataFrame, calendar: DataFrame, by: list[str], max_positions: int) -> DataFrame:
-    """Days on which the weights of 1 / max_positions add up to more than 1."""
-    days = F.broadcast(calendar.select("date", "day_idx"))
-    held = positions.join(days, (F.col("day_idx") >= F.col("start_idx")) & (F.col("end_idx").isNull() | (F.col("day_idx") < F.col("end_idx"))))
-    return held.groupBy(*by, "date").agg((F.count("*") / max_positions).alias("weight")).where("weight > 1")
+    """Days on which the weights of 1 / max_positions add up to more than 1.
+
+    An opening counts 1 and a closing -1; their running sum holds from one day with such events to the day before the next.
+    """
+    real = positions.where("start_idx IS NOT NULL AND (end_idx IS NULL OR end_idx > start_idx)")
+    told = F.array(F.struct(F.col("start_idx").cast("long").alias("day_idx"), F.lit(1).alias("n")), F.struct(F.col("end_idx").cast("long").alias("day_idx"), F.lit(-1).alias("n")))
+    events = real.select(*by, F.inline(told)).where("day_idx IS NOT NULL").groupBy(*by, "day_idx").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy(*by).orderBy("day_idx")
+    last = calendar.agg(F.max("day_idx")).scalar()
+    until = F.coalesce(F.lead("day_idx").over(w) - 1, last.cast("long"))
+    held = events.select(*by, "day_idx", F.sum("n").over(w).alias("__held"), until.alias("__until")).where((F.col("__held") > max_positions) & (F.col("__until") >= F.col("day_idx")))
+    each = held.select(*by, "__held", F.explode(F.sequence("day_idx", "__until")).alias("day_idx"))
+    return each.join(F.broadcast(calendar.select("date", "day_idx")), "day_idx").select(*by, "date", (F.col("__held") / max_positions).alias("weight"))
 
 
 def holding_days(positions: DataFrame, by: list[str]) -> DataFrame:
@@ -212,10 +221,16 @@ def closed_records(sells: DataFrame, positions: DataFrame, opening: float, commi
 
 
 def marked_to_market(positions: DataFrame, prices: DataFrame, calendar: DataFrame, today) -> DataFrame:
-    """Trade days held, today's included, and floating profit at today's close."""
+    """Trade days held, today's included, and floating profit at today's close; positions that start later are left out.
+
+    The trade days up to each day are a running count over the calendar and the days on which positions start.
+    """
     now = F.lit(today).cast("date")
-    days = F.broadcast(calendar.select(F.col("date").alias("__d")))
-    held = positions.join(days, (F.col("__d") >= F.col("start_date")) & (F.col("__d") <= now)).groupBy(*positions.columns).agg(F.count("*").alias("holding_period"))
+    starts = positions.select(F.col("start_date").alias("__d"), F.lit(0).alias("__n")).distinct()
+    spine = calendar.where(F.col("date") <= now).select(F.col("date").alias("__d"), F.lit(1).alias("__n")).unionByName(starts).groupBy("__d").agg(F.max("__n").alias("__n"))
+    up_to = Window.orderBy(F.desc("__d")).rowsBetween(Window.unboundedPreceding, 0)
+    counted = spine.select(F.col("__d").alias("start_date"), F.sum("__n").over(up_to).alias("holding_period"))
+    held = positions.join(F.broadcast(counted), "start_date").where("holding_period > 0").select(*positions.columns, "holding_period")
     current = prices.where(F.col("date") == now).select("code", F.col("close").alias("current_price"))
     return held.join(current, "code", "left").withColumn("floating_PnL", (F.col("current_price") - F.col("open_price")) * F.col("volume"))
 

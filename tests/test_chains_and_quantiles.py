@@ -62,6 +62,36 @@ def test_baskets_wait_until_all_is_sold(spark, seed):
     assert held.count() == sum((s if s is not None else last) - d for _, d, _, s in want)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_weights_by_events(spark):
+    """Against a count day by day: accounts, positions that stay open, last no day, or begin after the calendar."""
+    rng, last = random.Random(3), 40
+    positions = [(a, s, None if rng.random() < 0.2 else s + rng.randint(-1, 9)) for a in ("x", "y") for s in (rng.randint(0, last + 3) for _ in range(60))]
+    calendar = spark.createDataFrame([(date(2020, 1, 1) + timedelta(days=d), d) for d in range(last)], "date date, day_idx long")
+    found = pf.over_weight(spark.createDataFrame([*positions, ("x", None, 3)], "account string, start_idx long, end_idx long"), calendar, ["account"], 5)
+    want = {}
+    for a in ("x", "y"):
+        for d in range(last):
+            n = sum(k == a and s <= d and (e is None or d < e) for k, s, e in positions)
+            if n > 5:
+                want[a, date(2020, 1, 1) + timedelta(days=d)] = n / 5
+    assert {(r.account, r.date): r.weight for r in found.collect()} == want and "NestedLoop" not in _plan(found)
+
+
+def test_days_held_by_a_running_count(spark):
+    trade_days = [date(2020, 1, d) for d in (2, 3, 6, 7, 8, 13, 14)]
+    calendar = spark.createDataFrame([(d, i) for i, d in enumerate(trade_days)], "date date, day_idx long")
+    starts = [date(2020, 1, d) for d in (1, 2, 4, 6, 6, 12, 13, 14)]
+    positions = spark.createDataFrame([("a", s, 1.0, 10) for s in starts], "code string, start_date date, open_price double, volume int")
+    prices = spark.createDataFrame([("a", date(2020, 1, 13), 3.0)], "code string, date date, close double")
+    found = pf.marked_to_market(positions, prices, calendar, "2020-01-13")
+    want = [(s, n, 20.0) for s in starts if (n := sum(s <= d <= date(2020, 1, 13) for d in trade_days))]
+    assert sorted((r.start_date, r.holding_period, r.floating_PnL) for r in found.collect()) == want and "NestedLoop" not in _plan(found)
+
+
 def _thresholds(rows, days, share):
     of = defaultdict(list)
     for d, s in rows:

@@ -1,4 +1,4 @@
-"""Window features per code, category or series.
+"""Window features per code, category or series.
 
 All of them are columns over row frames of one window, so a bundle needs a single exchange by key. A frame gives null
 until it is full of non-null values; divisions by zero give null.
@@ -170,15 +170,6 @@ def betas(df: DataFrame, rows: Rows, asset: str, market: str, lags: tuple[int, .
     return out.withColumns(back).select(*df.columns, *[x.alias(k) for k, x in columns.items()])
 
 
-def price_volume(df: DataFrame, rows: Rows, lags: tuple[int, ...]) -> DataFrame:
-    """PV_n: RET_n times the product over n rows of amount to its median over n + 1 rows; Market_Insight_n: RET_1 over today's ratio, in percent."""
-    ratios = df.withColumns({f"__r{n}": F.try_divide(F.col("amount"), rows.full(F.percentile("amount", 0.5), "amount", n + 1)) for n in lags})
-    return ratios.withColumns(
-        {f"PV_{n}D": rows.ret("close", n) * rows.full(F.product(F.col(f"__r{n}")), f"__r{n}", n) for n in lags}
-        | {f"Market_Insight_{n}D": F.try_divide(rows.ret("close", 1), F.col(f"__r{n}")) * 100 for n in lags}
-    ).drop(*[f"__r{n}" for n in lags])
-
-
 def list_days(df: DataFrame, listing: DataFrame) -> DataFrame:
     """LIST_DAYNUM: days since the listing, null before it; listing holds code and list_date."""
     days = F.datediff("date", "list_date")

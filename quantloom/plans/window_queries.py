@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from quantloom.operators.bundles import BANDS, BUNDLES, L7, Bundle, value_set
 from quantloom.operators.carried import Carried, load_on, loaded
 from quantloom.operators.recursive import recursive_features
-from quantloom.operators.rolling import Rows, balance_volume, betas, fill, limits, list_days, period_change, price_volume, resume_days, stochastics, volatility_ratio
+from quantloom.operators.rolling import Rows, balance_volume, betas, fill, limits, list_days, period_change, resume_days, stochastics, volatility_ratio
+from quantloom.operators.sliding import price_volume
 from quantloom.plans.registry import ORACLE, query
 from quantloom.sources import panels
 from quantloom.sources.io import scratch

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -12,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.operators.slices import below, rank_from_top
+from quantloom.sources.io import kept
 
 
 #: Stands for an unknown feature; trees can split it off.
@@ -40,6 +45,39 @@ def search(df: DataFrame, features: list[str], label: str, *, depths: tuple[int,
     return TrainValidationSplit(estimator=gbt, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label), trainRatio=0.8, seed=seed, parallelism=parallelism).fit(ready)
 
 
+def drawn_settings(trials: int, seed: int, *, depths: tuple[int, int] = (1, 9), steps: tuple[float, float] = (0.05, 0.15), shares: tuple[float, float] = (0.5, 0.9)) -> list[dict]:
+    """Settings drawn at random: tree depth, step, and the shares of rows and of features that a tree sees."""
+    rng = random.Random(seed)
+    return [{"maxDepth": rng.randint(*depths), "stepSize": rng.uniform(*steps), "subsamplingRate": rng.uniform(*shares), "featureSubsetStrategy": f"{rng.uniform(*shares):.6f}"} for _ in range(trials)]
+
+
+def random_search(
+    df: DataFrame, features: list[str], label: str, keys: list[str], *, settings: list[dict], rounds: int = 5, folds: int = 5, held_out: tuple[int, ...] = (0,), seed: int = 1, parts: int = 16, parallelism: int = 4,
+) -> DataFrame:
+    """The AUC of each of the settings (trial, those of drawn_settings, auc) on held-out folds, averaged; the best one first.
+
+    Folds and parts are dealt by a hash of the keys, which tell the rows apart, and parts are sorted by them; so neither the folds nor what the
+    trees sample depends on how df is partitioned. The trials run as jobs of one pool of threads.
+    """
+    known = df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
+    ready = VectorAssembler(inputCols=[f"in_{f}" for f in features], outputCol="features").transform(_known_features(features).transform(known))
+    fold = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int").alias("fold")
+    rows = kept(ready.select(*keys, label, "features", fold), "folds").repartition(parts, *keys).sortWithinPartitions(*keys)
+    judge = BinaryClassificationEvaluator(labelCol=label)
+
+    def auc_of(trial: tuple[dict, int]) -> float:
+        setting, out = trial
+        model = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, seed=seed, **setting).fit(rows.where(F.col("fold") != out))
+        # Spark adds up doubles as tasks end, so the last digits aren't the same each time.
+        return round(judge.evaluate(model.transform(rows.where(F.col("fold") == out))), 9)
+
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(inheritable_thread_target(df.sparkSession)(auc_of), [(s, out) for s in settings for out in held_out], chunksize=1)
+    told = [(i, s["maxDepth"], rounds, s["stepSize"], s["subsamplingRate"], float(s["featureSubsetStrategy"]), round(sum(found[i * len(held_out) : (i + 1) * len(held_out)]) / len(held_out), 9)) for i, s in enumerate(settings)]
+    schema = "trial int, depth int, rounds int, step double, row_share double, feature_share double, auc double"
+    return df.sparkSession.createDataFrame(sorted(told, key=lambda t: (-t[-1], t[0])), schema)
+
+
 def importances(spark, model: PipelineModel, features: list[str]) -> DataFrame:
     """I3."""
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, model.stages[-1].featureImportances.toArray(), strict=True)], "feature string, importance double")

@@ -208,6 +208,12 @@ def i2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(best.validationMetrics)], "setting int, auc double")
 
 
+@query()
+def i2_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten drawn settings and their AUC on held-out rows."""
+    return ev.random_search(_training(spark, sf_dir), FEATURES, "Y_5D", ["date", "code"], settings=ev.drawn_settings(10, 7, depths=(1, 5)), rounds=3)
+
+
 @query()
 def i3_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = ev.train_classifier(_training(spark, sf_dir), FEATURES, "Y_5D", rounds=3, depth=2)

@@ -1,4 +1,8 @@
-"""Feature sets of one value and the bundles made of them (D4-D6, D20, D21, D23), from one configuration."""
+"""Feature sets of one value and the bundles made of them (D4-D6, D20, D21, D23), from one configuration.
+
+A bundle is planned as a whole: one grouped kernel per key for everything recursive in it, then the window features of all its
+inputs in four stages over one window, so two exchanges by key whatever the bundle holds.
+"""
 
 from __future__ import annotations
 
@@ -7,32 +11,69 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.operators.recursive import recursive_features
-from quantloom.operators.rolling import Rows, fill
+from quantloom.operators.recursive import Recursions, recursive_sets
+from quantloom.operators.rolling import Rows
 
 L7 = (1, 2, 5, 10, 20, 30, 60)
 BANDS = (7, 14, 21, 28)
+AVERAGES = ("MA", "EMA", "WMA")
+BAR = ("open", "high", "low", "close", "volume", "amount", "turnover")
 
 
 @dataclass(frozen=True)
-class Bundle:
-    """What a bundle holds: lags, which sets of its value, whether gaps are filled first, and a prefix of the names."""
+class ValueSet:
+    """The features of one value: the prefix of their names, lags, and which kinds; differences are taken from the averages."""
 
     value: str = "close"
     prefix: str = ""
     lags: tuple[int, ...] = L7
     averages: bool = True
+    differences: bool = True
     returns: bool = True
     spreads: bool = True
-    macd: bool = True
-    differences: bool = True
+    macd: tuple[int, ...] = BANDS
+
+    @property
+    def long_lags(self) -> tuple[int, ...]:
+        """A row's average with itself alone is no feature."""
+        return tuple(n for n in self.lags if n >= 2)
+
+
+@dataclass(frozen=True)
+class Bundle:
+    """What a bundle holds beside its value sets.
+
+    to_average: (value, name) of the ratios name_TO_MA_n; balances: (value, name) of signed sums name_n; ratios: (value, pattern of
+    the name, lags) of values over their averages; bars: the features of whole bars; sums: turnover sums and amplitudes;
+    filled: gaps take the last known value first, and stay null before it.
+    """
+
+    sets: tuple[ValueSet, ...] = ()
+    lags: tuple[int, ...] = L7
+    bars: bool = False
+    sums: bool = False
+    to_average: tuple[tuple[str, str], ...] = ()
+    balances: tuple[tuple[str, str], ...] = ()
+    ratios: tuple[tuple[str, str, tuple[int, ...]], ...] = ()
     filled: bool = False
 
+    @property
+    def inputs(self) -> list[str]:
+        needed = {s.value for s in self.sets} | {v for v, *_ in (*self.to_average, *self.balances, *self.ratios)}
+        needed |= ({"high", "low", "close", "volume"} if self.bars else set()) | ({"high", "low", "close", "turnover"} if self.sums else set()) | ({"close"} if self.balances else set())
+        return [c for c in BAR if c in needed] + sorted(needed - set(BAR))
+
 
-#: The price set of a code or category, the stationary set, the set of a single series (gaps filled first), of closes only, of ratios only, and a series' stationary set.
+PRICE, VOLUME, AMOUNT = ValueSet(), ValueSet("volume", "V"), ValueSet("amount", "AMT")
+_VOLUME = {"balances": (("volume", "OBV_DIFF"),), "ratios": (("volume", "VOLUME_RATIO", (5,)),)}
+_AMOUNT = {"balances": (("amount", "AMT_OBV_DIFF"),), "ratios": (("amount", "AMOUNT_RATIO_{}D", AMOUNT.long_lags),)}
 BUNDLES = {
-    "price": Bundle(), "stationary": Bundle(averages=False, spreads=False), "series": Bundle(filled=True), "close_only": Bundle(differences=False),
-    "ratio_only": Bundle(averages=False, spreads=False, macd=False, differences=False), "series_stationary": Bundle(averages=False, spreads=False, filled=True),
+    "price": Bundle((PRICE, VOLUME), bars=True, sums=True, **_VOLUME),
+    "stationary": Bundle((AMOUNT,), to_average=(("close", "PRICE"),), **_AMOUNT),
+    "series": Bundle((PRICE, VOLUME), bars=True, filled=True, **_VOLUME),
+    "close_only": Bundle((PRICE,)),
+    "ratio_only": Bundle(to_average=(("close", "PRICE"),)),
+    "series_stationary": Bundle((AMOUNT,), to_average=(("close", "PRICE"),), filled=True, **_AMOUNT),
 }
 
 
@@ -42,45 +83,76 @@ def run_length(rows: Rows, sign: Column, value: int, number: str) -> Column:
     return F.col(number) - F.max(F.when(other, F.col(number))).over(rows.so_far)
 
 
-def difference_set(df: DataFrame, rows: Rows, value: str, averages: dict[str, str], lags: tuple[int, ...], number: str = "row_number") -> DataFrame:
-    """Value less each average (name to column, per lag), its sign, the counts of both signs over the lag, and their runs.
+Stages = list[dict[str, Column]]
+
+
+def _of_value(stages: Stages, rows: Rows, s: ValueSet) -> None:
+    """Averages, returns, deviations and bands; differences from averages, their sign, its counts over the lag, and its runs.
 
     Differences are rounded to a millionth before their sign is taken, as an average of equal values may miss them by a hair.
     """
-    n_of = {f"{k}_DIFF_{n}D": (k, n, F.round(F.col(value) - F.col(c.format(n)), 6)) for k, c in averages.items() for n in lags if n >= 2}
-    out = df.withColumns({name: d for name, (_, _, d) in n_of.items()})
-    out = out.withColumns({f"{k}_DIFF_SIGN_{n}D": rows.sign(name) for name, (k, n, _) in n_of.items()})
-    columns = {}
-    for k, n, _ in n_of.values():
+    v, p = s.value, s.prefix
+    if s.averages:
+        stages[0] |= {f"{p}MA_{n}D": rows.sma(v, n) for n in s.long_lags} | {f"{p}WMA_{n}D": rows.wma(v, n) for n in s.long_lags}
+    if s.returns:
+        stages[0] |= {f"{p}RET_{n}D": rows.ret(v, n) for n in s.lags}
+    if s.spreads:
+        stages[0] |= {f"{p}STD_{n}D": rows.std(v, n) for n in s.long_lags if n >= 5}
+        stages[0] |= {f"{p}BBANDS_{side}_{n}D": rows.bbands(v, n)[i] for n in BANDS for i, side in enumerate(("UPPER", "LOWER"))}
+    for k, n in ((f"{p}{k}", n) for k in AVERAGES for n in s.long_lags if s.differences):
         sign = F.col(f"{k}_DIFF_SIGN_{n}D")
         plus = rows.plus_count(sign, n)
-        columns |= {f"{k}_DIFF_PLUS_COUNT_{n}D": plus, f"{k}_DIFF_NEGATIVE_COUNT_{n}D": n - plus}
-        columns |= {f"{k}_DIFF_CON_PLUS_COUNT_{n}D": run_length(rows, sign, 1, number), f"{k}_DIFF_CON_NEGATIVE_COUNT_{n}D": run_length(rows, sign, 0, number)}
-    return out.withColumns(columns)
+        stages[1][f"{k}_DIFF_{n}D"] = F.round(F.col(v) - F.col(f"{k}_{n}D"), 6)
+        stages[2][f"{k}_DIFF_SIGN_{n}D"] = rows.sign(f"{k}_DIFF_{n}D")
+        stages[3] |= {f"{k}_DIFF_PLUS_COUNT_{n}D": plus, f"{k}_DIFF_NEGATIVE_COUNT_{n}D": n - plus}
+        stages[3] |= {f"{k}_DIFF_CON_PLUS_COUNT_{n}D": run_length(rows, sign, 1, "row_number"), f"{k}_DIFF_CON_NEGATIVE_COUNT_{n}D": run_length(rows, sign, 0, "row_number")}
+
+
+def _of_bars(stages: Stages, rows: Rows) -> None:
+    """D11, D13, D15-D17 over all bands."""
+    stages[0] |= {"__h": rows.true_high(), "__l": rows.true_low()}
+    for n in BANDS:
+        stages[0] |= {f"AD_DIFF_{n}D": rows.ad_diff(n), f"CCI_{n}D": rows.cci(n), f"WILLER_{n}D": rows.willr(n), f"__fast{n}": rows.fast_k(n)}
+        widest = F.max("__h").over(rows.last(n)) - F.min("__l").over(rows.last(n))
+        stages[1] |= {f"VR_{n}D": F.try_divide(F.col("__h") - F.col("__l"), widest), f"__slow{n}": rows.sma(f"__fast{n}", 3)}
+        stages[2][f"STOCH_D_{n}D"] = rows.sma(f"__slow{n}", 3)
+        stages[3][f"STOCH_K_{n}D"] = F.when(F.col(f"STOCH_D_{n}D").isNotNull(), F.col(f"__slow{n}"))
 
 
-def value_set(df: DataFrame, rows: Rows, bundle: Bundle, key: str = "code") -> DataFrame:
-    """key, date, the value and the sets of a bundle: averages, returns, deviations and bands, MACD, differences.
+def bundle_features(df: DataFrame, rows: Rows, bundle: Bundle) -> DataFrame:
+    """key, date and the bundle's features. df holds a row per key and date with the bundle's inputs.
 
-    Recursive features come from one grouped kernel per key, which hands the value on; all others share one window.
+    Values may be null before a key's first known one; later gaps need `filled`. Empty tables give no rows.
     """
-    v, p, lags = bundle.value, bundle.prefix, tuple(n for n in bundle.lags if n >= 2)
-    base = df.select(key, "date", v)
-    base = fill(base, rows, [v]) if bundle.filled else base
-    emas, macds = lags if bundle.averages or bundle.differences else (), (7,) if bundle.macd else ()
-    out = recursive_features(base, key=key, value=v, ema_lags=emas, macd_lags=macds, prefix=p, keep=(v,)) if emas or macds else base
-    out = out.withColumn("row_number", rows.number())
-    columns = {}
-    if bundle.averages or bundle.differences:
-        columns |= {f"{p}MA_{n}D": rows.sma(v, n) for n in lags} | {f"{p}WMA_{n}D": rows.wma(v, n) for n in lags}
-    if bundle.returns:
-        columns |= {f"{p}RET_{n}D": rows.ret(v, n) for n in bundle.lags}
-    if bundle.spreads:
-        columns |= {f"{p}STD_{n}D": rows.std(v, n) for n in lags if n >= 5}
-        columns |= {f"{p}BBANDS_{side}_{n}D": rows.bbands(v, n)[i] for n in BANDS for i, side in enumerate(("UPPER", "LOWER"))}
-    out = out.withColumns(columns)
-    if bundle.differences:
-        out = difference_set(out, rows, v, {f"{p}{k}": f"{p}{k}_{{}}D" for k in ("MA", "EMA", "WMA")}, lags)
-    if not bundle.averages:
-        out = out.drop(*[f"{p}{k}_{n}D" for k in ("MA", "EMA", "WMA") for n in lags])
-    return out.drop("row_number")
+    key, inputs = rows.key[0], bundle.inputs
+    base = df.select(key, "date", *inputs)
+    if bundle.filled:
+        base = base.withColumns({c: F.last(c, ignorenulls=True).over(rows.so_far) for c in inputs})
+    kernels = [Recursions(s.value, s.prefix, ema=s.long_lags if s.averages else (), macd=s.macd) for s in bundle.sets]
+    kernels += [Recursions(rsi=BANDS, adx=BANDS)] if bundle.bars else []
+    kernels = [k for k in kernels if k.names]
+    out = recursive_sets(base, kernels, key, tuple(inputs)) if kernels else base
+    stages: Stages = [{}, {}, {}, {}]
+    for s in bundle.sets:
+        _of_value(stages, rows, s)
+    if bundle.bars:
+        _of_bars(stages, rows)
+    for v, name in bundle.to_average:
+        stages[0] |= {f"{name}_TO_MA_{n}D": rows.to_mean(v, n) for n in bundle.lags if n >= 2}
+    for v, name in bundle.balances:
+        stages[0] |= {f"{name}_{n}D": rows.obv_diff(v, n) for n in bundle.lags}
+    for v, name, lags in bundle.ratios:
+        stages[0] |= {name.format(n): rows.to_mean(v, n) for n in lags}
+    if bundle.sums:
+        for n in bundle.lags:
+            stages[0] |= {f"TURNOVER_ROLLING_SUM_{n}D": rows.rolling_sum("turnover", n), f"AMPLITUDE_{n}D": rows.amplitude(n)}
+    before = {"__before": rows.lag("close")} if bundle.balances else {}
+    out = out.withColumns({"row_number": rows.number(), **before})
+    for columns in stages:
+        out = out.withColumns(columns) if columns else out
+    return out.drop("row_number", *inputs, *[c for c in out.columns if c.startswith("__")])
+
+
+def value_set(df: DataFrame, rows: Rows, s: ValueSet) -> DataFrame:
+    """key, date and the features of one value."""
+    return bundle_features(df, rows, Bundle((s,)))

@@ -5,6 +5,9 @@ A group is one code's bars, thousands of rows at most; all recursions of a code
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -65,27 +68,67 @@ def adx(high: np.ndarray, low: np.ndarray, close: np.ndarray, n: int) -> np.ndar
     return smoothed(dx, 2 * n - 1, dx[n : 2 * n].mean(), 1 / n)
 
 
-def recursive_features(df: DataFrame, *, key: str = "code", value: str = "close", ema_lags: tuple[int, ...] = (), macd_lags: tuple[int, ...] = (), rsi_lags: tuple[int, ...] = (), adx_lags: tuple[int, ...] = (), prefix: str = "", keep: tuple[str, ...] = ()) -> DataFrame:
-    """key, date, the columns of keep and the asked EMA, MACD, RSI and ADX columns; value has no nulls within a key's history."""
-    names = [f"{prefix}EMA_{n}D" for n in ema_lags]
-    names += [f"{prefix}MACD_DIF_12_26D"] * bool(macd_lags) + [f"{prefix}MACD_{x}12_26_{n}D" for n in macd_lags for x in ("DEA_", "")]
-    names += [f"{prefix}RSI_{n}D" for n in rsi_lags] + [f"{prefix}ADX_{n}D" for n in adx_lags]
+def from_first(kernel: Callable, *xs: np.ndarray):
+    """The kernel on the rows from the first on where all of xs are known; null before. Later gaps are not mended."""
+    known = ~np.isnan(np.vstack(xs)).any(axis=0)
+    start = int(known.argmax()) if known.any() else len(known)
+    found = kernel(*(x[start:] for x in xs))
+    pad = lambda x: np.concatenate((np.full(start, np.nan), x))
+    return tuple(map(pad, found)) if isinstance(found, tuple) else pad(found)
+
+
+@dataclass(frozen=True)
+class Recursions:
+    """The recursive features of one value: lags of each kind, and the prefix of their names. ADX reads high, low and close."""
+
+    value: str = "close"
+    prefix: str = ""
+    ema: tuple[int, ...] = ()
+    macd: tuple[int, ...] = ()
+    rsi: tuple[int, ...] = ()
+    adx: tuple[int, ...] = ()
+
+    @property
+    def inputs(self) -> list[str]:
+        return [self.value, *(("high", "low", "close") if self.adx else ())]
+
+    @property
+    def names(self) -> list[str]:
+        p = self.prefix
+        macds = [f"{p}MACD_DIF_12_26D"] * bool(self.macd) + [f"{p}MACD_{x}12_26_{n}D" for n in self.macd for x in ("DEA_", "")]
+        return [*(f"{p}EMA_{n}D" for n in self.ema), *macds, *(f"{p}RSI_{n}D" for n in self.rsi), *(f"{p}ADX_{n}D" for n in self.adx)]
+
+    def columns(self, bars: pd.DataFrame) -> dict[str, np.ndarray]:
+        """The features of one key's bars in order of date, in the order of names."""
+        x = bars[self.value].to_numpy(float)
+        found = [from_first(lambda v, n=n: ema(v, n), x) for n in self.ema]
+        for i, n in enumerate(self.macd):
+            dif, dea, hist = from_first(lambda v, n=n: macd(v, n), x)
+            # The difference is that of the first lag.
+            found += [dea, hist] if i else [dif, dea, hist]
+        found += [from_first(lambda v, n=n: rsi(v, n), x) for n in self.rsi]
+        found += [from_first(lambda h, low, c, n=n: adx(h, low, c, n), *(bars[c].to_numpy(float) for c in ("high", "low", "close"))) for n in self.adx]
+        return dict(zip(self.names, found, strict=True))
+
+
+def recursive_sets(df: DataFrame, sets: list[Recursions], key: str = "code", keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, date, the columns of keep and the features of all sets, in one grouped kernel per key; null until a value's first known row."""
+    names = [c for s in sets for c in s.names]
 
     def compute(bars: pd.DataFrame) -> pd.DataFrame:
         bars = bars.sort_values("date", kind="stable")
-        x, out = bars[value].to_numpy(float), {c: bars[c] for c in (key, "date", *keep)}
-        out |= {f"{prefix}EMA_{n}D": ema(x, n) for n in ema_lags}
-        for i, n in enumerate(macd_lags):
-            dif, dea, hist = macd(x, n)
-            if not i:
-                out[f"{prefix}MACD_DIF_12_26D"] = dif
-            out |= {f"{prefix}MACD_DEA_12_26_{n}D": dea, f"{prefix}MACD_12_26_{n}D": hist}
-        out |= {f"{prefix}RSI_{n}D": rsi(x, n) for n in rsi_lags}
-        out |= {f"{prefix}ADX_{n}D": adx(*(bars[c].to_numpy(float) for c in ("high", "low", "close")), n) for n in adx_lags}
-        return pd.DataFrame(out)[[key, "date", *keep, *names]]
-
-    needed = list(dict.fromkeys([key, "date", value, *keep, *(("high", "low", "close") if adx_lags else ())]))
+        found = {c: bars[c] for c in (key, "date", *keep)}
+        for s in sets:
+            found |= s.columns(bars)
+        return pd.DataFrame(found)[[key, "date", *keep, *names]]
+
+    needed = list(dict.fromkeys([key, "date", *keep, *(c for s in sets for c in s.inputs)]))
     schema = T.StructType([df.schema[key], df.schema["date"], *(df.schema[c] for c in keep), *(T.StructField(c, T.DoubleType()) for c in names)])
     found = df.select(*needed).groupBy(key).applyInPandas(compute, schema)
     # The kernels' not-a-number is null everywhere else.
     return found.select(key, "date", *keep, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in names])
+
+
+def recursive_features(df: DataFrame, *, key: str = "code", value: str = "close", ema_lags: tuple[int, ...] = (), macd_lags: tuple[int, ...] = (), rsi_lags: tuple[int, ...] = (), adx_lags: tuple[int, ...] = (), prefix: str = "", keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, date, the columns of keep and the asked EMA, MACD, RSI and ADX columns of one value."""
+    return recursive_sets(df, [Recursions(value, prefix, ema_lags, macd_lags, rsi_lags, adx_lags)], key, keep)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.operators.bundles import BANDS, BUNDLES, L7, Bundle, value_set
+from quantloom.operators.bundles import AVERAGES, BANDS, BAR, BUNDLES, L7, Bundle, ValueSet, bundle_features, value_set
+from quantloom.operators.cross_section import weighted_index
 from quantloom.operators.carried import Carried, load_on, loaded
 from quantloom.operators.recursive import recursive_features
 from quantloom.operators.rolling import Rows, balance_volume, betas, fill, limits, list_days, period_change, resume_days, stochastics, volatility_ratio
@@ -115,14 +115,17 @@ def d9_bollinger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(panels.quotes(spark, sf_dir), {f"BBANDS_{k}_{n}D": R.bbands("close", n)[i] for n in (7, 21) for i, k in enumerate(("UPPER", "LOWER"))}, 2)
 
 
-def _macd_sql(n: int) -> str:
-    return f"round(dea{n}, 2) AS MACD_DEA_12_26_{n}D, round(2 * (raw - dea{n}), 2) AS MACD_12_26_{n}D"
-
-
-@query(oracle(EMA_LIST + f""", d AS (SELECT date, code, {ema_sql('x', 12, '26')} - {ema_sql('x', 26)} AS dif FROM l WHERE len(x) >= 26),
+def macd_sql(value: str = "close", p: str = "", digits: int = 2, shift: float = 0.0) -> str:
+    """MACD of every band; shift moves values off the ties of rounding."""
+    shown = lambda x, name: f"round({x} + {shift}, {digits}) AS {p}MACD_{name}"
+    bands = ", ".join(f"{shown(f'dea{n}', f'DEA_12_26_{n}D')}, {shown(f'2 * (raw - dea{n})', f'12_26_{n}D')}" for n in BANDS)
+    return EMA_LIST.replace("list(close)", f"list({value})") + f""", d AS (SELECT date, code, {ema_sql('x', 12, '26')} - {ema_sql('x', 26)} AS dif FROM l WHERE len(x) >= 26),
   e AS (SELECT date, code, dif, list(dif) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING) AS y FROM d),
   f AS (SELECT date, code, dif AS raw, CASE WHEN len(y) >= 7 THEN dif END AS dif, {", ".join(f"{ema_sql('y', n)} AS dea{n}" for n in BANDS)} FROM e)
-  SELECT date, code, round(dif, 2) AS MACD_DIF_12_26D, {", ".join(map(_macd_sql, BANDS))} FROM quotes LEFT JOIN f USING (date, code)""", "quotes"))
+  SELECT date, code, {shown('dif', 'DIF_12_26D')}, {bands} FROM quotes LEFT JOIN f USING (date, code)"""
+
+
+@query(oracle(macd_sql(), "quotes"))
 def d10_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["MACD_DIF_12_26D", *(f"MACD_{x}12_26_{n}D" for n in BANDS for x in ("DEA_", ""))]
     return out(recursive_features(panels.quotes(spark, sf_dir), macd_lags=BANDS), {c: F.col(c) for c in names}, 2)
@@ -131,7 +134,10 @@ def d10_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
 CLV = "coalesce((2 * close - high - low) / nullif(high - low, 0), 0)"
 
 
-@query(oracle(f"WITH {NUMBERED} SELECT date, code, " + ", ".join(f"round(CASE WHEN rn > {n} THEN sum({CLV} * volume) OVER {w(n)} END, 6) AS AD_DIFF_{n}D" for n in (7, 14, 21, 28)) + " FROM n", "quotes"))
+AD_SQL = f"WITH {NUMBERED} SELECT date, code, " + ", ".join(f"round(CASE WHEN rn > {n} THEN sum({CLV} * volume) OVER {w(n)} END, 6) AS AD_DIFF_{n}D" for n in BANDS) + " FROM n"
+
+
+@query(oracle(AD_SQL, "quotes"))
 def d11_accumulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(panels.quotes(spark, sf_dir), {f"AD_DIFF_{n}D": R.ad_diff(n) for n in (7, 14, 21, 28)})
 
@@ -148,11 +154,15 @@ def _adx_sql(n: int) -> str:
   a{n} AS (SELECT code, rn, first AS adx FROM y{n} WHERE rn = {2 * n} UNION ALL SELECT y.code, y.rn, a.adx + (y.dx - a.adx) / {n} FROM a{n} a JOIN y{n} y ON y.code = a.code AND y.rn = a.rn + 1)"""
 
 
-@query(oracle(f"""WITH RECURSIVE b AS (SELECT date, code, high, low, row_number() OVER o AS rn, high - lag(high) OVER o AS u, lag(low) OVER o - low AS d, coalesce(lag(close) OVER o, close) AS pc FROM quotes WINDOW o AS (PARTITION BY code ORDER BY date)),
-  m AS (SELECT date, code, rn, (greatest(high, pc) - least(low, pc))::DOUBLE AS tr, CASE WHEN u > d AND u > 0 THEN u ELSE 0 END::DOUBLE AS up, CASE WHEN d > u AND d > 0 THEN d ELSE 0 END::DOUBLE AS dn FROM b), {_adx_sql(7)}, {_adx_sql(14)}
-  SELECT date, m.code, round(a7.adx, 6) AS ADX_7D, round(a14.adx, 6) AS ADX_14D FROM m LEFT JOIN a7 ON a7.code = m.code AND a7.rn = m.rn LEFT JOIN a14 ON a14.code = m.code AND a14.rn = m.rn""", "quotes"))
+def adx_sql(lags: tuple[int, ...]) -> str:
+    return f"""WITH RECURSIVE b AS (SELECT date, code, high, low, row_number() OVER o AS rn, high - lag(high) OVER o AS u, lag(low) OVER o - low AS d, coalesce(lag(close) OVER o, close) AS pc FROM quotes WINDOW o AS (PARTITION BY code ORDER BY date)),
+  m AS (SELECT date, code, rn, (greatest(high, pc) - least(low, pc))::DOUBLE AS tr, CASE WHEN u > d AND u > 0 THEN u ELSE 0 END::DOUBLE AS up, CASE WHEN d > u AND d > 0 THEN d ELSE 0 END::DOUBLE AS dn FROM b), {", ".join(map(_adx_sql, lags))}
+  SELECT date, m.code, {", ".join(f"round(a{n}.adx, 6) AS ADX_{n}D" for n in lags)} FROM m {" ".join(f"LEFT JOIN a{n} ON a{n}.code = m.code AND a{n}.rn = m.rn" for n in lags)}"""
+
+
+@query(oracle(adx_sql(BANDS), "quotes"))
 def d12_adx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out(recursive_features(panels.quotes(spark, sf_dir), adx_lags=(7, 14)), {f"ADX_{n}D": F.col(f"ADX_{n}D") for n in (7, 14)})
+    return out(recursive_features(panels.quotes(spark, sf_dir), adx_lags=BANDS), {f"ADX_{n}D": F.col(f"ADX_{n}D") for n in BANDS})
 
 
 def _each(sql: Callable[[int], str], lags: tuple[int, ...] = BANDS, between: str = ", ") -> str:
@@ -164,8 +174,11 @@ def _cci(n: int) -> str:
     return f"round(CASE WHEN len(x{n}) = {n} THEN coalesce((tp - list_avg(x{n})) / nullif(0.015 * list_avg(list_transform(x{n}, lambda v: abs(v - list_avg(x{n})))), 0), 0) END, 6) AS CCI_{n}D"
 
 
-@query(oracle(f"""WITH {NUMBERED}, t AS (SELECT *, (high + low + close) / 3 AS tp FROM n), l AS (SELECT *, {_each(lambda n: f"list(tp) OVER {w(n)} AS x{n}")} FROM t)
-  SELECT date, code, {_each(_cci)} FROM l""", "quotes"))
+CCI_SQL = f"""WITH {NUMBERED}, t AS (SELECT *, (high + low + close) / 3 AS tp FROM n), l AS (SELECT *, {_each(lambda n: f"list(tp) OVER {w(n)} AS x{n}")} FROM t)
+  SELECT date, code, {_each(_cci)} FROM l"""
+
+
+@query(oracle(CCI_SQL, "quotes"))
 def d13_commodity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(panels.quotes(spark, sf_dir), {f"CCI_{n}D": R.cci(n) for n in BANDS})
 
@@ -174,10 +187,13 @@ def _wilder(x: str, n: int) -> str:
     return f"list_reduce(list_prepend(list_avg({x}[2 : {n + 1}]), {x}[{n + 2} :]), lambda a, v: (a * {n - 1} + v) / {n})"
 
 
-@query(oracle(f"""WITH c AS (SELECT date, code, coalesce(close - lag(close) OVER (PARTITION BY code ORDER BY date), 0) AS d FROM quotes),
+RSI_SQL = f"""WITH c AS (SELECT date, code, coalesce(close - lag(close) OVER (PARTITION BY code ORDER BY date), 0) AS d FROM quotes),
   l AS (SELECT date, code, list(greatest(d, 0)) OVER u AS g, list(greatest(-d, 0)) OVER u AS b FROM c WINDOW u AS (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING)),
   s AS (SELECT date, code, {_each(lambda n: f"CASE WHEN len(g) > {n} THEN {_wilder('g', n)} END AS u{n}, CASE WHEN len(b) > {n} THEN {_wilder('b', n)} END AS v{n}")} FROM l)
-  SELECT date, code, {_each(lambda n: f"round(CASE WHEN u{n} + v{n} = 0 THEN 0 ELSE 100 * u{n} / (u{n} + v{n}) END, 6) AS RSI_{n}D")} FROM s""", "quotes"))
+  SELECT date, code, {_each(lambda n: f"round(CASE WHEN u{n} + v{n} = 0 THEN 0 ELSE 100 * u{n} / (u{n} + v{n}) END, 6) AS RSI_{n}D")} FROM s"""
+
+
+@query(oracle(RSI_SQL, "quotes"))
 def d14_relative_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(recursive_features(panels.quotes(spark, sf_dir), rsi_lags=BANDS), {f"RSI_{n}D": F.col(f"RSI_{n}D") for n in BANDS})
 
@@ -186,9 +202,12 @@ def _fast(n: int) -> str:
     return f"CASE WHEN rn >= {n} THEN coalesce(100 * (close - min(low) OVER {w(n)}) / nullif(max(high) OVER {w(n)} - min(low) OVER {w(n)}, 0), 0) END AS k{n}"
 
 
-@query(oracle(f"""WITH {NUMBERED}, f AS (SELECT *, {_each(_fast)} FROM n),
+STOCH_SQL = f"""WITH {NUMBERED}, f AS (SELECT *, {_each(_fast)} FROM n),
   s AS (SELECT *, {_each(lambda n: f"{full(f'avg(k{n})', f'k{n}', 3)} AS sk{n}")} FROM f), t AS (SELECT *, {_each(lambda n: f"{full(f'avg(sk{n})', f'sk{n}', 3)} AS sd{n}")} FROM s)
-  SELECT date, code, {_each(lambda n: f"round(CASE WHEN sd{n} IS NOT NULL THEN sk{n} END, 6) AS STOCH_K_{n}D, round(sd{n}, 6) AS STOCH_D_{n}D")} FROM t""", "quotes"))
+  SELECT date, code, {_each(lambda n: f"round(CASE WHEN sd{n} IS NOT NULL THEN sk{n} END, 6) AS STOCH_K_{n}D, round(sd{n}, 6) AS STOCH_D_{n}D")} FROM t"""
+
+
+@query(oracle(STOCH_SQL, "quotes"))
 def d15_stochastics(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = panels.quotes(spark, sf_dir)
     for n in BANDS:
@@ -196,13 +215,19 @@ def d15_stochastics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(q, {f"STOCH_{x}_{n}D": F.col(f"STOCH_{x}_{n}D") for n in BANDS for x in "KD"})
 
 
-@query(oracle(f"WITH {NUMBERED} SELECT date, code, " + ", ".join(f"round(CASE WHEN rn >= {n} THEN coalesce(-100 * (max(high) OVER {w(n)} - close) / nullif(max(high) OVER {w(n)} - min(low) OVER {w(n)}, 0), 0) END, 6) AS WILLER_{n}D" for n in BANDS) + " FROM n", "quotes"))
+WILLER_SQL = f"WITH {NUMBERED} SELECT date, code, " + ", ".join(f"round(CASE WHEN rn >= {n} THEN coalesce(-100 * (max(high) OVER {w(n)} - close) / nullif(max(high) OVER {w(n)} - min(low) OVER {w(n)}, 0), 0) END, 6) AS WILLER_{n}D" for n in BANDS) + " FROM n"
+
+
+@query(oracle(WILLER_SQL, "quotes"))
 def d16_williams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(panels.quotes(spark, sf_dir), {f"WILLER_{n}D": R.willr(n) for n in BANDS})
 
 
-@query(oracle(f"""WITH p AS (SELECT *, lag(close) OVER (PARTITION BY code ORDER BY date) AS pc FROM quotes), t AS (SELECT *, greatest(high, pc) AS h, least(low, pc) AS l FROM p)
-  SELECT date, code, {_each(lambda n: f"round((h - l) / nullif(max(h) OVER {w(n)} - min(l) OVER {w(n)}, 0), 6) AS VR_{n}D")} FROM t""", "quotes"))
+VR_SQL = f"""WITH p AS (SELECT *, lag(close) OVER (PARTITION BY code ORDER BY date) AS pc FROM quotes), t AS (SELECT *, greatest(high, pc) AS h, least(low, pc) AS l FROM p)
+  SELECT date, code, {_each(lambda n: f"round((h - l) / nullif(max(h) OVER {w(n)} - min(l) OVER {w(n)}, 0), 6) AS VR_{n}D")} FROM t"""
+
+
+@query(oracle(VR_SQL, "quotes"))
 def d17_volatility_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = panels.quotes(spark, sf_dir)
     for n in BANDS:
@@ -331,56 +356,69 @@ def _averages(value: str, lags: tuple[int, ...]) -> str:
     return f"{ema_steps(value, lags)}, a AS (SELECT n.date, n.code, n.rn, v, {', '.join(of).replace('PARTITION BY code', 'PARTITION BY n.code').replace('ORDER BY date', 'ORDER BY n.date')} FROM n JOIN e ON e.code = n.code AND e.rn = n.rn)"
 
 
-DIFF_LAGS = tuple(k for k in L7 if k >= 2)
+DIFF_LAGS = ValueSet().long_lags
 #: Moves differences off the grid of millionths that they are rounded to, so that none lies on a tie of the three digits shown.
 OFF = 0.0000137
-_KINDS = [(m, k) for m in ("MA", "EMA", "WMA") for k in DIFF_LAGS]
-_DIFFS = f"""WITH {_averages('close', DIFF_LAGS)}, b AS (SELECT date, code, rn, {", ".join(f"round(v - {m}_{k}, 6) AS d_{m}_{k}" for m, k in _KINDS)} FROM a),
+_KINDS = [(m, k) for m in AVERAGES for k in DIFF_LAGS]
+
+
+def diffs_sql(value: str) -> str:
+    """CTEs up to s: the differences d_ from each average and their signs s_."""
+    return f"""WITH {_averages(value, DIFF_LAGS)}, b AS (SELECT date, code, rn, {", ".join(f"round(v - {m}_{k}, 6) AS d_{m}_{k}" for m, k in _KINDS)} FROM a),
   s AS (SELECT *, {", ".join(f"CASE WHEN d_{m}_{k} > 0 THEN 1 WHEN d_{m}_{k} IS NOT NULL THEN 0 END AS s_{m}_{k}" for m, k in _KINDS)} FROM b)"""
 
 
-def _counts_sql(m: str, k: int) -> str:
+def _difference_columns(p: str, digits: int, shift: float) -> str:
+    return ", ".join(f"round(d_{m}_{k} + {shift}, {digits}) AS {p}{m}_DIFF_{k}D, s_{m}_{k} AS {p}{m}_DIFF_SIGN_{k}D" for m, k in _KINDS)
+
+
+def _counts_sql(m: str, k: int, p: str = "") -> str:
     run = lambda value: f"rn - max(CASE WHEN coalesce(s_{m}_{k} <> {value}, true) OR rn = 1 THEN rn END) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING)"
     plus = full(f"sum(s_{m}_{k})", f"s_{m}_{k}", k)
-    return f"({plus})::BIGINT AS {m}_DIFF_PLUS_COUNT_{k}D, ({k} - {plus})::BIGINT AS {m}_DIFF_NEGATIVE_COUNT_{k}D, ({run(1)})::BIGINT AS {m}_DIFF_CON_PLUS_COUNT_{k}D, ({run(0)})::BIGINT AS {m}_DIFF_CON_NEGATIVE_COUNT_{k}D"
+    p += f"{m}_DIFF"
+    return f"({plus})::BIGINT AS {p}_PLUS_COUNT_{k}D, ({k} - {plus})::BIGINT AS {p}_NEGATIVE_COUNT_{k}D, ({run(1)})::BIGINT AS {p}_CON_PLUS_COUNT_{k}D, ({run(0)})::BIGINT AS {p}_CON_NEGATIVE_COUNT_{k}D"
 
 
 def _differences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return value_set(panels.quotes(spark, sf_dir), R, Bundle(returns=False, spreads=False, macd=False))
+    return value_set(panels.quotes(spark, sf_dir), R, ValueSet(returns=False, spreads=False, macd=()))
 
 
-@query(oracle(f"{_DIFFS} SELECT date, code, " + ", ".join(f"round(d_{m}_{k} + {OFF}, 3) AS {m}_DIFF_{k}D, s_{m}_{k} AS {m}_DIFF_SIGN_{k}D" for m, k in _KINDS) + " FROM s", "quotes"))
+@query(oracle(f"{diffs_sql('close')} SELECT date, code, {_difference_columns('', 3, OFF)} FROM s", "quotes"))
 def d4_difference_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _differences(spark, sf_dir).select("date", "code", *[c for m, k in _KINDS for c in (F.round(F.col(f"{m}_DIFF_{k}D") + OFF, 3).alias(f"{m}_DIFF_{k}D"), F.col(f"{m}_DIFF_SIGN_{k}D"))])
 
 
-@query(oracle(f"{_DIFFS} SELECT date, code, " + ", ".join(_counts_sql(m, k) for m, k in _KINDS) + " FROM s", "quotes"))
+@query(oracle(f"{diffs_sql('close')} SELECT date, code, " + ", ".join(_counts_sql(m, k) for m, k in _KINDS) + " FROM s", "quotes"))
 def d5_d6_sign_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("PLUS_COUNT", "NEGATIVE_COUNT", "CON_PLUS_COUNT", "CON_NEGATIVE_COUNT")
     return _differences(spark, sf_dir).select("date", "code", *[F.col(f"{m}_DIFF_{c}_{k}D").cast("long").alias(f"{m}_DIFF_{c}_{k}D") for m, k in _KINDS for c in names])
 
 
-def _set_sql(value: str, p: str) -> str:
-    macd = f"""l AS (SELECT date, code, list({value}) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING) AS x FROM quotes), f AS (SELECT date, code, {ema_sql('x', 12, '26')} - {ema_sql('x', 26)} AS dif FROM l WHERE len(x) >= 26),
-  g AS (SELECT date, code, dif, list(dif) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING) AS y FROM f), h AS (SELECT date, code, CASE WHEN len(y) >= 7 THEN dif END AS dif, {ema_sql('y', 7)} AS dea FROM g)"""
-    columns = [f"round({m}_{k}, 2) AS {p}{m}_{k}D" for m, k in _KINDS] + [f"round(v / nullif(lag(v, {k}) OVER (PARTITION BY code ORDER BY date), 0) - 1, 6) AS {p}RET_{k}D" for k in L7]
-    columns += [f"round({full('stddev_samp(v)', 'v', k)}, 2) AS {p}STD_{k}D" for k in DIFF_LAGS if k >= 5]
-    columns += [f"round({full('avg(v)', 'v', k)} {s} 2 * {full('stddev_pop(v)', 'v', k)}, 2) AS {p}BBANDS_{side}_{k}D" for k in BANDS for side, s in (("UPPER", "+"), ("LOWER", "-"))]
-    return oracle(f"WITH {_averages(value, DIFF_LAGS)}, {macd}, c AS (SELECT a.*, {', '.join(columns)} FROM a) SELECT date, code, {', '.join(x.split(' AS ')[-1] for x in columns)}, "
-                  f"round(dif, 2) AS {p}MACD_DIF_12_26D, round(dea, 2) AS {p}MACD_DEA_12_26_7D, round(2 * (dif - dea), 2) AS {p}MACD_12_26_7D FROM c LEFT JOIN h USING (date, code)", "quotes")
+def levels_sql(value: str, p: str, digits: int = 2, shift: float = 0.0) -> str:
+    """Averages, returns, deviations and bands of a value."""
+    shown = lambda x, name: f"round({x} + {shift}, {digits}) AS {p}{name}"
+    columns = [shown(f"{m}_{k}", f"{m}_{k}D") for m, k in _KINDS] + [f"round(v / nullif(lag(v, {k}) OVER (PARTITION BY code ORDER BY date), 0) - 1, 6) AS {p}RET_{k}D" for k in L7]
+    columns += [shown(full("stddev_samp(v)", "v", k), f"STD_{k}D") for k in DIFF_LAGS if k >= 5]
+    columns += [shown(f"{full('avg(v)', 'v', k)} {s} 2 * {full('stddev_pop(v)', 'v', k)}", f"BBANDS_{side}_{k}D") for k in BANDS for side, s in (("UPPER", "+"), ("LOWER", "-"))]
+    return f"WITH {_averages(value, DIFF_LAGS)} SELECT date, code, {', '.join(columns)} FROM a"
+
+
+def together(*parts: str) -> str:
+    """The columns of the parts side by side, by date and code."""
+    return "SELECT * FROM " + " JOIN ".join(f"({part}) {'USING (date, code)' if i else ''}" for i, part in enumerate(parts))
 
 
 def _value_set(spark: SparkSession, sf_dir: str, value: str, p: str) -> DataFrame:
-    found = value_set(panels.quotes(spark, sf_dir).withColumn(value, F.col(value).cast("double")), R, Bundle(value, p, differences=False)).drop(value)
+    found = value_set(panels.quotes(spark, sf_dir).withColumn(value, F.col(value).cast("double")), R, ValueSet(value, p, differences=False))
     return found.select("date", "code", *[F.round(c, 6 if f"{p}RET" in c else 2).alias(c) for c in found.columns if c not in ("date", "code")])
 
 
-@query(_set_sql("volume", "V"))
+@query(oracle(together(levels_sql("volume", "V"), macd_sql("volume", "V")), "quotes"))
 def d20_volume_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _value_set(spark, sf_dir, "volume", "V")
 
 
-@query(_set_sql("amount", "AMT"))
+@query(oracle(together(levels_sql("amount", "AMT"), macd_sql("amount", "AMT")), "quotes"))
 def d21_amount_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _value_set(spark, sf_dir, "amount", "AMT")
 
@@ -388,26 +426,115 @@ def d21_amount_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle("WITH v AS (SELECT date, series_id AS code, CASE WHEN day_idx % 5 <> 0 THEN close END AS x FROM series), f AS (SELECT date, code, coalesce(last_value(x IGNORE NULLS) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING), avg(x) OVER (PARTITION BY code)) AS close FROM v) "
   + "SELECT date, code, " + ", ".join(f"round(close / nullif(lag(close, {k}) OVER (PARTITION BY code ORDER BY date), 0) - 1, 6) AS RET_{k}D" for k in L7) + " FROM f", "series"))
 def d23_series_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ratio-only bundle of single series with holes, which are filled first."""
+    """Returns of single series with holes, which are filled first, by the mean where nothing is before."""
     holes = panels.series(spark, sf_dir).select("date", F.col("series_id").alias("code"), F.when(F.col("day_idx") % 5 != 0, F.col("close")).alias("close"))
-    found = value_set(holes, R, replace(BUNDLES["ratio_only"], filled=True))
+    found = value_set(fill(holes, R, ["close"]), R, ValueSet(averages=False, spreads=False, macd=(), differences=False))
     return found.select("date", "code", *[F.round(f"RET_{k}D", 6).alias(f"RET_{k}D") for k in L7])
 
 
-@query()
-def d23_all_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each of the six bundles as a row per code or series and date: its name and its number of known features."""
-    q, s = panels.quotes(spark, sf_dir), panels.series(spark, sf_dir).withColumnRenamed("series_id", "code")
-    out = None
-    for name, bundle in BUNDLES.items():
-        found = value_set(s if "series" in name else q, R, bundle)
-        known = sum((F.col(c).isNotNull().cast("int") for c in found.columns if c not in ("date", "code")), F.lit(0))
-        one = found.select(F.lit(name).alias("bundle"), "date", "code", known.alias("known"))
-        out = one if out is None else out.unionByName(one)
-    return out
+#: Digits and shift of what a bundle's query shows of a value's levels and of its differences.
+SHOWN = {"close": ((2, 0.0), (3, OFF)), "volume": ((2, 0.0), (3, OFF)), "amount": ((0, 0.0137), (0, 0.0137))}
+
+
+def bundle_sql(bundle: Bundle) -> str:
+    """All columns of a bundle of the table quotes, from the SQL of its parts."""
+    parts = []
+    for s in bundle.sets:
+        (digits, shift), (fine, off) = SHOWN[s.value]
+        counts = ", ".join(_counts_sql(m, k, s.prefix) for m, k in _KINDS)
+        parts += [levels_sql(s.value, s.prefix, digits, shift), macd_sql(s.value, s.prefix, digits, shift), f"{diffs_sql(s.value)} SELECT date, code, {_difference_columns(s.prefix, fine, off)}, {counts} FROM s"]
+    if bundle.bars:
+        parts += [AD_SQL, adx_sql(BANDS), CCI_SQL, RSI_SQL, STOCH_SQL, WILLER_SQL, VR_SQL]
+    columns = {f"{name}_TO_MA_{n}D": f"{v} / nullif({full(f'avg({v})', v, n)}, 0)" for v, name in bundle.to_average for n in bundle.lags if n >= 2}
+    columns |= {name.format(n): f"{v} / nullif({full(f'avg({v})', v, n)}, 0)" for v, name, lags in bundle.ratios for n in lags}
+    columns |= {f"{name}_{n}D": f"CASE WHEN rn > {n} THEN sum(s * {v}) OVER {w(n)} END" for v, name in bundle.balances for n in bundle.lags}
+    if bundle.sums:
+        columns |= {f"TURNOVER_ROLLING_SUM_{n}D": full("sum(turnover)", "turnover", n) for n in bundle.lags}
+        columns |= {f"AMPLITUDE_{n}D": f"({full('max(high)', 'high', n)} - {full('min(low)', 'low', n)}) / nullif(lag(close, {n}) OVER (PARTITION BY code ORDER BY date), 0)" for n in bundle.lags}
+    if columns:
+        parts.append(f"{OBV} SELECT date, code, {', '.join(f'round({c}, 6) AS {k}' for k, c in columns.items())} FROM p")
+    return together(*parts)
+
+
+def shown_bundle(df: DataFrame, bundle: Bundle) -> DataFrame:
+    """date, code and the bundle's features, rounded; counts as whole numbers. df has its key as code."""
+    found, digits = bundle_features(df, R, bundle), {}
+    for s in bundle.sets:
+        levels, differences = SHOWN[s.value]
+        kinds = ("MA_", "EMA_", "WMA_", "STD_", "BBANDS_", "MACD_")
+        digits |= {c: differences if "_DIFF_" in c and "MACD" not in c else levels for c in found.columns for k in kinds if c.startswith(s.prefix + k)}
+
+    def shown(c: str):
+        if "_SIGN_" in c:
+            return F.col(c)
+        if "_COUNT_" in c:
+            return F.col(c).cast("long").alias(c)
+        d, shift = digits.get(c, (6, 0.0))
+        return F.round(F.col(c) + shift, d).alias(c)
+
+    return found.select("date", "code", *[shown(c) for c in found.columns if c not in ("date", "code")])
+
+
+#: Bars of series with every fifth row unknown but for its date.
+_HOLES_SQL = ("WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date) AS place FROM series), holes AS (SELECT date, series_id AS code, " + ", ".join(f"CASE WHEN place % 5 <> 3 THEN {c} END AS {c}" for c in BAR)
+  + " FROM numbered), quotes AS (SELECT date, code, " + ", ".join(f"last_value({c} IGNORE NULLS) OVER (PARTITION BY code ORDER BY date ROWS UNBOUNDED PRECEDING) AS {c}" for c in BAR) + " FROM holes) ")
+
+
+def _holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = panels.series(spark, sf_dir).withColumnRenamed("series_id", "code").withColumn("place", R.number())
+    return s.select("date", "code", *[F.when(F.col("place") % 5 != 3, F.col(c)).alias(c) for c in BAR])
+
+
+@query(oracle(bundle_sql(BUNDLES["price"]), "quotes"))
+def d23_price_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_bundle(panels.quotes(spark, sf_dir), BUNDLES["price"])
+
+
+@query(oracle(bundle_sql(BUNDLES["stationary"]), "quotes"))
+def d23_stationary_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_bundle(panels.quotes(spark, sf_dir), BUNDLES["stationary"])
+
+
+@query(oracle(_HOLES_SQL + bundle_sql(BUNDLES["series"]), "series"))
+def d23_series_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_bundle(_holes(spark, sf_dir), BUNDLES["series"])
+
+
+@query(oracle("WITH quotes AS (SELECT date, series_id AS code, floor(value / 100000) AS close FROM vals) " + bundle_sql(BUNDLES["close_only"]), "vals"))
+def d23_close_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = panels.values(spark, sf_dir).select("date", F.col("series_id").alias("code"), F.floor(F.col("value") / 100000).cast("double").alias("close"))
+    return shown_bundle(v, BUNDLES["close_only"])
+
+
+@query(oracle("WITH quotes AS (SELECT date, series_id AS code, value AS close FROM vals) " + bundle_sql(BUNDLES["ratio_only"]), "vals"))
+def d23_ratio_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = panels.values(spark, sf_dir).select("date", F.col("series_id").alias("code"), F.col("value").alias("close"))
+    return shown_bundle(v, BUNDLES["ratio_only"])
+
+
+@query(oracle(_HOLES_SQL + bundle_sql(BUNDLES["series_stationary"]), "series"))
+def d23_series_stationary_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_bundle(_holes(spark, sf_dir), BUNDLES["series_stationary"])
+
+
+_INDUSTRY_SQL = ("WITH weighted AS (SELECT q.*, FREE_MRK_CAP AS w, industry FROM quotes q JOIN (SELECT date, code, FREE_MRK_CAP FROM valuation) USING (date, code) JOIN (SELECT code, industry FROM description) USING (code)), "
+  + "means AS (SELECT date, industry AS code, " + ", ".join(f"floor(sum({c} * w) / sum(w) + 0.5) AS {c}" for c in BAR[:-1]) + " FROM weighted GROUP BY ALL), bars AS (SELECT *, volume / 1000 AS turnover FROM means) ")
+
+
+def industry_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of industries: cap-weighted means in whole cents, the industry as code."""
+    caps = panels.valuation(spark, sf_dir).select("date", "code", F.col("FREE_MRK_CAP").alias("w"))
+    q = panels.quotes(spark, sf_dir).join(caps, ["date", "code"]).join(panels.description(spark, sf_dir).select("code", "industry"), "code")
+    bars = weighted_index(q, ["date", "industry"], list(BAR[:-1]), "w")
+    return bars.select("date", F.col("industry").alias("code"), *[F.floor(F.col(c) + 0.5).cast("double").alias(c) for c in BAR[:-1]]).withColumn("turnover", F.col("volume") / 1000)
+
+
+@query(oracle(_INDUSTRY_SQL + bundle_sql(BUNDLES["price"]).replace("FROM quotes", "FROM bars"), "quotes", "valuation", "description"))
+def d23_industry_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown_bundle(industry_bars(spark, sf_dir), BUNDLES["price"])
 
 
-CARRIED = Carried(ema_lags=(5, 20), macd_lags=BANDS, rsi_lags=BANDS, adx_lags=(7, 14))
+CARRIED = Carried(ema_lags=(5, 20), macd_lags=BANDS, rsi_lags=BANDS, adx_lags=BANDS)
 _TOGETHER = " JOIN ".join(f"({ORACLE[name]}) {'USING (date, code)' if i else ''}" for i, name in enumerate(("d2_exponential_average", "d10_macd", "d14_relative_strength", "d12_adx", "d28_days_since_resumption")))
 
 

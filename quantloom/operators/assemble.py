@@ -7,10 +7,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantloom.sources.io import kept
+from quantloom.sources.layout import in_buckets
+
 
 @dataclass(frozen=True)
 class Part:
-    """A table of an assembly: its merge key, columns to drop, and the prefix of the others. small: it has a row per date or category."""
+    """A table of an assembly: its merge key, columns to drop, and the prefix of the others.
+
+    small: it should have a row per date or category. It is written first, so that its size is known: within
+    spark.sql.autoBroadcastJoinThreshold it is broadcast, beyond it is joined by an exchange.
+    """
 
     table: DataFrame
     key: tuple[str, ...]
@@ -20,12 +27,23 @@ class Part:
 
 
 def wide_panel(anchor: DataFrame, parts: list[Part]) -> DataFrame:
-    """The anchor's rows with the columns of each part; of rows with one key the part's first in order of all columns counts."""
+    """The anchor's rows with the columns of each part; of rows with one key the part's first in order of all columns counts.
+
+    Parts in buckets of their key (`sources/layout.py`) neither shuffle to find these rows nor to join an anchor in the same buckets.
+    """
     out = anchor
     for p in parts:
         others = [c for c in p.table.columns if c not in p.key and c not in p.drop]
         one = p.table.groupBy(*p.key).agg(F.min(F.struct(*others)).alias("__r")).select(*p.key, *[F.col(f"__r.{c}").alias(p.prefix + c) for c in others])
-        out = out.join(F.broadcast(one) if p.small else one, list(p.key), "left")
+        out = out.join(kept(one, "part") if p.small else one, list(p.key), "left")
+    return out
+
+
+def assembled(anchor: DataFrame, waves: list[list[Part]], buckets: int | None = None) -> DataFrame:
+    """G1 with G2: one wave of parts after the other; between waves the panel is written in buckets of (date, code), where its plan ends."""
+    out = anchor
+    for i, parts in enumerate(waves):
+        out = wide_panel(in_buckets(out, "wave", buckets=buckets) if i else out, parts)
     return out
 
 

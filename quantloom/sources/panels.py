@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quantloom.sources.io import scratch
+from quantloom.sources.layout import write_buckets
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
@@ -34,6 +35,14 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.parquet(_STORED[key])
 
 
+def in_buckets(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A panel in buckets of (date, code), written the first time that a session asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"{name} in buckets")
+    if key not in _STORED:
+        _STORED[key] = write_buckets(build(), name)
+    return spark.table(_STORED[key])
+
+
 def code_text(key: Column) -> Column:
     """Six characters: a market prefix by key % 4, then the key with leading zeros (longer for long keys)."""
     prefix = F.when(key % 4 == 0, "60").when(key % 4 == 1, "002").when(key % 4 == 2, "300").otherwise("000")

@@ -153,17 +153,20 @@ def chi_merge(df: DataFrame, columns: list[str], target: str, bins: int = 100) -
 
 
 def assigned_bins(df: DataFrame, cuts: DataFrame, columns: list[str]) -> DataFrame:
-    """H5: one-hot of each column's bins (right-closed); columns with a single bin go. The cut points come to the driver, at most a hundred per column."""
-    found: dict[str, list[float]] = {}
-    for r in cuts.orderBy("column", "position").collect():
-        found.setdefault(r["column"], []).append(r["upper"])
-    flags = {}
-    for c in columns:
-        ups = found.get(c, [])
-        for i, up in enumerate(ups if len(ups) > 1 else []):
-            above = F.lit(True) if i == 0 else F.col(c) > ups[i - 1]
-            flags[f"{c}_bin_{i}"] = F.coalesce((above & (F.col(c) <= up)).cast("int"), F.lit(0))
-    return df.withColumns(flags).drop(*columns)
+    """H5: one-hot of each column's bins (right-closed); columns with a single bin go; null and values beyond the last cut are in none.
+
+    Cut points are joined as one row of arrays, at most a hundred and one per column; the driver only gets how many each column has,
+    as they name the flags.
+    """
+    bins = {r["column"]: r["count"] for r in cuts.groupBy("column").count().collect()}
+    flagged = [c for c in columns if bins.get(c, 0) > 1]
+    if not flagged:
+        return df.drop(*columns)
+    ups = cuts.agg(*[F.sort_array(F.collect_list(F.when(F.col("column") == c, F.col("upper")))).alias(f"__ups_{c}") for c in flagged])
+    below_value = lambda c: F.size(F.filter(f"__ups_{c}", lambda u: u < F.col(c)))
+    out = df.crossJoin(F.broadcast(ups)).withColumns({f"__bin_{c}": below_value(c) for c in flagged})
+    flags = {f"{c}_bin_{i}": F.coalesce((F.col(c).isNotNull() & (F.col(f"__bin_{c}") == i)).cast("int"), F.lit(0)) for c in flagged for i in range(bins[c])}
+    return out.withColumns(flags).drop(*columns, *[f"__{k}_{c}" for c in flagged for k in ("ups", "bin")])
 
 
 def timing_profit(df: DataFrame, key: list[str], signal: str, *, at_least: int = 1) -> DataFrame:

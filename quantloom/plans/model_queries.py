@@ -139,12 +139,29 @@ def g14_unchained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asm.unchained(asm.chains(panels.quotes(spark, sf_dir), ["code"], ["close"], 5).withColumnRenamed("chain", "predicted"), ["code"])
 
 
+#: The last one turns often, as the prices of the series move by large factors.
+SETTINGS = [(0.2, 0.05), (0.5, 0.1), (0.001, 0.05)]
+#: One step of a search from row b on, now at row i with its best row so far at k; sign is 1 for a peak. It ends where t.
+_STEP = """SELECT *, sign * (1 - x[i] / x[k]) > chg_threshold AND (x[k] / x[b] = 1 OR sign * (1 - x[i] / x[k]) / (sign * (x[k] / x[b] - 1)) > chg_pct) AS t
+  FROM (SELECT w.* EXCLUDE (k), x, n, CASE WHEN sign * (x[i] - x[k]) > 0 THEN i ELSE k END AS k FROM {} w JOIN l USING (series_id) WHERE i <= n)"""
+TURNS_SQL = f"""WITH RECURSIVE l AS (SELECT series_id, list(close ORDER BY date) AS x, count(*) AS n FROM series GROUP BY series_id),
+  grid(chg_pct, chg_threshold) AS (VALUES {", ".join(f"({p}::DOUBLE, {t}::DOUBLE)" for p, t in SETTINGS)}),
+  opening AS (SELECT series_id, chg_pct, chg_threshold, sign, 1::BIGINT AS b, 1::BIGINT AS i, 1::BIGINT AS k, NULL::BIGINT AS mark FROM l, grid, (VALUES (1), (-1)) s(sign)
+    UNION ALL SELECT series_id, chg_pct, chg_threshold, sign, b, CASE WHEN t THEN n + 1 ELSE i + 1 END, k, CASE WHEN t THEN k END FROM ({_STEP.format("opening")})),
+  firsts AS (SELECT series_id, chg_pct, chg_threshold, max(mark) FILTER (sign = 1) AS peak, max(mark) FILTER (sign = -1) AS trough FROM opening GROUP BY ALL HAVING peak <> trough),
+  walk AS (SELECT series_id, chg_pct, chg_threshold, CASE WHEN peak < trough THEN -1 ELSE 1 END AS sign, least(peak, trough) AS b, least(peak, trough) AS i, least(peak, trough) AS k, least(peak, trough) AS mark FROM firsts
+    UNION ALL SELECT series_id, chg_pct, chg_threshold, CASE WHEN t OR i = n THEN -sign ELSE sign END, CASE WHEN t THEN k ELSE b END, CASE WHEN t THEN k ELSE i + 1 END, k, CASE WHEN t THEN k WHEN i = n THEN n END FROM ({_STEP.format("walk")})),
+  marks AS (SELECT series_id, chg_pct, chg_threshold, mark AS rn, -sign AS label FROM walk WHERE mark IS NOT NULL),
+  r AS (SELECT series_id, date, close / lag(close) OVER u AS ret, row_number() OVER u AS rn FROM series WINDOW u AS (PARTITION BY series_id ORDER BY date))
+  SELECT series_id, chg_pct, chg_threshold, date, ret, (first_value(label IGNORE NULLS) OVER (PARTITION BY series_id, chg_pct, chg_threshold ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::INT AS label
+  FROM (SELECT * FROM r, grid) LEFT JOIN marks USING (series_id, chg_pct, chg_threshold, rn)"""
+
+
 def _turns(spark, sf_dir) -> DataFrame:
-    grid = spark.createDataFrame([(0.2, 0.05), (0.5, 0.1)], "chg_pct double, chg_threshold double")
-    return tm.label_turns(panels.series(spark, sf_dir), grid)
+    return tm.label_turns(panels.series(spark, sf_dir), spark.createDataFrame(SETTINGS, "chg_pct double, chg_threshold double"))
 
 
-@query()
+@query(oracle(TURNS_SQL, "series"))
 def h1_turning_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _turns(spark, sf_dir)
 
@@ -193,6 +210,18 @@ def h5_assigned_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.assigned_bins(rows, cuts, ["close", "volume"])
 
 
+_QUARTERS = """WITH v AS (SELECT date, code, close::DOUBLE AS close, volume::DOUBLE AS volume FROM quotes JOIN outcomes USING (date, code) WHERE Y_5D IS NOT NULL), x AS (SELECT list(close ORDER BY close) AS xc, list(volume ORDER BY volume) AS xv FROM v),
+  u AS (SELECT """ + ", ".join(f"(x{c}[floor((len(x{c}) - 1) * {q} / 4.0::DOUBLE)::BIGINT + 1] + x{c}[ceil((len(x{c}) - 1) * {q} / 4.0::DOUBLE)::BIGINT + 1]) / 2 AS {c}{q}" for c in "cv" for q in range(1, 5)) + " FROM x) "
+
+
+@query(oracle(_QUARTERS + "SELECT date, code, " + ", ".join(f"({f'{c} > {c[0]}{q - 1} AND ' if q > 1 else ''}{c} <= {c[0]}{q})::INT AS {c}_bin_{q - 1}" for c in ("close", "volume") for q in range(1, 5)) + " FROM v, u", "quotes", "outcomes"))
+def h5_quarter_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5 on the four bins between the quarters of each column."""
+    rows = _valued(spark, sf_dir)
+    cuts = tm.quantile_cuts(tm.value_counts(rows, ["close", "volume"], "Y_5D"), 4)
+    return tm.assigned_bins(rows.drop("Y_5D"), cuts, ["close", "volume"])
+
+
 FEATURES = ["ret1", "ret5", "pe"]
 
 

@@ -57,10 +57,15 @@ def one_hot(df: DataFrame, values: dict[str, list[str]]) -> DataFrame:
     return df.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, vs in values.items() for v in vs})
 
 
-def rounded_one_hot(df: DataFrame, column: str, digits: int = 0) -> DataFrame:
-    """One-hot of the values that occur, rounded and scaled to whole numbers; the distinct values come to the driver and are few."""
+def rounded_one_hot(df: DataFrame, column: str, digits: int = 0, most: int = 1000) -> DataFrame:
+    """One-hot of the values that occur, rounded and scaled to whole numbers.
+
+    Each value makes a column, so the distinct values come to the driver; more than most of them are an error.
+    """
     whole = F.round(F.round(column, digits) * 10**digits).cast("long")
-    found = [r[0] for r in df.select(whole.alias("v")).where("v IS NOT NULL").distinct().orderBy("v").collect()]
+    found = sorted(r[0] for r in df.select(whole.alias("v")).where("v IS NOT NULL").distinct().limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
     return df.withColumns({f"{column}:{v}": F.coalesce((whole == v).cast("int"), F.lit(0)) for v in found})
 
 

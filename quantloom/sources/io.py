@@ -13,12 +13,26 @@ from pyspark.sql import types as T
 from quantloom.functions.clean import nan_inf_to_null
 
 
+_FOLDERS: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir); a temporary one only where that isn't set and the master is local."""
-    shared, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
-    if not shared and not (master == "local" or master.startswith("local[")):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{shared or tempfile.mkdtemp(prefix='quantloom-')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that all executors share (spark.checkpoint.dir); in a temporary one only where that isn't set and the master is local.
+
+    The paths of a session are in one folder, which goes when the session's JVM ends.
+    """
+    session = spark.sparkContext.applicationId
+    if session not in _FOLDERS:
+        shared, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+        if not shared and not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = f"{shared or tempfile.gettempdir()}/quantloom-{uuid.uuid4().hex}"
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _FOLDERS[session] = folder
+    return f"{_FOLDERS[session]}/{name}-{uuid.uuid4().hex}"
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:

@@ -4,7 +4,8 @@ Prices and amounts are whole cents in doubles, so that their sums don't depend o
 calendar has a row per day and is the only thing numbered globally; it is small at every size of the other tables.
 
 Bars and the calendar are what all other panels start from. As in a warehouse they are written once, to the cluster's
-shared folder, and read from there by every query of the session on the same tables.
+shared folder, and read from there by every query of the session on the same tables. A table that is written anew gets
+new panels; what was written goes when the session's JVM ends.
 """
 
 from __future__ import annotations
@@ -18,16 +19,29 @@ from quantloom.sources.io import scratch
 from quantloom.sources.layout import write_buckets
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str, tuple], str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes and number of the files of a table, and the time of its folder (or file): another state after each write."""
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = java.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.getContentSummary(at)
+    return found.getLength(), found.getFileCount(), files.getFileStatus(at).getModificationTime()
+
+
+def _key(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...]) -> tuple[str, str, str, tuple]:
+    return spark.sparkContext.applicationId, sf_dir, name, tuple(table_state(spark, f"{sf_dir}/{t}.parquet") for t in tables)
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *partitions: str) -> DataFrame:
-    """A panel of the tables in sf_dir, written the first time that a session asks for it. Tables don't change in a session."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """A panel of lineitem, written the first time that a session asks for it in the table's present state."""
+    key = _key(spark, sf_dir, name, ("lineitem",))
     if key not in _STORED:
         path = scratch(spark, name)
         build().write.partitionBy(*partitions).parquet(path)
@@ -35,9 +49,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.parquet(_STORED[key])
 
 
-def in_buckets(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A panel in buckets of (date, code), written the first time that a session asks for it."""
-    key = (spark.sparkContext.applicationId, sf_dir, f"{name} in buckets")
+def in_buckets(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], tables: tuple[str, ...] = ("lineitem", "supplier")) -> DataFrame:
+    """A panel of these tables in buckets of (date, code), written the first time that a session asks for it in their present state."""
+    key = _key(spark, sf_dir, f"{name} in buckets", tables)
     if key not in _STORED:
         _STORED[key] = write_buckets(build(), name)
     return spark.table(_STORED[key])
@@ -108,9 +122,14 @@ def traded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(F.broadcast(calendar(spark, sf_dir)), "date").withColumn("code", code_text(F.col("key")))
 
 
+def first_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """code, key, first: each code's first trade day, from the bars."""
+    return stored(spark, sf_dir, "first_days", lambda: quotes(spark, sf_dir).groupBy("code", "key").agg(F.min("date").alias("first")))
+
+
 def description(spark: SparkSession, sf_dir: str) -> DataFrame:
     """code, key, area, industry, list_date."""
-    first = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("key")).agg(F.to_date(F.min("l_shipdate")).alias("first")).withColumn("code", code_text(F.col("key")))
+    first = first_days(spark, sf_dir)
     s = read(spark, sf_dir, "supplier").join(F.broadcast(read(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
     s = s.select(F.col("s_suppkey").alias("key"), F.col("n_name").alias("area"))
     return first.join(s, "key").select("code", "key", "area", F.concat(F.lit("I"), (F.col("key") % 7).cast("string")).alias("industry"), F.expr("date_sub(first, CAST(key % 90 AS INT))").alias("list_date"))

@@ -3,8 +3,8 @@
 A source's documents are taken floor(r) or floor(r) + 1 times, where r is its target over its size. The fractional part
 is an inclusion probability; the cube method moves these probabilities along directions that keep both the expected
 tokens and the expected documents, until only a few stay fractional. Sources are dealt into blocks by a hash; what a
-block can't decide meets in the next round, so a hot source is never gathered into one task. A source's last block is
-the landing problem.
+block can't decide meets in the next round, so a hot source is never gathered into one task. Every block has its flight; the
+few rows that a source's last one leaves open are the landing problem.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from quantloom.llm.jobs import cut, digest, table
 
 _NEAR = 1e-9
 _DRAWS = 1 << 40
+#: Open rows that a source's last flight leaves to the landing.
+_FEW = 4
 
 
 def source_targets(sizes: dict[str | None, int], weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> dict[str | None, float]:
@@ -73,16 +75,24 @@ def _moved(p: np.ndarray, u: np.ndarray, rng: np.random.Generator) -> np.ndarray
     return np.where((p < _NEAR) | (p > 1 - _NEAR), np.round(p), p)
 
 
-def flight(sizes: np.ndarray, chances: np.ndarray, rng: np.random.Generator, stay: int = 2) -> np.ndarray:
+def _outsize(sizes: np.ndarray, p: np.ndarray) -> bool:
+    """Whether the others hold too few words, taken or left, to make up for the first unit's next settlement."""
+    return float(sizes[1:] @ p[1:]) < sizes[0] * (1 - p[0]) or float(sizes[1:] @ (1 - p[1:])) < sizes[0] * p[0]
+
+
+def flight(sizes: np.ndarray, chances: np.ndarray, rng: np.random.Generator, stay: int = 2, last: bool = False) -> np.ndarray:
     """Moves chances to 0 or 1 while keeping the sums of chances and of chances times sizes; at most stay (at least two) remain between.
 
     Units come by falling size. Each time the largest open one moves as far as the others can make up for it; so what
-    stays open is small.
+    stays open is small. In a source's last block no later round helps an outsize unit, one that both constraints pin or
+    that the others can't make up for in words: it moves first, under that constraint alone.
     """
     p = np.where((chances < _NEAR) | (chances > 1 - _NEAR), np.round(chances), chances)
     at, k = np.flatnonzero((p > 0) & (p < 1)), 0
     while len(at) > stay and k < len(at):
         u = _both(sizes[at], k)
+        if last and k == 0 and (u[0] < _NEAR or _outsize(sizes[at], p[at])):
+            u = _words_only(sizes[at], p[at], 0)
         if u[k] < _NEAR:
             k += 1
             continue
@@ -92,7 +102,7 @@ def flight(sizes: np.ndarray, chances: np.ndarray, rng: np.random.Generator, sta
 
 
 def landing(sizes: np.ndarray, chances: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Settles all units of a source's last block, largest first, giving up one constraint at a time.
+    """Settles the few units that the flight of a source's last block leaves, largest first, giving up one constraint at a time.
 
     A unit moves under both constraints if that settles it for sure, else under that of words only; the last one is drawn.
     No chance changes on average.
@@ -112,10 +122,12 @@ def landing(sizes: np.ndarray, chances: np.ndarray, rng: np.random.Generator) ->
 
 
 def _settle(group: pd.DataFrame) -> pd.DataFrame:
+    """The flight of a block, and after it the landing if it is its source's last one."""
     group = group.sort_values(["size", "draw", "doc_id"], ascending=[False, True, True], na_position="last", kind="stable").reset_index(drop=True)
     sizes, rng = group["size"].to_numpy(float), np.random.default_rng((group["draw"].to_numpy() * _DRAWS).astype(np.int64).tolist())
-    chances = group["chance"].to_numpy(float)
-    return group.assign(chance=landing(sizes, chances, rng) if group["last"].iloc[0] else flight(sizes, chances, rng, max(2, min(32, len(sizes) // 4))))
+    last = bool(group["last"].iloc[0])
+    chances = flight(sizes, group["chance"].to_numpy(float), rng, _FEW if last else max(2, min(32, len(sizes) // 4)), last)
+    return group.assign(chance=landing(sizes, chances, rng) if last else chances)
 
 
 def row_keys(docs: DataFrame, seed: int = 7) -> list[Column]:

@@ -113,32 +113,46 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             at = np.flatnonzero(c)
             grams.append(at.astype(np.uint16).tobytes())
             counts.append(c[at].astype(np.uint32).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())], ["doc_id", "lang", "grams", "counts"])
+        yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("lang"), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())], ["h", "lang", "grams", "counts"])
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", clusters: int = 4, lang_rows: int = 1500, reach: float = 0.999, slack: float = 0.05, seed: int = 3) -> LanguageModel:
+def train(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", clusters: int = 4, lang_rows: int = 1500, reach: float = 0.999, slack: float = 0.05, seed: int = 3,
+    most_rows: int = 20_000, most_languages: int = 10_000,
+) -> LanguageModel:
     """Learns from rows with a text and a language whose id isn't held out.
 
-    Document frequencies use all of these rows. The clusters use about lang_rows rows of each language, those with the
-    smallest hashes. A centroid rejects beyond the quantile reach of its members' distances plus slack.
+    Document frequencies use all of these rows. The clusters use about lang_rows different texts of each language, those
+    with the smallest hashes; a text that repeats counts once, and every language has one at least. With many languages
+    each has its part of most_rows, so the sample on the driver is bounded; the model has a centroid a language at least,
+    and more than most_languages of them are an error. A centroid rejects beyond the quantile reach of its members'
+    distances plus slack.
     """
     arrow_rows(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where(~held_out("doc_id") & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.where(~held_out("doc_id") & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang", F.xxhash64(F.lit(seed), "text").alias("h"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"), F.min("h").alias("least")).limit(most_languages + 1).collect()
+    if len(sizes) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     seen = {r.gram: r.n for r in rows.select("text").mapInArrow(_frequency_batches, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
     frequency = np.array([seen.get(g, 0) for g in range(WIDTH)], float)
     idf = np.log((1 + seen.get(WIDTH, 0)) / (1 + frequency)) + 1
     model = LanguageModel(idf.astype(np.float32), np.zeros((0, WIDTH), np.float32), [], np.zeros(0))
     if not sizes:
         return model
-    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(int((1 << 30) * min(1.0, lang_rows / n))))])
-    found = rows.where(F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 30)) < share[F.col("lang")]).mapInArrow(_sample_batches, "doc_id long, lang string, grams binary, counts binary").collect()
+    each = max(1, min(lang_rows, most_rows // len(sizes)))
+    clusters = max(1, min(clusters, 2 * most_languages // len(sizes)))
+    # A row per language, so at most most_languages.
+    bounds = docs.sparkSession.createDataFrame([(r.lang, r.least, int((1 << 30) * min(1.0, each / max(1, r.n)))) for r in sizes], "lang string, least long, bound long")
+    picked = rows.join(F.broadcast(bounds), "lang").where("h = least OR pmod(h, 1073741824) < bound").dropDuplicates(["lang", "h"]).select("h", "lang", "text")
+    found: dict[str, list[tuple[int, bytes, bytes]]] = {r.lang: [] for r in sizes}
+    for r in picked.mapInArrow(_sample_batches, "h long, lang string, grams binary, counts binary").collect():
+        found[r.lang].append((r.h, bytes(r.grams), bytes(r.counts)))
     centres, reaches = [], []
-    for lang in sorted(sizes):
-        mine = sorted(((r.doc_id is None, r.doc_id or 0, bytes(r.grams), bytes(r.counts)) for r in found if r.lang == lang))
+    for lang in sorted(found):
+        mine = sorted(found[lang])
         counts = np.zeros((len(mine), WIDTH), np.float32)
-        for row, (_, _, grams, n) in zip(counts, mine, strict=True):
+        for row, (_, grams, n) in zip(counts, mine, strict=True):
             row[np.frombuffer(grams, np.uint16)] = np.frombuffer(n, np.uint32)
         x = model.vectors(counts)
         x = x[(x * x).sum(axis=1) > 0]

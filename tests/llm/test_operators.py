@@ -9,6 +9,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -123,6 +124,26 @@ def test_language_accuracy_and_odd_rows(spark, odd):
     assert language.identify(odd, language.train(odd.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_language_of_equal_rows_is_learnt_whatever_the_seed(spark, seed):
+    """5,000 rows of one text are one text of the sample, neither thousands nor none."""
+    rows = [(i, "the very same notice of the harbour office", "aa") for i in range(5000)] + [(9000 + i, f"waarom zou {i} het anders willen dan zo {i * i}", "bb") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df, lang_rows=100, seed=seed)
+    assert set(model.languages) == {"aa", "bb"} and model.languages.count("aa") == 1
+    got = {r.lang: r.lang_pred for r in language.identify(df, model).join(df.select("doc_id", "lang"), "doc_id").select("lang", "lang_pred").distinct().collect()}
+    assert got == {"aa": "aa", "bb": "bb"}
+
+
+def test_many_languages_share_the_sample_and_too_many_are_an_error(spark):
+    rows = [(10 * i + j, f"{'abcdefghijklmnopqrst'[i % 20] * 3} {'klmnopqrstuvwxyzabcd'[i // 20] * 4} {j}", f"l{i:03d}") for i in range(200) for j in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df, most_rows=400, most_languages=200)
+    assert len(set(model.languages)) == 200 and len(model.languages) <= 400
+    with pytest.raises(ValueError, match="more than 199"):
+        language.train(df, most_languages=199)
+
+
 def test_quality_accuracy_and_odd_rows(spark, odd, labels):
     docs, marks = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
     scored = quality.score(docs, quality.train(docs, marks)).join(marks, "doc_id").collect()
@@ -445,6 +466,43 @@ def test_landing_changes_no_chance_on_average():
     assert abs(even @ landed - 0.37 * even.sum()) <= 100 and abs(landed.sum() - 74) <= 5
 
 
+def settled(sizes, chance, seed):
+    """What becomes of a source's last block."""
+    rows = pd.DataFrame({"doc_id": range(len(sizes)), "size": sizes, "chance": chance, "draw": np.random.default_rng(seed).random(len(sizes)), "last": True})
+    done = mixing._settle(rows)
+    assert set(done["chance"]) <= {0.0, 1.0}
+    return done
+
+
+@pytest.mark.parametrize(("rows", "chance", "spread"), [(200, 0.2, 1.0), (200, 0.37, 1.2), (1000, 0.05, 1.0)])
+def test_last_blocks_keep_words_and_documents(rows, chance, spread):
+    words, documents = [], []
+    for seed in range(12):
+        sizes = np.floor(np.random.default_rng(seed).lognormal(5, spread, rows) + 1)
+        done = settled(sizes, np.full(rows, chance), seed)
+        words.append(abs(done["size"] @ done["chance"] / (chance * sizes.sum()) - 1))
+        documents.append(abs(done["chance"].sum() - chance * rows))
+    assert max(words) <= 0.01 and np.mean(documents) <= 0.5 and max(documents) <= 2
+
+
+def test_an_outsize_row_is_made_up_for_in_words():
+    # Equal sizes beside one other: both constraints pin it.
+    sizes = np.array([15_000.0] + [100.0] * 400)
+    for seed in range(8):
+        done = settled(sizes, np.full(401, 0.3), seed)
+        assert abs(done["size"] @ done["chance"] / (0.3 * sizes.sum()) - 1) <= 0.02
+    assert abs(np.mean([settled(np.array([900.0, 100, 100, 50, 50, 20, 10]), np.full(7, 0.4), s)["chance"].to_numpy() for s in range(1500)], axis=0) - 0.4).max() < 0.05
+
+
+def test_mix_keeps_document_totals(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, "w " * int(rng.lognormal(3, 0.9) + 1), f"s{i % 3}") for i in range(1500)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).groupBy("source").agg(
+        F.sum("repeats").alias("n"), F.sum(F.col("target") / F.col("source_size")).alias("documents"), F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    for r in got.collect():
+        assert abs(r.n - r.documents) <= 0.01 * r.documents and abs(r.taken - r.target) <= 0.005 * r.target
+
+
 def test_equal_rows_are_dealt_to_many_blocks(spark):
     df = spark.createDataFrame([(1, "a b c", "s")] * 3000 + [(2, "d", "s")], "doc_id long, text string, source string")
     got = mixing.mix_sources(df, block_rows=64)

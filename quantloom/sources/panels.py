@@ -135,12 +135,17 @@ def description(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.join(s, "key").select("code", "key", "area", F.concat(F.lit("I"), (F.col("key") % 7).cast("string")).alias("industry"), F.expr("date_sub(first, CAST(key % 90 AS INT))").alias("list_date"))
 
 
-def valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """date, code, FREE_MRK_CAP, TOT_MRK_CAP, PE_TTM; capital is whole, so that caps are too."""
+def valued_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quotes of known suppliers with their valuation beside them; capital is whole, so that caps are too."""
     s = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.floor(1000 + F.abs("s_acctbal")).alias("shares"))
-    q = quotes(spark, sf_dir).join(s, "key")
     free = (F.col("shares") * F.col("close")).cast("double")
-    return q.select("date", "code", "key", "day_idx", free.alias("FREE_MRK_CAP"), (2 * free).alias("TOT_MRK_CAP"), ((F.col("key") + F.col("day_idx")) % 50 - 5).cast("double").alias("PE_TTM"))
+    pe = ((F.col("key") + F.col("day_idx")) % 50 - 5).cast("double")
+    return quotes(spark, sf_dir).join(s, "key").withColumns({"FREE_MRK_CAP": free, "TOT_MRK_CAP": 2 * free, "PE_TTM": pe}).drop("shares")
+
+
+def valuation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """date, code, key, day_idx, FREE_MRK_CAP, TOT_MRK_CAP, PE_TTM."""
+    return valued_quotes(spark, sf_dir).select("date", "code", "key", "day_idx", "FREE_MRK_CAP", "TOT_MRK_CAP", "PE_TTM")
 
 
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,13 +64,14 @@ def code_text(key: Column) -> Column:
     return F.concat(prefix, F.lpad(text, F.greatest(F.length(text), 6 - F.length(prefix)), "0"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = read(spark, sf_dir, "lineitem")
-    return raw.select(
-        F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("key"), F.col("l_returnflag").alias("flag"),
-        F.floor(100 * F.col("l_extendedprice") / F.col("l_quantity") + 0.5).cast("double").alias("price"),
-        F.col("l_quantity").alias("qty"), F.floor(100 * F.col("l_extendedprice") + 0.5).cast("double").alias("cents"),
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity").alias("ord"),
+def lines(spark: SparkSession, sf_dir: str, *dealt_by: str) -> DataFrame:
+    """The lines with what bars are made of; dealt_by (of date, key, flag) deals them out as they are, before anything is derived from them."""
+    given = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    raw = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("key"), F.col("l_returnflag").alias("flag"), *[c for c in given if c != "l_suppkey"])
+    raw = raw.repartition(*dealt_by) if dealt_by else raw
+    return raw.withColumn("l_suppkey", F.col("key")).select(
+        "date", "key", "flag", F.floor(100 * F.col("l_extendedprice") / F.col("l_quantity") + 0.5).cast("double").alias("price"),
+        F.col("l_quantity").alias("qty"), F.floor(100 * F.col("l_extendedprice") + 0.5).cast("double").alias("cents"), F.struct(*given).alias("ord"),
     )
 
 
@@ -96,8 +97,12 @@ def _bars(rows: DataFrame, by: list[str], days: DataFrame) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """date, code, key, day_idx, open, high, low, close, volume, amount, turnover."""
-    return stored(spark, sf_dir, "quotes", lambda: _bars(lines(spark, sf_dir), ["key"], calendar(spark, sf_dir)).withColumn("code", code_text(F.col("key"))))
+    """date, code, key, day_idx, open, high, low, close, volume, amount, turnover.
+
+    A bar has hardly more than one line, so nothing is gained by adding lines up before they are dealt out, and a line is smaller than the
+    first and last one that such a sum carries.
+    """
+    return stored(spark, sf_dir, "quotes", lambda: _bars(lines(spark, sf_dir, "key", "date"), ["key"], calendar(spark, sf_dir)).withColumn("code", code_text(F.col("key"))))
 
 
 def quotes_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,11 @@ def test_one_hot_of_too_many_values_is_an_error(spark):
     assert len(rounded_one_hot(df, "v", 0, most=4).columns) == 5
     with pytest.raises(ValueError, match="more than 3"):
         rounded_one_hot(df, "v", 0, most=3)
+
+
+def test_bars_are_summed_up_where_their_lines_are_dealt(spark):
+    """One exchange, below all sums, and of the lines' own columns: a carried first or last line has them twice."""
+    bars = panels._bars(panels.lines(spark, TINY, "key", "date"), ["key"], panels.calendar(spark, TINY))
+    plan = bars._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):].split("BroadcastExchange")[0]

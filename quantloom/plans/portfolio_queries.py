@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from quantloom.operators import cross_section as cs
 from quantloom.operators import portfolio as pf
-from quantloom.operators.recursive import recursive_features
-from quantloom.operators.rolling import Rows, balance_volume, limits, stochastics, volatility_ratio
+from quantloom.operators.bundles import AMOUNT, BUNDLES, PRICE, VOLUME, Bundle, bundle_features
+from quantloom.operators.rolling import Rows, limits
 from quantloom.plans.registry import query
 from quantloom.plans.window_queries import full, w
 from quantloom.sources import panels
@@ -246,22 +246,21 @@ def j19_reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle("WITH n AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY date) AS rn, lag(close) OVER (PARTITION BY code ORDER BY date) AS pc FROM quotes) SELECT date, code, "
   + ", ".join(f"round({full('avg(close)', 'close', n)}, 4) AS MA_{n}D, round(close / nullif(lag(close, {n}) OVER (PARTITION BY code ORDER BY date), 0) - 1, 6) AS RET_{n}D, round(CASE WHEN rn > {n} THEN sum(sign(close - pc) * volume) OVER {w(n)} END, 2) AS OBV_DIFF_{n}D, round({full('sum(turnover)', 'turnover', n)}, 6) AS TURNOVER_ROLLING_SUM_{n}D" for n in (2, 5, 10, 20, 30, 60)) + " FROM n", "quotes"))
 def d23_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One exchange by code for all windows of the bundle."""
-    q = balance_volume(panels.quotes(spark, sf_dir), R, "volume", (2, 5, 10, 20, 30, 60), "OBV_DIFF")
-    columns = {}
-    for n in (2, 5, 10, 20, 30, 60):
-        columns |= {f"MA_{n}D": F.round(R.sma("close", n), 4), f"RET_{n}D": F.round(R.ret("close", n), 6), f"OBV_DIFF_{n}D": F.round(f"OBV_DIFF_{n}D", 2), f"TURNOVER_ROLLING_SUM_{n}D": F.round(R.rolling_sum("turnover", n), 6)}
-    return q.select("date", "code", *[c.alias(k) for k, c in columns.items()])
+    """Averages, returns, balances and turnover sums of the price bundle."""
+    digits = {"MA": 4, "RET": 6, "OBV_DIFF": 2, "TURNOVER_ROLLING_SUM": 6}
+    shown = {f"{c}_{n}D": d for n in (2, 5, 10, 20, 30, 60) for c, d in digits.items()}
+    found = bundle_features(panels.quotes(spark, sf_dir), R, BUNDLES["price"], tuple(shown))
+    return found.select("date", "code", *[F.round(c, d).alias(c) for c, d in shown.items()])
 
 
 @query()
 def d23_full_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The price, volume and recursive features of a code's bars side by side."""
-    q = panels.quotes(spark, sf_dir)
-    x = volatility_ratio(stochastics(q, R, 14), R, 14)
     lags = (2, 5, 10, 20, 30, 60)
-    wide = x.select("date", "code", "STOCH_K_14D", "STOCH_D_14D", "VR_14D", *[R.sma("close", n).alias(f"MA_{n}D") for n in lags], *[R.std("close", n).alias(f"STD_{n}D") for n in lags if n >= 5], *[R.sma("volume", n).alias(f"VMA_{n}D") for n in lags], *[R.sma("amount", n).alias(f"AMTMA_{n}D") for n in lags])
-    return wide.join(recursive_features(q, ema_lags=(5, 20), macd_lags=(7,), rsi_lags=(14,), adx_lags=(14,)), ["date", "code"])
+    names = ["STOCH_K_14D", "STOCH_D_14D", "VR_14D", *[f"MA_{n}D" for n in lags], *[f"STD_{n}D" for n in lags if n >= 5], *[f"{p}MA_{n}D" for p in ("V", "AMT") for n in lags]]
+    names += ["EMA_5D", "EMA_20D", "MACD_DIF_12_26D", "MACD_DEA_12_26_7D", "MACD_12_26_7D", "RSI_14D", "ADX_14D"]
+    found = bundle_features(panels.quotes(spark, sf_dir), R, Bundle((PRICE, VOLUME, AMOUNT), bars=True), tuple(names))
+    return found.select("date", "code", *names)
 
 
 @query(oracle(f"""WITH r AS (SELECT q.date, code, industry, close / nullif(lag(close, 5) OVER (PARTITION BY code ORDER BY q.date), 0) - 1 AS r5, close, FREE_MRK_CAP AS c FROM quotes q JOIN valuation USING (date, code) JOIN description USING (code)),

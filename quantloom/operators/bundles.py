@@ -163,6 +163,11 @@ def batches(df: DataFrame, rows: Rows, most: int = BATCH) -> DataFrame:
     return numbered.withColumn("__batch", F.floor(F.min("__at").over(Window.partitionBy(*rows.key)) / most)).drop("__at")
 
 
+def counts(x: np.ndarray) -> pd.arrays.IntegerArray:
+    unknown = np.isnan(x)
+    return pd.arrays.IntegerArray(np.where(unknown, 0, x).astype(np.int64), unknown)
+
+
 def bundle_features(df: DataFrame, rows: Rows, bundle: Bundle, only: tuple[str, ...] | None = None) -> DataFrame:
     """key, date and the bundle's features, or only some of them. df holds a row per key and date with the bundle's inputs.
 
@@ -193,7 +198,7 @@ def bundle_features(df: DataFrame, rows: Rows, bundle: Bundle, only: tuple[str,
             h = Histories(columns | {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}, place)
             built = _features(h, bundle)
             values = {c: h.once(c, built.get(c)) for c in names}
-        found = {c: pd.array(v, dtype="Int64") if whole(c) else v for c, v in values.items()}
+        found = {c: counts(v) if whole(c) else v for c, v in values.items()}
         return pd.DataFrame({key: batch[key].array, "date": batch["date"].array, **found})
 
     type_of = lambda c: T.IntegerType() if "_SIGN_" in c or "_CON_" in c else T.LongType() if whole(c) else T.DoubleType()

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,11 @@ from pyspark.sql import types as T
 def smoothed(x: np.ndarray, first: int, seed: float, alpha: float) -> np.ndarray:
     """seed at row first, then each row moves by alpha towards x; null before."""
     out = np.full(len(x), np.nan)
-    if first < len(x):
+    rest = x[first + 1 :]
+    if first < len(x) and not np.isnan(rest).any() and not np.isnan(seed):
+        # Plain steps take less time than pandas needs to set up its average for one short history.
+        out[first:] = list(accumulate(rest.tolist(), lambda y, v: y + alpha * (v - y), initial=float(seed)))
+    elif first < len(x):
         out[first:] = pd.Series(np.concatenate(([seed], x[first + 1 :]))).ewm(alpha=alpha, adjust=False).mean().to_numpy()
     return out
 

@@ -63,3 +63,17 @@ def test_some_features_are_those_of_the_whole_bundle(spark):
     df, some_names = bars(spark, some(70)), ("MA_DIFF_CON_PLUS_COUNT_20D", "EMA_DIFF_SIGN_5D", "MACD_DIF_12_26D", "RSI_28D", "STOCH_K_7D", "MACD_DEA_12_26_14D")
     whole = bundle_features(df, R, BUNDLES["price"]).select("date", "code", *some_names).orderBy("date").collect()
     assert bundle_features(df, R, BUNDLES["price"], some_names).select("date", "code", *some_names).orderBy("date").collect() == whole
+
+
+def test_counts_and_plain_steps():
+    """Counts keep their unknown ones; plain steps give what pandas gives, whose own way is left to histories with gaps."""
+    import pandas as pd
+
+    from quantloom.operators.recursive import smoothed
+
+    assert bundles.counts(np.array([1.0, np.nan, 3.0])).tolist() == [1, pd.NA, 3]
+    x = np.random.default_rng(1).normal(100, 5, 60)
+    gap = np.where(np.arange(60) == 30, np.nan, x)
+    for v in (x, gap):
+        want = pd.Series(np.concatenate(([7.0], v[5:]))).ewm(alpha=0.2, adjust=False).mean()
+        np.testing.assert_allclose(smoothed(v, 4, 7.0, 0.2)[4:], want, rtol=1e-12)

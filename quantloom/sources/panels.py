@@ -5,7 +5,8 @@ calendar has a row per day and is the only thing numbered globally; it is small
 
 Bars and the calendar are what all other panels start from. As in a warehouse they are written once, to the cluster's
 shared folder, and read from there by every query of the session on the same tables. A table that is written anew gets
-new panels; what was written goes when the session's JVM ends.
+new panels; what was written goes when the session's JVM ends. Bars are in buckets of their code and sorted by date, so
+windows by code, and joins by (date, code) of what is derived from them, need no exchange.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from quantloom.sources.layout import write_buckets
 
 
 _STORED: dict[tuple[str, str, str, tuple], str] = {}
+#: What a line's place within its bar is ordered by.
+GIVEN = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,11 +52,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.parquet(_STORED[key])
 
 
-def in_buckets(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], tables: tuple[str, ...] = ("lineitem", "supplier")) -> DataFrame:
-    """A panel of these tables in buckets of (date, code), written the first time that a session asks for it in their present state."""
-    key = _key(spark, sf_dir, f"{name} in buckets", tables)
+def in_buckets(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], *partitions: str) -> DataFrame:
+    """A panel of lineitem, dealt out by code, in buckets of it; written the first time that a session asks for it in the table's present state."""
+    key = _key(spark, sf_dir, f"{name} in buckets", ("lineitem",))
     if key not in _STORED:
-        _STORED[key] = write_buckets(build(), name)
+        _STORED[key] = write_buckets(build(), name, ("code",), order=("code", "date"), dealt=True, partitions=partitions)
     return spark.table(_STORED[key])
 
 
@@ -65,12 +68,14 @@ def code_text(key: Column) -> Column:
 
 
 def lines(spark: SparkSession, sf_dir: str, *dealt_by: str) -> DataFrame:
-    """The lines with what bars are made of; dealt_by (of date, key, flag) deals them out as they are, before anything is derived from them."""
-    given = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    """The lines with what bars are made of; dealt_by (of date, key, flag, code) deals them out as they are, before anything else is derived from them."""
+    given, by_code = GIVEN, ["code"] if "code" in dealt_by else []
     raw = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("key"), F.col("l_returnflag").alias("flag"), *[c for c in given if c != "l_suppkey"])
-    raw = raw.repartition(*dealt_by) if dealt_by else raw
+    raw = raw.withColumn("code", code_text(F.col("key"))) if by_code else raw
+    # A stated number of partitions, so that they can be written as buckets.
+    raw = raw.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *dealt_by) if dealt_by else raw
     return raw.withColumn("l_suppkey", F.col("key")).select(
-        "date", "key", "flag", F.floor(100 * F.col("l_extendedprice") / F.col("l_quantity") + 0.5).cast("double").alias("price"),
+        "date", "key", *by_code, "flag", F.floor(100 * F.col("l_extendedprice") / F.col("l_quantity") + 0.5).cast("double").alias("price"),
         F.col("l_quantity").alias("qty"), F.floor(100 * F.col("l_extendedprice") + 0.5).cast("double").alias("cents"), F.struct(*given).alias("ord"),
     )
 
@@ -81,11 +86,23 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "calendar", lambda: days.select("date", (F.row_number().over(Window.orderBy("date")) - 1).alias("day_idx")))
 
 
+def _sums() -> list[Column]:
+    return [F.max("price").alias("top"), F.min("price").alias("bottom"), F.sum("qty").alias("volume"), F.sum("cents").alias("amount")]
+
+
 def _bars(rows: DataFrame, by: list[str], days: DataFrame) -> DataFrame:
-    bars = rows.groupBy(*by, "date").agg(
-        F.min_by("price", "ord").alias("open"), F.max_by("price", "ord").alias("close"), F.max("price").alias("top"), F.min("price").alias("bottom"),
-        F.sum("qty").alias("volume"), F.sum("cents").alias("amount"),
-    )
+    return _shaped(rows.groupBy(*by, "date").agg(F.min_by("price", "ord").alias("open"), F.max_by("price", "ord").alias("close"), *_sums()), by, days)
+
+
+def _small_bars(rows: DataFrame, by: list[str], days: DataFrame) -> DataFrame:
+    """The same for bars of few lines: their first and last line are marked in a window, so that what is summed up are plain numbers."""
+    w = Window.partitionBy(*by, "date").orderBy(*[f"ord.{c}" for c in GIVEN])
+    marked = rows.select(*by, "date", "price", "qty", "cents", (F.row_number().over(w) == 1).alias("__first"), F.lead(F.lit(1)).over(w).isNull().alias("__last"))
+    ends = {"open": F.max(F.when(F.col("__first"), F.col("price"))), "close": F.max(F.when(F.col("__last"), F.col("price")))}
+    return _shaped(marked.groupBy(*by, "date").agg(*[v.alias(k) for k, v in ends.items()], *_sums()), by, days)
+
+
+def _shaped(bars: DataFrame, by: list[str], days: DataFrame) -> DataFrame:
     bars = bars.join(F.broadcast(days), "date")
     rounded = lambda c: F.floor(c + 0.5).cast("double")
     flat = F.col("day_idx") % 12 == 0
@@ -97,17 +114,18 @@ def _bars(rows: DataFrame, by: list[str], days: DataFrame) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """date, code, key, day_idx, open, high, low, close, volume, amount, turnover.
+    """date, code, key, day_idx, open, high, low, close, volume, amount, turnover, in buckets of code.
 
     A bar has hardly more than one line, so nothing is gained by adding lines up before they are dealt out, and a line is smaller than the
     first and last one that such a sum carries.
     """
-    return stored(spark, sf_dir, "quotes", lambda: _bars(lines(spark, sf_dir, "key", "date"), ["key"], calendar(spark, sf_dir)).withColumn("code", code_text(F.col("key"))))
+    return in_buckets(spark, sf_dir, "quotes", lambda: _small_bars(lines(spark, sf_dir, "code"), ["code", "key"], calendar(spark, sf_dir)))
 
 
 def quotes_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quotes, partitioned by year."""
-    return stored(spark, sf_dir, "quotes_by_year", lambda: quotes(spark, sf_dir).withColumn("year", F.year("date")).repartition("year"), "year")
+    """The quotes, partitioned by year, each in buckets of code."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return in_buckets(spark, sf_dir, "quotes_by_year", lambda: quotes(spark, sf_dir).withColumn("year", F.year("date")).repartition(n, "code"), "year")
 
 
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,8 +141,7 @@ def values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def traded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """date, code, key, day_idx of the quotes, without their prices."""
-    rows = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").alias("key")).distinct()
-    return rows.join(F.broadcast(calendar(spark, sf_dir)), "date").withColumn("code", code_text(F.col("key")))
+    return quotes(spark, sf_dir).select("date", "code", "key", "day_idx")
 
 
 def first_days(spark: SparkSession, sf_dir: str) -> DataFrame:

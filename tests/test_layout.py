@@ -68,3 +68,17 @@ def test_repeated_null_and_absent_keys(spark):
     found = wide_panel(in_buckets(anchor, "anchor", buckets=2), [Part(in_buckets(part, "part", buckets=2), ("date", "code"))])
     assert {r["x"]: r["y"] for r in found.collect()} == {1: 5, 2: None, 3: None, 4: None}
     assert wide_panel(in_buckets(anchor.limit(0), "anchor", buckets=2), [Part(in_buckets(part, "part", buckets=2), ("date", "code"))]).count() == 0
+
+
+def test_bars_lie_by_code(spark, no_broadcast):
+    """Windows by code of the stored bars need no exchange; bars have the first and last line in order, also where lines share a day."""
+    from conftest import TINY
+    from pyspark.sql import Window
+
+    from quantloom.sources import panels
+
+    q = panels.quotes(spark, TINY)
+    assert "Exchange" not in plan_of(q.select("date", F.lag("close").over(Window.partitionBy("code").orderBy("date")).alias("before")))
+    assert "Exchange" not in plan_of(panels.outcomes(spark, TINY))
+    plain = panels._bars(panels.lines(spark, TINY), ["key"], panels.calendar(spark, TINY))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, q.select(plain.columns).collect()))

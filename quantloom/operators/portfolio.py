@@ -128,10 +128,20 @@ def held_days(df: DataFrame, calendar: DataFrame, every: int) -> DataFrame:
     return spread.join(F.broadcast(days), "__i").select(F.col("__d").alias("date"), "code", "layer", "weight", (F.col("__i") == F.col("day_idx")).alias("bought"))
 
 
-def portfolio_returns(held: DataFrame, prices: DataFrame, by: list[str], *, commission: float = 0.0) -> DataFrame:
-    """Per strategy and date the weighted sum of next-open returns, less commission on what is bought."""
-    nxt = F.lead("open").over(Window.partitionBy("code").orderBy("date"))
-    moves = prices.select("date", "code", (F.try_divide(nxt, F.col("open")) - 1).alias("move"))
+def moves_between(quotes: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Date, code, move: the return from a day's open to the next day's, with prices carried forward as in J4.
+
+    A carried price only moves on the day before the code trades again, so there is a row for these days alone; on all others the move
+    is 0. Nothing is spread over all days of a code.
+    """
+    w = Window.partitionBy("code").orderBy("date")
+    moved = quotes.where("open IS NOT NULL").select("code", (F.col("day_idx") - 1).alias("__i"), (F.try_divide(F.col("open"), F.lag("open").over(w)) - 1).alias("move"))
+    days = F.broadcast(calendar.select("date", F.col("day_idx").alias("__i")))
+    return moved.where("move IS NOT NULL").join(days, "__i").select("date", "code", "move")
+
+
+def portfolio_returns(held: DataFrame, moves: DataFrame, by: list[str], *, commission: float = 0.0) -> DataFrame:
+    """Per strategy and date the weighted sum of next-open returns (moves: date, code, move; 0 where there is none), less commission on what is bought."""
     j = held.join(moves, ["date", "code"], "left")
     cost = F.when(F.col("bought"), commission * F.col("weight")).otherwise(0.0)
     return j.groupBy(*by, "date").agg(F.sum(F.coalesce(F.col("weight") * F.col("move"), F.lit(0.0)) - cost).alias("ret"))

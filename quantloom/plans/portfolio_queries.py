@@ -79,9 +79,13 @@ HELD = f"""WITH {CAND}, {LAYERS}, {MATRIX}, h AS (SELECT c.date, lw.code, layer,
   rt AS (SELECT layer, date, sum(coalesce(weight * move, 0) - CASE WHEN bought THEN 0.001 * weight ELSE 0 END)::DOUBLE AS ret FROM h LEFT JOIN mv USING (date, code) GROUP BY ALL)"""
 
 
+def _moves(spark, sf_dir) -> DataFrame:
+    return pf.moves_between(panels.quotes(spark, sf_dir), panels.calendar(spark, sf_dir))
+
+
 def _returns(spark, sf_dir) -> DataFrame:
     held = pf.held_days(_layers(spark, sf_dir), panels.calendar(spark, sf_dir), 5)
-    return pf.portfolio_returns(held, _matrix(spark, sf_dir), ["layer"], commission=0.001)
+    return pf.portfolio_returns(held, _moves(spark, sf_dir), ["layer"], commission=0.001)
 
 
 @query(oracle(f"{HELD} SELECT layer, date, round(ret, 6) AS ret FROM rt", *NEED))
@@ -118,7 +122,7 @@ def j5_waiting_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT layer, date, round(sum(coalesce(weight * move, 0) - CASE WHEN bought THEN 0.001 * weight ELSE 0 END)::DOUBLE, 6) AS ret FROM h LEFT JOIN mv USING (date, code) GROUP BY ALL""", *NEED))
 def j6_waiting_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = pf.held_until(_waiting(spark, sf_dir), panels.calendar(spark, sf_dir))
-    return pf.rounded(pf.portfolio_returns(held, _matrix(spark, sf_dir), ["layer"], commission=0.001), ["layer", "date"], ["ret"])
+    return pf.rounded(pf.portfolio_returns(held, _moves(spark, sf_dir), ["layer"], commission=0.001), ["layer", "date"], ["ret"])
 
 
 POS = """f AS (SELECT code, date, action, lag(action) OVER (PARTITION BY code ORDER BY date, action) AS p, day_idx + 1 AS fill_idx FROM trades), t AS (SELECT * FROM f WHERE (action = 0 AND (p IS NULL OR p = 1)) OR (action = 1 AND p = 0)),

@@ -40,10 +40,12 @@ def wide_panel(anchor: DataFrame, parts: list[Part]) -> DataFrame:
 
 
 def assembled(anchor: DataFrame, waves: list[list[Part]], buckets: int | None = None) -> DataFrame:
-    """G1 with G2: one wave of parts after the other; between waves the panel is written in buckets of (date, code), where its plan ends."""
+    """G1 with G2: one wave of parts after the other; between waves the panel is written, where its plan ends: in buckets of (date, code), or as it lies before small parts only."""
     out = anchor
     for i, parts in enumerate(waves):
-        out = wide_panel(in_buckets(out, "wave", buckets=buckets) if i else out, parts)
+        if i:
+            out = kept(out, "wave") if all(p.small for p in parts) else in_buckets(out, "wave", buckets=buckets)
+        out = wide_panel(out, parts)
     return out
 
 

@@ -41,15 +41,14 @@ def g2_category_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT date, code, close, industry, v.PE_TTM AS v_PE_TTM, v.FREE_MRK_CAP AS v_FREE_MRK_CAP, ST_FLAG, HS300_FLAG, round(proba_1_2D, 6) AS p_proba_1_2D, round(proba_1_20D, 6) AS p_proba_1_20D, Y_2D AS y_Y_2D, Y_20D AS y_Y_20D, t.action AS o_action, industry_close, index_close
   FROM a LEFT JOIN valuation v USING (date, code) LEFT JOIN flags USING (date, code) LEFT JOIN predictions USING (date, code) LEFT JOIN outcomes USING (date, code) LEFT JOIN trades t USING (date, code) LEFT JOIN i USING (date, industry) LEFT JOIN s USING (date)""", "quotes", "description", "series", "valuation", "flags", "predictions", "outcomes", "trades"))
 def g1_g2_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five parts by (date, code), all in the same buckets, then the parts of a category and of a date."""
-    held = lambda name, build: panels.in_buckets(spark, sf_dir, name, build)
+    """Five parts by (date, code), all in the buckets of the quotes, then the parts of a category and of a date."""
     industry = panels.description(spark, sf_dir).select("code", "industry")
-    anchor = held("anchor", lambda: panels.quotes(spark, sf_dir).select("date", "code", "close").join(industry, "code", "left"))
+    anchor = panels.quotes(spark, sf_dir).select("date", "code", "close").join(industry, "code", "left")
     key = ("date", "code")
     parts = [
-        asm.Part(held("valuation", lambda: panels.valuation(spark, sf_dir)), key, "v_", ("key", "day_idx", "TOT_MRK_CAP")), asm.Part(held("flags", lambda: panels.flags(spark, sf_dir)), key),
-        asm.Part(held("predictions", lambda: panels.predictions(spark, sf_dir)), key, "p_", ("key", "day_idx", "proba_1_5D", "proba_1_10D")),
-        asm.Part(held("outcomes", lambda: panels.outcomes(spark, sf_dir)), key, "y_", ("key", "day_idx", "Y_5D", "Y_10D")), asm.Part(held("orders", lambda: panels.orders(spark, sf_dir)), key, "o_", ("day_idx",)),
+        asm.Part(panels.valuation(spark, sf_dir), key, "v_", ("key", "day_idx", "TOT_MRK_CAP")), asm.Part(panels.flags(spark, sf_dir), key),
+        asm.Part(panels.predictions(spark, sf_dir), key, "p_", ("key", "day_idx", "proba_1_5D", "proba_1_10D")),
+        asm.Part(panels.outcomes(spark, sf_dir), key, "y_", ("key", "day_idx", "Y_5D", "Y_10D")), asm.Part(panels.orders(spark, sf_dir), key, "o_", ("day_idx",)),
     ]
     by_industry = anchor.groupBy("date", "industry").agg(F.round(F.avg("close"), 3).alias("close"))
     index = panels.series(spark, sf_dir).where("series_id = 'A'").select("date", "close")

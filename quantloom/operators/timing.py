@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantloom.operators.slices import below
+from quantloom.sources.io import kept
 from pyspark.sql import types as T
 
 #: Upper 5 % point of the chi-squared distribution with one degree of freedom.
@@ -135,7 +136,8 @@ def chi_merge(df: DataFrame, columns: list[str], target: str, bins: int = 100) -
 
     Spark counts good and bad rows per bin; only these counts, at most bins + 1 per column, meet in a group.
     """
-    counted = value_counts(df, columns, target)
+    # Written, as they are read for the quantiles and for the bins.
+    counted = kept(value_counts(df, columns, target), "counted")
     uppers = quantile_cuts(counted, bins).groupBy("column").agg(F.sort_array(F.collect_list("upper")).alias("ups"))
     binned = counted.join(F.broadcast(uppers), "column").withColumn("bin", F.size(F.filter("ups", lambda u: u < F.col("v"))))
     per_bin = binned.groupBy("column", "bin").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -155,9 +157,10 @@ def chi_merge(df: DataFrame, columns: list[str], target: str, bins: int = 100) -
 def assigned_bins(df: DataFrame, cuts: DataFrame, columns: list[str]) -> DataFrame:
     """H5: one-hot of each column's bins (right-closed); columns with a single bin go; null and values beyond the last cut are in none.
 
-    Cut points are joined as one row of arrays, at most a hundred and one per column; the driver only gets how many each column has,
+    Cut points are written, then joined as one row of arrays, at most a hundred and one per column; the driver only gets how many each column has,
     as they name the flags.
     """
+    cuts = kept(cuts, "cuts")
     bins = {r["column"]: r["count"] for r in cuts.groupBy("column").count().collect()}
     flagged = [c for c in columns if bins.get(c, 0) > 1]
     if not flagged:

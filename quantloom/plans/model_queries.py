@@ -12,7 +12,7 @@ from quantloom.operators import timing as tm
 from quantloom.operators.rolling import Rows, list_days
 from quantloom.plans.registry import query
 from quantloom.sources import panels
-from quantloom.sources.io import latest, scratch
+from quantloom.sources.io import kept, latest, scratch
 from quantloom.sources.panels import oracle
 from quantloom.sources.sink import replace_dates, stored_dates
 
@@ -232,7 +232,7 @@ def _training(spark, sf_dir) -> DataFrame:
 
 @query()
 def i1_i4_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _training(spark, sf_dir)
+    rows = kept(_training(spark, sf_dir), "training")
     past = rows.where("date < DATE '1997-01-01'")
     models = {f"proba_1_{h}D": ev.train_classifier(past, FEATURES, f"Y_{h}D", rounds=3, depth=2) for h in (2, 5, 10, 20)}
     return ev.score(rows.where("date >= DATE '1997-01-01'"), models)

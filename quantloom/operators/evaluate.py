@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -58,12 +58,13 @@ def random_search(
     """The AUC of each of the settings (trial, those of drawn_settings, auc) on held-out folds, averaged; the best one first.
 
     Folds and parts are dealt by a hash of the keys, which tell the rows apart, and parts are sorted by them; so neither the folds nor what the
-    trees sample depends on how df is partitioned. The trials run as jobs of one pool of threads.
+    trees sample depends on how df is partitioned. Rows are dealt and sorted once for all trials and lie on disk as they are then. The trials run as jobs of one pool of threads.
     """
     known = df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
     ready = VectorAssembler(inputCols=[f"in_{f}" for f in features], outputCol="features").transform(_known_features(features).transform(known))
     fold = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int").alias("fold")
-    rows = kept(ready.select(*keys, label, "features", fold), "folds").repartition(parts, *keys).sortWithinPartitions(*keys)
+    dealt = kept(ready.select(*keys, label, "features", fold), "folds").repartition(parts, *keys).sortWithinPartitions(*keys)
+    rows = dealt.select(label, "features", "fold").persist(StorageLevel.DISK_ONLY)
     judge = BinaryClassificationEvaluator(labelCol=label)
 
     def auc_of(trial: tuple[dict, int]) -> float:
@@ -73,7 +74,9 @@ def random_search(
         return round(judge.evaluate(model.transform(rows.where(F.col("fold") == out))), 9)
 
     with ThreadPool(parallelism) as pool:
+        rows.count()
         found = pool.map(inheritable_thread_target(df.sparkSession)(auc_of), [(s, out) for s in settings for out in held_out], chunksize=1)
+    rows.unpersist()
     told = [(i, s["maxDepth"], rounds, s["stepSize"], s["subsamplingRate"], float(s["featureSubsetStrategy"]), round(sum(found[i * len(held_out) : (i + 1) * len(held_out)]) / len(held_out), 9)) for i, s in enumerate(settings)]
     schema = "trial int, depth int, rounds int, step double, row_share double, feature_share double, auc double"
     return df.sparkSession.createDataFrame(sorted(told, key=lambda t: (-t[-1], t[0])), schema)

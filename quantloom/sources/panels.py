@@ -6,7 +6,7 @@ calendar has a row per day and is the only thing numbered globally; it is small
 Bars and the calendar are what all other panels start from. As in a warehouse they are written once, to the cluster's
 shared folder, and read from there by every query of the session on the same tables. A table that is written anew gets
 new panels; what was written goes when the session's JVM ends. Bars are in buckets of their code and sorted by date, so
-windows by code, and joins by (date, code) of what is derived from them, need no exchange.
+windows and sums by code need no exchange; joins by (date, code) still do.
 """
 
 from __future__ import annotations

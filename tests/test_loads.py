@@ -159,3 +159,9 @@ def test_a_write_cut_off_half_way_is_carried_through(spark, months, monkeypatch,
         assert Path(months, "month=2020-03").exists()
     assert _rows(sink.stored_dates(spark, months)) == _wanted(spark)
     assert not Path(months, sink.PLAN).exists()
+
+
+def test_a_year_of_bars_lies_in_several_buckets(spark):
+    """A year was one task's before, both when it was written and when it was read."""
+    q = panels.quotes_by_year(spark, TINY)
+    assert len([f for f in q.inputFiles() if "year=1997" in f]) > 1

@@ -41,7 +41,7 @@ def g2_category_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT date, code, close, industry, v.PE_TTM AS v_PE_TTM, v.FREE_MRK_CAP AS v_FREE_MRK_CAP, ST_FLAG, HS300_FLAG, round(proba_1_2D, 6) AS p_proba_1_2D, round(proba_1_20D, 6) AS p_proba_1_20D, Y_2D AS y_Y_2D, Y_20D AS y_Y_20D, t.action AS o_action, industry_close, index_close
   FROM a LEFT JOIN valuation v USING (date, code) LEFT JOIN flags USING (date, code) LEFT JOIN predictions USING (date, code) LEFT JOIN outcomes USING (date, code) LEFT JOIN trades t USING (date, code) LEFT JOIN i USING (date, industry) LEFT JOIN s USING (date)""", "quotes", "description", "series", "valuation", "flags", "predictions", "outcomes", "trades"))
 def g1_g2_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five parts by (date, code), all in the buckets of the quotes, then the parts of a category and of a date."""
+    """Five parts by (date, code), all read from the buckets of the quotes, then the parts of a category and of a date."""
     industry = panels.description(spark, sf_dir).select("code", "industry")
     anchor = panels.quotes(spark, sf_dir).select("date", "code", "close").join(industry, "code", "left")
     key = ("date", "code")

@@ -253,8 +253,7 @@ def d23_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Averages, returns, balances and turnover sums of the price bundle."""
     digits = {"MA": 4, "RET": 6, "OBV_DIFF": 2, "TURNOVER_ROLLING_SUM": 6}
     shown = {f"{c}_{n}D": d for n in (2, 5, 10, 20, 30, 60) for c, d in digits.items()}
-    found = bundle_features(panels.quotes(spark, sf_dir), R, BUNDLES["price"], tuple(shown))
-    return found.select("date", "code", *[F.round(c, d).alias(c) for c, d in shown.items()])
+    return bundle_features(panels.quotes(spark, sf_dir), R, BUNDLES["price"], tuple(shown), lambda c: (shown[c], 0.0)).select("date", "code", *shown)
 
 
 @query()

@@ -7,7 +7,7 @@ import pytest
 
 from quantloom.operators import bundles
 from quantloom.operators.bundles import BUNDLES, bundle_features
-from quantloom.operators.histories import Histories
+from quantloom.operators.histories import Histories, rounded
 from quantloom.operators.rolling import Rows
 from test_bundles import bars, some
 
@@ -77,3 +77,19 @@ def test_counts_and_plain_steps():
     for v in (x, gap):
         want = pd.Series(np.concatenate(([7.0], v[5:]))).ewm(alpha=0.2, adjust=False).mean()
         np.testing.assert_allclose(smoothed(v, 4, 7.0, 0.2)[4:], want, rtol=1e-12)
+
+
+def test_rounds_as_sql_does():
+    x = np.array([2.5, -2.5, 0.5, -0.4, 0.49999999999999994, 1234567.125, np.nan, np.inf, -0.0])
+    np.testing.assert_array_equal(rounded(x, 0), [3, -3, 1, 0, 0, 1234567, np.nan, np.inf, 0])
+    np.testing.assert_array_equal(rounded(x, 2)[:6], [2.5, -2.5, 0.5, -0.4, 0.5, 1234567.13])
+    assert not np.signbit(rounded(x, 0)[[3, 8]]).any()
+
+
+def test_batches_are_dealt_to_all_partitions(spark):
+    """Few bytes go into the kernel and hundreds of columns come out, so its partitions aren't put together by what goes in."""
+    found = bundle_features(bars(spark, [r for k in "abcdefgh" for r in some(70, k)]), R, BUNDLES["price"], shown=lambda c: (2, 0.0) if c == "MA_5D" else None)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = bundle_features(bars(spark, some(70, "a")), R, BUNDLES["price"])
+    want, got = ({r["date"]: (r["MA_5D"], r["RSI_7D"]) for r in df.where("code = 'a'").collect()} for df in (plain, found))
+    assert got == {d: (None if a is None else round(a, 2), b) for d, (a, b) in want.items()}

@@ -9,6 +9,7 @@ from quantloom.operators import bundles
 from quantloom.operators.bundles import BUNDLES, bundle_features
 from quantloom.operators.histories import Histories, rounded
 from quantloom.operators.rolling import Rows
+from quantloom.plans.window_queries import shown_bundle
 from test_bundles import bars, some
 
 R = Rows()
@@ -93,3 +94,12 @@ def test_batches_are_dealt_to_all_partitions(spark):
     plain = bundle_features(bars(spark, some(70, "a")), R, BUNDLES["price"])
     want, got = ({r["date"]: (r["MA_5D"], r["RSI_7D"]) for r in df.where("code = 'a'").collect()} for df in (plain, found))
     assert got == {d: (None if a is None else round(a, 2), b) for d, (a, b) in want.items()}
+
+
+def test_no_number_of_a_shown_bundle_is_rounded_by_rows(spark):
+    """84 of the stationary bundle's columns are rounded."""
+    found = shown_bundle(bars(spark, some(70)), BUNDLES["stationary"])
+    assert "round(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    last = found.orderBy("date").collect()[-1]
+    amounts = [r[-2] for r in some(70)][-5:]
+    assert last["AMTMA_5D"] == round(sum(amounts) / 5 + 0.0137) and last["AMOUNT_RATIO_5D"] == pytest.approx(amounts[-1] / (sum(amounts) / 5), abs=1e-6)

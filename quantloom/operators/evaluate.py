@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from multiprocessing.pool import ThreadPool
 
@@ -9,10 +10,10 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantloom.operators.slices import below, rank_from_top
@@ -36,14 +37,54 @@ def train_classifier(df: DataFrame, features: list[str], label: str, *, rounds:
     return PipelineModel([filled, ready, model])
 
 
-def search(df: DataFrame, features: list[str], label: str, *, depths: tuple[int, ...] = (2, 3), rounds: tuple[int, ...] = (5,), seed: int = 1, parallelism: int = 2):
-    """The settings with the highest AUC on a validation fifth."""
-    # Written, as the split, each fit and the last one go over them, and without columns that the split would sort by for nothing.
-    known = kept(df.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias(label), *features), "known")
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=seed)
+def _cuts(known: DataFrame, features: list[str], bins: int) -> dict[str, list[float]]:
+    """By feature, at most bins - 1 values at which bins of about as many known rows each begin, the first one apart; each value if there are so few.
+
+    All rows are counted by the first four digits of their distance from one row's value (that with the least __hash), so there are some ten
+    thousand counts to a decade, however many rows and values there are, and neither an offset nor outliers use up the digits.
+    """
+    start = known.agg(*[F.min_by(f, F.when(F.col(f).isNotNull(), F.col("__hash"))).alias(f) for f in features]).first()
+    counts = None
+    for f in features:
+        away = F.col(f) - F.lit(start[f]).cast("double")
+        decade = F.coalesce(F.floor(F.log10(F.abs(away))), F.lit(0))
+        one = known.where(F.col(f).isNotNull()).groupBy(F.lit(f).alias("feature"), decade, F.floor(away * F.pow(F.lit(10.0), 3 - decade))).agg(F.count("*").alias("n"), F.min(f).alias("lower")).select("feature", "n", "lower")
+        counts = one if counts is None else counts.unionByName(one)
+    every, in_order = Window.partitionBy("feature"), Window.partitionBy("feature").orderBy("lower")
+    ranked = counts.select("*", F.sum("n").over(in_order).alias("upto"), F.sum("n").over(every).alias("all"), F.count("*").over(every).alias("values"), F.lead("lower").over(in_order).alias("next"))
+    ends = ranked.where(f"upto < all AND (values <= {bins} OR upto * {bins} DIV all > (upto - n) * {bins} DIV all)").collect()
+    return {f: sorted(r["next"] for r in ends if r["feature"] == f and math.isfinite(r["next"])) for f in features}
+
+
+def cells(df: DataFrame, features: list[str], label: str, keys: list[str], *, seed: int, fold: Column, blocks: int = 8, parts: int = 16, bins: int = 31) -> DataFrame:
+    """Rows with a label, counted: label, features (the numbers of their bins, 0 where unknown), fold and weight, the number of rows.
+
+    Boosted trees see no more of a feature than its 32 bins, which Spark draws from some rows at each fit; here they are drawn from all rows, once, and
+    rows that are alike to every tree are one row with a weight. So fits take no longer however many rows there are. The rows of a cell are dealt into
+    blocks by a hash of the keys, of which the trees sample their share. fold is a column over __hash. Neither cells nor their order depend on how df is partitioned.
+    """
+    value = lambda f: F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")).alias(f)
+    # Written, as starts, cuts and cells each go over it.
+    known = kept(df.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias(label), *map(value, features), F.xxhash64(F.lit(seed), *keys).alias("__hash")), "known")
+    cuts = _cuts(known, features, bins)
+    # Some cut is needed, also where there is but one value.
+    splits, places = [[-math.inf, *(cuts[f] or [0.0]), math.inf] for f in features], [f"in_{f}" for f in features]
+    placed = Bucketizer(splitsArray=splits, inputCols=features, outputCols=places, handleInvalid="keep").transform(known.fillna(math.nan, features))
+    block = F.pmod(F.shiftright("__hash", 32), F.lit(blocks)).alias("__block")
+    by = [label, "fold", "__block", *places]
+    counted = placed.select(label, fold.alias("fold"), block, *[F.when(F.isnan(f), 0.0).otherwise(F.col(p) + 1).alias(p) for f, p in zip(features, places, strict=True)]).groupBy(*by).agg(F.count("*").cast("double").alias("weight"))
+    dealt = VectorAssembler(inputCols=places, outputCol="features").transform(counted.repartition(parts, *by).sortWithinPartitions(*by))
+    return dealt.select(label, "features", "fold", "weight")
+
+
+def search(df: DataFrame, features: list[str], label: str, keys: list[str], *, depths: tuple[int, ...] = (2, 3, 4, 5), rounds: tuple[int, ...] = (10, 20), seed: int = 1, parallelism: int = 2):
+    """The settings with the highest AUC on a validation fifth, all of the depths with all of the rounds."""
+    gbt = GBTClassifier(labelCol=label, featuresCol="features", weightCol="weight", seed=seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).addGrid(gbt.maxIter, list(rounds)).build()
-    ready = VectorAssembler(inputCols=[f"in_{f}" for f in features], outputCol="features").transform(_known_features(features).transform(known))
-    return TrainValidationSplit(estimator=gbt, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label), trainRatio=0.8, seed=seed, parallelism=parallelism).fit(ready)
+    judge = BinaryClassificationEvaluator(labelCol=label, weightCol="weight")
+    # Written, as the split, each fit and the last one go over them.
+    ready = kept(cells(df, features, label, keys, seed=seed, fold=F.lit(0)).drop("fold"), "cells")
+    return TrainValidationSplit(estimator=gbt, estimatorParamMaps=grid, evaluator=judge, trainRatio=0.8, seed=seed, parallelism=parallelism).fit(ready)
 
 
 def drawn_settings(trials: int, seed: int, *, depths: tuple[int, int] = (1, 9), steps: tuple[float, float] = (0.05, 0.15), shares: tuple[float, float] = (0.5, 0.9)) -> list[dict]:
@@ -57,19 +98,17 @@ def random_search(
 ) -> DataFrame:
     """The AUC of each of the settings (trial, those of drawn_settings, auc) on held-out folds, averaged; the best one first.
 
-    Folds and parts are dealt by a hash of the keys, which tell the rows apart, and parts are sorted by them; so neither the folds nor what the
-    trees sample depends on how df is partitioned. Rows are dealt and sorted once for all trials and lie on disk as they are then. The trials run as jobs of one pool of threads.
+    Folds and parts are dealt by a hash of the keys, which tell the rows apart, and rows are counted to cells and sorted; so neither the folds nor what the
+    trees sample depends on how df is partitioned. Cells are made once for all trials and lie on disk as they are then. The trials run as jobs of one pool of threads.
     """
-    known = df.where(F.col(label).isNotNull()).withColumn(label, F.col(label).cast("double"))
-    ready = VectorAssembler(inputCols=[f"in_{f}" for f in features], outputCol="features").transform(_known_features(features).transform(known))
-    fold = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int").alias("fold")
-    dealt = kept(ready.select(*keys, label, "features", fold), "folds").repartition(parts, *keys).sortWithinPartitions(*keys)
-    rows = dealt.select(label, "features", "fold").persist(StorageLevel.DISK_ONLY)
-    judge = BinaryClassificationEvaluator(labelCol=label)
+    fold = F.pmod("__hash", F.lit(folds)).cast("int")
+    # Folds that no trial holds out are one.
+    rows = cells(df, features, label, keys, seed=seed, fold=F.when(fold.isin(*held_out), fold).otherwise(-1), parts=parts).persist(StorageLevel.DISK_ONLY)
+    judge = BinaryClassificationEvaluator(labelCol=label, weightCol="weight")
 
     def auc_of(trial: tuple[dict, int]) -> float:
         setting, out = trial
-        model = GBTClassifier(labelCol=label, featuresCol="features", maxIter=rounds, seed=seed, **setting).fit(rows.where(F.col("fold") != out))
+        model = GBTClassifier(labelCol=label, featuresCol="features", weightCol="weight", maxIter=rounds, seed=seed, **setting).fit(rows.where(F.col("fold") != out))
         # Spark adds up doubles as tasks end, so the last digits aren't the same each time.
         return round(judge.evaluate(model.transform(rows.where(F.col("fold") == out))), 9)
 

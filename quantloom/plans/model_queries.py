@@ -253,7 +253,8 @@ def i4_stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def i2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = ev.search(_training(spark, sf_dir), FEATURES, "Y_5D", ["date", "code"], depths=(1, 2), rounds=(2,))
+    """The AUC of each setting of the grid, in its order."""
+    best = ev.search(_training(spark, sf_dir), FEATURES, "Y_5D", ["date", "code"])
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(best.validationMetrics)], "setting int, auc double")
 
 

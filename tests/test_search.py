@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from conftest import TINY
 from quantloom.operators import evaluate as ev
+from quantloom.plans.catalog import QUERIES
 
 
 def test_best_setting_under_any_partitioning(spark):
@@ -48,3 +50,8 @@ def test_nothing_known_and_nothing_to_tell_apart(spark):
     df = spark.createDataFrame(rows, "id long, a double, b double, c double, y int")
     found = ev.random_search(df, ["a", "b", "c"], "y", ["id"], settings=ev.drawn_settings(1, 3, depths=(1, 2)), rounds=2, parts=2).collect()
     assert len(found) == 1 and 0 <= found[0].auc <= 1
+
+
+def test_the_query_searches_the_whole_grid(spark):
+    found = QUERIES["i2_search"](spark, TINY).collect()
+    assert [r.setting for r in found] == list(range(8)) and all(0 <= r.auc <= 1 for r in found)
